@@ -53,6 +53,23 @@ def keyed_actions(actions: DataFrame) -> DataFrame:
     return actions.groupBy("uid", "day", *SEQ_ORDER).agg(F.count(F.lit(1)).alias("mult"))
 
 
+def sequence_keys(op_encoded: DataFrame, trans_encoded: DataFrame) -> DataFrame:
+    """A17 for the slim logs: same rows as ``keyed_actions(encoded_actions(...))``.
+
+    The slim operation log is already distinct on (uid, day, type, time)
+    and ids are one-to-one with types, so every operation key has
+    ``mult = 1``: only the transactions (distinct on seven columns, so
+    several may share a key) need the counting shuffle.
+    """
+    ops = op_encoded.select("uid", F.col("op_day").alias("day"), F.col("op_time").alias("time"),
+                            F.lit(OP_SRC).alias("src"), "type_id",
+                            F.lit(1).cast("long").alias("mult"))
+    trans = keyed_actions(trans_encoded.select(
+        "uid", F.col("trans_day").alias("day"), F.col("trans_time").alias("time"),
+        F.lit(TRANS_SRC).alias("src"), "type_id"))
+    return ops.unionByName(trans)
+
+
 def _day_window():
     return Window.partitionBy("uid", "day").orderBy(*SEQ_ORDER)
 

@@ -9,11 +9,14 @@ when scoring (D4), so ids cannot shift between the two.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import pad_or_zero, type_id
 from ..functions.ranking import global_position
+from ..session import checkpointed
 from .stats import value_counts
 
 # Id prefixes of the two dictionaries.
@@ -22,6 +25,25 @@ TRANS_PREFIX = "1"
 
 # Largest dictionary joined by broadcast; a bigger one takes a shuffle join.
 BROADCAST_MAX_ROWS = 200_000
+# Largest dictionary ranked in a single task; a bigger one is ranked over
+# range partitions (functions.ranking.global_position).
+SINGLE_TASK_RANK_MAX_ROWS = 200_000
+
+
+@dataclass(frozen=True)
+class TypeIndex:
+    """A fitted dictionary ``(type, type_id, cnt)`` and its row count."""
+
+    table: DataFrame
+    size: int
+
+    def save(self, path: str) -> None:
+        self.table.write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "TypeIndex":
+        table = spark.read.parquet(path)
+        return TypeIndex(table, table.count())
 
 
 def type_counts(log: DataFrame, column: str) -> DataFrame:
@@ -29,36 +51,37 @@ def type_counts(log: DataFrame, column: str) -> DataFrame:
     return value_counts(log, column, "type")
 
 
-def fit_type_index(log: DataFrame, column: str, prefix: str) -> DataFrame:
+def fit_type_index(log: DataFrame, column: str, prefix: str) -> TypeIndex:
     """``(type, type_id, cnt)``; rank by count desc, then type.
 
-    The ranking runs on the counted table (one row per type) and is
-    spread over range partitions, never gathered into one task.
+    The log is aggregated once and the counted table (one row per type) is
+    materialised in the checkpoint folder; ranking and every later use read
+    that. A counted table above ``SINGLE_TASK_RANK_MAX_ROWS`` is ranked over
+    range partitions instead of in one task.
     """
-    counts = type_counts(log, column)
-    ranked = global_position(counts, [F.desc("cnt"), F.asc("type")], "rank")
-    return ranked.select("type", type_id(prefix, F.col("rank")).alias("type_id"), "cnt")
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Size check before a broadcast: at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def encode(log: DataFrame, index: DataFrame, column: str, out: str = "type_id",
-           unknown: str = "drop", broadcast: bool | None = None) -> DataFrame:
+    counts = checkpointed(type_counts(log, column))
+    size = counts.count()
+    order = [F.desc("cnt"), F.asc("type")]
+    if size <= SINGLE_TASK_RANK_MAX_ROWS:
+        ranked = counts.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    else:
+        ranked = global_position(counts, order, "rank")
+    table = ranked.select("type", type_id(prefix, F.col("rank")).alias("type_id"), "cnt")
+    return TypeIndex(table, size)
+
+
+def encode(log: DataFrame, index: TypeIndex, column: str, out: str = "type_id",
+           unknown: str = "drop") -> DataFrame:
     """Replace a type string by its id.
 
     ``unknown``: ``"drop"`` rows whose type has no id (inner join, J1/J2),
     ``"error"`` fails the job (the lookup of J3), ``"zero"`` maps to ``"0"``.
-    The dictionary is broadcast only after its row count is checked.
+    The dictionary is broadcast only when its known row count allows it.
     """
     if unknown not in ("drop", "error", "zero"):
         raise ValueError(f"unknown={unknown!r}")
-    lookup = index.select(F.col("type").alias(column), F.col("type_id").alias(out))
-    if broadcast is None:
-        broadcast = fits_broadcast(lookup)
-    if broadcast:
+    lookup = index.table.select(F.col("type").alias(column), F.col("type_id").alias(out))
+    if index.size <= BROADCAST_MAX_ROWS:
         lookup = F.broadcast(lookup)
     cols = [*log.columns, out]
     if unknown == "drop":

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features, merge, model, preprocess, rules, sequences, stats, type_index
+from ..session import checkpointed
 from ..sources import raw, testdata
 
 # Rules with ids that occur in the benchmark tables (four operation
@@ -59,11 +60,11 @@ class Inputs:
                                             self.trans_base)
 
     @cached_property
-    def op_index(self) -> DataFrame:
+    def op_index(self) -> type_index.TypeIndex:
         return type_index.fit_type_index(self.op_base, "op_type", type_index.OP_PREFIX)
 
     @cached_property
-    def trans_index(self) -> DataFrame:
+    def trans_index(self) -> type_index.TypeIndex:
         return type_index.fit_type_index(self.trans_base, "trans_type1",
                                          type_index.TRANS_PREFIX)
 
@@ -77,8 +78,7 @@ class Inputs:
 
     @cached_property
     def keyed(self) -> DataFrame:
-        return sequences.keyed_actions(
-            sequences.encoded_actions(self.op_encoded, self.trans_encoded))
+        return sequences.sequence_keys(self.op_encoded, self.trans_encoded)
 
     @cached_property
     def rank(self) -> DataFrame:
@@ -106,7 +106,9 @@ def _q(build: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], Da
 
 
 def _tree_predictions(i: Inputs) -> DataFrame:
-    split = model.hash_split(i.merged())
+    # The learner passes over its input several times; materialise the
+    # merged table once instead of re-running its whole lineage each pass.
+    split = model.hash_split(checkpointed(i.merged()))
     fitted = model.train(split.filter("is_train"))
     return model.predict(fitted, split.filter(~F.col("is_train")))
 
@@ -133,8 +135,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # types
     "op_type_counts": _q(lambda i: type_index.type_counts(i.op_base, "op_type")),
     "trans_type_counts": _q(lambda i: type_index.type_counts(i.trans_base, "trans_type1")),
-    "op_type_index": _q(lambda i: i.op_index),
-    "trans_type_index": _q(lambda i: i.trans_index),
+    "op_type_index": _q(lambda i: i.op_index.table),
+    "trans_type_index": _q(lambda i: i.trans_index.table),
     "encoded_operations": _q(lambda i: i.op_encoded),
     "encoded_transactions": _q(lambda i: i.trans_encoded),
     "user_type_counts": _q(lambda i: type_index.user_type_counts(i.op_encoded)),
