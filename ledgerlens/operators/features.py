@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from .stats import days_range, hours_range
+from .stats import day_aggs, days_range, hour_aggs, hours_range
 
 
 def action_days(op_base: DataFrame, trans_base: DataFrame) -> DataFrame:
@@ -26,3 +26,16 @@ def action_hours(op_base: DataFrame, trans_base: DataFrame) -> DataFrame:
     op = hours_range(op_base, "op_time", prefix="op_")
     tr = hours_range(trans_base, "trans_time", prefix="trans_")
     return op.join(tr, "uid", "full_outer")
+
+
+def user_time_profile(op_base: DataFrame, trans_base: DataFrame) -> DataFrame:
+    """A7 + A9 in one pass per log: ``uid`` + 8 day and 12 hour features.
+
+    Day and hour statistics of a log share one grouping by ``uid`` (one
+    scan, one shuffle per log) and the two logs meet in one full outer
+    join, instead of four groupings and two joins.
+    """
+    op = op_base.groupBy("uid").agg(*day_aggs("op_day", "op_"), *hour_aggs("op_time", "op_"))
+    tr = trans_base.groupBy("uid").agg(*day_aggs("trans_day", "trans_"),
+                                       *hour_aggs("trans_time", "trans_"))
+    return op.join(tr, "uid", "full_outer")

@@ -10,6 +10,7 @@ None of the inputs is broadcast by hand: each grows with the user count.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -34,24 +35,17 @@ FEATURE_COLUMNS = (AMOUNT_STAT_COLUMNS + AMOUNT_RANGE_COLUMNS + DAY_COLUMNS + HO
 MERGED_COLUMNS = ["uid", "label"] + FEATURE_COLUMNS
 
 
-def merge_features(labels: DataFrame, amount_stats: DataFrame, amount_range: DataFrame,
-                   days: DataFrame, hours: DataFrame, top_ops: DataFrame,
-                   top_trans: DataFrame, flags: DataFrame, how: str = "inner") -> DataFrame:
-    """``uid, label`` + 38 features.
+def merge_features(labels: DataFrame, tables: Sequence[DataFrame],
+                   how: str = "inner") -> DataFrame:
+    """``uid, label`` + the 38 features, taken from per-user ``tables``.
 
-    ``how="inner"`` (default, K5) keeps users present in every table;
-    ``how="left"`` keeps every labelled user (missing features NULL) so that
-    every user can be scored.
+    Each table holds one row per ``uid`` and some of the feature columns;
+    together they must cover ``FEATURE_COLUMNS``. ``how="inner"`` (default,
+    K5) keeps users present in every table; ``how="left"`` keeps every
+    labelled user (missing features NULL) so that every user can be scored.
     """
-    parts = [
-        amount_stats.select("uid", *AMOUNT_STAT_COLUMNS),
-        amount_range.select("uid", *AMOUNT_RANGE_COLUMNS),
-        days.select("uid", *DAY_COLUMNS),
-        hours.select("uid", *HOUR_COLUMNS),
-        top_ops.select("uid", *TOP_OP_COLUMNS),
-        top_trans.select("uid", *TOP_TRANS_COLUMNS),
-        flags.select("uid", *FLAG_COLUMNS),
-    ]
+    wanted = set(FEATURE_COLUMNS)
+    parts = [t.select("uid", *[c for c in t.columns if c in wanted]) for t in tables]
     merged = reduce(lambda acc, t: acc.join(t, "uid", how), parts,
                     labels.select("uid", "label"))
     return merged.select(*MERGED_COLUMNS)

@@ -50,6 +50,39 @@ HOUR_BUCKETS = [
 ]
 
 
+def rate_aggs(value: str | Column, buckets: Sequence[Bucket], prefix: str = "",
+              weight: Column | None = None) -> list[Column]:
+    """Percent of rows (or of ``weight``) in each bucket, two decimals, half-up."""
+    if weight is None:
+        n = F.count(F.lit(1))
+        return [pct(count_in(value, b.low, b.high, b.low_inclusive, b.high_inclusive), n)
+                .alias(prefix + b.name) for b in buckets]
+    n = F.sum(weight)
+    return [pct(F.sum(F.when(_in(value, b), weight).otherwise(F.lit(0))), n)
+            .alias(prefix + b.name) for b in buckets]
+
+
+def _in(value: str | Column, b: Bucket) -> Column:
+    v = F.col(value) if isinstance(value, str) else value
+    cond = F.lit(True)
+    if b.low is not None:
+        cond = cond & ((v >= b.low) if b.low_inclusive else (v > b.low))
+    if b.high is not None:
+        cond = cond & ((v <= b.high) if b.high_inclusive else (v < b.high))
+    return cond
+
+
+def day_aggs(day: str, prefix: str = "") -> list[Column]:
+    """A6 aggregates: day span and the three day-of-month percents."""
+    return [span(day).alias(prefix + "days_span"), *rate_aggs(day, DAY_BUCKETS, prefix)]
+
+
+def hour_aggs(time: str, prefix: str = "") -> list[Column]:
+    """A8 aggregates: hour span and the five day-part percents (hour 0 in none)."""
+    h = hour_of(time)
+    return [span(h).alias(prefix + "hour_span"), *rate_aggs(h, HOUR_BUCKETS, prefix)]
+
+
 def bucket_rates(df: DataFrame, keys: Sequence[str], value: str | Column,
                  buckets: Sequence[Bucket], extra: Sequence[Column] = ()) -> DataFrame:
     """Per group: percent of rows in each bucket, two decimals, half-up.
@@ -57,17 +90,13 @@ def bucket_rates(df: DataFrame, keys: Sequence[str], value: str | Column,
     ``keys`` may be empty for one whole-table row (A4); the ungrouped
     aggregate still combines per-partition partials.
     """
-    n = F.count(F.lit(1))
-    aggs = list(extra) + [
-        pct(count_in(value, b.low, b.high, b.low_inclusive, b.high_inclusive), n).alias(b.name)
-        for b in buckets
-    ]
+    aggs = list(extra) + rate_aggs(value, buckets)
     grouped = df.groupBy(*keys) if keys else df
     return grouped.agg(*aggs)
 
 
 def amount_stats(trans: DataFrame, key: str = "uid", amount: str = "trans_amt",
-                 exact_scale: int | None = 2) -> DataFrame:
+                 exact_scale: int | None = 2, with_ranges: bool = False) -> DataFrame:
     """A1-A3: per user min, max, exact median, mean and population variance.
 
     Plan: count each distinct ``(user, amount)`` (partial aggregate before
@@ -78,6 +107,10 @@ def amount_stats(trans: DataFrame, key: str = "uid", amount: str = "trans_amt",
     ``exact_scale`` = number of decimals of the amounts: mean and variance
     are then exact decimal sums (stable under any partitioning). ``None``
     uses double arithmetic with a two-pass variance.
+
+    ``with_ranges`` adds the A5 columns (``amt_count`` and the per-user
+    bucket percents) from the same pass, weighting each distinct amount
+    by its count.
     """
     counted = trans.groupBy(key, amount).agg(F.count(F.lit(1)).alias("_m"))
     ordered = Window.partitionBy(key).orderBy(amount)
@@ -102,6 +135,9 @@ def amount_stats(trans: DataFrame, key: str = "uid", amount: str = "trans_amt",
         ((at(lo) + at(hi)) / 2.0).alias("mid_amt"),
     ]
     n = F.sum("_m")
+    if with_ranges:
+        aggs += [n.alias("amt_count"),
+                 *rate_aggs(amount, USER_AMOUNT_BUCKETS, weight=F.col("_m"))]
     if exact_scale is None:
         aggs += [
             (F.sum(F.col(amount) * F.col("_m")) / n).alias("avg_amt"),
@@ -134,25 +170,14 @@ def user_amount_range(trans: DataFrame, key: str = "uid",
 
 def days_range(log: DataFrame, day: str, key: str = "uid", prefix: str = "") -> DataFrame:
     """Per user -- day span (max-min+1) and percents of days <=10, 11-20, >20."""
-    out = bucket_rates(log, [key], day, DAY_BUCKETS,
-                       extra=[span(day).alias("days_span")])
-    return _prefixed(out, key, prefix)
+    return log.groupBy(key).agg(*day_aggs(day, prefix))
 
 
 def hours_range(log: DataFrame, time: str, key: str = "uid", prefix: str = "") -> DataFrame:
     """Per user -- hour span and percents of five day parts (hour 0 in none)."""
-    with_hour = log.select(key, hour_of(time).alias("_hour"))
-    out = bucket_rates(with_hour, [key], "_hour", HOUR_BUCKETS,
-                       extra=[span("_hour").alias("hour_span")])
-    return _prefixed(out, key, prefix)
+    return log.groupBy(key).agg(*hour_aggs(time, prefix))
 
 
 def value_counts(log: DataFrame, column: str, name: str = "type") -> DataFrame:
     """Rows per value, as ``(type, cnt)``."""
     return log.groupBy(F.col(column).alias(name)).agg(F.count(F.lit(1)).alias("cnt"))
-
-
-def _prefixed(df: DataFrame, key: str, prefix: str) -> DataFrame:
-    if not prefix:
-        return df
-    return df.select(key, *[F.col(c).alias(prefix + c) for c in df.columns if c != key])

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features, merge, model, preprocess, rules, sequences, stats, type_index
-from ..session import checkpointed
+from ..session import checkpointed, materialized
 from ..sources import raw, testdata
 
 # Rules with ids that occur in the benchmark tables (four operation
@@ -27,21 +27,27 @@ LONG_DAY_THRESHOLD = 5
 class Inputs:
     """Stages of one run over the tables of ``sf_dir``, built lazily and once."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
+        # Queries that read the slim logs from many branches write them once.
+        self.materialize = materialize
 
     def table(self, name: str) -> DataFrame:
         return testdata.table(self.spark, self.sf_dir, name)
 
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        return materialized(df, name) if self.materialize else df
+
     @cached_property
     def op_base(self) -> DataFrame:
-        return preprocess.slim_operations(testdata.operations_from_events(self.table("events")))
+        return self._stage(preprocess.slim_operations(
+            testdata.operations_from_events(self.table("events"))), "op_base")
 
     @cached_property
     def trans_base(self) -> DataFrame:
-        return preprocess.slim_transactions(
-            testdata.transactions_from_events(self.table("events")))
+        return self._stage(preprocess.slim_transactions(
+            testdata.transactions_from_events(self.table("events"))), "trans_base")
 
     @cached_property
     def order_trans(self) -> DataFrame:
@@ -85,22 +91,19 @@ class Inputs:
         return sequences.user_action_rank(self.keyed)
 
     def merged(self, how: str = "inner") -> DataFrame:
-        return merge.merge_features(
-            self.labels,
-            stats.amount_stats(self.trans_base),
-            stats.user_amount_range(self.trans_base),
-            features.action_days(self.op_base, self.trans_base),
-            features.action_hours(self.op_base, self.trans_base),
+        return merge.merge_features(self.labels, [
+            stats.amount_stats(self.trans_base, with_ranges=True),   # A1-A5, one pass
+            features.user_time_profile(self.op_base, self.trans_base),  # A6-A9
             type_index.top_types(self.op_encoded, 3, "op_"),
             type_index.top_types(self.trans_encoded, 3, "trans_"),
             rules.risk_flags(self.rank),
-            how=how,
-        )
+        ], how=how)
 
 
-def _q(build: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+def _q(build: Callable[[Inputs], DataFrame], materialize: bool = False
+       ) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(Inputs(spark, sf_dir))
+        return build(Inputs(spark, sf_dir, materialize))
     run.__doc__ = build.__doc__
     return run
 
@@ -167,12 +170,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "risk_flags": _q(lambda i: rules.risk_flags(i.rank)),
     "risk_flags_tuned": _q(lambda i: rules.risk_flags(i.rank, TUNED_RULES)),
     # merge, text forms, model
-    "merged_features": _q(lambda i: i.merged()),
-    "merged_features_left": _q(lambda i: i.merged("left")),
-    "delimited_features": _q(lambda i: merge.to_delimited(i.merged())),
-    "parsed_features": _q(lambda i: merge.parse_delimited(merge.to_delimited(i.merged()))),
+    "merged_features": _q(lambda i: i.merged(), materialize=True),
+    "merged_features_left": _q(lambda i: i.merged("left"), materialize=True),
+    "delimited_features": _q(lambda i: merge.to_delimited(i.merged()), materialize=True),
+    "parsed_features": _q(lambda i: merge.parse_delimited(merge.to_delimited(i.merged())),
+                          materialize=True),
     "hash_split": _q(lambda i: model.hash_split(
         preprocess.all_users(i.op_base, i.trans_base)).select("uid", "bucket", "is_train")),
-    "tree_predictions": _q(_tree_predictions),
-    "tree_accuracy": _q(lambda i: model.accuracy(_tree_predictions(i))),
+    "tree_predictions": _q(_tree_predictions, materialize=True),
+    "tree_accuracy": _q(lambda i: model.accuracy(_tree_predictions(i)), materialize=True),
 }

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +59,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` once in the shared checkpoint folder and cut its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    For a stage that several branches of one plan read (the slim logs):
+    each branch then scans a pruned columnar table instead of recomputing
+    the stage with its own scan and shuffle. Survives executor loss like
+    any written table.
+    """
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -36,7 +36,9 @@ def _prop_k(props: str = "props"):
 def operations_from_events(events: DataFrame) -> DataFrame:
     """Raw operation columns ``uid, day, mode, time``; a NULL type becomes ``""``."""
     kind = F.coalesce(F.col("event_type"), F.lit(""))
-    return events.filter(kind != "purchase").select(
+    # written as IS NULL OR <> so that Parquet can skip row groups with it
+    not_purchase = F.col("event_type").isNull() | (F.col("event_type") != "purchase")
+    return events.filter(not_purchase).select(
         F.col("user_id").cast("string").alias("uid"),
         F.dayofmonth("ts").alias("day"),
         kind.alias("mode"),

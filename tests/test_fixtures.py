@@ -135,19 +135,20 @@ def test_merge_keeps_only_complete_users(mini):
     op_idx, tr_idx, op_enc, tr_enc = fitted(mini)
     op, tr = mini["op_base"], mini["trans_base"]
     rank = sequences.user_action_rank(sequences.sequence_keys(op_enc, tr_enc))
-    merged = merge.merge_features(
-        mini["labels"], stats.amount_stats(tr), stats.user_amount_range(tr),
-        features.action_days(op, tr), features.action_hours(op, tr),
-        ti.top_types(op_enc, 3, "op_"), ti.top_types(tr_enc, 3, "trans_"),
-        rules.risk_flags(rank))
+    separate = [stats.amount_stats(tr), stats.user_amount_range(tr),
+                features.action_days(op, tr), features.action_hours(op, tr),
+                ti.top_types(op_enc, 3, "op_"), ti.top_types(tr_enc, 3, "trans_"),
+                rules.risk_flags(rank)]
+    combined = [stats.amount_stats(tr, with_ranges=True), features.user_time_profile(op, tr),
+                ti.top_types(op_enc, 3, "op_"), ti.top_types(tr_enc, 3, "trans_"),
+                rules.risk_flags(rank)]
+    merged = merge.merge_features(mini["labels"], separate)
+    assert sorted(merge.merge_features(mini["labels"], combined).collect()) == sorted(
+        merged.collect())
     got = merged.collect()
     assert [r["uid"] for r in got] == ["u1"]
     assert len(merged.columns) == 40 and len(merge.FEATURE_COLUMNS) == 38
-    left = merge.merge_features(
-        mini["labels"], stats.amount_stats(tr), stats.user_amount_range(tr),
-        features.action_days(op, tr), features.action_hours(op, tr),
-        ti.top_types(op_enc, 3, "op_"), ti.top_types(tr_enc, 3, "trans_"),
-        rules.risk_flags(rank), how="left")
+    left = merge.merge_features(mini["labels"], combined, how="left")
     assert left.count() == 4
 
 
