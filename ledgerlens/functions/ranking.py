@@ -45,3 +45,39 @@ def global_position(df: DataFrame, order: list[Column], name: str = "pos") -> Da
         .withColumn(name, F.col("_offset") + F.col("_local") + F.lit(1))
         .drop("_part", "_local", "_offset")
     )
+
+
+def running_sum(df: DataFrame, key: str, order: str, weight: str,
+                cum: str = "_cum", total: str = "_total") -> DataFrame:
+    """Per ``key``: inclusive running sum of ``weight`` along ``order``, and the key total.
+
+    Same result as ``sum(weight) over (partition by key order by order)``,
+    but a key holding a large share of the rows is not put in one task:
+
+    1. range-partition on ``(key, order)`` -- a hot key spans many
+       partitions -- and checkpoint the partition tags;
+    2. running sum inside each (partition, key) piece;
+    3. one row per (partition, key) with the piece's sum; a window per
+       key over those rows (at most one per partition) gives each piece
+       the sum of the pieces before it;
+    4. running sum = offset of the piece + running sum inside it.
+
+    ``(key, order)`` must be unique, as after a grouping on both.
+    """
+    tagged = checkpointed(
+        df.repartitionByRange(key, order)
+        .sortWithinPartitions(key, order)
+        .withColumn("_part", F.spark_partition_id()))
+    pieces = tagged.groupBy("_part", key).agg(F.sum(weight).alias("_piece"))
+    before = Window.partitionBy(key).orderBy("_part").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = pieces.select(
+        "_part", key,
+        F.coalesce(F.sum("_piece").over(before), F.lit(0)).alias("_offset"),
+        F.sum("_piece").over(Window.partitionBy(key)).alias(total))
+    inside = Window.partitionBy("_part", key).orderBy(order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return (tagged.withColumn("_inside", F.sum(weight).over(inside))
+            .join(offsets, ["_part", key])
+            .withColumn(cum, F.col("_offset") + F.col("_inside"))
+            .drop("_part", "_inside", "_offset"))

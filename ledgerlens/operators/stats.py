@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exact import mean_from_sums, moment_sums, var_pop_from_sums
 from ..functions.expressions import count_in, hour_of, pct, span
+from ..functions.ranking import running_sum
 
 
 @dataclass(frozen=True)
@@ -96,13 +97,19 @@ def bucket_rates(df: DataFrame, keys: Sequence[str], value: str | Column,
 
 
 def amount_stats(trans: DataFrame, key: str = "uid", amount: str = "trans_amt",
-                 exact_scale: int | None = 2, with_ranges: bool = False) -> DataFrame:
+                 exact_scale: int | None = 2, with_ranges: bool = False,
+                 split_users: bool = True) -> DataFrame:
     """A1-A3: per user min, max, exact median, mean and population variance.
 
     Plan: count each distinct ``(user, amount)`` (partial aggregate before
-    the shuffle), then one window per user over the distinct amounts gives
-    each amount's rank range, and one aggregate picks the middle value(s)
-    and the sums. A user's window holds distinct amounts, not rows.
+    the shuffle); a running count over each user's distinct amounts gives
+    every amount its rank range; one aggregate then picks the middle
+    value(s) and the sums.
+
+    ``split_users`` (default) computes the running count over range
+    partitions (``functions.ranking.running_sum``), so a user with a large
+    share of the rows spreads over many tasks. ``False`` uses one window
+    per user: fewer stages, but a user's distinct amounts sit in one task.
 
     ``exact_scale`` = number of decimals of the amounts: mean and variance
     are then exact decimal sums (stable under any partitioning). ``None``
@@ -113,15 +120,19 @@ def amount_stats(trans: DataFrame, key: str = "uid", amount: str = "trans_amt",
     by its count.
     """
     counted = trans.groupBy(key, amount).agg(F.count(F.lit(1)).alias("_m"))
-    ordered = Window.partitionBy(key).orderBy(amount)
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (counted
-              .withColumn("_cum", F.sum("_m").over(upto))
-              .withColumn("_n", F.sum("_m").over(whole)))
+    if split_users:
+        ranked = running_sum(counted, key, amount, "_m", cum="_cum", total="_n")
+    else:
+        ordered = Window.partitionBy(key).orderBy(amount)
+        whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = (counted
+                  .withColumn("_cum", F.sum("_m").over(upto))
+                  .withColumn("_n", F.sum("_m").over(whole)))
     if exact_scale is None:
-        ranked = ranked.withColumn(
-            "_mean", F.sum(F.col(amount) * F.col("_m")).over(whole) / F.col("_n"))
+        means = counted.groupBy(key).agg(
+            (F.sum(F.col(amount) * F.col("_m")) / F.sum("_m")).alias("_mean"))
+        ranked = ranked.join(means, key)
     first = F.col("_cum") - F.col("_m")            # 0-based rank of this amount's first copy
     lo = F.floor((F.col("_n") - 1) / 2)            # middle ranks (equal when n is odd)
     hi = F.floor(F.col("_n") / 2)

@@ -56,6 +56,8 @@ def test_amount_stats(mini):
         20000.0, 20000.0, 20000.0, 20000.0, 0.0)
     dbl = by_uid(stats.amount_stats(mini["trans_base"], exact_scale=None))
     assert dbl["u1"]["var_amt"] == 17216718.75 and dbl["u1"]["mid_amt"] == 625.0
+    one_task = by_uid(stats.amount_stats(mini["trans_base"], split_users=False))
+    assert one_task == got
 
 
 def test_amount_ranges(mini):

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.ranking import global_position
+from ledgerlens.functions.ranking import global_position, running_sum
 from ledgerlens.operators import merge, model, preprocess
 from ledgerlens.plans.catalogue import QUERIES
 from ledgerlens.sources import raw, tables
@@ -60,6 +60,24 @@ def test_global_position_spreads_and_orders(spark):
     assert got == {v: 5000 - v for v in range(5000)}
 
 
+def test_running_sum_splits_a_hot_key(spark):
+    # one key with most rows, spread over many range partitions
+    data = [("hot", v, (v % 5) + 1) for v in range(3000)] + \
+           [(f"k{i}", v, 1) for i in range(20) for v in range(7)]
+    df = spark.createDataFrame(data, "k string, v long, w long").repartition(6)
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        got = {(r.k, r.v): (r.c, r.t) for r in running_sum(df, "k", "v", "w", "c", "t").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    hot_total = sum((v % 5) + 1 for v in range(3000))
+    run = 0
+    for v in range(3000):
+        run += (v % 5) + 1
+        assert got[("hot", v)] == (run, hot_total)
+    assert got[("k3", 6)] == (7, 7) and len(got) == 3000 + 140
+
+
 def test_model_save_load_same_predictions(spark, tmp_path):
     merged = QUERIES["merged_features"](spark, SF_SMALL)
     fitted = model.train(merged)
