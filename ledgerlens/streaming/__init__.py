@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference pipeline is batch only: it declares streaming libraries but
+never uses them, and has no streams, watermarks, windows over event time or
+state to reproduce. Everything here runs as batch jobs (``plans.jobs``).
+"""
