@@ -19,11 +19,15 @@ def col(c: str | Column) -> Column:
 def hms(ts: str | Column) -> Column:
     """``HH:mm:ss`` of a timestamp, built from hour/minute/second.
 
-    Avoids ``date_format`` so that the result does not depend on the
-    session time zone for ``timestamp_ntz`` input.
+    Avoids ``date_format`` (session time zone) and ``format_string`` (a
+    formatter per row): ``lpad``/``concat`` stay in generated code.
     """
     t = col(ts)
-    return F.format_string("%02d:%02d:%02d", F.hour(t), F.minute(t), F.second(t))
+
+    def two(c: Column) -> Column:
+        return F.lpad(c.cast("string"), 2, "0")
+
+    return F.concat(two(F.hour(t)), F.lit(":"), two(F.minute(t)), F.lit(":"), two(F.second(t)))
 
 
 def hour_of(time_str: str | Column) -> Column:
