@@ -24,15 +24,22 @@ from ..sources import raw, tables
 
 @dataclass(frozen=True)
 class Layout:
-    """Table locations under one root folder (shared storage on a cluster)."""
+    """Table locations under one root folder (shared storage on a cluster).
+
+    ``ordered=True`` writes the tables that had an order in the original
+    output (O1-O5) sorted that way; it costs a range shuffle per table.
+    """
 
     root: str
+    ordered: bool = False
 
     def __call__(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
 
 def _write(df: DataFrame, layout: Layout, name: str) -> None:
+    if layout.ordered:
+        df = tables.sorted_for_sink(df, name)
     tables.write_table(df, layout(name))
 
 

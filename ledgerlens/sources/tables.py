@@ -32,6 +32,28 @@ TRANS_BASE_SCHEMA = T.StructType([
 ])
 
 
+# The order each stage table had in the original text output
+# ("-" = descending). Only applied when a caller asks for ordered files (a
+# global sort is a range shuffle); ties end in a key so the order is total.
+SINK_ORDER: dict[str, list[str]] = {
+    "user_amount": ["-amt_count", "uid"],                 # O1
+    "op_type_count": ["-cnt", "type"],                    # O2
+    "trans_type_count": ["-cnt", "type"],                 # O2
+    "user_actions": ["uid", "day", "pos"],                # O3
+    "user_action_rank": ["uid", "-cnt", "tok"],           # O4
+    "related_action_feature": ["uid"],                    # O5
+    "related_action": ["a1", "rn"],                       # O5
+}
+
+
+def sorted_for_sink(df: DataFrame, name: str) -> DataFrame:
+    """``df`` in the original output order of table ``name`` (unchanged if none)."""
+    order = SINK_ORDER.get(name)
+    if not order:
+        return df
+    return df.orderBy(*[F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in order])
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Stage tables are Parquet with named, typed columns."""
     return spark.read.parquet(path)
