@@ -1,4 +1,9 @@
-"""Distributed 1-based position of every row in a total order.
+"""Order-dependent numbering without gathering a group into one task.
+
+``global_position``: 1-based position of every row in a total order.
+``running_sum``: running sum per key, split into pieces of the order.
+
+Global position:
 
 ``row_number()`` over a window without ``partitionBy`` moves every row into
 one task. This version keeps the work spread out:
@@ -47,37 +52,34 @@ def global_position(df: DataFrame, order: list[Column], name: str = "pos") -> Da
     )
 
 
-def running_sum(df: DataFrame, key: str, order: str, weight: str,
+def running_sum(df: DataFrame, key: str, order: str, weight: str, piece: Column,
                 cum: str = "_cum", total: str = "_total") -> DataFrame:
     """Per ``key``: inclusive running sum of ``weight`` along ``order``, and the key total.
 
     Same result as ``sum(weight) over (partition by key order by order)``,
-    but a key holding a large share of the rows is not put in one task:
+    but a key holding a large share of the rows is not put in one task.
+    ``piece`` is a coarsening of ``order`` that never decreases as ``order``
+    grows (e.g. ``floor(amount / width)``); it splits each key into pieces:
 
-    1. range-partition on ``(key, order)`` -- a hot key spans many
-       partitions -- and checkpoint the partition tags;
-    2. running sum inside each (partition, key) piece;
-    3. one row per (partition, key) with the piece's sum; a window per
-       key over those rows (at most one per partition) gives each piece
-       the sum of the pieces before it;
-    4. running sum = offset of the piece + running sum inside it.
+    1. running sum inside each (key, piece) -- one window group per piece;
+    2. one row per (key, piece) with the piece's sum; a window per key over
+       those rows gives each piece the sum of the pieces before it;
+    3. running sum = offset of the piece + running sum inside it.
 
+    Deterministic (no sampled bounds), so nothing has to be materialised.
     ``(key, order)`` must be unique, as after a grouping on both.
     """
-    tagged = checkpointed(
-        df.repartitionByRange(key, order)
-        .sortWithinPartitions(key, order)
-        .withColumn("_part", F.spark_partition_id()))
-    pieces = tagged.groupBy("_part", key).agg(F.sum(weight).alias("_piece"))
-    before = Window.partitionBy(key).orderBy("_part").rowsBetween(
+    pieced = df.withColumn("_piece", piece)
+    inside = Window.partitionBy(key, "_piece").orderBy(order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ranked = pieced.withColumn("_inside", F.sum(weight).over(inside))
+    pieces = pieced.groupBy(key, "_piece").agg(F.sum(weight).alias("_piece_sum"))
+    before = Window.partitionBy(key).orderBy("_piece").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = pieces.select(
-        "_part", key,
-        F.coalesce(F.sum("_piece").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_piece").over(Window.partitionBy(key)).alias(total))
-    inside = Window.partitionBy("_part", key).orderBy(order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return (tagged.withColumn("_inside", F.sum(weight).over(inside))
-            .join(offsets, ["_part", key])
+        key, "_piece",
+        F.coalesce(F.sum("_piece_sum").over(before), F.lit(0)).alias("_offset"),
+        F.sum("_piece_sum").over(Window.partitionBy(key)).alias(total))
+    return (ranked.join(offsets, [key, "_piece"])
             .withColumn(cum, F.col("_offset") + F.col("_inside"))
-            .drop("_part", "_inside", "_offset"))
+            .drop("_piece", "_inside", "_offset"))

@@ -96,9 +96,15 @@ def bucket_rates(df: DataFrame, keys: Sequence[str], value: str | Column,
     return grouped.agg(*aggs)
 
 
+# Width of the amount pieces a user's amounts are split into for the median
+# (with two decimals: at most 1,000,000 distinct amounts per piece).
+AMOUNT_PIECE_WIDTH = 10_000.0
+
+
 def amount_stats(trans: DataFrame, key: str = "uid", amount: str = "trans_amt",
                  exact_scale: int | None = 2, with_ranges: bool = False,
-                 split_users: bool = True) -> DataFrame:
+                 split_users: bool = True,
+                 piece_width: float = AMOUNT_PIECE_WIDTH) -> DataFrame:
     """A1-A3: per user min, max, exact median, mean and population variance.
 
     Plan: count each distinct ``(user, amount)`` (partial aggregate before
@@ -106,10 +112,12 @@ def amount_stats(trans: DataFrame, key: str = "uid", amount: str = "trans_amt",
     every amount its rank range; one aggregate then picks the middle
     value(s) and the sums.
 
-    ``split_users`` (default) computes the running count over range
-    partitions (``functions.ranking.running_sum``), so a user with a large
-    share of the rows spreads over many tasks. ``False`` uses one window
-    per user: fewer stages, but a user's distinct amounts sit in one task.
+    ``split_users`` (default) computes the running count piece by piece
+    (``functions.ranking.running_sum``, pieces ``floor(amount /
+    piece_width)``): a window group holds at most ``piece_width *
+    10**exact_scale`` distinct amounts, however many rows the user has.
+    ``False`` uses one window per user: fewer stages, but all of a user's
+    distinct amounts sit in one task.
 
     ``exact_scale`` = number of decimals of the amounts: mean and variance
     are then exact decimal sums (stable under any partitioning). ``None``
@@ -121,7 +129,9 @@ def amount_stats(trans: DataFrame, key: str = "uid", amount: str = "trans_amt",
     """
     counted = trans.groupBy(key, amount).agg(F.count(F.lit(1)).alias("_m"))
     if split_users:
-        ranked = running_sum(counted, key, amount, "_m", cum="_cum", total="_n")
+        ranked = running_sum(counted, key, amount, "_m",
+                             F.floor(F.col(amount) / F.lit(piece_width)),
+                             cum="_cum", total="_n")
     else:
         ordered = Window.partitionBy(key).orderBy(amount)
         whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
