@@ -64,19 +64,22 @@ def span(c: str | Column) -> Column:
     return (F.max(col(c)) - F.min(col(c)) + F.lit(1)).cast("int")
 
 
-def count_in(c: str | Column, low: float | None, high: float | None,
+def in_range(c: str | Column, low: float | None, high: float | None,
              low_inclusive: bool = False, high_inclusive: bool = False) -> Column:
-    """number of rows whose value lies in a bucket (aggregate).
-
-    Bounds are open unless flagged inclusive; ``None`` means unbounded.
-    """
+    """the value lies between the bounds (open unless flagged; ``None`` = unbounded)."""
     v = col(c)
     cond = F.lit(True)
     if low is not None:
         cond = cond & ((v >= low) if low_inclusive else (v > low))
     if high is not None:
         cond = cond & ((v <= high) if high_inclusive else (v < high))
-    return F.count_if(cond)
+    return cond
+
+
+def count_in(c: str | Column, low: float | None, high: float | None,
+             low_inclusive: bool = False, high_inclusive: bool = False) -> Column:
+    """number of rows whose value lies in a bucket (aggregate)."""
+    return F.count_if(in_range(c, low, high, low_inclusive, high_inclusive))
 
 
 def pad_or_zero(c: Column) -> Column:

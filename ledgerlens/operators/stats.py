@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exact import mean_from_sums, moment_sums, var_pop_from_sums
-from ..functions.expressions import count_in, hour_of, pct, span
+from ..functions.expressions import hour_of, in_range, pct, span
 from ..functions.ranking import running_sum
 
 
@@ -28,6 +28,9 @@ class Bucket:
     low_inclusive: bool = False
     high_inclusive: bool = False
 
+    def holds(self, value: str | Column) -> Column:
+        return in_range(value, self.low, self.high, self.low_inclusive, self.high_inclusive)
+
 
 # Bucket edges of the original features.
 AMOUNT_BUCKETS = [
@@ -56,23 +59,12 @@ def rate_aggs(value: str | Column, buckets: Sequence[Bucket], prefix: str = "",
     """Percent of rows (or of ``weight``) in each bucket, two decimals, half-up."""
     if weight is None:
         n = F.count(F.lit(1))
-        return [pct(count_in(value, b.low, b.high, b.low_inclusive, b.high_inclusive), n)
-                .alias(prefix + b.name) for b in buckets]
+        return [pct(F.count_if(b.holds(value)), n).alias(prefix + b.name) for b in buckets]
     n = F.sum(weight)
-    return [pct(F.sum(F.when(_in(value, b), weight).otherwise(F.lit(0))), n)
+    return [pct(F.sum(F.when(b.holds(value), weight).otherwise(F.lit(0))), n)
             .alias(prefix + b.name) for b in buckets]
 
 
-def _in(value: str | Column, b: Bucket) -> Column:
-    v = F.col(value) if isinstance(value, str) else value
-    cond = F.lit(True)
-    if b.low is not None:
-        cond = cond & ((v >= b.low) if b.low_inclusive else (v > b.low))
-    if b.high is not None:
-        cond = cond & ((v <= b.high) if b.high_inclusive else (v < b.high))
-    return cond
-
-
 def day_aggs(day: str, prefix: str = "") -> list[Column]:
     """A6 aggregates: day span and the three day-of-month percents."""
     return [span(day).alias(prefix + "days_span"), *rate_aggs(day, DAY_BUCKETS, prefix)]
