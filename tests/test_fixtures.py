@@ -222,3 +222,15 @@ def test_default_labels_when_file_missing(spark, mini, tmp_path):
     assert raw.read_raw_labels(spark, str(tmp_path / "missing.csv")) is None
     d = preprocess.labels_or_default(None, mini["op_base"], mini["trans_base"])
     assert rows(d, "uid", "label") == [("u1", 0.0), ("u2", 0.0), ("u3", 0.0), ("u4", 0.0)]
+
+
+def test_unknown_types_with_a_stored_dictionary(spark, mini):
+    import pytest
+    op_idx = ti.fit_type_index(mini["op_base"], "op_type", ti.OP_PREFIX)
+    new = spark.createDataFrame([("u9", 1, "Z", "10:00:00"), ("u9", 1, "A", "10:00:01")],
+                                "uid string, op_day int, op_type string, op_time string")
+    assert rows(ti.encode(new, op_idx, "op_type"), "op_type", "type_id") == [("A", "001")]
+    assert rows(ti.encode(new, op_idx, "op_type", unknown="zero"), "op_type", "type_id") == [
+        ("A", "001"), ("Z", "0")]
+    with pytest.raises(Exception, match="type without id"):
+        ti.encode(new, op_idx, "op_type", unknown="error").collect()
