@@ -63,9 +63,15 @@ def tree_pipeline(compat: bool = False, seed: int = 7, label: str = "label") ->
     ])
 
 
+# The label is declared binary, so a training sample that happens to hold
+# one class still yields a two-class tree.
+_BINARY_LABEL = {"ml_attr": {"type": "nominal", "num_vals": 2, "name": "label"}}
+
+
 def train(merged: DataFrame, compat: bool = False, seed: int = 7) -> PipelineModel:
     """M3: fit on labelled rows (``label`` as double)."""
-    data = merged.withColumn("label", F.col("label").cast("double"))
+    data = merged.withColumn(
+        "label", F.col("label").cast("double").alias("label", metadata=_BINARY_LABEL))
     return tree_pipeline(compat, seed).fit(data)
 
 

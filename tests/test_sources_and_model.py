@@ -105,3 +105,11 @@ def test_parse_delimited_features(spark):
     assert a.keys() == b.keys()
     for uid, r in b.items():
         assert a[uid]["var_amt"] == r["var_amt"] and a[uid]["op_top1"] == float(r["op_top1"])
+
+
+def test_tree_with_one_class_in_training(spark):
+    merged = QUERIES["merged_features"](spark, SF_SMALL)
+    only_zero = merged.withColumn("label", F.lit(0.0))
+    fitted = model.train(only_zero)
+    preds = model.predict(fitted, merged).collect()
+    assert {r.prediction for r in preds} == {0}
