@@ -7,41 +7,36 @@ order-free, and only the final division happens in double.
 
 The inputs are pre-aggregated ``(value, multiplicity)`` rows, so the sums
 are ``sum(a*m)`` and ``sum(a*a*m)``; they equal the sums over the raw rows.
+All builders return SQL expression text over column names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def _dec(c: Column, scale: int) -> Column:
+def _dec(c: str, scale: int) -> str:
     # 18 integer digits: amounts up to 1e18 before ANSI raises.
-    return c.cast(f"decimal({18 + scale},{scale})")
+    return f"CAST({c} AS DECIMAL({18 + scale},{scale}))"
 
 
-def moment_sums(value: Column, mult: Column, scale: int) -> tuple[Column, Column]:
+def sql_moment_sums(value: str, mult: str, scale: int) -> tuple[str, str]:
     """Aggregates ``(s, q)``: exact sum and sum of squares of ``value`` weighted by ``mult``."""
-    a = _dec(value, scale)
-    m = mult.cast("decimal(20,0)")
-    return F.sum(a * m), F.sum(a * a * m)
+    a, m = _dec(value, scale), f"CAST({mult} AS DECIMAL(20,0))"
+    return f"sum({a} * {m})", f"sum({a} * {a} * {m})"
 
 
-def mean_from_sums(s: Column, n: Column) -> Column:
-    return s.cast("double") / n.cast("double")
+def sql_mean_from_sums(s: str, n: str) -> str:
+    return f"CAST({s} AS DOUBLE) / CAST({n} AS DOUBLE)"
 
 
-def var_pop_from_sums(n: Column, s: Column, q: Column) -> Column:
+def sql_var_pop_from_sums(n: str, s: str, q: str) -> str:
     """``(n*q - s*s) / n^2``, computed exactly while it fits in decimal(38).
 
     Past that range (n and amounts both astronomically large) the exact
     numerator overflows; ``try_*`` turns that into NULL and the double
     formula takes over instead of failing the job.
     """
-    nd = n.cast("decimal(20,0)")
-    exact_num = F.try_subtract(F.try_multiply(nd, q), F.try_multiply(s, s))
-    nn = n.cast("double") * n.cast("double")
-    exact = exact_num.cast("double") / nn
-    mean = s.cast("double") / n.cast("double")
-    approx = F.greatest(q.cast("double") / n.cast("double") - mean * mean, F.lit(0.0))
-    return F.coalesce(exact, approx)
+    exact_num = f"try_subtract(try_multiply(CAST({n} AS DECIMAL(20,0)), {q}), try_multiply({s}, {s}))"
+    nn = f"(CAST({n} AS DOUBLE) * CAST({n} AS DOUBLE))"
+    mean = sql_mean_from_sums(s, n)
+    approx = f"greatest(CAST({q} AS DOUBLE) / CAST({n} AS DOUBLE) - ({mean}) * ({mean}), 0.0D)"
+    return f"coalesce(CAST({exact_num} AS DOUBLE) / {nn}, {approx})"

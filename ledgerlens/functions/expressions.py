@@ -1,7 +1,12 @@
 """Column expressions shared by the operators (inventory F1-F13).
 
-Everything here returns a ``pyspark.sql.Column`` built from built-in
-functions, so it stays inside whole-stage codegen.
+The ``sql_*`` builders return Spark SQL expression text over column
+names; the operators compose them and hand each finished expression to
+``F.expr`` once. The result is the same Catalyst expression as the
+equivalent ``Column`` calls, built with one round trip to the JVM
+instead of one per sub-expression, which keeps plan construction cheap
+for queries with dozens of aggregates. Everything stays a built-in
+expression, inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -16,70 +21,95 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def hms(ts: str | Column) -> Column:
-    """``HH:mm:ss`` of a timestamp, built from hour/minute/second.
+def expr(text: str, name: str | None = None) -> Column:
+    """One Column from SQL expression text, aliased when ``name`` is given."""
+    return F.expr(f"{text} AS `{name}`" if name else text)
 
-    Avoids ``date_format`` (session time zone) and ``format_string`` (a
-    formatter per row): ``lpad``/``concat`` stay in generated code.
-    """
-    t = col(ts)
 
-    def two(c: Column) -> Column:
-        return F.lpad(c.cast("string"), 2, "0")
+# ---- SQL text builders --------------------------------------------------
+def sql_hms(ts: str) -> str:
+    """``HH:mm:ss`` of a timestamp from hour/minute/second.
 
-    return F.concat(two(F.hour(t)), F.lit(":"), two(F.minute(t)), F.lit(":"), two(F.second(t)))
+    No ``date_format`` (session time zone) and no ``format_string`` (a
+    formatter per row).
+    """
+    def two(unit: str) -> str:
+        return f"lpad(CAST({unit}({ts}) AS STRING), 2, '0')"
+    return f"concat({two('hour')}, ':', {two('minute')}, ':', {two('second')})"
 
 
-def hour_of(time_str: str | Column) -> Column:
+def sql_hour_of(time_str: str) -> str:
     """hour from an ``HH:mm:ss`` string (first two characters, trimmed)."""
-    return F.substring(F.trim(col(time_str)), 1, 2).cast("int")
+    return f"CAST(substring(trim({time_str}), 1, 2) AS INT)"
 
 
-def second_of_day(time_str: str | Column) -> Column:
+def sql_second_of_day(t: str) -> str:
     """``hour*3600 + minute*60 + second`` of an ``HH:mm:ss`` string, as double."""
-    t = col(time_str)
-    h = F.substring(t, 1, 2).cast("double")
-    m = F.substring(t, 4, 2).cast("double")
-    s = F.substring(t, 7, 2).cast("double")
-    return h * 3600.0 + m * 60.0 + s
+    return (f"CAST(substring({t}, 1, 2) AS DOUBLE) * 3600.0D"
+            f" + CAST(substring({t}, 4, 2) AS DOUBLE) * 60.0D"
+            f" + CAST(substring({t}, 7, 2) AS DOUBLE)")
 
 
-def pct(part: Column, total: Column) -> Column:
+def sql_pct(part: str, total: str) -> str:
     """``part*100/total`` rounded half-up to two decimals, as double."""
-    return F.round(part.cast("double") * F.lit(100.0) / total.cast("double"), 2)
+    return f"round(CAST({part} AS DOUBLE) * 100.0D / CAST({total} AS DOUBLE), 2)"
 
 
-def share(part: Column, total: Column) -> Column:
+def sql_share(part: str, total: str) -> str:
     """``part/total`` rounded half-up to two decimals, as double."""
-    return F.round(part.cast("double") / total.cast("double"), 2)
+    return f"round(CAST({part} AS DOUBLE) / CAST({total} AS DOUBLE), 2)"
 
 
-def type_id(prefix: str, index: Column) -> Column:
-    """F8: prefix + index with at least two digits (``7`` -> ``07``, ``100`` stays ``100``)."""
-    return F.concat(F.lit(prefix), F.format_string("%02d", index.cast("long")))
+def sql_in_range(v: str, low: float | None, high: float | None,
+                 low_inclusive: bool = False, high_inclusive: bool = False) -> str:
+    """the value lies between the bounds (open unless flagged; ``None`` = unbounded)."""
+    conds = []
+    if low is not None:
+        conds.append(f"{v} {'>=' if low_inclusive else '>'} {low}")
+    if high is not None:
+        conds.append(f"{v} {'<=' if high_inclusive else '<'} {high}")
+    return "(" + " AND ".join(conds) + ")" if conds else "true"
 
 
-def span(c: str | Column) -> Column:
+def sql_span(v: str) -> str:
     """inclusive spread ``max - min + 1`` (aggregate)."""
-    return (F.max(col(c)) - F.min(col(c)) + F.lit(1)).cast("int")
+    return f"CAST(max({v}) - min({v}) + 1 AS INT)"
 
 
-def in_range(c: str | Column, low: float | None, high: float | None,
-             low_inclusive: bool = False, high_inclusive: bool = False) -> Column:
-    """the value lies between the bounds (open unless flagged; ``None`` = unbounded)."""
-    v = col(c)
-    cond = F.lit(True)
-    if low is not None:
-        cond = cond & ((v >= low) if low_inclusive else (v > low))
-    if high is not None:
-        cond = cond & ((v <= high) if high_inclusive else (v < high))
-    return cond
+# ---- Column helpers -----------------------------------------------------
+def hms(ts: str) -> Column:
+    return expr(sql_hms(ts))
+
+
+def hour_of(time_str: str) -> Column:
+    return expr(sql_hour_of(time_str))
 
 
-def count_in(c: str | Column, low: float | None, high: float | None,
+def second_of_day(time_str: str) -> Column:
+    return expr(sql_second_of_day(time_str))
+
+
+def pct(part: str, total: str) -> Column:
+    return expr(sql_pct(part, total))
+
+
+def share(part: str, total: str) -> Column:
+    return expr(sql_share(part, total))
+
+
+def span(c: str) -> Column:
+    return expr(sql_span(c))
+
+
+def count_in(c: str, low: float | None, high: float | None,
              low_inclusive: bool = False, high_inclusive: bool = False) -> Column:
     """number of rows whose value lies in a bucket (aggregate)."""
-    return F.count_if(in_range(c, low, high, low_inclusive, high_inclusive))
+    return expr(f"count_if({sql_in_range(c, low, high, low_inclusive, high_inclusive)})")
+
+
+def type_id(prefix: str, index: Column) -> Column:
+    """F8: prefix + index with at least two digits (``7`` -> ``07``, ``100`` stays ``100``)."""
+    return F.concat(F.lit(prefix), F.format_string("%02d", index.cast("long")))
 
 
 def pad_or_zero(c: Column) -> Column:

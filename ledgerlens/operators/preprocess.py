@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 def slim_operations(raw_ops: DataFrame) -> DataFrame:
     """``uid, op_day int, op_type, op_time`` of the operation log, distinct."""
     return (
-        raw_ops.select(
-            F.col("uid").cast("string").alias("uid"),
-            F.col("day").alias("op_day"),
-            F.coalesce(F.col("mode").cast("string"), F.lit("")).alias("op_type"),
-            F.col("time").cast("string").alias("op_time"),
+        raw_ops.selectExpr(
+            "CAST(uid AS STRING) AS uid",
+            "day AS op_day",
+            "coalesce(CAST(mode AS STRING), '') AS op_type",
+            "CAST(time AS STRING) AS op_time",
         )
         .distinct()
-        .withColumn("op_day", F.col("op_day").cast("int"))
+        .selectExpr("uid", "CAST(op_day AS INT) AS op_day", "op_type", "op_time")
     )
 
 
@@ -34,17 +34,18 @@ def slim_transactions(raw_trans: DataFrame) -> DataFrame:
     text day was. Casts trim blanks and, with ANSI on, fail on bad text.
     """
     return (
-        raw_trans.select(
-            F.col("uid").cast("string").alias("uid"),
-            F.col("channel").cast("string").alias("trans_channel"),
-            F.col("day").alias("trans_day"),
-            F.col("trans_amt").cast("double").alias("trans_amt"),
-            F.col("time").cast("string").alias("trans_time"),
-            F.coalesce(F.col("trans_type1").cast("string"), F.lit("")).alias("trans_type1"),
-            F.coalesce(F.col("trans_type2").cast("string"), F.lit("")).alias("trans_type2"),
+        raw_trans.selectExpr(
+            "CAST(uid AS STRING) AS uid",
+            "CAST(channel AS STRING) AS trans_channel",
+            "day AS trans_day",
+            "CAST(trans_amt AS DOUBLE) AS trans_amt",
+            "CAST(time AS STRING) AS trans_time",
+            "coalesce(CAST(trans_type1 AS STRING), '') AS trans_type1",
+            "coalesce(CAST(trans_type2 AS STRING), '') AS trans_type2",
         )
         .distinct()
-        .withColumn("trans_day", F.col("trans_day").cast("int"))
+        .selectExpr("uid", "trans_channel", "CAST(trans_day AS INT) AS trans_day", "trans_amt",
+                    "trans_time", "trans_type1", "trans_type2")
     )
 
 

@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.expressions import expr
+
 
 @dataclass(frozen=True)
 class FollowRule:
@@ -65,14 +67,19 @@ def risk_flags(rank: DataFrame, rules: RiskRules = DEFAULT_RULES) -> DataFrame:
     """
     marked = _with_dominant(rank)
 
-    def follows(rule: FollowRule):
-        hit = (F.col("_dominant") & (F.col("a1") == rule.leader)
-               & F.col("a2").isin(*rule.followers))
-        return F.max(F.when(hit, 1.0).otherwise(0.0))
+    def follows(rule: FollowRule) -> str:
+        followers = ", ".join(_quote(f) for f in rule.followers)
+        return (f"max(CASE WHEN _dominant AND a1 = {_quote(rule.leader)} AND a2 IN ({followers})"
+                f" THEN 1.0D ELSE 0.0D END)")
 
-    top_id = F.max(F.greatest(F.col("a1").cast("int"), F.col("a2").cast("int")))
+    top_id = "max(greatest(CAST(a1 AS INT), CAST(a2 AS INT)))"
     return marked.groupBy("uid").agg(
-        follows(rules.flag1).alias("flag1"),
-        follows(rules.flag2).alias("flag2"),
-        F.when(top_id > rules.id_limit, 0.0).otherwise(1.0).alias("flag3"),
+        expr(follows(rules.flag1), "flag1"),
+        expr(follows(rules.flag2), "flag2"),
+        expr(f"CASE WHEN {top_id} > {int(rules.id_limit)} THEN 0.0D ELSE 1.0D END", "flag3"),
     )
+
+
+def _quote(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

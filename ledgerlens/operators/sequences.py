@@ -155,7 +155,7 @@ def follow_rates(rank: DataFrame, k: int = 3) -> DataFrame:
                   by_leader.orderBy(F.desc("support"), F.asc("a2"))))
               .filter(F.col("rn") <= k))
     return ranked.select("a1", "a2", "support", "total",
-                         share(F.col("support"), F.col("total")).alias("share"), "rn")
+                         share("support", "total").alias("share"), "rn")
 
 
 def follow_rates_text(rates: DataFrame) -> DataFrame:

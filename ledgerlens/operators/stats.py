@@ -15,8 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exact import mean_from_sums, moment_sums, var_pop_from_sums
-from ..functions.expressions import hour_of, in_range, pct, span
+from ..functions.exact import sql_mean_from_sums, sql_moment_sums, sql_var_pop_from_sums
+from ..functions.expressions import expr, sql_hour_of, sql_in_range, sql_pct, sql_span
 from ..functions.ranking import running_sum
 
 
@@ -28,8 +28,9 @@ class Bucket:
     low_inclusive: bool = False
     high_inclusive: bool = False
 
-    def holds(self, value: str | Column) -> Column:
-        return in_range(value, self.low, self.high, self.low_inclusive, self.high_inclusive)
+    def holds(self, value: str) -> str:
+        """SQL condition: ``value`` lies in this bucket."""
+        return sql_in_range(value, self.low, self.high, self.low_inclusive, self.high_inclusive)
 
 
 # Bucket edges of the original features.
@@ -54,29 +55,32 @@ HOUR_BUCKETS = [
 ]
 
 
-def rate_aggs(value: str | Column, buckets: Sequence[Bucket], prefix: str = "",
-              weight: Column | None = None) -> list[Column]:
-    """Percent of rows (or of ``weight``) in each bucket, two decimals, half-up."""
+def rate_aggs(value: str, buckets: Sequence[Bucket], prefix: str = "",
+              weight: str | None = None) -> list[Column]:
+    """Percent of rows (or of ``weight``) in each bucket, two decimals, half-up.
+
+    ``value`` and ``weight`` are column names or SQL expression text.
+    """
     if weight is None:
-        n = F.count(F.lit(1))
-        return [pct(F.count_if(b.holds(value)), n).alias(prefix + b.name) for b in buckets]
-    n = F.sum(weight)
-    return [pct(F.sum(F.when(b.holds(value), weight).otherwise(F.lit(0))), n)
-            .alias(prefix + b.name) for b in buckets]
+        return [expr(sql_pct(f"count_if({b.holds(value)})", "count(1)"), prefix + b.name)
+                for b in buckets]
+    return [expr(sql_pct(f"sum(CASE WHEN {b.holds(value)} THEN {weight} ELSE 0 END)",
+                         f"sum({weight})"), prefix + b.name)
+            for b in buckets]
 
 
 def day_aggs(day: str, prefix: str = "") -> list[Column]:
     """A6 aggregates: day span and the three day-of-month percents."""
-    return [span(day).alias(prefix + "days_span"), *rate_aggs(day, DAY_BUCKETS, prefix)]
+    return [expr(sql_span(day), prefix + "days_span"), *rate_aggs(day, DAY_BUCKETS, prefix)]
 
 
 def hour_aggs(time: str, prefix: str = "") -> list[Column]:
     """A8 aggregates: hour span and the five day-part percents (hour 0 in none)."""
-    h = hour_of(time)
-    return [span(h).alias(prefix + "hour_span"), *rate_aggs(h, HOUR_BUCKETS, prefix)]
+    h = sql_hour_of(time)
+    return [expr(sql_span(h), prefix + "hour_span"), *rate_aggs(h, HOUR_BUCKETS, prefix)]
 
 
-def bucket_rates(df: DataFrame, keys: Sequence[str], value: str | Column,
+def bucket_rates(df: DataFrame, keys: Sequence[str], value: str,
                  buckets: Sequence[Bucket], extra: Sequence[Column] = ()) -> DataFrame:
     """Per group: percent of rows in each bucket, two decimals, half-up.
 
@@ -132,36 +136,34 @@ def amount_stats(trans: DataFrame, key: str = "uid", amount: str = "trans_amt",
                   .withColumn("_cum", F.sum("_m").over(upto))
                   .withColumn("_n", F.sum("_m").over(whole)))
     if exact_scale is None:
-        means = counted.groupBy(key).agg(
-            (F.sum(F.col(amount) * F.col("_m")) / F.sum("_m")).alias("_mean"))
+        means = counted.groupBy(key).agg(expr(f"sum(`{amount}` * _m) / sum(_m)", "_mean"))
         ranked = ranked.join(means, key)
-    first = F.col("_cum") - F.col("_m")            # 0-based rank of this amount's first copy
-    lo = F.floor((F.col("_n") - 1) / 2)            # middle ranks (equal when n is odd)
-    hi = F.floor(F.col("_n") / 2)
+    a = f"`{amount}`"
+    lo, hi = "floor((_n - 1) / 2)", "floor(_n / 2)"   # middle ranks (equal when n is odd)
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when((first <= rank) & (rank < F.col("_cum")), F.col(amount)))
+    def at(rank: str) -> str:
+        # the amount whose copies cover 0-based rank `rank`: first copy at _cum - _m
+        return f"max(CASE WHEN _cum - _m <= {rank} AND {rank} < _cum THEN {a} END)"
 
     aggs = [
-        F.min(amount).alias("min_amt"),
-        F.max(amount).alias("max_amt"),
-        ((at(lo) + at(hi)) / 2.0).alias("mid_amt"),
+        expr(f"min({a})", "min_amt"),
+        expr(f"max({a})", "max_amt"),
+        expr(f"({at(lo)} + {at(hi)}) / 2.0D", "mid_amt"),
     ]
-    n = F.sum("_m")
     if with_ranges:
-        aggs += [n.alias("amt_count"),
-                 *rate_aggs(amount, USER_AMOUNT_BUCKETS, weight=F.col("_m"))]
+        aggs += [expr("sum(_m)", "amt_count"),
+                 *rate_aggs(a, USER_AMOUNT_BUCKETS, weight="_m")]
     if exact_scale is None:
         aggs += [
-            (F.sum(F.col(amount) * F.col("_m")) / n).alias("avg_amt"),
-            (F.sum(F.col("_m") * (F.col(amount) - F.col("_mean")) ** 2) / n).alias("var_amt"),
+            expr(f"sum({a} * _m) / sum(_m)", "avg_amt"),
+            expr(f"sum(_m * ({a} - _mean) * ({a} - _mean)) / sum(_m)", "var_amt"),
         ]
         return ranked.groupBy(key).agg(*aggs)
-    s, q = moment_sums(F.col(amount), F.col("_m"), exact_scale)
-    aggs += [n.alias("_n"), s.alias("_s"), q.alias("_q")]
+    s, q = sql_moment_sums(a, "_m", exact_scale)
+    aggs += [expr("sum(_m)", "_n"), expr(s, "_s"), expr(q, "_q")]
     return (ranked.groupBy(key).agg(*aggs)
-            .withColumn("avg_amt", mean_from_sums(F.col("_s"), F.col("_n")))
-            .withColumn("var_amt", var_pop_from_sums(F.col("_n"), F.col("_s"), F.col("_q")))
+            .withColumn("avg_amt", expr(sql_mean_from_sums("_s", "_n")))
+            .withColumn("var_amt", expr(sql_var_pop_from_sums("_n", "_s", "_q")))
             .drop("_n", "_s", "_q"))
 
 

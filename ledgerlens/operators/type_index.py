@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import pad_or_zero, type_id
+from ..functions.expressions import expr, type_id
 from ..functions.ranking import global_position
 from ..session import checkpointed
 from .stats import value_counts
@@ -111,6 +111,6 @@ def top_types(encoded: DataFrame, k: int = 3, prefix: str = "", type_col: str =
     w = Window.partitionBy("uid").orderBy(F.desc("cnt"), F.asc(type_col))
     ranked = counted.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
     return ranked.groupBy("uid").agg(*[
-        pad_or_zero(F.max(F.when(F.col("_rn") == i, F.col(type_col)))).alias(f"{prefix}top{i}")
+        expr(f"coalesce(max(CASE WHEN _rn = {i} THEN `{type_col}` END), '0')", f"{prefix}top{i}")
         for i in range(1, k + 1)
     ])

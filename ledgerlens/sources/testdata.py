@@ -17,9 +17,7 @@ Parquet scans pruned.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..functions.expressions import hms
+from ..functions.expressions import sql_hms
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -29,64 +27,58 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _prop_k(props: str = "props"):
-    return F.get_json_object(F.col(props), "$.k").cast("int")
-
-
 def operations_from_events(events: DataFrame) -> DataFrame:
     """Raw operation columns ``uid, day, mode, time``; a NULL type becomes ``""``."""
-    kind = F.coalesce(F.col("event_type"), F.lit(""))
     # written as IS NULL OR <> so that Parquet can skip row groups with it
-    not_purchase = F.col("event_type").isNull() | (F.col("event_type") != "purchase")
-    return events.filter(not_purchase).select(
-        F.col("user_id").cast("string").alias("uid"),
-        F.dayofmonth("ts").alias("day"),
-        kind.alias("mode"),
-        hms("ts").alias("time"),
+    return events.filter("event_type IS NULL OR event_type <> 'purchase'").selectExpr(
+        "CAST(user_id AS STRING) AS uid",
+        "dayofmonth(ts) AS day",
+        "coalesce(event_type, '') AS mode",
+        f"{sql_hms('ts')} AS time",
     )
 
 
 def transactions_from_events(events: DataFrame) -> DataFrame:
     """Raw transaction columns; channel and both types derive from ``props.k``."""
-    k = _prop_k()
-    return events.filter(F.col("event_type") == "purchase").select(
-        F.col("user_id").cast("string").alias("uid"),
-        F.concat(F.lit("c"), (k % 3).cast("string")).alias("channel"),
-        F.dayofmonth("ts").alias("day"),
-        hms("ts").alias("time"),
-        F.col("value").alias("trans_amt"),
-        F.concat(F.lit("t"), (k % 8).cast("string")).alias("trans_type1"),
-        F.concat(F.lit("u"), (k % 5).cast("string")).alias("trans_type2"),
+    k = "CAST(get_json_object(props, '$.k') AS INT)"
+    return events.filter("event_type = 'purchase'").selectExpr(
+        "CAST(user_id AS STRING) AS uid",
+        f"concat('c', CAST({k} % 3 AS STRING)) AS channel",
+        "dayofmonth(ts) AS day",
+        f"{sql_hms('ts')} AS time",
+        "value AS trans_amt",
+        f"concat('t', CAST({k} % 8 AS STRING)) AS trans_type1",
+        f"concat('u', CAST({k} % 5 AS STRING)) AS trans_type2",
     )
 
 
 def transactions_from_orders(orders: DataFrame) -> DataFrame:
-    return orders.select(
-        F.col("o_custkey").cast("string").alias("uid"),
-        F.col("o_orderstatus").alias("channel"),
-        F.dayofmonth("o_orderdate").alias("day"),
-        hms("o_orderdate").alias("time"),
-        F.col("o_totalprice").alias("trans_amt"),
-        F.col("o_orderpriority").alias("trans_type1"),
-        F.lit("").alias("trans_type2"),
+    return orders.selectExpr(
+        "CAST(o_custkey AS STRING) AS uid",
+        "o_orderstatus AS channel",
+        "dayofmonth(o_orderdate) AS day",
+        f"{sql_hms('o_orderdate')} AS time",
+        "o_totalprice AS trans_amt",
+        "o_orderpriority AS trans_type1",
+        "'' AS trans_type2",
     )
 
 
 def transactions_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    return lineitem.select(
-        F.col("l_suppkey").cast("string").alias("uid"),
-        F.col("l_linestatus").alias("channel"),
-        F.dayofmonth("l_shipdate").alias("day"),
-        hms("l_shipdate").alias("time"),
-        F.col("l_extendedprice").alias("trans_amt"),
-        F.col("l_returnflag").alias("trans_type1"),
-        F.col("l_linestatus").alias("trans_type2"),
+    return lineitem.selectExpr(
+        "CAST(l_suppkey AS STRING) AS uid",
+        "l_linestatus AS channel",
+        "dayofmonth(l_shipdate) AS day",
+        f"{sql_hms('l_shipdate')} AS time",
+        "l_extendedprice AS trans_amt",
+        "l_returnflag AS trans_type1",
+        "l_linestatus AS trans_type2",
     )
 
 
 def tags_from_customer(customer: DataFrame) -> DataFrame:
     """Raw label columns ``uid, tag`` as text, like the label CSV."""
-    return customer.select(
-        F.col("c_custkey").cast("string").alias("uid"),
-        F.when(F.col("c_acctbal") < 0, F.lit("1")).otherwise(F.lit("0")).alias("tag"),
+    return customer.selectExpr(
+        "CAST(c_custkey AS STRING) AS uid",
+        "CASE WHEN c_acctbal < 0 THEN '1' ELSE '0' END AS tag",
     )

@@ -210,7 +210,7 @@ def test_scalar_rules(spark):
     from ledgerlens.functions.expressions import number_or_zero, share, type_id
     r = spark.range(1).select(
         type_id("0", F.lit(100)).alias("id100"), type_id("1", F.lit(7)).alias("id7"),
-        share(F.lit(23), F.lit(40)).alias("s"),
+        share("23", "40").alias("s"),
         number_or_zero(F.lit("")).alias("blank"), number_or_zero(F.lit("0.0")).alias("z"),
         F.lit("0.0").cast("double").cast("int").alias("label")).collect()[0]
     assert (r["id100"], r["id7"], r["s"], r["blank"], r["z"], r["label"]) == (
