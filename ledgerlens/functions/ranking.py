@@ -52,14 +52,15 @@ def global_position(df: DataFrame, order: list[Column], name: str = "pos") -> Da
     )
 
 
-def running_sum(df: DataFrame, key: str, order: str, weight: str, piece: Column,
+def running_sum(df: DataFrame, key: str, order: str, weight: str, piece: str,
                 cum: str = "_cum", total: str = "_total") -> DataFrame:
     """Per ``key``: inclusive running sum of ``weight`` along ``order``, and the key total.
 
     Same result as ``sum(weight) over (partition by key order by order)``,
     but a key holding a large share of the rows is not put in one task.
-    ``piece`` is a coarsening of ``order`` that never decreases as ``order``
-    grows (e.g. ``floor(amount / width)``); it splits each key into pieces:
+    ``piece`` (SQL text) is a coarsening of ``order`` that never decreases as
+    ``order`` grows (e.g. ``floor(amount / width)``); it splits each key into
+    pieces:
 
     1. running sum inside each (key, piece) -- one window group per piece;
     2. one row per (key, piece) with the piece's sum; a window per key over
@@ -69,17 +70,16 @@ def running_sum(df: DataFrame, key: str, order: str, weight: str, piece: Column,
     Deterministic (no sampled bounds), so nothing has to be materialised.
     ``(key, order)`` must be unique, as after a grouping on both.
     """
-    pieced = df.withColumn("_piece", piece)
-    inside = Window.partitionBy(key, "_piece").orderBy(order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    ranked = pieced.withColumn("_inside", F.sum(weight).over(inside))
-    pieces = pieced.groupBy(key, "_piece").agg(F.sum(weight).alias("_piece_sum"))
-    before = Window.partitionBy(key).orderBy("_piece").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = pieces.select(
-        key, "_piece",
-        F.coalesce(F.sum("_piece_sum").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_piece_sum").over(Window.partitionBy(key)).alias(total))
+    cols = df.columns
+    pieced = df.selectExpr("*", f"{piece} AS _piece")
+    ranked = pieced.selectExpr(
+        "*", f"sum({weight}) OVER (PARTITION BY `{key}`, _piece ORDER BY `{order}`"
+             " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _inside")
+    pieces = pieced.groupBy(key, "_piece").agg(F.expr(f"sum({weight}) AS _piece_sum"))
+    offsets = pieces.selectExpr(
+        f"`{key}`", "_piece",
+        f"coalesce(sum(_piece_sum) OVER (PARTITION BY `{key}` ORDER BY _piece"
+        " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _offset",
+        f"sum(_piece_sum) OVER (PARTITION BY `{key}`) AS `{total}`")
     return (ranked.join(offsets, [key, "_piece"])
-            .withColumn(cum, F.col("_offset") + F.col("_inside"))
-            .drop("_piece", "_inside", "_offset"))
+            .selectExpr(*[f"`{c}`" for c in cols], f"_offset + _inside AS `{cum}`", f"`{total}`"))

@@ -45,10 +45,10 @@ def merge_features(labels: DataFrame, tables: Sequence[DataFrame],
     labelled user (missing features NULL) so that every user can be scored.
     """
     wanted = set(FEATURE_COLUMNS)
-    parts = [t.select("uid", *[c for c in t.columns if c in wanted]) for t in tables]
+    parts = [t.selectExpr("uid", *[c for c in t.columns if c in wanted]) for t in tables]
     merged = reduce(lambda acc, t: acc.join(t, "uid", how), parts,
-                    labels.select("uid", "label"))
-    return merged.select(*MERGED_COLUMNS)
+                    labels.selectExpr("uid", "label"))
+    return merged.selectExpr(*MERGED_COLUMNS)
 
 
 def to_delimited(merged: DataFrame, sep: str = "|") -> DataFrame:

@@ -51,7 +51,7 @@ def slim_transactions(raw_trans: DataFrame) -> DataFrame:
 
 def all_users(op_base: DataFrame, trans_base: DataFrame) -> DataFrame:
     """Every uid seen in either log."""
-    return op_base.select("uid").union(trans_base.select("uid")).distinct()
+    return op_base.selectExpr("uid").union(trans_base.selectExpr("uid")).distinct()
 
 
 def labels_or_default(labels: DataFrame | None, op_base: DataFrame,
@@ -62,5 +62,5 @@ def labels_or_default(labels: DataFrame | None, op_base: DataFrame,
     with the larger label, which is deterministic.
     """
     if labels is None:
-        return all_users(op_base, trans_base).withColumn("label", F.lit(0.0))
-    return labels.groupBy("uid").agg(F.max("label").alias("label"))
+        return all_users(op_base, trans_base).selectExpr("uid", "0.0D AS label")
+    return labels.groupBy("uid").agg(F.expr("max(label) AS label"))

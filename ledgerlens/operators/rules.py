@@ -8,8 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..functions.expressions import expr
 
@@ -33,19 +32,16 @@ DEFAULT_RULES = RiskRules()
 
 def _pairs(rank: DataFrame) -> DataFrame:
     """True pairs only, leader ``a1`` and follower ``a2``."""
-    return rank.filter(F.col("a2").isNotNull()).select("uid", "a1", "a2", "cnt")
+    return rank.filter("a2 IS NOT NULL").selectExpr("uid", "a1", "a2", "cnt")
 
 
-def _dominance_window():
+def _with_dominant(rank: DataFrame) -> DataFrame:
+    # The first row of each leader in (leader, count desc, follower) order.
     # One window per user (not per user and leader) so that the grouping
     # by user that follows reuses the same partitioning.
-    return Window.partitionBy("uid").orderBy("a1", F.desc("cnt"), "a2")
-
-
-def _with_dominant(rank: DataFrame) -> DataFrame:
-    prev_leader = F.lag("a1").over(_dominance_window())
-    return _pairs(rank).withColumn(
-        "_dominant", F.coalesce(prev_leader != F.col("a1"), F.lit(True)))
+    return _pairs(rank).selectExpr(
+        "*", "coalesce(lag(a1) OVER (PARTITION BY uid ORDER BY a1, cnt DESC, a2) <> a1, true)"
+             " AS _dominant")
 
 
 def dominant_follower(rank: DataFrame) -> DataFrame:
@@ -53,7 +49,7 @@ def dominant_follower(rank: DataFrame) -> DataFrame:
 
     Columns ``uid, a1, a2, cnt``.
     """
-    return _with_dominant(rank).filter("_dominant").drop("_dominant")
+    return _with_dominant(rank).filter("_dominant").selectExpr("uid", "a1", "a2", "cnt")
 
 
 def risk_flags(rank: DataFrame, rules: RiskRules = DEFAULT_RULES) -> DataFrame:

@@ -24,10 +24,10 @@ run. On the counted rows (cur, prev, next = neighbour ids in the order):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import second_of_day, share
+from ..functions.expressions import expr, second_of_day, sql_share
 
 SEQ_ORDER = ("time", "src", "type_id")
 OP_SRC = 0
@@ -40,17 +40,16 @@ def encoded_actions(op_encoded: DataFrame, trans_encoded: DataFrame) -> DataFram
     A union then one grouping replaces the per-log grouping + full outer
     join: same rows, one shuffle.
     """
-    ops = op_encoded.select("uid", F.col("op_day").alias("day"), F.col("op_time").alias("time"),
-                            F.lit(OP_SRC).alias("src"), "type_id")
-    trans = trans_encoded.select("uid", F.col("trans_day").alias("day"),
-                                 F.col("trans_time").alias("time"),
-                                 F.lit(TRANS_SRC).alias("src"), "type_id")
+    ops = op_encoded.selectExpr("uid", "op_day AS day", "op_time AS time",
+                                f"{OP_SRC} AS src", "type_id")
+    trans = trans_encoded.selectExpr("uid", "trans_day AS day", "trans_time AS time",
+                                     f"{TRANS_SRC} AS src", "type_id")
     return ops.unionByName(trans)
 
 
 def keyed_actions(actions: DataFrame) -> DataFrame:
     """Count identical actions of a user-day into ``mult``."""
-    return actions.groupBy("uid", "day", *SEQ_ORDER).agg(F.count(F.lit(1)).alias("mult"))
+    return actions.groupBy("uid", "day", *SEQ_ORDER).agg(expr("count(1)", "mult"))
 
 
 def sequence_keys(op_encoded: DataFrame, trans_encoded: DataFrame) -> DataFrame:
@@ -61,25 +60,24 @@ def sequence_keys(op_encoded: DataFrame, trans_encoded: DataFrame) -> DataFrame:
     ``mult = 1``: only the transactions (distinct on seven columns, so
     several may share a key) need the counting shuffle.
     """
-    ops = op_encoded.select("uid", F.col("op_day").alias("day"), F.col("op_time").alias("time"),
-                            F.lit(OP_SRC).alias("src"), "type_id",
-                            F.lit(1).cast("long").alias("mult"))
-    trans = keyed_actions(trans_encoded.select(
-        "uid", F.col("trans_day").alias("day"), F.col("trans_time").alias("time"),
-        F.lit(TRANS_SRC).alias("src"), "type_id"))
+    ops = op_encoded.selectExpr("uid", "op_day AS day", "op_time AS time",
+                                f"{OP_SRC} AS src", "type_id", "CAST(1 AS BIGINT) AS mult")
+    trans = keyed_actions(trans_encoded.selectExpr(
+        "uid", "trans_day AS day", "trans_time AS time", f"{TRANS_SRC} AS src", "type_id"))
     return ops.unionByName(trans)
 
 
-def _day_window():
-    return Window.partitionBy("uid", "day").orderBy(*SEQ_ORDER)
+DAY_WINDOW = "PARTITION BY uid, day ORDER BY time, src, type_id"
 
 
 def daily_sequences(keyed: DataFrame) -> DataFrame:
     """The ordered sequence as rows; ``pos`` = 1-based position of the
     first of the ``mult`` copies. ``uid, day, pos, time, src, type_id, mult``."""
-    upto = _day_window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return keyed.withColumn("pos", F.sum("mult").over(upto) - F.col("mult") + F.lit(1)).select(
-        "uid", "day", "pos", *SEQ_ORDER, "mult")
+    return keyed.selectExpr(
+        "uid", "day",
+        f"sum(mult) OVER ({DAY_WINDOW} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        " - mult + 1 AS pos",
+        *SEQ_ORDER, "mult")
 
 
 def sequence_text(keyed: DataFrame) -> DataFrame:
@@ -100,41 +98,36 @@ def sequence_text(keyed: DataFrame) -> DataFrame:
 
 def token_occurrences(keyed: DataFrame) -> DataFrame:
     """One row per emitted token, ``(uid, day, a1, a2)``; ``a2`` NULL for singles."""
-    w = _day_window()
-    cur = F.col("type_id")
-    nxt = F.lead("type_id").over(w)
-    prv = F.lag("type_id").over(w)
-    marked = keyed.select("uid", "day", "type_id", "mult",
-                          nxt.alias("_next"), prv.alias("_prev"))
-    is_pair = F.col("_next").isNotNull() & (F.col("_next") != cur)
-    is_single = F.col("_next").isNull() & (
-        (F.col("mult") >= 2) | F.col("_prev").isNull() | (F.col("_prev") == cur))
-    return (marked.filter(is_pair | is_single)
-            .select("uid", "day", cur.alias("a1"),
-                    F.when(is_pair, F.col("_next")).alias("a2")))
+    marked = keyed.selectExpr(
+        "uid", "day", "type_id", "mult",
+        f"lead(type_id) OVER ({DAY_WINDOW}) AS _next",
+        f"lag(type_id) OVER ({DAY_WINDOW}) AS _prev")
+    is_pair = "(_next IS NOT NULL AND _next <> type_id)"
+    is_single = "(_next IS NULL AND (mult >= 2 OR _prev IS NULL OR _prev = type_id))"
+    return (marked.filter(f"{is_pair} OR {is_single}")
+            .selectExpr("uid", "day", "type_id AS a1", f"CASE WHEN {is_pair} THEN _next END AS a2"))
 
 
-def _tok() -> Column:
-    return F.concat_ws("-", "a1", "a2").alias("tok")
+TOK = "concat_ws('-', a1, a2) AS tok"
 
 
 def action_tokens(keyed: DataFrame) -> DataFrame:
     """W6 per user-day: ``uid, day, tok, a1, a2, n`` (n = occurrences that day)."""
     return (token_occurrences(keyed).groupBy("uid", "day", "a1", "a2")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select("uid", "day", _tok(), "a1", "a2", "n"))
+            .agg(expr("count(1)", "n"))
+            .selectExpr("uid", "day", TOK, "a1", "a2", "n"))
 
 
 def user_action_rank(keyed: DataFrame) -> DataFrame:
     """``uid, tok, a1, a2, cnt`` -- token occurrences over all days of a user."""
     return (token_occurrences(keyed).groupBy("uid", "a1", "a2")
-            .agg(F.count(F.lit(1)).alias("cnt"))
-            .select("uid", _tok(), "a1", "a2", "cnt"))
+            .agg(expr("count(1)", "cnt"))
+            .selectExpr("uid", TOK, "a1", "a2", "cnt"))
 
 
 def restrict_to_label(df: DataFrame, labels: DataFrame, value: float) -> DataFrame:
     """P3 + J7/J8: keep rows of users whose label equals ``value`` (semi join)."""
-    users = labels.filter(F.col("label") == F.lit(float(value))).select("uid")
+    users = labels.filter(f"label = {float(value)}D").selectExpr("uid")
     return df.join(users, "uid", "left_semi")
 
 
@@ -146,16 +139,15 @@ def follow_rates(rank: DataFrame, k: int = 3) -> DataFrame:
     followers, cut to ``k`` afterwards; ties by follower id.
     Columns ``a1, a2, support, total, share, rn``.
     """
-    pairs = (rank.filter(F.col("a2").isNotNull())
-             .groupBy("a1", "a2").agg(F.count(F.lit(1)).alias("support")))
-    by_leader = Window.partitionBy("a1")
-    ranked = (pairs
-              .withColumn("total", F.sum("support").over(by_leader))
-              .withColumn("rn", F.row_number().over(
-                  by_leader.orderBy(F.desc("support"), F.asc("a2"))))
-              .filter(F.col("rn") <= k))
-    return ranked.select("a1", "a2", "support", "total",
-                         share("support", "total").alias("share"), "rn")
+    pairs = (rank.filter("a2 IS NOT NULL")
+             .groupBy("a1", "a2").agg(expr("count(1)", "support")))
+    ranked = pairs.selectExpr(
+        "a1", "a2", "support",
+        "sum(support) OVER (PARTITION BY a1) AS total",
+        "row_number() OVER (PARTITION BY a1 ORDER BY support DESC, a2) AS rn",
+    ).filter(f"rn <= {int(k)}")
+    return ranked.selectExpr("a1", "a2", "support", "total",
+                             f"{sql_share('support', 'total')} AS share", "rn")
 
 
 def follow_rates_text(rates: DataFrame) -> DataFrame:

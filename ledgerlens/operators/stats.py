@@ -123,10 +123,10 @@ def amount_stats(trans: DataFrame, key: str = "uid", amount: str = "trans_amt",
     bucket percents) from the same pass, weighting each distinct amount
     by its count.
     """
-    counted = trans.groupBy(key, amount).agg(F.count(F.lit(1)).alias("_m"))
+    counted = trans.groupBy(key, amount).agg(expr("count(1)", "_m"))
     if split_users:
         ranked = running_sum(counted, key, amount, "_m",
-                             F.floor(F.col(amount) / F.lit(piece_width)),
+                             f"floor(`{amount}` / {float(piece_width)!r}D)",
                              cum="_cum", total="_n")
     else:
         ordered = Window.partitionBy(key).orderBy(amount)

@@ -67,5 +67,5 @@ def read_raw_labels(spark: SparkSession, path: str | None) -> DataFrame | None:
 
 def labels_from_tags(tags: DataFrame, uid: str = "uid", tag: str = "tag") -> DataFrame:
     """``(uid, label double)``; text like ``0.0`` reads as 0 (cast through double)."""
-    return tags.select(F.col(uid).cast("string").alias("uid"),
-                       F.trim(F.col(tag)).cast("double").alias("label"))
+    return tags.selectExpr(f"CAST(`{uid}` AS STRING) AS uid",
+                           f"CAST(trim(`{tag}`) AS DOUBLE) AS label")
