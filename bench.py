@@ -5,7 +5,8 @@ nothing is collected to the driver): one warm-up, then the median of
 three timed runs. Prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_QUERIES (comma list, default the headline set), BENCH_RUNS (3).
+BENCH_QUERIES (comma list, default the headline set), BENCH_RUNS (3),
+BENCH_SHUFFLE_PARTITIONS (default: the core count; AQE coalesces further).
 """
 
 from __future__ import annotations
@@ -43,7 +44,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
-    spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="ledgerlens-bench")
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
+    spark = local_session(cpus, shuffle_partitions=partitions, app="ledgerlens-bench")
 
     per_query: dict[str, float] = {}
     rows_out: dict[str, int] = {}
@@ -65,6 +67,7 @@ def main() -> None:
         "rows_in_events": events_rows,
         "sf": float(m.group(1)) if m else sf_dir,
         "cores": cpus,
+        "shuffle_partitions": partitions,
         "runs": runs,
         "spark": spark.version,
     }))
