@@ -34,10 +34,14 @@ def string_schema(names: list[str]) -> T.StructType:
 
 
 def read_raw_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """S1 + S2: header CSV, all columns string, NULL -> ``""``."""
+    """S1 + S2: header CSV, all columns string, NULL -> ``""``.
+
+    Permissive parsing, as the default CSV reader: a short row gets NULLs
+    for its missing fields, which then become ``""`` like any other NULL.
+    """
     df = (
         spark.read.option("header", "true")
-        .option("mode", "FAILFAST")
+        .option("mode", "PERMISSIVE")
         .schema(string_schema(columns))
         .csv(path)
     )

@@ -43,6 +43,13 @@ def test_raw_csv_logs(spark, tmp_path):
         ("u1", 1.0), ("u2", 0.0), ("u3", 0.0), ("u4", 1.0)]
 
 
+def test_short_csv_rows_are_padded_with_blanks(spark, tmp_path):
+    path = tmp_path / "short.csv"
+    path.write_text(",".join(raw.OPERATION_COLUMNS) + "\nu1,3,A\n")
+    ops = raw.read_raw_operations(spark, str(path)).collect()
+    assert ops[0]["mode"] == "A" and ops[0]["time"] == "" and ops[0]["ip2_sub"] == ""
+
+
 def test_delimited_round_trip(spark, tmp_path, mini):
     out = str(tmp_path / "ops_text")
     tables.write_delimited(mini["op_base"], out)
