@@ -284,6 +284,14 @@ def merged_sql(how: str = "JOIN") -> str:
                  "lbl", "trans", "action_days", "action_hours", "top_op", "top_trans", "flags")
 
 
+def delimited_sql() -> str:
+    # Doubles print the same in both engines between 1e-3 and 1e7 (Java
+    # switches to exponent notation outside); all values here are in range.
+    cols = ["uid", "label"] + MERGED_COLS
+    line = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols)
+    return f"SELECT concat_ws('|', {line}) AS value FROM ({merged_sql()})"
+
+
 def parsed_sql() -> str:
     cols = ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in MERGED_COLS)
     return f"SELECT uid, label, {cols} FROM ({merged_sql()})"
@@ -367,6 +375,7 @@ def oracle_queries() -> dict[str, str]:
         "risk_flags_tuned": build(tuned, "ranked_pairs"),
         "merged_features": merged_sql("JOIN"),
         "merged_features_left": merged_sql("LEFT JOIN"),
+        "delimited_features": delimited_sql(),
         "parsed_features": parsed_sql(),
         "hash_split": hash_split_sql(),
     }
