@@ -28,3 +28,15 @@ def test_fit_then_score(spark, tmp_path):
     users = {r.uid for r in spark.read.parquet(score_out("labels")).collect()}
     assert {line.value.split(",")[0] for line in lines} == users
     assert {line.value.split(",")[1] for line in lines} <= {"0", "1"}
+
+
+def test_preprocess_text_copies_and_default_labels(spark, mini, tmp_path):
+    from ledgerlens.plans.jobs import preprocess_job
+
+    out = Layout(str(tmp_path / "pre"))
+    preprocess_job(spark, mini["raw_ops"], mini["raw_trans"], None, out, text_copies=True)
+    lines = sorted(r.value for r in spark.read.text(out("operation_log")).collect())
+    assert len(lines) == 8 and "u2|11||13:00:00" in lines       # raw copy keeps duplicates, blanks
+    assert spark.read.parquet(out("op_base")).count() == 7
+    labels = sorted((r.uid, r.label) for r in spark.read.parquet(out("labels")).collect())
+    assert labels == [("u1", 0.0), ("u2", 0.0), ("u3", 0.0), ("u4", 0.0)]
