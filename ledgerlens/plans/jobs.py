@@ -74,12 +74,16 @@ def preprocess_files(spark: SparkSession, operations_csv: str, transactions_csv:
 
 def feature_job(spark: SparkSession, out: Layout, index_from: Layout | None = None,
                 risk_rules: rules.RiskRules = rules.DEFAULT_RULES, how: str = "inner",
-                eda: bool = True) -> None:
+                eda: bool = True, sequence_text: bool = False) -> None:
     """Steps 1.1-1.4 and the sequence analysis, ending in ``merged_features``.
 
     ``index_from=None`` fits the dictionaries on these logs and writes them;
     otherwise the dictionaries stored under ``index_from`` are applied and
     a type they do not know fails the job.
+
+    ``sequence_text=True`` also writes ``user_actions_text``, one
+    ``uid|day|types|times`` line per user-day (the old layout; a line holds
+    a whole user-day, so keep it for outputs of modest size).
     """
     op_base, trans_base = _read(spark, out, "op_base"), _read(spark, out, "trans_base")
     labels = _read(spark, out, "labels")
@@ -109,6 +113,8 @@ def feature_job(spark: SparkSession, out: Layout, index_from: Layout | None = No
     _write(sequences.sequence_keys(op_enc, trans_enc), out, "action_keys")
     keyed = _read(spark, out, "action_keys")
     _write(sequences.daily_sequences(keyed), out, "user_actions")
+    if sequence_text:
+        tables.write_delimited(sequences.sequence_text(keyed), out("user_actions_text"))
     _write(sequences.user_action_rank(keyed), out, "user_action_rank")
     rank = _read(spark, out, "user_action_rank")
     if eda:

@@ -40,3 +40,15 @@ def test_preprocess_text_copies_and_default_labels(spark, mini, tmp_path):
     assert spark.read.parquet(out("op_base")).count() == 7
     labels = sorted((r.uid, r.label) for r in spark.read.parquet(out("labels")).collect())
     assert labels == [("u1", 0.0), ("u2", 0.0), ("u3", 0.0), ("u4", 0.0)]
+
+
+def test_feature_job_sequence_text(spark, mini, tmp_path):
+    from ledgerlens.plans.jobs import feature_job, preprocess_job
+
+    out = Layout(str(tmp_path / "feat"))
+    tags = spark.createDataFrame([("u1", "1"), ("u2", "0")], "uid string, tag string")
+    preprocess_job(spark, mini["raw_ops"], mini["raw_trans"], tags, out)
+    feature_job(spark, out, eda=False, sequence_text=True)
+    lines = {r.value for r in spark.read.text(out("user_actions_text")).collect()}
+    assert "u1|3|001-002-101-002-102|08:10:00-08:20:00-08:20:00-09:00:00-23:59:59" in lines
+    assert "u1|5|101-101|10:00:00-10:00:01" in lines and len(lines) == 7
