@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import expr, type_id
@@ -56,11 +56,13 @@ def fit_type_index(log: DataFrame, column: str, prefix: str) -> TypeIndex:
 
     The log is aggregated once and the counted table (one row per type) is
     materialised in the checkpoint folder; ranking and every later use read
-    that. A counted table above ``SINGLE_TASK_RANK_MAX_ROWS`` is ranked over
-    range partitions instead of in one task.
+    that. Its row count is observed while it is written (no extra job). A
+    counted table above ``SINGLE_TASK_RANK_MAX_ROWS`` is ranked over range
+    partitions instead of in one task.
     """
-    counts = checkpointed(type_counts(log, column))
-    size = counts.count()
+    observed = Observation(f"type_index_{column}")
+    counts = checkpointed(type_counts(log, column).observe(observed, F.count(F.lit(1)).alias("n")))
+    size = int(observed.get["n"])
     order = [F.desc("cnt"), F.asc("type")]
     if size <= SINGLE_TASK_RANK_MAX_ROWS:
         ranked = counts.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
