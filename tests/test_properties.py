@@ -81,3 +81,34 @@ def test_sorted_sink_order(spark, tmp_path):
     rows = spark.read.parquet(out("rank")).collect()
     keys = [(r.uid, -r.cnt, r.tok) for r in rows]
     assert keys == sorted(keys)
+
+
+def test_amount_stats_match_brute_force_across_many_pieces(spark):
+    from fractions import Fraction
+
+    from ledgerlens.operators import stats
+
+    rnd = random.Random(5)
+    data = []
+    for u in range(40):
+        n = rnd.randint(1, 60)
+        hot = u == 0
+        for _ in range(n * (25 if hot else 1)):          # one user with many more rows
+            data.append((f"u{u}", round(rnd.uniform(-50, 400), 2)))
+    df = spark.createDataFrame(data, "uid string, trans_amt double")
+    got = {r.uid: r for r in stats.amount_stats(df, piece_width=5.0).collect()}
+    by_user = {}
+    for uid, a in data:
+        by_user.setdefault(uid, []).append(a)
+    for uid, xs in by_user.items():
+        r = got[uid]
+        # the recipe: exact sums, then one double division
+        exact = [Fraction(str(x)) for x in xs]
+        n, total = len(exact), sum(exact)
+        squares = sum(x * x for x in exact)
+        assert r.min_amt == min(xs) and r.max_amt == max(xs)
+        s = sorted(xs)
+        assert r.mid_amt == (s[(n - 1) // 2] + s[n // 2]) / 2.0
+        assert r.avg_amt == float(total) / float(n)
+        assert r.var_amt == float(n * squares - total * total) / (float(n) * float(n))
+        assert abs(r.avg_amt - float(total / n)) <= 1e-12 * max(1.0, abs(float(total / n)))
