@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing
+from . import exact_dedup, packing, token_counts
 from .common import table
 
 
@@ -15,13 +15,18 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"),
                         public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_exact_dedup, op9_best_fit_packing)}
+    f.__name__: f for f in (op5_exact_dedup, op8_token_counts, op9_best_fit_packing)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": """
