@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,3 +71,18 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     raw = (np.frombuffer(data, dtype=np.uint8)[at[0]:at[-1]] if data is not None
            else np.zeros(0, np.uint8))
     return raw, at - at[0]
+
+
+SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
+
+
+@lru_cache(maxsize=1)
+def char_classes() -> np.ndarray:
+    """Class of every code point: white space, letter, number, other."""
+    out = np.full(0x110000, OTHER, np.uint8)
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\p{White_Space}+")):
+        for m in regex.finditer(pattern, every):
+            a, b = ord(m[0][0]), ord(m[0][-1])
+            out[a:b + 1] = kind
+    return out

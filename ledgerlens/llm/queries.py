@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, token_counts
+from . import exact_dedup, language_id, packing, token_counts
 from .common import table
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.fit_and_identify(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -26,7 +30,8 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_exact_dedup, op8_token_counts, op9_best_fit_packing)}
+    f.__name__: f for f in (
+        op2_language_id, op5_exact_dedup, op8_token_counts, op9_best_fit_packing)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": """

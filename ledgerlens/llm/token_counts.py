@@ -23,15 +23,13 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, slices
+from .common import NUMBER, SPACE, char_classes, id_and_text, slices
 
 LIMIT = 2048
 CHUNK = 512
@@ -41,7 +39,6 @@ START = 0
 #: Token before the first token of a word.
 NONE = -1
 
-SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: Texts made of these characters are lower-cased at once; the library's own
 #: normalizer handles all others.
 _OUTSIDE = re.compile("[^\t\n\r\x20-\x7eÀ-ÖØ-öø-įı-ɏ]")
@@ -242,18 +239,6 @@ class Transducer:
         return out.ravel()[:stream.size]
 
 
-@lru_cache(maxsize=1)
-def char_classes() -> np.ndarray:
-    """Class of every code point: white space, letter, number, other."""
-    out = np.full(0x110000, OTHER, np.uint8)
-    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
-    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\p{White_Space}+")):
-        for m in regex.finditer(pattern, every):
-            a, b = ord(m[0][0]), ord(m[0][-1])
-            out[a:b + 1] = kind
-    return out
-
-
 #: Endings that the vocabulary's pattern takes with the apostrophe.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 
