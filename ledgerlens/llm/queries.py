@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, near_dedup, packing, token_counts
+from . import exact_dedup, language_id, near_dedup, packing, token_counts, toxicity
 from .common import table
 
 
@@ -23,6 +23,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"),
+                                    table(spark, sf_dir, "labels"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"),
                                      public_tokenizers.path("word_bpe_49k.json"))
@@ -35,7 +40,8 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_language_id, op4_minhash_near_dedup, op5_exact_dedup, op8_token_counts, op9_best_fit_packing)}
+        op2_language_id, op4_minhash_near_dedup, op5_exact_dedup,
+        op6_toxicity, op8_token_counts, op9_best_fit_packing)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": """
