@@ -3,13 +3,15 @@
 Voters are words of a lexicon, mined from labelled rows, and fixed patterns;
 each fires or stays silent on a text. One pass over all documents, labelled or
 not, counts how often voters fire alone and together. From these moments a
-generative label model estimates every voter's accuracy: given the class,
+generative label model estimates the voters' correlations and accuracies.
+Voters that fire together form blocks (the lexicon of one language, say), and
+a text is toxic when one of its blocks is. Inside a block, given its state,
 voters are taken as independent, so their covariances form a rank-one matrix
-whose factor tells how far apart a voter's firing rates in the two classes
-lie. What the factor leaves over are correlations between voters; correlated
-voters (words that only copies of one text bring along) share their weight.
-The model's posteriors label a bounded sample of documents, on which a linear
-classifier over words is trained. Its score is the result.
+whose factor tells how far apart a voter's firing rates in the two states
+lie. What the factor leaves over is correlation that the state does not
+explain; voters tied by it share their weight. The model's posteriors label a
+bounded sample of documents, on which a linear classifier over words is
+trained. Its score is the result.
 """
 
 from __future__ import annotations
@@ -29,13 +31,13 @@ from .words import LETTERS, Words, words
 #: Labelled rows used to mine the lexicon, and documents the classifier is trained on.
 LABELLED_ROWS = 20_000
 TRAINING_ROWS = 20_000
-LEXICON = 64
+LEXICON = 256
 VOCABULARY = 4096
 THRESHOLD = 0.3
 #: A lexicon word occurs in at least so many toxic rows and this share of them.
 MIN_ROWS, MIN_SHARE = 5, 0.01
 #: A word votes only if at least this share of the labelled rows with it are toxic.
-MIN_PRECISION = 0.5
+MIN_PRECISION = 0.8
 
 #: Patterns that vote beside the lexicon.
 PATTERNS = (
@@ -118,13 +120,13 @@ def _class_counts(sample: DataFrame) -> DataFrame:
             .groupBy("hash").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
 
 
-def mine_lexicon(sample: DataFrame) -> tuple[np.ndarray, float]:
-    """Sorted hashes of the lexicon's words, and the share of toxic rows."""
+def mine_lexicon(sample: DataFrame) -> np.ndarray:
+    """Sorted hashes of the words that mark toxic rows most clearly."""
     distinct = sample.groupBy("text").agg(F.max("label").alias("label"))
     n, toxic = distinct.agg(F.count(F.lit(1)), F.sum(F.expr("CAST(label > 0 AS INT)"))).first()
     toxic = toxic or 0
     if not toxic or toxic == n:
-        return np.zeros(0, np.uint64), toxic / n if n else 0.0
+        return np.zeros(0, np.uint64)
     least = max(MIN_ROWS, int(MIN_SHARE * toxic))
     z = (F.col("toxic") - (F.col("toxic") + F.col("clean")) * F.lit(toxic / n)) / F.sqrt(
         (F.col("toxic") + F.col("clean")).cast("double"))
@@ -132,22 +134,39 @@ def mine_lexicon(sample: DataFrame) -> tuple[np.ndarray, float]:
             .filter((F.col("toxic") >= least)
                     & (F.col("toxic") >= MIN_PRECISION * (F.col("toxic") + F.col("clean"))))
             .orderBy(z.desc(), "hash").limit(LEXICON).select("hash").collect())
-    return np.sort(np.array([r["hash"] for r in rows], np.int64).view(np.uint64)), toxic / n
+    return np.sort(np.array([r["hash"] for r in rows], np.int64).view(np.uint64))
 
 
 # ---- label model --------------------------------------------------------
+#: Voters correlated by this much belong to one block; what the factor leaves
+#: over counts as correlation from TIE on.
+BLOCK_CORRELATION = 0.08
+TIE = 0.3
+
+
 @dataclass(frozen=True)
-class LabelModel:
-    """Firing rates of each voter in both classes, its weight, and the prior log odds."""
+class Block:
+    """Voters that share a hidden state, their log odds of firing and silence, the prior's."""
 
+    voters: np.ndarray
     prior: float
-    fires: np.ndarray     # log P(fires | toxic) - log P(fires | clean)
-    silent: np.ndarray    # the same for staying silent
+    fires: np.ndarray
+    silent: np.ndarray
     weight: np.ndarray
 
+
+@dataclass(frozen=True)
+class LabelModel:
+    base: float
+    blocks: tuple[Block, ...]
+
     def posterior(self, fired: np.ndarray) -> np.ndarray:
-        evidence = np.where(fired, self.fires, self.silent) * self.weight
-        return 1.0 / (1.0 + np.exp(-(self.prior + evidence.sum(axis=1))))
+        """Probability that a text is toxic: at least one of its blocks is."""
+        clean = np.full(len(fired), 1.0 - self.base)
+        for b in self.blocks:
+            evidence = np.where(fired[:, b.voters], b.fires, b.silent) @ b.weight
+            clean *= 1.0 / (1.0 + np.exp(np.clip(b.prior + evidence, -50, 50)))
+        return 1.0 - clean
 
 
 def joint_counts(docs: DataFrame, lexicon: np.ndarray) -> tuple[np.ndarray, int]:
@@ -176,28 +195,60 @@ def joint_counts(docs: DataFrame, lexicon: np.ndarray) -> tuple[np.ndarray, int]
     return counts, n
 
 
-def fit_label_model(counts: np.ndarray, n: int, share: float) -> LabelModel:
-    """Accuracies from the rank-one part of the covariances, correlations from the rest."""
-    size = len(counts)
-    share = min(max(share, 1e-3), 0.5)
-    rate = np.diag(counts) / max(n, 1)
-    cov = counts / max(n, 1) - np.outer(rate, rate)
-    off = ~np.eye(size, dtype=bool)
-    factor = np.sqrt(np.maximum(np.where(off, cov, 0).mean(axis=1), 0)) + 1e-9
+def _blocks(tied: np.ndarray) -> list[np.ndarray]:
+    """Connected sets of the symmetric relation ``tied``."""
+    left, found = set(range(len(tied))), []
+    while left:
+        block, reach = set(), {left.pop()}
+        while reach:
+            i = reach.pop()
+            block.add(i)
+            reach |= set(np.flatnonzero(tied[i]).tolist()) & left
+            left -= reach
+        found.append(np.array(sorted(block)))
+    return found
+
+
+def _fit_block(voters: np.ndarray, counts: np.ndarray, n: int) -> Block:
+    """One block from its joint moments: state share, firing rates, ties, weights."""
+    joint = counts[np.ix_(voters, voters)] / n
+    rate = np.diag(joint)
+    off = ~np.eye(voters.size, dtype=bool)
+    # Voters that hardly fire in the clean state: rate_i * rate_j / joint_ij is the share.
+    share = float(np.clip((np.outer(rate, rate) * off).sum() / (joint * off).sum(), 1e-6, 0.5))
+    cov = np.where(off, joint - np.outer(rate, rate), 0)
+    factor = np.sqrt(np.maximum(cov.mean(axis=1), 0)) + 1e-12
     for _ in range(200):
-        power = (factor ** 2).sum() - factor ** 2
-        update = np.maximum(np.where(off, cov, 0) @ factor / np.maximum(power, 1e-18), 0)
-        factor = 0.5 * factor + 0.5 * update
-    spread = factor / np.sqrt(share * (1 - share))          # P(fires|toxic) - P(fires|clean)
-    spread = np.clip(spread, 0, rate / share)
-    toxic = np.clip(rate + (1 - share) * spread, 1e-4, 1 - 1e-4)
-    clean = np.clip(rate - share * spread, 1e-5, 1 - 1e-4)
-    toxic = np.maximum(toxic, clean)
-    inner = share * toxic * (1 - toxic) + (1 - share) * clean * (1 - clean)
-    left = np.where(off, cov - np.outer(factor, factor), 0) / np.sqrt(np.outer(inner, inner))
-    weight = 1.0 / (1.0 + np.where(left > 0.1, np.minimum(left, 1.0), 0).sum(axis=1))
-    return LabelModel(float(np.log(share / (1 - share))), np.log(toxic / clean),
-                      np.log((1 - toxic) / (1 - clean)), weight)
+        power = np.maximum((factor ** 2).sum() - factor ** 2, 1e-18)
+        factor = 0.5 * factor + 0.5 * np.maximum(cov @ factor / power, 0)
+    spread = np.clip(factor / np.sqrt(share * (1 - share)), 0, rate / share)
+    on = np.clip(rate + (1 - share) * spread, 1e-4, 1 - 1e-3)
+    out = np.minimum(np.clip(rate - share * spread, 1e-5, 1 - 1e-4), on)
+    inner = share * on * (1 - on) + (1 - share) * out * (1 - out)
+    ties = np.where(off, cov - np.outer(factor, factor), 0) / np.sqrt(np.outer(inner, inner))
+    weight = 1.0 / (1.0 + np.where(ties > TIE, np.minimum(ties, 1.0), 0).sum(axis=1))
+    return Block(voters, float(np.log(share / (1 - share))), np.log(on / out),
+                 np.log((1 - on) / (1 - out)), weight)
+
+
+def fit_label_model(counts: np.ndarray, n: int, lexicon_size: int) -> LabelModel:
+    """Blocks from the voters' correlations; accuracies and ties inside each.
+
+    A voter that fires with no other one has no say: there is nothing to
+    estimate its accuracy from. Nor has a block without a lexicon word.
+    """
+    if not n:
+        return LabelModel(0.001, ())
+    rate = np.diag(counts) / n
+    spread = np.sqrt(np.maximum(rate * (1 - rate), 1e-12))
+    correlation = (counts / n - np.outer(rate, rate)) / np.outer(spread, spread)
+    tied = (correlation > BLOCK_CORRELATION) & (counts >= 3)
+    np.fill_diagonal(tied, False)
+    blocks = []
+    for voters in _blocks(tied):
+        if voters.size > 1 and voters.min() < lexicon_size and rate[voters].all():
+            blocks.append(_fit_block(voters, counts, n))
+    return LabelModel(0.001, tuple(blocks))
 
 
 # ---- linear classifier --------------------------------------------------
@@ -272,16 +323,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int =
     Labels are learned from at most ``labelled_rows`` rows whose remainder
     is not ``held_out``; the classifier is trained on the posteriors of at
     most ``training_rows`` documents. Without toxic labels there is no
-    lexicon and every score stays near the label share.
+    lexicon and every score is low.
     """
     sample = labelled_sample(docs, labels, label, labelled_rows, modulus, held_out)
-    lexicon, share = mine_lexicon(sample)
+    lexicon = mine_lexicon(sample)
     counts, n = joint_counts(docs, lexicon)
-    model = fit_label_model(counts, n, share)
+    model = fit_label_model(counts, n, lexicon.size)
     vocabulary = _vocabulary(sample, lexicon)
     size = vocabulary.size + len(PATTERNS)
     rows = _training_rows(docs, vocabulary, lexicon, model, training_rows)
-    weight, bias = train_linear(rows, size) if rows else (np.zeros(size), model.prior)
+    weight, bias = train_linear(rows, size) if rows else (np.zeros(size), -7.0)
     return ToxicityModel(vocabulary, weight, bias)
 
 
