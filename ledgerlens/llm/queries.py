@@ -7,7 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, near_dedup, packing, token_counts, toxicity
+from . import (
+    exact_dedup,
+    language_id,
+    near_dedup,
+    packing,
+    quality,
+    token_counts,
+    toxicity,
+)
 from .common import table
 
 
@@ -15,6 +23,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.fit_and_identify(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"),
+                                   table(spark, sf_dir, "labels"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -40,7 +53,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_language_id, op4_minhash_near_dedup, op5_exact_dedup,
+        op2_language_id, op3_quality, op4_minhash_near_dedup, op5_exact_dedup,
         op6_toxicity, op8_token_counts, op9_best_fit_packing)}
 
 ORACLE_SQL: dict[str, str] = {
