@@ -24,57 +24,56 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialized
-from .common import id_and_text, slices
+from .common import byte_symbols, id_and_text, slices
 
 CAP = 2048
 PIECES_SCHEMA = ("doc_id long, piece int, start long, length long, ids_crc32 long")
 
 # ---- token ids ----------------------------------------------------------
-#: Texts made of these characters only take the standard library's pattern,
-#: in which each class means the same as in the tokenizer's own pattern.
-_PLAIN = "\t\n\r\x20-\x7eÀ-ÖØ-öø-ɏ"
-_OUTSIDE = re.compile(f"[^{_PLAIN}]")
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-_MAX_CACHE = 300_000
+#: Texts made of these characters only are split alike by every reading of the
+#: vocabulary's pattern; other texts go through the tokenizer's own library.
+_OUTSIDE = re.compile("[^\t\n\r\x20-\x7eÀ-ÖØ-öø-ɏ]")
+#: The pattern of byte-level vocabularies.
+_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
+            r"|\s+(?!\S)|\s+")
 
 
-class IdCache(dict):
-    """Ids of a pre-token as little-endian uint32 bytes, from the library on first use.
+class Encoder:
+    """Ids of a text as little-endian uint32 bytes, as the tokenizer's library gives them.
 
-    A byte-level vocabulary treats every pre-token on its own, so the ids of
-    a text are the ids of its pre-tokens in a row.
+    The merges of a byte-level vocabulary are ranked by token id, so the
+    library's vocabulary also serves as the rank table of a faster encoder.
+    Texts with special strings or rare characters take the library itself.
     """
 
     def __init__(self, tokenizer_path: str):
+        import tiktoken
         from tokenizers import Tokenizer
-        super().__init__()
         self.library = Tokenizer.from_file(tokenizer_path)
         special = sorted((t.content for t in self.library.get_added_tokens_decoder().values()),
                          key=len, reverse=True)
-        self.special = re.compile("|".join(map(re.escape, special))) if special else None
-
-    def ids(self, text: str) -> bytes:
-        return np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __missing__(self, piece: str) -> bytes:
-        self[piece] = found = self.ids(piece)
-        return found
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
+        of = byte_symbols()
+        ranks = {bytes(of[c] for c in token): rank for token, rank in
+                 self.library.get_vocab(with_added_tokens=False).items()}
+        self.fast = tiktoken.Encoding("ranks", pat_str=_PATTERN, mergeable_ranks=ranks,
+                                      special_tokens={})
 
     def encode(self, text: str) -> bytes:
-        if _OUTSIDE.search(text) or (self.special and self.special.search(text)):
-            return self.ids(text)
-        if len(self) > _MAX_CACHE:
-            self.clear()
-        return b"".join(map(self.__getitem__, _PIECES.findall(text)))
+        if _OUTSIDE.search(text) or self.special.search(text):
+            ids = self.library.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self.fast.encode_ordinary(text)
+        return np.array(ids, "<u4").tobytes()
 
 
-_caches: dict[str, IdCache] = {}
+_encoders: dict[str, Encoder] = {}
 
 
-def _cache(path: str) -> IdCache:
-    if path not in _caches:
-        _caches[path] = IdCache(path)
-    return _caches[path]
+def _encoder(path: str) -> Encoder:
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def cut(n: int, cap: int = CAP) -> list[tuple[int, int]]:
@@ -91,11 +90,11 @@ def pieces(docs: DataFrame, tokenizer_path: str, cap: int = CAP, end_id: int = 0
     end = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _cache(tokenizer_path)
+        encoder = _encoder(tokenizer_path)
         for batch in slices(batches):
             out: tuple[list, ...] = ([], [], [], [], [])
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = cache.encode(text) + end
+                ids = encoder.encode(text) + end
                 view = memoryview(ids)
                 for k, (start, length) in enumerate(cut(len(ids) // 4, cap)):
                     crc = zlib.crc32(view[4 * start:4 * (start + length)])

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NUMBER, SPACE, char_classes, id_and_text, slices
+from .common import NUMBER, SPACE, byte_symbols, char_classes, id_and_text, slices
 
 LIMIT = 2048
 CHUNK = 512
@@ -44,20 +44,6 @@ NONE = -1
 _OUTSIDE = re.compile("[^\t\n\r\x20-\x7eÀ-ÖØ-öø-įı-ɏ]")
 
 
-def byte_symbols() -> dict[str, int]:
-    """Printable stand-in of each byte in byte-level vocabularies, and the byte it stands for.
-
-    Bytes that print as one visible character stand for themselves, the
-    others take the code points from 256 on in order.
-    """
-    visible = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1),
-               *range(ord("®"), ord("ÿ") + 1)]
-    symbols = {chr(b): b for b in visible}
-    for k, b in enumerate(sorted(set(range(256)) - set(visible))):
-        symbols[chr(256 + k)] = b
-    return symbols
-
-
 class Transducer:
     """Lazily built transducer of a byte-level BPE vocabulary with word ends.
 
