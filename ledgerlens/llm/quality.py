@@ -24,6 +24,7 @@ from .common import id_and_text, remainder, slices, text_bytes
 #: enough, and the longest text among them in characters.
 TRAINING_ROWS = 4000
 TRAINING_CHARS = 50_000
+STEPS = 700
 THRESHOLD = 0.7
 STRIDE, WIDTH, EMBEDDING, FILTERS = 4, 8, 8, 32
 #: Windows in a chunk, and windows from one chunk's start to the next one's.
@@ -146,7 +147,7 @@ def _gradients(net: Network, t: Layout, label: np.ndarray) -> list[np.ndarray]:
     return [embedding, filters, g.sum(axis=0), error @ pooled, np.array([error.sum()])]
 
 
-def train(texts: list[bytes], labels: np.ndarray, epochs: int = 12, batch: int = 64,
+def train(texts: list[bytes], labels: np.ndarray, steps: int = STEPS, batch: int = 64,
           rate: float = 0.004, seed: int = 3) -> Network:
     """Gradient descent with per-weight scaling; both classes weigh the same in a batch."""
     net, rng = Network.initial(seed), np.random.default_rng(seed)
@@ -156,7 +157,6 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 12, batch: int =
         net.bias = 8.0 if classes[1].size else (-8.0 if classes[0].size else 0.0)
         return net
     state = [[0.0, 0.0] for _ in range(5)]
-    steps = epochs * max(1, len(texts) // batch)
     for step in range(1, steps + 1):
         pick = np.concatenate([rng.choice(c, batch // 2) for c in classes])
         offsets = np.concatenate([[0], np.cumsum([len(texts[i]) for i in pick])])
@@ -190,13 +190,13 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int, mod
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int = 4,
-        held_out: int = 2, rows: int = TRAINING_ROWS) -> Network:
+        held_out: int = 2, rows: int = TRAINING_ROWS, steps: int = STEPS) -> Network:
     """Train on a bounded sample and set the bias to the share of good rows.
 
     Without labelled rows of both classes the score is one constant.
     """
     sample = labelled_rows(docs, labels, label, rows, modulus, held_out).toPandas()
-    net = train([t.encode() for t in sample["text"]], sample["label"].to_numpy())
+    net = train([t.encode() for t in sample["text"]], sample["label"].to_numpy(), steps)
     counts = (labels.filter(F.col(label).isNotNull() & (remainder("doc_id", modulus) != held_out))
               .agg(F.sum(F.expr(f"CAST({label} > 0 AS INT)")).alias("good"),
                    F.count(F.lit(1)).alias("n")).first())
