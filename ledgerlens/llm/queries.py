@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    decontamination,
     exact_dedup,
     language_id,
     near_dedup,
@@ -41,6 +42,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     table(spark, sf_dir, "labels"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(table(spark, sf_dir, "documents"),
+                                         table(spark, sf_dir, "benchmark"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"),
                                      public_tokenizers.path("word_bpe_49k.json"))
@@ -54,7 +60,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op2_language_id, op3_quality, op4_minhash_near_dedup, op5_exact_dedup,
-        op6_toxicity, op8_token_counts, op9_best_fit_packing)}
+        op6_toxicity, op7_decontamination, op8_token_counts, op9_best_fit_packing)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": """
