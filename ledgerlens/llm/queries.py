@@ -14,12 +14,17 @@ from . import (
     near_dedup,
     packing,
     quality,
+    suffix_dedup,
     token_counts,
     toxicity,
 )
 from .common import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.fit_and_identify(table(spark, sf_dir, "documents"))
 
@@ -59,7 +64,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_language_id, op3_quality, op4_minhash_near_dedup, op5_exact_dedup,
+        op1_suffix_dedup, op2_language_id, op3_quality, op4_minhash_near_dedup, op5_exact_dedup,
         op6_toxicity, op7_decontamination, op8_token_counts, op9_best_fit_packing)}
 
 ORACLE_SQL: dict[str, str] = {
