@@ -32,10 +32,12 @@ from .words import mix, shingle_sets, words
 
 SHINGLE = 5
 SIMILARITY = 75  # percent
-BAND_ROWS = 4
+BAND_ROWS = 4   # four low bytes make the 32 bits by which bands are compared
 BANDS = 28
 #: A group of more sets is dealt out anew under its pair keys.
 LARGE_GROUP = 2000
+#: Standard errors by which the signatures may fall short of the similarity.
+SLACK = 4.2
 
 
 def _hash_parameters(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -54,36 +56,40 @@ def minhashes(hashes: np.ndarray, count: int) -> np.ndarray:
     return low
 
 
-def band_keys(low: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """64-bit keys of the bands of both collections, the first ``bands`` of the first one."""
-    keys = np.arange(2 * bands, dtype=np.uint64)
-    for k in range(rows):
-        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + low.reshape(2 * bands, rows)[:, k])
+def band_keys(low: np.ndarray, bands: int) -> np.ndarray:
+    """64-bit keys of the bands of one collection."""
+    keys = np.arange(bands, dtype=np.uint64)
+    for k in range(BAND_ROWS):
+        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + low.reshape(bands, BAND_ROWS)[:, k])
     return keys
 
 
-def signatures(docs: DataFrame, bands: int = BANDS, rows: int = BAND_ROWS,
-               shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, n_shingles, set_a, set_b`` (128 bits over the set), ``first``, ``second`` keys."""
+def signatures(docs: DataFrame, bands: int = BANDS, shingle: int = SHINGLE) -> DataFrame:
+    """``doc_id, n_shingles, set_a, set_b`` (128 bits over the set), ``first``, ``sketch``.
+
+    ``first`` holds the keys of the first collection's bands; ``sketch`` the
+    low byte of every minhash, four a band, the second collection last.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = shingle_sets(words(*text_bytes(batch.column(1))), shingle)
             folded = [(int(s.sum(dtype=np.uint64)), int(mix(s ^ np.uint64(7)).sum(dtype=np.uint64)))
                       for s in sets]
-            keys = [band_keys(minhashes(s, 2 * bands * rows), bands, rows).view(np.int64)
-                    if s.size else np.zeros(0, np.int64) for s in sets]
+            low = [minhashes(s, 2 * bands * BAND_ROWS) if s.size else None for s in sets]
+            keys = [np.zeros(0, np.int64) if m is None else
+                    band_keys(m[:bands * BAND_ROWS], bands).view(np.int64) for m in low]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([s.size for s in sets], pa.int64()),
                  pa.array(np.array([f[0] for f in folded], np.uint64).view(np.int64)),
                  pa.array(np.array([f[1] for f in folded], np.uint64).view(np.int64)),
-                 pa.array([k[:bands] for k in keys], pa.list_(pa.int64())),
-                 pa.array([(k[bands:] & 0x7FFFFFFF).astype(np.int32) for k in keys],
-                          pa.list_(pa.int32()))],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "first", "second"])
+                 pa.array(keys, pa.list_(pa.int64())),
+                 pa.array([b"" if m is None else m.astype(np.uint8).tobytes() for m in low],
+                          pa.binary())],
+                names=["doc_id", "n_shingles", "set_a", "set_b", "first", "sketch"])
 
     return id_and_text(docs).withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(
         run, "doc_id long, n_shingles long, set_a long, set_b long, first array<long>, "
-             "second array<int>")
+             "sketch binary")
 
 
 # ---- groups of a shared band --------------------------------------------
@@ -117,53 +123,68 @@ def _runs(key: np.ndarray, band: np.ndarray, doc: np.ndarray) -> tuple[np.ndarra
     return order, np.flatnonzero(new)
 
 
+def _plausible(sketch: np.ndarray, i: np.ndarray, j: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Pairs whose sizes allow the similarity and whose signatures do not speak against it."""
+    ok = 100 * np.minimum(size[i], size[j]) >= SIMILARITY * np.maximum(size[i], size[j])
+    wanted, count = SIMILARITY / 100, sketch.shape[1]
+    least = wanted - SLACK * np.sqrt(wanted * (1 - wanted) / count)
+    least += (1 - least) / 256   # bytes that agree by chance
+    at = np.flatnonzero(ok)
+    for part in np.array_split(at, max(1, at.size // 8192)):
+        ok[part] = (sketch[i[part]] == sketch[j[part]]).sum(axis=1) >= least * count
+    return ok
+
+
 def _star_pairs(key: np.ndarray, doc: np.ndarray, size: np.ndarray, bands: np.ndarray,
-                part: np.ndarray) -> np.ndarray:
-    """(smallest id, id) of every run, where the sizes allow the similarity."""
-    found = []
+                sketch: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """(smallest id, id) of every run, where plausible."""
+    found = [np.zeros((0, 2), np.int64)]
     for j in range(bands.shape[1]):
         order, starts = _runs(key, bands[:, j], doc)
-        lengths = np.diff([*starts, order.size])
-        head = np.repeat(order[starts], lengths)
-        ok = (head != order) & _sizes_allow(size[head], size[order])
-        found.append(np.stack([doc[head[ok]], doc[order[ok]]], axis=1))
-    return np.unique(np.concatenate(found), axis=0)
+        head = np.repeat(order[starts], np.diff([*starts, order.size]))
+        other = head != order
+        found.append(np.stack([head[other], order[other]], axis=1))
+    pairs = np.unique(np.concatenate(found), axis=0)
+    pairs = pairs[_plausible(sketch, pairs[:, 0], pairs[:, 1], size)]
+    return np.unique(doc[pairs], axis=0)
 
 
 def _cross_pairs(key: np.ndarray, doc: np.ndarray, size: np.ndarray, bands: np.ndarray,
-                 part: np.ndarray) -> np.ndarray:
-    """All pairs of a run that lie in different components, where the sizes allow it."""
+                 sketch: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Plausible pairs of a group that share a band and lie in different components."""
     found = [np.zeros((0, 2), np.int64)]
-    for j in range(bands.shape[1]):
-        order, starts = _runs(key, bands[:, j], doc)
-        ends = np.append(starts[1:], order.size)
-        for a, b in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
-            run = order[a:b]
-            if (part[run] == part[run[0]]).all():
-                continue
-            for at, i in enumerate(run[:-1]):
-                other = run[at + 1:]
-                other = other[(part[other] != part[i]) & _sizes_allow(size[i], size[other])]
-                found.append(np.stack([np.full(other.size, doc[i]), doc[other]], axis=1))
+    starts = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
+    ends = np.append(starts[1:], key.size)
+    for a, b in zip(starts.tolist(), ends.tolist()):
+        for i in range(a, b - 1):
+            rest = np.arange(i + 1, b)
+            rest = rest[part[rest] != part[i]]
+            rest = rest[(bands[rest] == bands[i]).any(axis=1)]
+            if rest.size:
+                rest = rest[_plausible(sketch, np.full(rest.size, i), rest, size)]
+                found.append(np.stack([np.full(rest.size, doc[i]), doc[rest]], axis=1))
     return np.unique(np.concatenate(found), axis=0)
 
 
-def _sizes_allow(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return 100 * np.minimum(x, y) >= SIMILARITY * np.maximum(x, y)
-
+def _pairs(rows: DataFrame, pick: Callable[..., np.ndarray], by_band: bool = True) -> DataFrame:
+    """Candidate pairs ``a < b`` inside the groups of ``key``.
 
-def _pairs(rows: DataFrame, pick: Callable[..., np.ndarray]) -> DataFrame:
-    """Candidate pairs ``a < b`` inside the groups of ``key``; the second bands must meet."""
+    With ``by_band`` the pairs must share a band of the second collection;
+    without, the key stands for one already.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _whole_groups(batches):
             t = t.combine_chunks()
-            bands = np.asarray(t["second"].chunk(0).flatten()).reshape(t.num_rows, -1)
+            sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(
+                t.num_rows, -1)
+            half = np.ascontiguousarray(sketch[:, sketch.shape[1] // 2:])
+            bands = half.view(np.int32) if by_band else np.zeros((t.num_rows, 1), np.int32)
             got = pick(np.asarray(t["key"]), np.asarray(t["doc_id"]), np.asarray(t["n_shingles"]),
-                       bands, np.asarray(t["component"]))
+                       bands, sketch, np.asarray(t["component"]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(got.min(axis=1)), pa.array(got.max(axis=1))], names=["a", "b"])
 
-    return (rows.select("key", "doc_id", "n_shingles", "second", "component")
+    return (rows.select("key", "doc_id", "n_shingles", "sketch", "component")
             .repartition("key").sortWithinPartitions("key", "doc_id")
             .mapInArrow(run, "a long, b long").distinct())
 
@@ -187,6 +208,18 @@ def _with_components(rows: DataFrame, parts: DataFrame) -> DataFrame:
     return named.join(mixed, "key", "left_semi")
 
 
+def _cells(rows: DataFrame, size: int) -> DataFrame:
+    """Groups of more than ``size`` rows cut into parts; each pair of parts is a group of its own."""
+    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    parts = F.ceil(F.col("n") / F.lit(size)).cast("int")
+    own = F.pmod(F.xxhash64("doc_id"), F.col("_parts")).cast("int")
+    return (rows.join(counts, "key").withColumn("_parts", parts).withColumn("_own", own)
+            .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+            .withColumn("key", F.xxhash64("key", F.least("_own", "_other"),
+                                          F.greatest("_own", "_other")))
+            .drop("n", "_parts", "_own", "_other"))
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """The pairs ``(a, b)`` whose full shingle sets reach the similarity."""
     texts = id_and_text(docs).dropDuplicates(["doc_id"])
@@ -212,8 +245,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> Data
     return joined.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = BAND_ROWS,
-                    large_group: int = LARGE_GROUP) -> DataFrame:
+def near_duplicates(docs: DataFrame, bands: int = BANDS, large_group: int = LARGE_GROUP
+                    ) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
 
     A document's set holds the distinct 5-word shingles of its whole text,
@@ -224,29 +257,31 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = BAND_ROWS,
     ``kept`` marks the document that has that id. Repeated rows get equal
     results. An empty table gives no rows.
     """
-    signed = materialized(signatures(docs, bands, rows), "signatures")
+    signed = materialized(signatures(docs, bands), "signatures")
     by_set = signed.filter("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(
         F.min("doc_id").alias("rep"))
     reps = signed.join(by_set.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     keyed = reps.select("doc_id", F.explode("first").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     grouped = materialized(
-        keyed.join(shared, "key")
-        .join(reps.select("doc_id", "n_shingles", "second"), "doc_id")
-        .select("key", "n", "doc_id", "n_shingles", "second",
+        keyed.join(shared, "key").join(reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
+        .select("key", "n", "doc_id", "n_shingles", "sketch",
                 F.col("doc_id").alias("component")), "groups")
     small = grouped.filter(F.col("n") <= large_group)
-    large = grouped.filter(F.col("n") > large_group).select(
-        "doc_id", "n_shingles", "component", F.col("key").alias("first"),
-        F.posexplode("second").alias("j", "band")).select(
-        F.xxhash64("first", "j", "band").alias("key"), "doc_id", "n_shingles", "component",
-        F.array("band").alias("second"))
+    # A band of the second collection is so many bytes of the sketch's second half.
+    band = F.expr(f"substring(sketch, {bands * BAND_ROWS} + j * {BAND_ROWS} + 1, {BAND_ROWS})")
+    large = (grouped.filter(F.col("n") > large_group)
+             .withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))))
+             .select(F.xxhash64("key", "j", band).alias("key"), "doc_id", "n_shingles",
+                     "component"))
     stars = materialized(_pairs(small, _star_pairs).union(_large_star(large)).distinct(), "stars")
     links = materialized(confirmed(stars, docs), "confirmed")
     parts = components(links)
+    mixed = _cells(_with_components(large, parts), large_group).join(
+        reps.select("doc_id", "sketch"), "doc_id")
     cross = materialized(
         _pairs(_with_components(small, parts), _cross_pairs)
-        .union(_pairs(_with_components(large, parts), _cross_pairs)).distinct()
+        .union(_pairs(mixed, _cross_pairs, by_band=False)).distinct()
         .join(stars, ["a", "b"], "left_anti"), "cross")
     more = confirmed(cross, docs)
     linked = parts.selectExpr("node AS a", "component AS b").union(more)

@@ -11,6 +11,7 @@ from . import (
     decontamination,
     exact_dedup,
     language_id,
+    lm_scoring,
     near_dedup,
     packing,
     quality,
@@ -62,10 +63,16 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"),
+                                      public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_dedup, op2_language_id, op3_quality, op4_minhash_near_dedup, op5_exact_dedup,
-        op6_toxicity, op7_decontamination, op8_token_counts, op9_best_fit_packing)}
+        op6_toxicity, op7_decontamination, op8_token_counts, op9_best_fit_packing,
+        op10_lm_scoring)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": """

@@ -36,14 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialized
-from .common import id_and_text, slices, text_bytes
+from .blocks import BLOCK_BYTES, Block, by_part, packed, unpack
 from .words import mix, span_hashes
 
 WIDTH = 50
 #: Bytes of the substrings among which a window's anchor is the least.
 GRAM = 16
-#: Text bytes of a block, and of the parts over which anchors and zones are dealt.
-BLOCK_BYTES = 4 << 20
+#: Text bytes for each of the parts over which anchors and zones are dealt.
 PART_BYTES = 8 << 20
 #: An anchor of more documents sends its windows one by one.
 HOT_DOCUMENTS = 2000
@@ -53,61 +52,6 @@ _WHOLE = 255   # in an answer: all windows of the zone
 _GRAMS = np.random.default_rng(11).integers(0, 1 << 64, 256, dtype=np.uint64)
 
 
-# ---- blocks -------------------------------------------------------------
-@dataclass(frozen=True)
-class Block:
-    """Texts in ascending order of id; ``known[k]`` is False for a NULL id."""
-
-    ids: np.ndarray
-    known: np.ndarray
-    offsets: np.ndarray
-    data: np.ndarray
-
-
-def packed(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``block, ids, known, lengths, payload`` with the texts compressed."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        first = TaskContext.get().partitionId() << 32
-        held: list[pa.RecordBatch] = []
-        size = count = 0
-
-        def block() -> pa.RecordBatch:
-            t = pa.Table.from_batches(held).combine_chunks()
-            ids = t["doc_id"].combine_chunks()
-            known = np.asarray(ids.is_valid())
-            ids = np.asarray(ids.fill_null(0))
-            order = np.lexsort((ids, ~known))
-            texts = t["text"].combine_chunks().take(pa.array(order))
-            raw, offsets = text_bytes(texts)
-            lengths = np.diff(offsets)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([first + count], pa.int64()), pa.array([ids[order].tobytes()]),
-                 pa.array([known[order].tobytes()]), pa.array([lengths.tobytes()]),
-                 pa.array([zstandard.ZstdCompressor(level=1).compress(raw.tobytes())])],
-                names=["block", "ids", "known", "lengths", "payload"])
-
-        for batch in slices(batches, block_bytes):
-            held.append(batch)
-            size += int(pa.compute.sum(pa.compute.binary_length(batch.column(1))).as_py() or 0)
-            if size >= block_bytes:
-                yield block()
-                held, size, count = [], 0, count + 1
-        if held:
-            yield block()
-
-    return id_and_text(docs).withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(
-        run, "block long, ids binary, known binary, lengths binary, payload binary")
-
-
-def _unpack(row: dict) -> Block:
-    lengths = np.frombuffer(row["lengths"], np.int64)
-    raw = zstandard.ZstdDecompressor().decompress(row["payload"],
-                                                  max_output_size=int(lengths.sum()) + 1)
-    return Block(np.frombuffer(row["ids"], np.int64), np.frombuffer(row["known"], bool),
-                 np.concatenate([[0], np.cumsum(lengths)]), np.frombuffer(raw, np.uint8))
-
-
 # ---- anchors and zones --------------------------------------------------
 @dataclass(frozen=True)
 class Zones:
@@ -171,23 +115,15 @@ def _unique_anchors(z: Zones) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return known, at, np.minimum(np.bincount(pairs >> 31, minlength=known.size), 255)
 
 
-def _by_part(part: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(part, kind="stable")
-    cuts = np.searchsorted(part[order], np.arange(parts + 1))
-    for k in range(parts):
-        if cuts[k] < cuts[k + 1]:
-            yield k, order[cuts[k]:cuts[k + 1]]
-
-
 def anchor_rows(blocks: DataFrame, parts: int, width: int) -> DataFrame:
     """``part, block, low, high, documents``: 40 bits of each distinct anchor's hash, by part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                known, _, documents = _unique_anchors(zones(_unpack(row), width))
+                known, _, documents = _unique_anchors(zones(unpack(row), width))
                 rest = known // np.uint64(parts)
                 out: list[tuple] = []
-                for k, pick in _by_part((known % np.uint64(parts)).astype(np.int64), parts):
+                for k, pick in by_part((known % np.uint64(parts)).astype(np.int64), parts):
                     out.append((k, row["block"], rest[pick].astype(np.uint32).tobytes(),
                                 (rest[pick] >> np.uint64(32)).astype(np.uint8).tobytes(),
                                 documents[pick].astype(np.uint8).tobytes()))
@@ -222,7 +158,7 @@ def _zone_flags(z: Zones, flags: list, parts: int) -> np.ndarray:
     known, at, _ = _unique_anchors(z)
     out = np.zeros(known.size, np.uint8)
     sent = {f["part"]: f["flags"] for f in flags or ()}
-    for k, pick in _by_part((known % np.uint64(parts)).astype(np.int64), parts):
+    for k, pick in by_part((known % np.uint64(parts)).astype(np.int64), parts):
         out[pick] = np.frombuffer(sent[k], np.uint8)
     return out[at]
 
@@ -271,11 +207,11 @@ def zone_rows(flagged: DataFrame, parts: int, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                block = _unpack(row)
+                block = unpack(row)
                 z = zones(block, width)
                 s = spans_to_send(block, z, _zone_flags(z, row["flags"], parts), width)
                 out = []
-                for k, pick in _by_part((s.key % np.uint64(parts)).astype(np.int64), parts):
+                for k, pick in by_part((s.key % np.uint64(parts)).astype(np.int64), parts):
                     lengths = s.last[pick] - s.first[pick] + width
                     take = np.repeat(s.first[pick], lengths) + (
                         np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths))
@@ -409,7 +345,7 @@ def answers(rows: DataFrame, width: int) -> DataFrame:
         got = np.concatenate([np.flatnonzero(whole), span[found]])
         window = np.concatenate([np.full(whole.sum(), _WHOLE), inside[found]]).astype(np.uint8)
         out = []
-        for k, pick in _by_part(block[got], len(parts)):
+        for k, pick in by_part(block[got], len(parts)):
             out.append((t["block"].iloc[k], np.int64(pick.size).tobytes()
                         + number[got[pick]].tobytes() + window[pick].tobytes()))
         return pd.DataFrame(out, columns=["block", "payload"])
@@ -503,7 +439,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, hot: int = HOT_DOCUMENTS
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                block = _unpack(row)
+                block = unpack(row)
                 z = zones(block, width)
                 s = spans_to_send(block, z, _zone_flags(z, row["flags"], parts), width)
                 yield _cut(block, covered(block, s, row["found"], width), with_text)
