@@ -2,11 +2,12 @@
 
 Texts are lower-cased word by word and encoded once into subword ids. The
 model factors a subword's probability: attention over the ids before it gives
-the probability of its class, and the counts of all training documents give
-its probability within the class. Frequent ids are classes of their own, the
-others are clustered by the ids they stand beside. The attention weights are
-trained by gradient descent on a bounded sample of training documents. Every
-text is scored in overlapping windows, batched and masked, each id once.
+the probability of its group and of its class in the group, and the counts of
+all training documents give its probability within the class. Frequent ids are
+classes of their own, the others share one class a group; groups hold ids that
+stand beside the same ids. The attention weights are trained by gradient
+descent on a bounded sample of training documents. Every text is scored in
+overlapping windows, batched and masked, each id once.
 
 Beside that stands a word unigram base. Word counts cover all training
 documents and are not broadcast: blocks of documents send their distinct words
@@ -35,12 +36,15 @@ from .words import LOWER, words
 #: Training documents and ids of each on which the attention weights are fitted.
 SAMPLE_DOCUMENTS = 2000
 SAMPLE_IDS = 4000
-STEPS = 600
-#: Classes: so many most frequent ids, the text's end, and clusters of the others.
-FREQUENT, CLUSTERS = 95, 32
-CLASSES = FREQUENT + 1 + CLUSTERS
-#: Ids read at once, and ids from one window's start to the next one's.
-WINDOW, HOP = 32, 24
+STEPS = 1500
+#: Groups, and classes of each; the last class of a group holds its less frequent ids.
+GROUPS, MEMBERS = 32, 32
+CLASSES = GROUPS * MEMBERS
+#: Ids whose neighbourhood makes the groups.
+NEIGHBOURS = 96
+#: Ids that a window scores, and those before them that it reads as well.
+HOP, CONTEXT = 24, 8
+WINDOW = CONTEXT + HOP
 WIDTH = 32
 #: Text bytes for each of the parts that add up word counts.
 PART_BYTES = 8 << 20
@@ -118,7 +122,7 @@ class Attention:
     weights: dict[str, np.ndarray]
 
     @staticmethod
-    def initial(class_of: np.ndarray, inside: np.ndarray, start: np.ndarray,
+    def initial(class_of: np.ndarray, inside: np.ndarray, start: tuple[np.ndarray, np.ndarray],
                 seed: int = 5) -> "Attention":
         rng = np.random.default_rng(seed)
         draw = lambda *shape: rng.normal(0, shape[0] ** -0.5, shape).astype(np.float32)
@@ -126,49 +130,72 @@ class Attention:
              "place": rng.normal(0, 0.1, (WINDOW, WIDTH)).astype(np.float32),
              "qkv": draw(WIDTH, 3 * WIDTH), "mixed": draw(WIDTH, WIDTH),
              "hidden": draw(WIDTH, WIDTH), "hidden_bias": np.zeros(WIDTH, np.float32),
-             "out": draw(WIDTH, CLASSES) * 0.1, "out_bias": start.astype(np.float32)}
+             "group": draw(WIDTH, GROUPS) * 0.1, "group_bias": start[0].astype(np.float32),
+             "member": rng.normal(0, 0.02, (GROUPS, WIDTH, MEMBERS)).astype(np.float32),
+             "member_bias": start[1].astype(np.float32)}
         return Attention(class_of, inside, w)
 
     def forward(self, x: np.ndarray) -> tuple[np.ndarray, tuple]:
-        """Logits (windows, WINDOW, CLASSES) for classes ``x`` (windows, WINDOW)."""
+        """State (windows, HOP, WIDTH) from which the class after each of the last ``HOP`` follows."""
         w = self.weights
-        e = w["embed"][x] + w["place"]
-        q, k, v = np.split(e @ w["qkv"], 3, axis=2)
-        score = q @ k.transpose(0, 2, 1) * np.float32(WIDTH ** -0.5)
-        score += _MASK
-        score -= score.max(axis=2, keepdims=True)
-        att = np.exp(score, out=score)
+        flat = lambda z: z.reshape(-1, WIDTH)  # noqa: E731  one product for all windows
+        e = w["embed"][x]
+        e += w["place"]
+        k = (flat(e) @ w["qkv"][:, WIDTH:2 * WIDTH]).reshape(e.shape)
+        v = (flat(e) @ w["qkv"][:, 2 * WIDTH:]).reshape(e.shape)
+        last = np.ascontiguousarray(e[:, CONTEXT:])
+        q = (flat(last) @ (w["qkv"][:, :WIDTH] * np.float32(WIDTH ** -0.5))).reshape(last.shape)
+        att = q @ k.transpose(0, 2, 1)
+        np.minimum(att, 30, out=att)
+        np.exp(att, out=att)
+        att *= _SEEN
         att /= att.sum(axis=2, keepdims=True)
         a = att @ v
-        h = e + a @ w["mixed"]
-        t = np.tanh(h @ w["hidden"] + w["hidden_bias"])
-        return (h + t) @ w["out"] + w["out_bias"], (e, q, k, v, att, a, h, t)
+        h = last + (flat(a) @ w["mixed"]).reshape(a.shape)
+        t = (flat(h) @ w["hidden"]).reshape(h.shape)
+        t += w["hidden_bias"]
+        np.maximum(t, 0, out=t)
+        return h + t, (e, q, k, v, att, a, h, t)
+
+    def _by_group(self, y: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        return by_part(y // MEMBERS, GROUPS)
 
     def gradients(self, x: np.ndarray, y: np.ndarray, used: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients of the mean log loss over the positions ``used``."""
         w = self.weights
-        logits, (e, q, k, v, att, a, h, t) = self.forward(x)
-        logits -= logits.max(axis=2, keepdims=True)
-        d = np.exp(logits)
-        d /= d.sum(axis=2, keepdims=True)
-        np.put_along_axis(d, y[..., None], np.take_along_axis(d, y[..., None], 2) - 1, 2)
-        d *= (used / max(1, used.sum()))[..., None].astype(np.float32)
+        state, (e, q, k, v, att, a, h, t) = self.forward(x)
         flat = lambda z: z.reshape(-1, z.shape[-1])
-        g = {"out": flat(h + t).T @ flat(d), "out_bias": flat(d).sum(axis=0)}
-        dh = d @ w["out"].T
-        dt = dh * (1 - t * t)
+        at = np.flatnonzero(used)
+        out, target = flat(state)[at], y.ravel()[at]
+        back = np.zeros_like(flat(state))
+        d = _softmax(out @ w["group"] + w["group_bias"])
+        d[np.arange(at.size), target // MEMBERS] -= 1
+        d /= max(1, at.size)
+        g = {"group": out.T @ d, "group_bias": d.sum(axis=0),
+             "member": np.zeros_like(w["member"]), "member_bias": np.zeros_like(w["member_bias"])}
+        back[at] = d @ w["group"].T
+        for c, pick in self._by_group(target):
+            d = _softmax(out[pick] @ w["member"][c] + w["member_bias"][c])
+            d[np.arange(pick.size), target[pick] % MEMBERS] -= 1
+            d /= at.size
+            g["member"][c], g["member_bias"][c] = out[pick].T @ d, d.sum(axis=0)
+            back[at[pick]] += d @ w["member"][c].T
+        dh = back.reshape(state.shape)
+        dt = dh * (t > 0)
         g["hidden"], g["hidden_bias"] = flat(h).T @ flat(dt), flat(dt).sum(axis=0)
         dh = dh + dt @ w["hidden"].T
         g["mixed"] = flat(a).T @ flat(dh)
         da = dh @ w["mixed"].T
         datt = da @ v.transpose(0, 2, 1)
-        ds = att * (datt - (datt * att).sum(axis=2, keepdims=True)) * np.float32(WIDTH ** -0.5)
-        dqkv = np.concatenate([ds @ k, ds.transpose(0, 2, 1) @ q, att.transpose(0, 2, 1) @ da], 2)
-        g["qkv"] = flat(e).T @ flat(dqkv)
-        de = dh + dqkv @ w["qkv"].T
+        ds = att * (datt - (datt * att).sum(axis=2, keepdims=True))
+        dq = (ds @ k) * np.float32(WIDTH ** -0.5)
+        dkv = np.concatenate([ds.transpose(0, 2, 1) @ q, att.transpose(0, 2, 1) @ da], axis=2)
+        g["qkv"] = np.concatenate([flat(e[:, CONTEXT:]).T @ flat(dq), flat(e).T @ flat(dkv)], 1)
+        de = dkv @ w["qkv"][:, WIDTH:].T
+        de[:, CONTEXT:] += dh + dq @ w["qkv"][:, :WIDTH].T
         g["place"] = de.sum(axis=0)
-        g["embed"] = np.zeros_like(w["embed"])
-        np.add.at(g["embed"], x.ravel(), flat(de))
+        g["embed"] = np.stack([np.bincount(x.ravel(), flat(de)[:, c], minlength=CLASSES + 1)
+                               for c in range(WIDTH)], axis=1).astype(np.float32)
         return g
 
     def log_probabilities(self, ids: np.ndarray, offsets: np.ndarray, batch: int = 512
@@ -178,66 +205,94 @@ class Attention:
         out = np.empty(ids.size)
         for k in range(0, len(x), batch):
             cut = slice(k, k + batch)
-            logits, _ = self.forward(x[cut])
-            logits = logits[used[cut]]
-            top = logits.max(axis=1)
-            own = logits[np.arange(top.size), y[cut][used[cut]]]
-            out[at[cut][used[cut]]] = own - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
+            state, _ = self.forward(x[cut])
+            state, target = state[used[cut]], y[cut][used[cut]]
+            w = self.weights
+            logits = state @ w["group"]
+            logits += w["group_bias"]
+            value = _chosen(logits, target // MEMBERS)
+            for c, pick in self._by_group(target):
+                logits = state[pick] @ w["member"][c]
+                logits += w["member_bias"][c]
+                value[pick] += _chosen(logits, target[pick] % MEMBERS)
+            out[at[cut][used[cut]]] = value
         return out + self.inside[ids]
 
 
-_MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
+    return logits
+
+
+def _chosen(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log probability of one entry of each row."""
+    own = logits[np.arange(at.size), at].astype(np.float64)
+    np.minimum(logits, 80, out=logits)
+    np.exp(logits, out=logits)
+    return own - np.log(logits.sum(axis=1, dtype=np.float64))
+
+
+#: A position sees itself and what stands before it in the window.
+_SEEN = np.tril(np.ones((WINDOW, WINDOW), np.float32))[CONTEXT:]
 
 
 def _windows(classes: np.ndarray, offsets: np.ndarray
              ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Overlapping windows: classes read, classes to predict, positions, scored here.
+    """Overlapping windows: classes read, classes to predict, positions, which of them count.
 
-    The first window of a text scores all it holds, each later one its last
-    ``HOP`` positions, so every position is scored once.
+    A window reads ``CONTEXT`` classes for their sake only and predicts what
+    follows each of the others, so every position is scored once. A text
+    is preceded by start classes.
     """
-    before = np.empty_like(classes)
-    before[1:] = classes[:-1]
-    before[offsets[:-1][np.diff(offsets) > 0]] = CLASSES
     n = np.diff(offsets)
-    per = np.where(n > 0, 1 + np.maximum(0, -(-(n - WINDOW) // HOP)), 0)
+    per = -(-n // HOP)
     text = np.repeat(np.arange(n.size), per)
-    rank = np.arange(text.size) - np.repeat(np.cumsum(per) - per, per)
-    at = offsets[text][:, None] + (rank * HOP)[:, None] + np.arange(WINDOW)
+    first = (np.arange(text.size) - np.repeat(np.cumsum(per) - per, per)) * HOP
+    at = (offsets[text] + first)[:, None] + np.arange(HOP)
     used = at < offsets[text + 1][:, None]
-    used[rank > 0, :WINDOW - HOP] = False
     at = np.minimum(at, offsets[text + 1][:, None] - 1)
-    return before[at], classes[at], at, used
+    read = (offsets[text] + first)[:, None] + np.arange(-CONTEXT, HOP) - 1
+    begun = read >= offsets[text][:, None]
+    x = np.where(begun, classes[np.clip(read, 0, classes.size - 1)], CLASSES)
+    return x, classes[at], at, used
 
 
 def classes_of(counts: np.ndarray, sample: np.ndarray, rounds: int = 8, seed: int = 5
                ) -> np.ndarray:
-    """Class of each id: the most frequent alone, the end alone, the others by their neighbours."""
-    size = counts.size - 1
-    frequent = np.lexsort((np.arange(size), -counts[:size]))[:FREQUENT]
-    out = FREQUENT + 1 + np.arange(size + 1) % CLUSTERS   # ids that the sample lacks
-    rank = np.full(size + 1, -1)
-    rank[frequent] = np.arange(frequent.size)
-    rank[size] = FREQUENT
-    beside = np.zeros((size + 1, 2 * (FREQUENT + 1)), np.float32)
-    for shift, column in ((sample[:-1], 0), (sample[1:], FREQUENT + 1)):
-        own = sample[1:] if column == 0 else sample[:-1]
-        ok = rank[shift] >= 0
-        np.add.at(beside, (own[ok], column + rank[shift][ok]), 1)
-    met = np.flatnonzero((beside.sum(axis=1) > 0) & (rank < 0))
+    """Class of each id (the last id is the end): groups by neighbours, members by frequency."""
+    size = counts.size
+    order = np.lexsort((np.arange(size), -counts))
+    rank = np.full(size, NEIGHBOURS)
+    rank[order[:NEIGHBOURS]] = np.arange(NEIGHBOURS)
+    beside = np.zeros((size, 2 * (NEIGHBOURS + 1)), np.float32)
+    for own, other, column in ((sample[1:], sample[:-1], 0),
+                               (sample[:-1], sample[1:], NEIGHBOURS + 1)):
+        cell = own * beside.shape[1] + column + rank[other]
+        beside += np.bincount(cell, minlength=beside.size).reshape(beside.shape)
+    rows = np.sqrt(beside)
+    rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
+    met = np.flatnonzero(beside.any(axis=1))
+    group = np.arange(size) % GROUPS   # ids that the sample lacks
+    near = np.zeros((size, GROUPS), np.float32)
     if met.size:
-        rows = np.sqrt(beside[met])
-        rows /= np.linalg.norm(rows, axis=1, keepdims=True)
         rng = np.random.default_rng(seed)
-        centres = rows[rng.choice(met.size, CLUSTERS, replace=met.size < CLUSTERS)]
+        centres = rows[rng.choice(met, GROUPS, replace=met.size < GROUPS)]
         for _ in range(rounds):
-            nearest = (rows @ centres.T).argmax(axis=1)
-            for c in range(CLUSTERS):
-                if (own := rows[nearest == c]).size:
+            group[met] = (rows[met] @ centres.T).argmax(axis=1)
+            for c in range(GROUPS):
+                own = rows[met[group[met] == c]] * np.sqrt(counts[met[group[met] == c]] + 1)[:, None]
+                if own.size:
                     centres[c] = own.sum(axis=0) / max(1e-9, np.linalg.norm(own.sum(axis=0)))
-        out[met] = FREQUENT + 1 + nearest
-    out[frequent] = np.arange(frequent.size)
-    out[size] = FREQUENT
+        near = rows @ centres.T
+        group[met] = near[met].argmax(axis=1)
+    out = group * MEMBERS + MEMBERS - 1
+    room = np.zeros(GROUPS, np.int64)
+    for i in order[:GROUPS * (MEMBERS - 1)].tolist():   # the nearest group with a class left
+        c = int(np.where(room < MEMBERS - 1, near[i], -1.0).argmax())
+        out[i] = c * MEMBERS + room[c]
+        room[c] += 1
     return out
 
 
@@ -248,7 +303,10 @@ def train(counts: np.ndarray, sample: np.ndarray, offsets: np.ndarray, steps: in
     smoothed = counts + 0.5
     total = np.bincount(class_of, smoothed, minlength=CLASSES)
     inside = np.log(smoothed / total[class_of])
-    model = Attention.initial(class_of, inside, np.log(np.maximum(total, 0.5) / total.sum()), seed)
+    total = np.maximum(total, 0.5).reshape(GROUPS, MEMBERS)
+    model = Attention.initial(class_of, inside, (np.log(total.sum(axis=1) / total.sum()),
+                                                 np.log(total / total.sum(axis=1, keepdims=True))),
+                              seed)
     x, y, _, used = _windows(class_of[sample], offsets)
     if not len(x):
         return model
