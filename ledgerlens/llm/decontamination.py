@@ -142,8 +142,10 @@ def projection(texts: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int =
     values, vectors = np.linalg.eigh((core + core.T) / 2)
     half = vectors / np.sqrt(np.maximum(values, shift))
     directions, strength, _ = np.linalg.svd(y @ half, full_matrices=False)
-    strength = np.maximum(strength[:rank], 1e-6 * max(strength[0], 1e-12))
-    return np.ascontiguousarray((idf[:, None] * directions[:, :rank] / strength).T, np.float32)
+    # Directions that the passages do not span are noise and count nothing.
+    strength = strength[:rank]
+    scale = np.where(strength > 1e-3 * strength[0], 1 / np.maximum(strength, 1e-12), 0)
+    return np.ascontiguousarray((idf[:, None] * directions[:, :rank] * scale).T, np.float32)
 
 
 # ---- items and windows --------------------------------------------------

@@ -261,7 +261,7 @@ class ToxicityModel:
     def score(self, texts: pa.Array) -> np.ndarray:
         text, h = _distinct(words(*text_bytes(texts), LETTERS))
         at, ok = _look_up(h, self.vocabulary)
-        total = np.bincount(text[ok], self.weight[at[ok]], minlength=len(texts))
+        total = np.bincount(text[ok], self.weight[at[ok]], len(texts)).astype(np.float64)
         total += _pattern_votes(texts) @ self.weight[self.vocabulary.size:] + self.bias
         return 1.0 / (1.0 + np.exp(-total))
 
