@@ -18,7 +18,7 @@ held against each other too, so no link between them is lost.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -136,7 +136,7 @@ def _plausible(sketch: np.ndarray, i: np.ndarray, j: np.ndarray, size: np.ndarra
 
 
 def _star_pairs(key: np.ndarray, doc: np.ndarray, size: np.ndarray, bands: np.ndarray,
-                sketch: np.ndarray, part: np.ndarray) -> np.ndarray:
+                sketch: np.ndarray) -> np.ndarray:
     """(smallest id, id) of every run, where plausible."""
     found = [np.zeros((0, 2), np.int64)]
     for j in range(bands.shape[1]):
@@ -149,46 +149,27 @@ def _star_pairs(key: np.ndarray, doc: np.ndarray, size: np.ndarray, bands: np.nd
     return np.unique(doc[pairs], axis=0)
 
 
-def _cross_pairs(key: np.ndarray, doc: np.ndarray, size: np.ndarray, bands: np.ndarray,
-                 sketch: np.ndarray, part: np.ndarray) -> np.ndarray:
-    """Plausible pairs of a group that share a band and lie in different components."""
-    found = [np.zeros((0, 2), np.int64)]
-    starts = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
-    ends = np.append(starts[1:], key.size)
-    for a, b in zip(starts.tolist(), ends.tolist()):
-        for i in range(a, b - 1):
-            rest = np.arange(i + 1, b)
-            rest = rest[part[rest] != part[i]]
-            rest = rest[(bands[rest] == bands[i]).any(axis=1)]
-            if rest.size:
-                rest = rest[_plausible(sketch, np.full(rest.size, i), rest, size)]
-                found.append(np.stack([np.full(rest.size, doc[i]), doc[rest]], axis=1))
-    return np.unique(np.concatenate(found), axis=0)
-
-
-def _pairs(rows: DataFrame, pick: Callable[..., np.ndarray], by_band: bool = True) -> DataFrame:
-    """Candidate pairs ``a < b`` inside the groups of ``key``.
-
-    With ``by_band`` the pairs must share a band of the second collection;
-    without, the key stands for one already.
-    """
+def _pairs(rows: DataFrame) -> DataFrame:
+    """Star pairs ``a < b`` inside the groups of ``key``; a second band must meet as well."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _whole_groups(batches):
             t = t.combine_chunks()
-            sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(
-                t.num_rows, -1)
+            sketch = _sketches(t)
             half = np.ascontiguousarray(sketch[:, sketch.shape[1] // 2:])
-            bands = half.view(np.int32) if by_band else np.zeros((t.num_rows, 1), np.int32)
-            got = pick(np.asarray(t["key"]), np.asarray(t["doc_id"]), np.asarray(t["n_shingles"]),
-                       bands, sketch, np.asarray(t["component"]))
+            got = _star_pairs(np.asarray(t["key"]), np.asarray(t["doc_id"]),
+                              np.asarray(t["n_shingles"]), half.view(np.int32), sketch)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(got.min(axis=1)), pa.array(got.max(axis=1))], names=["a", "b"])
 
-    return (rows.select("key", "doc_id", "n_shingles", "sketch", "component")
+    return (rows.select("key", "doc_id", "n_shingles", "sketch")
             .repartition("key").sortWithinPartitions("key", "doc_id")
             .mapInArrow(run, "a long, b long").distinct())
 
 
+def _sketches(t: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(t.num_rows, -1)
+
+
 def _large_star(rows: DataFrame) -> DataFrame:
     """Star pairs of the large groups' tables by grouping, with partial minima per task."""
     heads = rows.groupBy("key").agg(F.min(F.struct("doc_id", "n_shingles")).alias("head"))
@@ -198,26 +179,79 @@ def _large_star(rows: DataFrame) -> DataFrame:
             .selectExpr("head.doc_id AS a", "doc_id AS b").distinct())
 
 
-def _with_components(rows: DataFrame, parts: DataFrame) -> DataFrame:
-    """Rows of the groups that touch several components, with the component of each set."""
-    named = (rows.drop("component")
-             .join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-             .withColumn("component", F.coalesce("component", "doc_id")))
-    mixed = (named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-             .filter("x <> y").select("key"))
-    return named.join(mixed, "key", "left_semi")
+# ---- between components -------------------------------------------------
+def _cells(stars: DataFrame, parts: DataFrame, size: int) -> DataFrame:
+    """Sets of the clusters with several components, dealt into cells.
 
+    ``key, doc_id, component, outside, asks``: a cell holds at most about
+    ``size`` sets that ask (outside the cluster's largest component) and as
+    many that are asked. Together the cells of a cluster hold each pair.
+    """
+    nodes = (components(stars).withColumnRenamed("component", "cluster")
+             .join(parts, "node", "left")
+             .select(F.col("node").alias("doc_id"), "cluster",
+                     F.coalesce("component", "node").alias("component")))
+    sizes = nodes.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"))
+    mixed = (sizes.groupBy("cluster").agg(
+        F.max(F.struct("n", (-F.col("component")).alias("c"))).alias("top"),
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+        .selectExpr("cluster", "-top.c AS main", f"CAST(ceil(n / {size}) AS INT) AS asked_parts",
+                    f"CAST(ceil((n - top.n) / {size}) AS INT) AS asking_parts"))
+    rows = (nodes.join(mixed, "cluster")
+            .withColumn("outside", F.expr("component <> main"))
+            .withColumn("own", F.xxhash64("doc_id")))
+    asked = rows.selectExpr(
+        "*", "false AS asks", "CAST(pmod(own, asked_parts) AS INT) AS y",
+        "explode(sequence(0, asking_parts - 1)) AS x")
+    asking = rows.filter("outside").selectExpr(
+        "*", "true AS asks", "CAST(pmod(own, asking_parts) AS INT) AS x",
+        "explode(sequence(0, asked_parts - 1)) AS y")
+    return asked.unionByName(asking).select(
+        F.xxhash64("cluster", "x", "y").alias("key"), "doc_id", "component", "outside", "asks")
+
+
+def _links_between(cells: DataFrame, sketches: DataFrame, texts: DataFrame, shingle: int
+                   ) -> DataFrame:
+    """Links ``(a, b)`` that join components inside the cells, confirmed on the full sets.
+
+    Within a cell, components that a link has joined are one from then on.
+    """
+    rows = cells.join(sketches, "doc_id").join(texts, "doc_id").select(
+        "key", "doc_id", "component", "outside", "asks", "sketch", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _whole_groups(batches):
+            t = t.combine_chunks()
+            key, doc = np.asarray(t["key"]), np.asarray(t["doc_id"])
+            outside, asks = np.asarray(t["outside"]), np.asarray(t["asks"])
+            sketch = _sketches(t)
+            sets = [s for b in slices(t.select(["text"]).to_batches()) for s in shingle_sets(
+                words(*text_bytes(b.column(0))), shingle)]
+            size = np.array([s.size for s in sets])
+            part = np.asarray(t["component"]).copy()
+            starts = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
+            found = []
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), key.size]):
+                there = np.arange(a, b)
+                asked = there[~asks[a:b]]
+                for i in there[asks[a:b]].tolist():
+                    # Of two sets that both ask, the smaller id does.
+                    other = asked[~outside[asked] | (doc[asked] > doc[i])]
+                    other = other[part[other] != part[i]]
+                    other = other[_plausible(sketch, np.full(other.size, i), other, size)]
+                    for j in other.tolist():
+                        if part[i] == part[j]:
+                            continue
+                        common = np.intersect1d(sets[i], sets[j], assume_unique=True).size
+                        if 100 * common >= SIMILARITY * (size[i] + size[j] - common):
+                            found.append((min(doc[i], doc[j]), max(doc[i], doc[j])))
+                            part[there[part[there] == part[j]]] = part[i]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x for x, _ in found], pa.int64()),
+                 pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
-def _cells(rows: DataFrame, size: int) -> DataFrame:
-    """Groups of more than ``size`` rows cut into parts; each pair of parts is a group of its own."""
-    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    parts = F.ceil(F.col("n") / F.lit(size)).cast("int")
-    own = F.pmod(F.xxhash64("doc_id"), F.col("_parts")).cast("int")
-    return (rows.join(counts, "key").withColumn("_parts", parts).withColumn("_own", own)
-            .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-            .withColumn("key", F.xxhash64("key", F.least("_own", "_other"),
-                                          F.greatest("_own", "_other")))
-            .drop("n", "_parts", "_own", "_other"))
+    return (rows.repartition("key").sortWithinPartitions("key", "doc_id")
+            .mapInArrow(run, "a long, b long"))
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -265,25 +299,19 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, large_group: int = LARG
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     grouped = materialized(
         keyed.join(shared, "key").join(reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
-        .select("key", "n", "doc_id", "n_shingles", "sketch",
-                F.col("doc_id").alias("component")), "groups")
+        .select("key", "n", "doc_id", "n_shingles", "sketch"), "groups")
     small = grouped.filter(F.col("n") <= large_group)
     # A band of the second collection is so many bytes of the sketch's second half.
     band = F.expr(f"substring(sketch, {bands * BAND_ROWS} + j * {BAND_ROWS} + 1, {BAND_ROWS})")
     large = (grouped.filter(F.col("n") > large_group)
              .withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))))
-             .select(F.xxhash64("key", "j", band).alias("key"), "doc_id", "n_shingles",
-                     "component"))
-    stars = materialized(_pairs(small, _star_pairs).union(_large_star(large)).distinct(), "stars")
+             .select(F.xxhash64("key", "j", band).alias("key"), "doc_id", "n_shingles"))
+    stars = materialized(_pairs(small).union(_large_star(large)).distinct(), "stars")
     links = materialized(confirmed(stars, docs), "confirmed")
     parts = components(links)
-    mixed = _cells(_with_components(large, parts), large_group).join(
-        reps.select("doc_id", "sketch"), "doc_id")
-    cross = materialized(
-        _pairs(_with_components(small, parts), _cross_pairs)
-        .union(_pairs(mixed, _cross_pairs, by_band=False)).distinct()
-        .join(stars, ["a", "b"], "left_anti"), "cross")
-    more = confirmed(cross, docs)
+    cells = materialized(_cells(stars, parts, large_group), "cells")
+    more = _links_between(cells, reps.select("doc_id", "sketch"),
+                          id_and_text(docs).dropDuplicates(["doc_id"]), SHINGLE)
     linked = parts.selectExpr("node AS a", "component AS b").union(more)
     final = components(linked)
     of_set = (by_set.join(final.withColumnRenamed("node", "rep"), "rep", "left")
