@@ -1,42 +1,41 @@
-"""Exact mean and population variance for fixed-point amounts.
-
-Double ``avg``/``var_pop`` change in the last bits with the partitioning,
-so results would differ run to run. Amounts with a known number of
-decimals are summed as decimals instead; the sums are exact and
-order-free, and only the final division happens in double.
-
-The inputs are pre-aggregated ``(value, multiplicity)`` rows, so the sums
-are ``sum(a*m)`` and ``sum(a*a*m)``; they equal the sums over the raw rows.
-All builders return SQL expression text over column names.
+"""Exact sums, mean and population variance of fixed-point amounts.
+
+Double ``avg``/``var_pop`` change in the last bits with the partitioning. An
+amount with ``scale`` decimals is a whole number of units of 10^-scale; whole
+numbers are added exactly and in any order, and only the final division is in
+double. Nothing is rounded on the way: an amount that is missing or has more
+decimals, and a sum that leaves decimal(38), raise an error whatever the
+session's ANSI setting. All builders return SQL expression text.
 """
 
 from __future__ import annotations
 
 
-def _dec(c: str, scale: int) -> str:
-    # 18 integer digits: amounts up to 1e18 before ANSI raises.
-    return f"CAST({c} AS DECIMAL({18 + scale},{scale}))"
+def sql_strict(expression: str, message: str) -> str:
+    """``expression``, or an error where it is NULL."""
+    return f"coalesce({expression}, raise_error('{message}'))"
+
 
+def sql_units(value: str, scale: int) -> str:
+    """``value`` as a whole number of units, exactly."""
+    exact = f"try_cast({value} AS DECIMAL(38,{scale}))"
+    units = f"try_cast({exact} * {10 ** scale}BD AS BIGINT)"
+    kept = f"CASE WHEN CAST({exact} AS DOUBLE) = {value} THEN {units} END"
+    return sql_strict(kept, f"amount is missing, too large or has more than {scale} decimals")
 
-def sql_moment_sums(value: str, mult: str, scale: int) -> tuple[str, str]:
-    """Aggregates ``(s, q)``: exact sum and sum of squares of ``value`` weighted by ``mult``."""
-    a, m = _dec(value, scale), f"CAST({mult} AS DECIMAL(20,0))"
-    return f"sum({a} * {m})", f"sum({a} * {a} * {m})"
 
+def sql_decimal_double(units: str, scale: int) -> str:
+    """A whole number of units of 10^-scale as the nearest double."""
+    return f"CAST(concat(CAST({units} AS STRING), 'E-{scale}') AS DOUBLE)"
 
-def sql_mean_from_sums(s: str, n: str) -> str:
-    return f"CAST({s} AS DOUBLE) / CAST({n} AS DOUBLE)"
 
+def sql_wide(value: str) -> str:
+    return f"CAST({value} AS DECIMAL(38,0))"
 
-def sql_var_pop_from_sums(n: str, s: str, q: str) -> str:
-    """``(n*q - s*s) / n^2``, computed exactly while it fits in decimal(38).
 
-    Past that range (n and amounts both astronomically large) the exact
-    numerator overflows; ``try_*`` turns that into NULL and the double
-    formula takes over instead of failing the job.
-    """
-    exact_num = f"try_subtract(try_multiply(CAST({n} AS DECIMAL(20,0)), {q}), try_multiply({s}, {s}))"
-    nn = f"(CAST({n} AS DOUBLE) * CAST({n} AS DOUBLE))"
-    mean = sql_mean_from_sums(s, n)
-    approx = f"greatest(CAST({q} AS DOUBLE) / CAST({n} AS DOUBLE) - ({mean}) * ({mean}), 0.0D)"
-    return f"coalesce(CAST({exact_num} AS DOUBLE) / {nn}, {approx})"
+def sql_product(*factors: str) -> str:
+    """Product of whole numbers in decimal(38), or an error."""
+    out = sql_wide(factors[0])
+    for f in factors[1:]:
+        out = f"try_cast(try_multiply({out}, {sql_wide(f)}) AS DECIMAL(38,0))"
+    return sql_strict(out, "amounts are too large for exact sums")

@@ -77,51 +77,29 @@ def sql_span(v: str) -> str:
 
 
 # ---- Column helpers -----------------------------------------------------
-def hms(ts: str) -> Column:
-    return expr(sql_hms(ts))
-
-
-def hour_of(time_str: str) -> Column:
-    return expr(sql_hour_of(time_str))
-
-
-def second_of_day(time_str: str) -> Column:
-    return expr(sql_second_of_day(time_str))
-
-
-def pct(part: str, total: str) -> Column:
-    return expr(sql_pct(part, total))
-
-
-def share(part: str, total: str) -> Column:
-    return expr(sql_share(part, total))
-
-
-def span(c: str) -> Column:
-    return expr(sql_span(c))
-
-
-def count_in(c: str, low: float | None, high: float | None,
-             low_inclusive: bool = False, high_inclusive: bool = False) -> Column:
-    """number of rows whose value lies in a bucket (aggregate)."""
-    return expr(f"count_if({sql_in_range(c, low, high, low_inclusive, high_inclusive)})")
-
-
 def type_id(prefix: str, index: Column) -> Column:
     """F8: prefix + index with at least two digits (``7`` -> ``07``, ``100`` stays ``100``)."""
     return F.concat(F.lit(prefix), F.format_string("%02d", index.cast("long")))
 
 
-def pad_or_zero(c: Column) -> Column:
-    """missing slot of a top-k list becomes the string ``"0"``."""
-    return F.coalesce(c, F.lit("0"))
-
-
 def delimited(cols: Sequence[str | Column], sep: str = "|") -> Column:
     """Tuple to delimited line; NULL prints as an empty field."""
     return F.concat_ws(sep, *[F.coalesce(col(c).cast("string"), F.lit("")) for c in cols])
 
 
+def strict_number(c: str | Column, kind: str = "double", blank: object = None) -> Column:
+    """Text to a number; anything that is none raises an error, with ANSI on or off.
+
+    ``blank`` is the value of blank and NULL text (``None``: an error too).
+    """
+    text = F.trim(col(c).cast("string"))
+    number = F.coalesce(text.try_cast(kind), F.raise_error(
+        F.concat(F.lit("not a number: "), F.coalesce(text, F.lit("NULL")))).cast(kind))
+    if blank is None:
+        return number
+    return F.when(F.coalesce(text, F.lit("")) == "", F.lit(blank).cast(kind)).otherwise(number)
+
+
 def number_or_zero(c: str | Column) -> Column:
-    """Feature text to double; blank or unparsable becomes 0.0."""
-    return F.coalesce(F.trim(col(c).cast("string")).try_cast("double"), F.lit(0.0))
+    """Feature text to double; blank becomes 0.0, other text must be a number."""
+    return strict_number(c, "double", 0.0)

@@ -1,9 +1,6 @@
-"""Order-dependent numbering without gathering a group into one task.
+"""Order-dependent numbering without gathering all rows into one task.
 
 ``global_position``: 1-based position of every row in a total order.
-``running_sum``: running sum per key, split into pieces of the order.
-
-Global position:
 
 ``row_number()`` over a window without ``partitionBy`` moves every row into
 one task. This version keeps the work spread out:
@@ -50,36 +47,3 @@ def global_position(df: DataFrame, order: list[Column], name: str = "pos") -> Da
         .withColumn(name, F.col("_offset") + F.col("_local") + F.lit(1))
         .drop("_part", "_local", "_offset")
     )
-
-
-def running_sum(df: DataFrame, key: str, order: str, weight: str, piece: str,
-                cum: str = "_cum", total: str = "_total") -> DataFrame:
-    """Per ``key``: inclusive running sum of ``weight`` along ``order``, and the key total.
-
-    Same result as ``sum(weight) over (partition by key order by order)``,
-    but a key holding a large share of the rows is not put in one task.
-    ``piece`` (SQL text) is a coarsening of ``order`` that never decreases as
-    ``order`` grows (e.g. ``floor(amount / width)``); it splits each key into
-    pieces:
-
-    1. running sum inside each (key, piece) -- one window group per piece;
-    2. one row per (key, piece) with the piece's sum; a window per key over
-       those rows gives each piece the sum of the pieces before it;
-    3. running sum = offset of the piece + running sum inside it.
-
-    Deterministic (no sampled bounds), so nothing has to be materialised.
-    ``(key, order)`` must be unique, as after a grouping on both.
-    """
-    cols = df.columns
-    pieced = df.selectExpr("*", f"{piece} AS _piece")
-    ranked = pieced.selectExpr(
-        "*", f"sum({weight}) OVER (PARTITION BY `{key}`, _piece ORDER BY `{order}`"
-             " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _inside")
-    pieces = pieced.groupBy(key, "_piece").agg(F.expr(f"sum({weight}) AS _piece_sum"))
-    offsets = pieces.selectExpr(
-        f"`{key}`", "_piece",
-        f"coalesce(sum(_piece_sum) OVER (PARTITION BY `{key}` ORDER BY _piece"
-        " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _offset",
-        f"sum(_piece_sum) OVER (PARTITION BY `{key}`) AS `{total}`")
-    return (ranked.join(offsets, [key, "_piece"])
-            .selectExpr(*[f"`{c}`" for c in cols], f"_offset + _inside AS `{cum}`", f"`{total}`"))

@@ -12,12 +12,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exact import sql_mean_from_sums, sql_moment_sums, sql_var_pop_from_sums
+from ..functions.exact import sql_decimal_double, sql_product, sql_strict, sql_units, sql_wide
 from ..functions.expressions import expr, sql_hour_of, sql_in_range, sql_pct, sql_span
-from ..functions.ranking import running_sum
 
 
 @dataclass(frozen=True)
@@ -92,85 +91,100 @@ def bucket_rates(df: DataFrame, keys: Sequence[str], value: str,
     return grouped.agg(*aggs)
 
 
-# Width of the amount pieces a user's amounts are split into for the median
-# (with two decimals: at most 1,000,000 distinct amounts per piece).
-AMOUNT_PIECE_WIDTH = 10_000.0
+# Units (10^-scale of the currency) in a piece of a user's amounts.
+PIECE_UNITS = 1_000_000
+MISSING_AMOUNT = "amount is missing"
 
 
 def amount_stats(trans: DataFrame, key: str = "uid", amount: str = "trans_amt",
-                 exact_scale: int | None = 2, with_ranges: bool = False,
-                 split_users: bool = True,
-                 piece_width: float = AMOUNT_PIECE_WIDTH) -> DataFrame:
+                 exact_scale: int = 2, with_ranges: bool = False,
+                 piece_units: int = PIECE_UNITS) -> DataFrame:
     """A1-A3: per user min, max, exact median, mean and population variance.
 
-    Plan: count each distinct ``(user, amount)`` (partial aggregate before
-    the shuffle); a running count over each user's distinct amounts gives
-    every amount its rank range; one aggregate then picks the middle
-    value(s) and the sums.
+    Plan: each user's amounts are cut into pieces of ``piece_units``. One
+    grouping by (user, piece), with a partial step in every map task, gives
+    counts, extremes and exact sums; a window over those few rows names the
+    one or two pieces that hold the middle ranks. Only the amounts of those
+    pieces are counted and ranked, at most ``piece_units`` distinct ones in
+    a window group, however many rows the user has.
 
-    ``split_users`` (default) computes the running count piece by piece
-    (``functions.ranking.running_sum``, pieces ``floor(amount /
-    piece_width)``): a window group holds at most ``piece_width *
-    10**exact_scale`` distinct amounts, however many rows the user has.
-    ``False`` uses one window per user: fewer stages, but all of a user's
-    distinct amounts sit in one task.
-
-    ``exact_scale`` = number of decimals of the amounts: mean and variance
-    are then exact decimal sums (stable under any partitioning). ``None``
-    uses double arithmetic with a two-pass variance.
+    ``exact_scale`` = number of decimals of the amounts, up to 6. An amount
+    that is NULL, has more decimals or is beyond 9.2e18 units raises an error,
+    as do sums beyond decimal(38); nothing is rounded or dropped.
 
     ``with_ranges`` adds the A5 columns (``amt_count`` and the per-user
-    bucket percents) from the same pass, weighting each distinct amount
-    by its count.
+    bucket percents) from the same pass.
     """
-    counted = trans.groupBy(key, amount).agg(expr("count(1)", "_m"))
-    if split_users:
-        ranked = running_sum(counted, key, amount, "_m",
-                             f"floor(`{amount}` / {float(piece_width)!r}D)",
-                             cum="_cum", total="_n")
-    else:
-        ordered = Window.partitionBy(key).orderBy(amount)
-        whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranked = (counted
-                  .withColumn("_cum", F.sum("_m").over(upto))
-                  .withColumn("_n", F.sum("_m").over(whole)))
-    if exact_scale is None:
-        means = counted.groupBy(key).agg(expr(f"sum(`{amount}` * _m) / sum(_m)", "_mean"))
-        ranked = ranked.join(means, key)
-    a = f"`{amount}`"
-    lo, hi = "floor((_n - 1) / 2)", "floor(_n / 2)"   # middle ranks (equal when n is odd)
+    if not 0 <= exact_scale <= 6:
+        raise ValueError(f"exact_scale={exact_scale}")
+    w = int(piece_units)
+    rows = trans.selectExpr(f"`{key}`", f"`{amount}` AS _a",
+                            f"{sql_units(f'`{amount}`', exact_scale)} AS _u")
+    rows = rows.selectExpr("*", f"pmod(_u, {w}L) AS _o")
+    rows = rows.selectExpr("*", f"CAST((_u - _o) DIV {w} AS BIGINT) AS _piece")
+    counts = [expr(f"count_if({b.holds('_a')})", f"_{b.name}")
+              for b in USER_AMOUNT_BUCKETS] if with_ranges else []
+    pieces = rows.groupBy(key, "_piece").agg(
+        expr("count(1)", "_n"), expr("min(_a)", "_min"), expr("max(_a)", "_max"),
+        expr("sum(CAST(_o AS DECIMAL(20,0)))", "_s"),
+        expr("sum(CAST(_o AS DECIMAL(20,0)) * CAST(_o AS DECIMAL(18,0)))", "_q"), *counts)
+    whole, upto = f"PARTITION BY `{key}`", f"PARTITION BY `{key}` ORDER BY _piece"
+    pieces = pieces.selectExpr(
+        "*", f"sum(_n) OVER ({whole}) AS _total", f"min(_piece) OVER ({whole}) AS _first",
+        f"sum(_n) OVER ({upto} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - _n AS _before")
+    # Amounts relative to the user's first piece: d = (piece - first) * width + offset.
+    shift = f"{sql_wide('_piece')} - {sql_wide('_first')}"
+    moved = pieces.selectExpr("*", f"{sql_product(shift, str(w))} AS _d").selectExpr(
+        "*", f"{sql_wide('_s')} + {sql_product('_n', '_d')} AS _ds",
+        f"{sql_wide('_q')} + {sql_product('2', '_d', '_s')} + {sql_product('_n', '_d', '_d')}"
+        " AS _dq")
+    strict_sum = "amounts are too large for exact sums"
+    per_user = moved.groupBy(key).agg(
+        expr("min(_min)", "min_amt"), expr("max(_max)", "max_amt"), expr("sum(_n)", "amt_count"),
+        expr("min(_first)", "_first"), expr(sql_strict("try_sum(_ds)", strict_sum), "_ds"),
+        expr(sql_strict("try_sum(_dq)", strict_sum), "_dq"),
+        *[expr(sql_pct(f"sum(`_{b.name}`)", "sum(_n)"), b.name)
+          for b in (USER_AMOUNT_BUCKETS if with_ranges else ())])
+    spread = (f"try_subtract({sql_product('amt_count', '_dq')}, {sql_product('_ds', '_ds')})")
+    total = f"{sql_product('amt_count', '_first', str(w))} + {sql_wide('_ds')}"
+    stats = per_user.selectExpr(
+        f"`{key}`", "min_amt", "max_amt",
+        f"{sql_decimal_double(total, exact_scale)} / CAST(amt_count AS DOUBLE) AS avg_amt",
+        f"{sql_decimal_double(sql_strict(spread, strict_sum), 2 * exact_scale)}"
+        " / (CAST(amt_count AS DOUBLE) * CAST(amt_count AS DOUBLE)) AS var_amt",
+        *(["amt_count", *[b.name for b in USER_AMOUNT_BUCKETS]] if with_ranges else []))
+    medians = _medians(rows, pieces, key)
+    out = stats.join(medians, key)
+    lead = [key, "min_amt", "max_amt", "mid_amt"]
+    return out.select(*lead, *[c for c in out.columns if c not in lead])
+
+
+def _medians(rows: DataFrame, pieces: DataFrame, key: str) -> DataFrame:
+    """``mid_amt`` per user, from the amounts of the pieces that hold the middle ranks."""
+    lo, hi = "(_total - 1) DIV 2", "_total DIV 2"   # 0-based middle ranks, equal when n is odd
+    chosen = pieces.selectExpr(f"`{key}`", "_piece", "_before", "_n", f"{lo} AS _lo",
+                               f"{hi} AS _hi").filter(
+        "(_lo >= _before AND _lo < _before + _n) OR (_hi >= _before AND _hi < _before + _n)")
+    counted = (rows.join(chosen.select(key, "_piece", "_before", "_lo", "_hi"), [key, "_piece"])
+               .groupBy(key, "_piece", "_before", "_lo", "_hi", "_a").agg(expr("count(1)", "_m")))
+    ranked = counted.selectExpr(
+        "*", f"_before + sum(_m) OVER (PARTITION BY `{key}`, _piece ORDER BY _a"
+             " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _cum")
 
     def at(rank: str) -> str:
         # the amount whose copies cover 0-based rank `rank`: first copy at _cum - _m
-        return f"max(CASE WHEN _cum - _m <= {rank} AND {rank} < _cum THEN {a} END)"
-
-    aggs = [
-        expr(f"min({a})", "min_amt"),
-        expr(f"max({a})", "max_amt"),
-        expr(f"({at(lo)} + {at(hi)}) / 2.0D", "mid_amt"),
-    ]
-    if with_ranges:
-        aggs += [expr("sum(_m)", "amt_count"),
-                 *rate_aggs(a, USER_AMOUNT_BUCKETS, weight="_m")]
-    if exact_scale is None:
-        aggs += [
-            expr(f"sum({a} * _m) / sum(_m)", "avg_amt"),
-            expr(f"sum(_m * ({a} - _mean) * ({a} - _mean)) / sum(_m)", "var_amt"),
-        ]
-        return ranked.groupBy(key).agg(*aggs)
-    s, q = sql_moment_sums(a, "_m", exact_scale)
-    aggs += [expr("sum(_m)", "_n"), expr(s, "_s"), expr(q, "_q")]
-    return (ranked.groupBy(key).agg(*aggs)
-            .withColumn("avg_amt", expr(sql_mean_from_sums("_s", "_n")))
-            .withColumn("var_amt", expr(sql_var_pop_from_sums("_n", "_s", "_q")))
-            .drop("_n", "_s", "_q"))
+        return f"max(CASE WHEN _cum - _m <= {rank} AND {rank} < _cum THEN _a END)"
+
+    return ranked.groupBy(key).agg(expr(f"({at('_lo')} + {at('_hi')}) / 2.0D", "mid_amt"))
 
 
 def amount_range(trans: DataFrame, amount: str = "trans_amt") -> DataFrame:
-    """A4: one row -- count, min, max and the four amount-bucket percents."""
+    """A4: one row -- count, min, max and the four amount-bucket percents.
+
+    A NULL amount raises an error, as in ``amount_stats``.
+    """
     return bucket_rates(trans, [], amount, AMOUNT_BUCKETS, extra=[
-        F.count(F.lit(1)).alias("amt_count"),
+        expr(f"count({sql_strict(f'`{amount}`', MISSING_AMOUNT)})", "amt_count"),
         F.min(amount).alias("amt_min"),
         F.max(amount).alias("amt_max"),
     ])
@@ -178,9 +192,13 @@ def amount_range(trans: DataFrame, amount: str = "trans_amt") -> DataFrame:
 
 def user_amount_range(trans: DataFrame, key: str = "uid",
                       amount: str = "trans_amt") -> DataFrame:
-    """A5: per user -- count and percents of (100,1000), (1000,10000), >10000."""
+    """A5: per user -- count and percents of (100,1000), (1000,10000), >10000.
+
+    A NULL amount raises an error, as in ``amount_stats``.
+    """
     return bucket_rates(trans, [key], amount, USER_AMOUNT_BUCKETS,
-                        extra=[F.count(F.lit(1)).alias("amt_count")])
+                        extra=[expr(f"count({sql_strict(f'`{amount}`', MISSING_AMOUNT)})",
+                                    "amt_count")])
 
 
 def days_range(log: DataFrame, day: str, key: str = "uid", prefix: str = "") -> DataFrame:
