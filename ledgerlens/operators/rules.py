@@ -35,21 +35,13 @@ def _pairs(rank: DataFrame) -> DataFrame:
     return rank.filter("a2 IS NOT NULL").selectExpr("uid", "a1", "a2", "cnt")
 
 
-def _with_dominant(rank: DataFrame) -> DataFrame:
-    # The first row of each leader in (leader, count desc, follower) order.
-    # One window per user (not per user and leader) so that the grouping
-    # by user that follows reuses the same partitioning.
-    return _pairs(rank).selectExpr(
-        "*", "coalesce(lag(a1) OVER (PARTITION BY uid ORDER BY a1, cnt DESC, a2) <> a1, true)"
-             " AS _dominant")
-
-
 def dominant_follower(rank: DataFrame) -> DataFrame:
     """Per (user, leader) the follower with the highest count, ties by id.
 
-    Columns ``uid, a1, a2, cnt``.
+    One grouping with a partial minimum. Columns ``uid, a1, a2, cnt``.
     """
-    return _with_dominant(rank).filter("_dominant").selectExpr("uid", "a1", "a2", "cnt")
+    return (_pairs(rank).groupBy("uid", "a1").agg(expr("min(struct(-cnt AS c, a2))", "_top"))
+            .selectExpr("uid", "a1", "_top.a2 AS a2", "-_top.c AS cnt"))
 
 
 def risk_flags(rank: DataFrame, rules: RiskRules = DEFAULT_RULES) -> DataFrame:
@@ -61,15 +53,13 @@ def risk_flags(rank: DataFrame, rules: RiskRules = DEFAULT_RULES) -> DataFrame:
     * flag3 = 0.0 when any leader or follower id, as a number, exceeds
       ``rules.id_limit``, else 1.0.
     """
-    marked = _with_dominant(rank)
-
     def follows(rule: FollowRule) -> str:
         followers = ", ".join(_quote(f) for f in rule.followers)
-        return (f"max(CASE WHEN _dominant AND a1 = {_quote(rule.leader)} AND a2 IN ({followers})"
-                f" THEN 1.0D ELSE 0.0D END)")
+        top = f"min(CASE WHEN a1 = {_quote(rule.leader)} THEN struct(-cnt AS c, a2) END).a2"
+        return f"CASE WHEN {top} IN ({followers}) THEN 1.0D ELSE 0.0D END"
 
     top_id = "max(greatest(CAST(a1 AS INT), CAST(a2 AS INT)))"
-    return marked.groupBy("uid").agg(
+    return _pairs(rank).groupBy("uid").agg(
         expr(follows(rules.flag1), "flag1"),
         expr(follows(rules.flag2), "flag2"),
         expr(f"CASE WHEN {top_id} > {int(rules.id_limit)} THEN 0.0D ELSE 1.0D END", "flag3"),

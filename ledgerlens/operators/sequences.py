@@ -6,9 +6,9 @@ source (operations before transactions), then type id (W5). The
 sequence is kept as rows, not as one array per user-day: identical
 ``(uid, day, time, src, type_id)`` actions are first counted into one
 row with a multiplicity ``mult`` (a partial aggregate before the
-shuffle). A user-day then holds at most 86,400 seconds x the number of
-type ids such rows, whatever the number of raw actions, and the windows
-below run over those rows.
+shuffle). Windows run inside the hours of a user-day; a small table with
+one row per (user, day, hour) carries position and neighbours from one hour
+to the next, so a hot user-day is not one task.
 
 Tokens (W6), for a sequence s of length n: for each i < n-1 emit
 ``s[i]-s[i+1]`` when they differ; when equal emit the single ``s[i]``
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import expr, second_of_day, sql_share
+from ..functions.expressions import expr, sql_second_of_day, sql_share
 
 SEQ_ORDER = ("time", "src", "type_id")
 OP_SRC = 0
@@ -53,55 +53,65 @@ def keyed_actions(actions: DataFrame) -> DataFrame:
 
 
 def sequence_keys(op_encoded: DataFrame, trans_encoded: DataFrame) -> DataFrame:
-    """A17 for the slim logs: same rows as ``keyed_actions(encoded_actions(...))``.
+    """A17 for the slim logs: ``keyed_actions(encoded_actions(...))``.
 
-    The slim operation log is already distinct on (uid, day, type, time)
-    and ids are one-to-one with types, so every operation key has
-    ``mult = 1``: only the transactions (distinct on seven columns, so
-    several may share a key) need the counting shuffle.
+    Two operations become one key when their day texts name the same day or
+    their types have the same id, so both logs are counted.
     """
-    ops = op_encoded.selectExpr("uid", "op_day AS day", "op_time AS time",
-                                f"{OP_SRC} AS src", "type_id", "CAST(1 AS BIGINT) AS mult")
-    trans = keyed_actions(trans_encoded.selectExpr(
-        "uid", "trans_day AS day", "trans_time AS time", f"{TRANS_SRC} AS src", "type_id"))
-    return ops.unionByName(trans)
+    return keyed_actions(encoded_actions(op_encoded, trans_encoded))
 
 
-DAY_WINDOW = "PARTITION BY uid, day ORDER BY time, src, type_id"
+HOUR = "substring(time, 1, 2)"
+HOUR_WINDOW = "PARTITION BY uid, day, _hour ORDER BY time, src, type_id"
+DAY_HOURS = "PARTITION BY uid, day ORDER BY _hour"
+DAY_KEYS = ["uid", "day", "_hour"]
 
 
-def daily_sequences(keyed: DataFrame) -> DataFrame:
-    """The ordered sequence as rows; ``pos`` = 1-based position of the
-    first of the ``mult`` copies. ``uid, day, pos, time, src, type_id, mult``."""
-    return keyed.selectExpr(
-        "uid", "day",
-        f"sum(mult) OVER ({DAY_WINDOW} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-        " - mult + 1 AS pos",
-        *SEQ_ORDER, "mult")
+def _hours(keyed: DataFrame) -> DataFrame:
+    """Per (user, day, hour): actions before it, all of the day, last id before, first id after.
 
+    One row per hour that has actions; the windows over a day see those
+    rows only. ``time`` sorts by its first two characters first.
+    """
+    ends = keyed.selectExpr("uid", "day", f"{HOUR} AS _hour", "time", "src", "type_id", "mult")
+    ends = ends.groupBy(*DAY_KEYS).agg(
+        expr("sum(mult)", "_actions"),
+        expr("min(struct(time, src, type_id)).type_id", "_first"),
+        expr("max(struct(time, src, type_id)).type_id", "_last"))
+    return ends.selectExpr(
+        *DAY_KEYS,
+        f"sum(_actions) OVER ({DAY_HOURS} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        " - _actions AS _before",
+        "sum(_actions) OVER (PARTITION BY uid, day) AS _total",
+        f"lag(_last) OVER ({DAY_HOURS}) AS _last_before",
+        f"lead(_first) OVER ({DAY_HOURS}) AS _first_after")
+
+
+def _in_hours(keyed: DataFrame) -> DataFrame:
+    """``keyed`` with its hour and what the hours of the day carry over."""
+    return keyed.selectExpr("*", f"{HOUR} AS _hour").join(_hours(keyed), DAY_KEYS)
+
+
+def _positions(keyed: DataFrame) -> DataFrame:
+    return _in_hours(keyed).selectExpr(
+        "uid", "day",
+        f"_before + sum(mult) OVER ({HOUR_WINDOW} ROWS BETWEEN UNBOUNDED PRECEDING"
+        " AND CURRENT ROW) - mult + 1 AS pos",
+        *SEQ_ORDER, "mult", "_total")
 
-def sequence_text(keyed: DataFrame) -> DataFrame:
-    """``uid, day, action_types, action_times`` as ``-``-joined text.
 
-    Text sink only: each output line is a whole user-day by definition of
-    the format. Everything downstream works on the row form.
-    """
-    acts = F.array_sort(F.collect_list(F.struct(*SEQ_ORDER, "mult")))
-    expanded = F.flatten(F.transform(acts, lambda a: F.array_repeat(a, a["mult"].cast("int"))))
-    return (keyed.groupBy("uid", "day").agg(expanded.alias("_acts"))
-            .select("uid", "day",
-                    F.array_join(F.transform("_acts", lambda a: a["type_id"]), "-")
-                    .alias("action_types"),
-                    F.array_join(F.transform("_acts", lambda a: a["time"]), "-")
-                    .alias("action_times")))
+def daily_sequences(keyed: DataFrame) -> DataFrame:
+    """The ordered sequence as rows; ``pos`` = 1-based position of the
+    first of the ``mult`` copies. ``uid, day, pos, time, src, type_id, mult``."""
+    return _positions(keyed).drop("_total")
 
 
 def token_occurrences(keyed: DataFrame) -> DataFrame:
     """One row per emitted token, ``(uid, day, a1, a2)``; ``a2`` NULL for singles."""
-    marked = keyed.selectExpr(
+    marked = _in_hours(keyed).selectExpr(
         "uid", "day", "type_id", "mult",
-        f"lead(type_id) OVER ({DAY_WINDOW}) AS _next",
-        f"lag(type_id) OVER ({DAY_WINDOW}) AS _prev")
+        f"coalesce(lead(type_id) OVER ({HOUR_WINDOW}), _first_after) AS _next",
+        f"coalesce(lag(type_id) OVER ({HOUR_WINDOW}), _last_before) AS _prev")
     is_pair = "(_next IS NOT NULL AND _next <> type_id)"
     is_single = "(_next IS NULL AND (mult >= 2 OR _prev IS NULL OR _prev = type_id))"
     return (marked.filter(f"{is_pair} OR {is_single}")
@@ -162,17 +172,17 @@ def follow_rates_text(rates: DataFrame) -> DataFrame:
         F.concat(F.lit("["), F.array_join(text, ","), F.lit("]")).alias("related"))
 
 
-def long_days(sequences: DataFrame, threshold: int = 20, n_series: int = 2) -> DataFrame:
-    """Plotting data -- the first ``n_series`` user-days (by uid, day) with more
-    than ``threshold`` actions, as ``(second_of_day, action id)`` points.
+def long_days(keyed: DataFrame, threshold: int = 20, n_series: int | None = None) -> DataFrame:
+    """Plotting data -- the user-days with more than ``threshold`` actions, as
+    ``(second_of_day, action id)`` points.
 
-    The size test is an aggregate; picking the days is a top-n; the points
-    come back through a semi join against those ``n_series`` keys.
+    Sizes come with the positions, in one pass. ``n_series`` keeps the first
+    so many of those days (by uid, day) for a plot; by default all are given.
     """
-    sizes = (sequences.groupBy("uid", "day").agg(F.sum("mult").alias("n_actions"))
-             .filter(F.col("n_actions") > threshold))
-    chosen = sizes.orderBy("uid", "day").limit(n_series)
-    return (sequences.join(F.broadcast(chosen), ["uid", "day"], "inner")
-            .select("uid", "day", "pos", "mult", "n_actions",
-                    second_of_day("time").alias("second"),
-                    F.col("type_id").cast("double").alias("action")))
+    points = _positions(keyed).filter(f"_total > {int(threshold)}")
+    if n_series is not None:
+        chosen = points.select("uid", "day").distinct().orderBy("uid", "day").limit(int(n_series))
+        points = points.join(chosen, ["uid", "day"], "left_semi")
+    return points.select("uid", "day", "pos", "mult", F.col("_total").alias("n_actions"),
+                         expr(sql_second_of_day("time"), "second"),
+                         F.col("type_id").cast("double").alias("action"))
