@@ -1,21 +1,28 @@
-"""Session helpers: a configured local session for tests/bench, and lineage cuts.
+"""Session helpers: a configured local session for tests and bench, stage tables.
 
 Library functions never create a session; they take DataFrames. The
-caller owns the cluster configuration.
+caller owns the cluster configuration and names a shared folder in
+``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "ledgerlens") -> SparkSession:
-    """Session for tests and the local bench (never used by the library itself)."""
+    """Session for tests and the local bench, with a scratch folder that goes with the process."""
+    scratch = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
+    atexit.register(shutil.rmtree, scratch, ignore_errors=True)
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -26,6 +33,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", scratch)
         .config("spark.driver.memory", os.environ.get("LEDGERLENS_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
@@ -35,12 +43,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Checkpoint directory of the session.
+    """Checkpoint folder of the session, as set on it or named in ``spark.checkpoint.dir``.
 
-    Uses what the cluster names in ``spark.checkpoint.dir``. Only a local
-    master with no setting (tests) gets a fresh scratch folder; on a
-    cluster a missing setting is an error, since a machine-local folder
-    would not survive a lost executor.
+    A session without one is an error: the library does not pick a folder
+    that other executors may not see.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,9 +55,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        configured = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir="/tmp")
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -62,16 +66,44 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# ---- stage tables -------------------------------------------------------
+#: Stage tables written by this process and not released yet.
+_stages: list[str] = []
+
+
 def materialized(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
     For a stage that several branches of one plan read (the slim logs):
     each branch then scans a pruned columnar table instead of recomputing
     the stage with its own scan and shuffle. Survives executor loss like
-    any written table.
+    any written table. The tables live in one folder per application until
+    ``release_stages`` or the ``stages`` block around them ends.
     """
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/tables/{name}-{uuid.uuid4().hex}"
+    path = f"{root}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _stages.append(path)
     return spark.read.parquet(path)
+
+
+def release_stages(spark: SparkSession, keep: int = 0) -> None:
+    """Delete the stage tables written after the first ``keep`` ones.
+
+    Call it when no DataFrame that reads them is needed any more.
+    """
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while len(_stages) > keep:
+        path = jvm.org.apache.hadoop.fs.Path(_stages.pop())
+        path.getFileSystem(hadoop).delete(path, True)
+
+
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[None]:
+    """Owner of the stage tables written inside the block: they are deleted at its end."""
+    before = len(_stages)
+    try:
+        yield
+    finally:
+        release_stages(spark, before)
