@@ -9,14 +9,14 @@ None of the inputs is broadcast by hand: each grows with the user count.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.expressions import delimited, number_or_zero
+from ..functions.expressions import delimited
+from ..sources.tables import parse_lines
 
 AMOUNT_STAT_COLUMNS = ["min_amt", "max_amt", "mid_amt", "avg_amt", "var_amt"]
 AMOUNT_RANGE_COLUMNS = ["amt_count", "thousand_rate", "ten_thousand_rate",
@@ -56,17 +56,18 @@ def to_delimited(merged: DataFrame, sep: str = "|") -> DataFrame:
     return merged.select(delimited(MERGED_COLUMNS, sep).alias("value"))
 
 
-def parse_delimited(lines: DataFrame, value: str = "value", sep: str = "|") -> DataFrame:
-    """Back to ``uid``, ``label`` and 38 numeric features.
+def feature_schema(columns: Sequence[str]) -> T.StructType:
+    """``uid`` and numeric columns, the layout of every feature table in text form."""
+    return T.StructType([T.StructField("uid", T.StringType()),
+                         *[T.StructField(c, T.DoubleType()) for c in columns]])
 
-    The uid is the text before the first separator (F2); fields keep
-    trailing blanks (limit -1, F1); a blank or non-numeric field is 0.0.
+
+def parse_delimited(lines: DataFrame, value: str = "value", sep: str = "|",
+                    columns: Sequence[str] = ("label", *FEATURE_COLUMNS)) -> DataFrame:
+    """Lines ``uid|...`` of any feature table back to ``uid`` and numbers.
+
+    Blank features are 0.0; a blank label and text that is not a number raise
+    an error.
     """
-    v = F.col(value)
-    rest = F.expr(f"substr({value}, instr({value}, '{sep}') + 1)")
-    fields = F.split(rest, re.escape(sep), -1)
-    return lines.select(
-        F.substring_index(v, sep, 1).alias("uid"),
-        number_or_zero(fields.getItem(0)).alias("label"),
-        *[number_or_zero(fields.getItem(i + 1)).alias(c) for i, c in enumerate(FEATURE_COLUMNS)],
-    )
+    return parse_lines(lines, feature_schema(columns), sep, value,
+                       blank_zero=[c for c in columns if c != "label"])

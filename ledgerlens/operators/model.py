@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,10 +49,23 @@ def feature_width(compat: bool = False) -> int:
 def _numeric_stage(cols: list[str]) -> SQLTransformer:
     # Numbers as double, missing -> 0.0; part of the saved model, so
     # scoring applies the same conversion.
-    exprs = ", ".join(f"coalesce(try_cast({c} as double), 0.0) AS {c}__x" for c in cols)
+    # Blank text is 0.0 too; other text that is not a number fails the job.
+    exprs = ", ".join(
+        f"CASE WHEN coalesce(trim(CAST({c} AS STRING)), '') = '' THEN 0.0D ELSE "
+        f"coalesce(try_cast(trim(CAST({c} AS STRING)) AS DOUBLE), "
+        f"raise_error('not a number in {c}')) END AS {c}__x" for c in cols)
     return SQLTransformer(statement=f"SELECT *, {exprs} FROM __THIS__")
 
 
+def feature_vectors(merged: DataFrame, compat: bool = False) -> DataFrame:
+    """``uid`` and the model's feature vector as an array of doubles."""
+    cols = model_features(compat)
+    numeric = _numeric_stage(cols).transform(merged)
+    assembled = VectorAssembler(inputCols=[f"{c}__x" for c in cols],
+                                outputCol="features").transform(numeric)
+    return assembled.select("uid", vector_to_array("features").alias("features"))
+
+
 def tree_pipeline(compat: bool = False, seed: int = 7, label: str = "label") -> Pipeline:
     """M2 + M3: numeric conversion -> ``VectorAssembler`` -> ``DecisionTreeClassifier``."""
     cols = model_features(compat)

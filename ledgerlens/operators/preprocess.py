@@ -8,22 +8,27 @@ user's copies collapse before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.expressions import strict_number
+
+
+def _number(df: DataFrame, c: str, kind: str) -> Column:
+    """``c`` as a number: text strictly, a numeric column as it is."""
+    is_text = dict(df.dtypes)[c] == "string"
+    return (strict_number(c, kind) if is_text else F.col(c).cast(kind)).alias(c)
+
 
 def slim_operations(raw_ops: DataFrame) -> DataFrame:
     """``uid, op_day int, op_type, op_time`` of the operation log, distinct."""
-    return (
-        raw_ops.selectExpr(
-            "CAST(uid AS STRING) AS uid",
-            "day AS op_day",
-            "coalesce(CAST(mode AS STRING), '') AS op_type",
-            "CAST(time AS STRING) AS op_time",
-        )
-        .distinct()
-        .selectExpr("uid", "CAST(op_day AS INT) AS op_day", "op_type", "op_time")
-    )
+    slim = raw_ops.selectExpr(
+        "CAST(uid AS STRING) AS uid",
+        "day AS op_day",
+        "coalesce(CAST(mode AS STRING), '') AS op_type",
+        "CAST(time AS STRING) AS op_time",
+    ).distinct()
+    return slim.select("uid", _number(slim, "op_day", "int"), "op_type", "op_time")
 
 
 def slim_transactions(raw_trans: DataFrame) -> DataFrame:
@@ -31,22 +36,20 @@ def slim_transactions(raw_trans: DataFrame) -> DataFrame:
 
     The amount is converted before the de-duplication, so ``1.0`` and
     ``1.00`` are the same amount; the day is converted after it, as the
-    text day was. Casts trim blanks and, with ANSI on, fail on bad text.
+    text day was. Casts trim blanks and fail on bad or missing text.
     """
-    return (
-        raw_trans.selectExpr(
-            "CAST(uid AS STRING) AS uid",
-            "CAST(channel AS STRING) AS trans_channel",
-            "day AS trans_day",
-            "CAST(trans_amt AS DOUBLE) AS trans_amt",
-            "CAST(time AS STRING) AS trans_time",
-            "coalesce(CAST(trans_type1 AS STRING), '') AS trans_type1",
-            "coalesce(CAST(trans_type2 AS STRING), '') AS trans_type2",
-        )
-        .distinct()
-        .selectExpr("uid", "trans_channel", "CAST(trans_day AS INT) AS trans_day", "trans_amt",
-                    "trans_time", "trans_type1", "trans_type2")
+    slim = raw_trans.selectExpr(
+        "CAST(uid AS STRING) AS uid",
+        "CAST(channel AS STRING) AS trans_channel",
+        "day AS trans_day",
+        "trans_amt",
+        "CAST(time AS STRING) AS trans_time",
+        "coalesce(CAST(trans_type1 AS STRING), '') AS trans_type1",
+        "coalesce(CAST(trans_type2 AS STRING), '') AS trans_type2",
     )
+    slim = slim.withColumn("trans_amt", _number(slim, "trans_amt", "double")).distinct()
+    return slim.select("uid", "trans_channel", _number(slim, "trans_day", "int"),
+                       "trans_amt", "trans_time", "trans_type1", "trans_type2")
 
 
 def all_users(op_base: DataFrame, trans_base: DataFrame) -> DataFrame:

@@ -23,16 +23,17 @@ from .stats import value_counts
 OP_PREFIX = "0"
 TRANS_PREFIX = "1"
 
-# Largest dictionary joined by broadcast; a bigger one takes a shuffle join.
-BROADCAST_MAX_ROWS = 200_000
-# Largest dictionary ranked in a single task; a bigger one is ranked over
-# range partitions (functions.ranking.global_position).
-SINGLE_TASK_RANK_MAX_ROWS = 200_000
+# Largest dictionary joined by broadcast, in bytes; a bigger one takes a shuffle
+# join, where AQE can split a hot type.
+BROADCAST_MAX_BYTES = 16 << 20
+# Bytes of a dictionary row beside its type text, generously.
+ROW_BYTES = 64
+_SIZE = f"coalesce(sum(octet_length(type) + {ROW_BYTES}), 0)"
 
 
 @dataclass(frozen=True)
 class TypeIndex:
-    """A fitted dictionary ``(type, type_id, cnt)`` and its row count."""
+    """A fitted dictionary ``(type, type_id, cnt)`` and its size in bytes."""
 
     table: DataFrame
     size: int
@@ -43,7 +44,7 @@ class TypeIndex:
     @staticmethod
     def load(spark: SparkSession, path: str) -> "TypeIndex":
         table = spark.read.parquet(path)
-        return TypeIndex(table, table.count())
+        return TypeIndex(table, int(table.agg(F.expr(_SIZE)).first()[0]))
 
 
 def type_counts(log: DataFrame, column: str) -> DataFrame:
@@ -56,18 +57,13 @@ def fit_type_index(log: DataFrame, column: str, prefix: str) -> TypeIndex:
 
     The log is aggregated once and the counted table (one row per type) is
     materialised in the checkpoint folder; ranking and every later use read
-    that. Its row count is observed while it is written (no extra job). A
-    counted table above ``SINGLE_TASK_RANK_MAX_ROWS`` is ranked over range
-    partitions instead of in one task.
+    that. Its size is observed while it is written (no extra job). It is
+    ranked over range partitions, whatever its size.
     """
     observed = Observation(f"type_index_{column}")
-    counts = checkpointed(type_counts(log, column).observe(observed, F.count(F.lit(1)).alias("n")))
-    size = int(observed.get["n"])
-    order = [F.desc("cnt"), F.asc("type")]
-    if size <= SINGLE_TASK_RANK_MAX_ROWS:
-        ranked = counts.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
-    else:
-        ranked = global_position(counts, order, "rank")
+    counts = checkpointed(type_counts(log, column).observe(observed, F.expr(f"{_SIZE} AS n")))
+    size = int(observed.get["n"] or 0)
+    ranked = global_position(counts, [F.desc("cnt"), F.asc("type")], "rank")
     table = ranked.select("type", type_id(prefix, F.col("rank")).alias("type_id"), "cnt")
     return TypeIndex(table, size)
 
@@ -78,12 +74,12 @@ def encode(log: DataFrame, index: TypeIndex, column: str, out: str = "type_id",
 
     ``unknown``: ``"drop"`` rows whose type has no id (inner join, J1/J2),
     ``"error"`` fails the job (the lookup of J3), ``"zero"`` maps to ``"0"``.
-    The dictionary is broadcast only when its known row count allows it.
+    The dictionary is broadcast only when its known size allows it.
     """
     if unknown not in ("drop", "error", "zero"):
         raise ValueError(f"unknown={unknown!r}")
     lookup = index.table.select(F.col("type").alias(column), F.col("type_id").alias(out))
-    if index.size <= BROADCAST_MAX_ROWS:
+    if index.size <= BROADCAST_MAX_BYTES:
         lookup = F.broadcast(lookup)
     cols = [*log.columns, out]
     if unknown == "drop":

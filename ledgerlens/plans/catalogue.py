@@ -1,8 +1,10 @@
 """Query catalogue over the benchmark tables.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame built
-from the library operators over whole tables. ``Inputs`` wires the shared
-stages (slim logs, dictionaries, counted actions) once per call.
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame built from
+the library operators over whole tables. ``Inputs`` wires the shared stages
+once per call. A query that reads a log from several branches (dictionaries,
+sequences, exact medians) writes the slim log once while it is built;
+``session.stages`` owns those tables.
 """
 
 from __future__ import annotations
@@ -13,9 +15,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.ranking import global_position
 from ..operators import features, merge, model, preprocess, rules, sequences, stats, type_index
 from ..session import checkpointed, materialized
-from ..sources import raw, testdata
+from ..sources import raw, tables, testdata
 
 # Rules with ids that occur in the benchmark tables (four operation
 # types, eight transaction types), used next to the original defaults.
@@ -27,33 +30,45 @@ LONG_DAY_THRESHOLD = 5
 class Inputs:
     """Stages of one run over the tables of ``sf_dir``, built lazily and once."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        # Queries that read the slim logs from many branches write them once.
-        self.materialize = materialize
 
     def table(self, name: str) -> DataFrame:
         return testdata.table(self.spark, self.sf_dir, name)
 
-    def _stage(self, df: DataFrame, name: str) -> DataFrame:
-        return materialized(df, name) if self.materialize else df
-
     @cached_property
     def op_base(self) -> DataFrame:
-        return self._stage(preprocess.slim_operations(
-            testdata.operations_from_events(self.table("events"))), "op_base")
+        return preprocess.slim_operations(testdata.operations_from_events(self.table("events")))
 
     @cached_property
     def trans_base(self) -> DataFrame:
-        return self._stage(preprocess.slim_transactions(
-            testdata.transactions_from_events(self.table("events"))), "trans_base")
+        return preprocess.slim_transactions(
+            testdata.transactions_from_events(self.table("events")))
+
+    @cached_property
+    def op_log(self) -> DataFrame:
+        """The slim operation log, written once."""
+        return materialized(self.op_base, "op_base")
+
+    @cached_property
+    def trans_log(self) -> DataFrame:
+        """The slim transaction log, written once."""
+        return materialized(self.trans_base, "trans_base")
 
     @cached_property
     def order_trans(self) -> DataFrame:
         return preprocess.slim_transactions(
             testdata.transactions_from_orders(self.table("orders")))
 
+    @cached_property
+    def order_log(self) -> DataFrame:
+        return materialized(self.order_trans, "order_trans")
+
+    @cached_property
+    def net_log(self) -> DataFrame:
+        return materialized(testdata.transactions_net(self.table("lineitem")), "net_trans")
+
     @cached_property
     def lineitem_trans(self) -> DataFrame:
         return preprocess.slim_transactions(
@@ -67,43 +82,53 @@ class Inputs:
 
     @cached_property
     def op_index(self) -> type_index.TypeIndex:
-        return type_index.fit_type_index(self.op_base, "op_type", type_index.OP_PREFIX)
+        return type_index.fit_type_index(self.op_log, "op_type", type_index.OP_PREFIX)
 
     @cached_property
     def trans_index(self) -> type_index.TypeIndex:
-        return type_index.fit_type_index(self.trans_base, "trans_type1",
-                                         type_index.TRANS_PREFIX)
+        return type_index.fit_type_index(self.trans_log, "trans_type1", type_index.TRANS_PREFIX)
 
     @cached_property
     def op_encoded(self) -> DataFrame:
-        return type_index.encode(self.op_base, self.op_index, "op_type")
+        return type_index.encode(self.op_log, self.op_index, "op_type")
 
     @cached_property
     def trans_encoded(self) -> DataFrame:
-        return type_index.encode(self.trans_base, self.trans_index, "trans_type1")
+        return type_index.encode(self.trans_log, self.trans_index, "trans_type1")
 
     @cached_property
     def keyed(self) -> DataFrame:
-        return sequences.sequence_keys(self.op_encoded, self.trans_encoded)
+        """Counted actions, written once: positions and hour tables both read them."""
+        return materialized(sequences.sequence_keys(self.op_encoded, self.trans_encoded), "keyed")
+
+    def keyed_of(self, label: int) -> DataFrame:
+        """Counted actions of one label class, restricted before any window."""
+        return sequences.restrict_to_label(self.keyed, self.labels, label)
 
     @cached_property
     def rank(self) -> DataFrame:
         return sequences.user_action_rank(self.keyed)
 
+    def rank_of(self, label: int) -> DataFrame:
+        return sequences.user_action_rank(self.keyed_of(label))
+
     def merged(self, how: str = "inner") -> DataFrame:
         return merge.merge_features(self.labels, [
-            stats.amount_stats(self.trans_base, with_ranges=True),   # A1-A5, one pass
-            features.user_time_profile(self.op_base, self.trans_base),  # A6-A9
+            stats.amount_stats(self.trans_log, with_ranges=True),   # A1-A5, one pass
+            features.user_time_profile(self.op_log, self.trans_log),  # A6-A9
             type_index.top_types(self.op_encoded, 3, "op_"),
             type_index.top_types(self.trans_encoded, 3, "trans_"),
             rules.risk_flags(self.rank),
         ], how=how)
 
+    def ordered(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` with its position in the order of sink ``name``."""
+        return global_position(df, tables.sink_order(name), "position")
+
 
-def _q(build: Callable[[Inputs], DataFrame], materialize: bool = False
-       ) -> Callable[[SparkSession, str], DataFrame]:
+def _q(build: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(Inputs(spark, sf_dir, materialize))
+        return build(Inputs(spark, sf_dir))
     run.__doc__ = build.__doc__
     return run
 
@@ -116,6 +141,19 @@ def _tree_predictions(i: Inputs) -> DataFrame:
     return model.predict(fitted, split.filter(~F.col("is_train")))
 
 
+def _flag_accuracy(i: Inputs) -> DataFrame:
+    """A18 on the rule flag: share of users whose ``flag3`` equals their label."""
+    flagged = rules.risk_flags(i.rank).join(i.labels, "uid")
+    return model.accuracy(flagged.selectExpr("flag3 AS prediction", "label"))
+
+
+def _feature_vectors(i: Inputs) -> DataFrame:
+    """Length and sum of each user's feature vector."""
+    return model.feature_vectors(i.merged()).selectExpr(
+        "uid", "CAST(size(features) AS BIGINT) AS n_features",
+        "round(aggregate(features, 0.0D, (x, y) -> x + y), 3) AS total")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # step 0
     "slim_operations": _q(lambda i: i.op_base),
@@ -124,8 +162,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "default_labels": _q(lambda i: preprocess.labels_or_default(None, i.op_base, i.trans_base)),
     "customer_labels": _q(lambda i: i.labels),
     # amounts
-    "user_amount_stats": _q(lambda i: stats.amount_stats(i.trans_base)),
-    "user_amount_stats_orders": _q(lambda i: stats.amount_stats(i.order_trans)),
+    "user_amount_stats": _q(lambda i: stats.amount_stats(i.trans_log)),
+    "user_amount_stats_orders": _q(lambda i: stats.amount_stats(i.order_log)),
+    "user_amount_stats_net": _q(lambda i: stats.amount_stats(i.net_log, exact_scale=4)),
     "amount_range_global": _q(lambda i: stats.amount_range(i.lineitem_trans)),
     "amount_range_global_orders": _q(lambda i: stats.amount_range(i.order_trans)),
     "amount_range_user": _q(lambda i: stats.user_amount_range(i.lineitem_trans)),
@@ -148,21 +187,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top3_trans_types": _q(lambda i: type_index.top_types(i.trans_encoded, 3, "trans_")),
     # sequences
     "daily_sequences": _q(lambda i: sequences.daily_sequences(i.keyed)),
-    "long_days": _q(lambda i: sequences.long_days(sequences.daily_sequences(i.keyed),
-                                                  LONG_DAY_THRESHOLD)),
+    "long_days": _q(lambda i: sequences.long_days(i.keyed, LONG_DAY_THRESHOLD)),
     "action_tokens": _q(lambda i: sequences.action_tokens(i.keyed)),
     "user_action_rank": _q(lambda i: i.rank),
-    "risky_sequences": _q(lambda i: sequences.restrict_to_label(
-        sequences.daily_sequences(i.keyed), i.labels, 1)),
-    "not_risky_sequences": _q(lambda i: sequences.restrict_to_label(
-        sequences.daily_sequences(i.keyed), i.labels, 0)),
-    "risky_action_rank": _q(lambda i: sequences.restrict_to_label(i.rank, i.labels, 1)),
-    "not_risky_action_rank": _q(lambda i: sequences.restrict_to_label(i.rank, i.labels, 0)),
+    "risky_sequences": _q(lambda i: sequences.daily_sequences(i.keyed_of(1))),
+    "not_risky_sequences": _q(lambda i: sequences.daily_sequences(i.keyed_of(0))),
+    "risky_action_rank": _q(lambda i: i.rank_of(1)),
+    "not_risky_action_rank": _q(lambda i: i.rank_of(0)),
     "follow_rates": _q(lambda i: sequences.follow_rates(i.rank)),
-    "follow_rates_risky": _q(lambda i: sequences.follow_rates(
-        sequences.restrict_to_label(i.rank, i.labels, 1))),
-    "follow_rates_not_risky": _q(lambda i: sequences.follow_rates(
-        sequences.restrict_to_label(i.rank, i.labels, 0))),
+    "follow_rates_risky": _q(lambda i: sequences.follow_rates(i.rank_of(1))),
+    "follow_rates_not_risky": _q(lambda i: sequences.follow_rates(i.rank_of(0))),
     "follow_rates_text": _q(lambda i: sequences.follow_rates_text(
         sequences.follow_rates(i.rank))),
     # rules
@@ -170,13 +204,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "risk_flags": _q(lambda i: rules.risk_flags(i.rank)),
     "risk_flags_tuned": _q(lambda i: rules.risk_flags(i.rank, TUNED_RULES)),
     # merge, text forms, model
-    "merged_features": _q(lambda i: i.merged(), materialize=True),
-    "merged_features_left": _q(lambda i: i.merged("left"), materialize=True),
-    "delimited_features": _q(lambda i: merge.to_delimited(i.merged()), materialize=True),
-    "parsed_features": _q(lambda i: merge.parse_delimited(merge.to_delimited(i.merged())),
-                          materialize=True),
+    "merged_features": _q(lambda i: i.merged()),
+    "merged_features_left": _q(lambda i: i.merged("left")),
+    "delimited_features": _q(lambda i: merge.to_delimited(i.merged())),
+    "parsed_features": _q(lambda i: merge.parse_delimited(merge.to_delimited(i.merged()))),
+    "delimited_operations": _q(lambda i: tables.to_lines(i.op_base)),
+    "parsed_operations": _q(lambda i: tables.parse_lines(
+        tables.to_lines(i.op_base), tables.OP_BASE_SCHEMA)),
+    "delimited_transactions": _q(lambda i: tables.to_lines(i.trans_base)),
+    "parsed_transactions": _q(lambda i: tables.parse_lines(
+        tables.to_lines(i.trans_base), tables.TRANS_BASE_SCHEMA)),
+    "strict_operations": _q(lambda i: type_index.encode(
+        i.op_log, i.op_index, "op_type", unknown="error")),
+    "feature_vectors": _q(_feature_vectors),
     "hash_split": _q(lambda i: model.hash_split(
         preprocess.all_users(i.op_base, i.trans_base)).select("uid", "bucket", "is_train")),
-    "tree_predictions": _q(_tree_predictions, materialize=True),
-    "tree_accuracy": _q(lambda i: model.accuracy(_tree_predictions(i)), materialize=True),
+    "heldout_users": _q(lambda i: model.hash_split(i.labels).filter("NOT is_train")
+                        .select("uid", "label")),
+    "flag_accuracy": _q(_flag_accuracy),
+    "tree_predictions": _q(_tree_predictions),
+    "tree_accuracy": _q(lambda i: model.accuracy(_tree_predictions(i))),
+    # sink orders
+    "ordered_user_amount": _q(lambda i: i.ordered(stats.amount_stats(
+        i.trans_log, with_ranges=True).select("uid", "amt_count"), "user_amount")),
+    "ordered_op_type_count": _q(lambda i: i.ordered(
+        type_index.type_counts(i.op_base, "op_type"), "op_type_count")),
+    "ordered_user_actions": _q(lambda i: i.ordered(
+        sequences.daily_sequences(i.keyed).select("uid", "day", "pos"), "user_actions")),
+    "ordered_user_action_rank": _q(lambda i: i.ordered(
+        i.rank.select("uid", "tok", "cnt"), "user_action_rank")),
+    "ordered_risky_related_action": _q(lambda i: i.ordered(
+        sequences.follow_rates(i.rank_of(1)).select("a1", "a2", "rn"), "risky_related_action")),
 }

@@ -57,6 +57,8 @@ def preprocess_job(spark: SparkSession, raw_ops: DataFrame, raw_trans: DataFrame
     if text_copies:
         tables.write_delimited(raw_ops, out("operation_log"))
         tables.write_delimited(raw_trans, out("transaction_log"))
+        if tags is not None:
+            tables.write_delimited(tags, out("tag_log"))
     _write(preprocess.slim_operations(raw_ops), out, "op_base")
     _write(preprocess.slim_transactions(raw_trans), out, "trans_base")
     op_base, trans_base = _read(spark, out, "op_base"), _read(spark, out, "trans_base")
@@ -74,16 +76,13 @@ def preprocess_files(spark: SparkSession, operations_csv: str, transactions_csv:
 
 def feature_job(spark: SparkSession, out: Layout, index_from: Layout | None = None,
                 risk_rules: rules.RiskRules = rules.DEFAULT_RULES, how: str = "inner",
-                eda: bool = True, sequence_text: bool = False) -> None:
+                eda: bool = True, unknown: str = "error") -> None:
     """Steps 1.1-1.4 and the sequence analysis, ending in ``merged_features``.
 
     ``index_from=None`` fits the dictionaries on these logs and writes them;
-    otherwise the dictionaries stored under ``index_from`` are applied and
-    a type they do not know fails the job.
-
-    ``sequence_text=True`` also writes ``user_actions_text``, one
-    ``uid|day|types|times`` line per user-day (the old layout; a line holds
-    a whole user-day, so keep it for outputs of modest size).
+    otherwise the dictionaries stored under ``index_from`` are applied.
+    ``unknown`` says what becomes of a type they do not know: ``"error"``
+    fails the job, ``"zero"`` maps it to ``"0"``, ``"drop"`` leaves its rows out.
     """
     op_base, trans_base = _read(spark, out, "op_base"), _read(spark, out, "trans_base")
     labels = _read(spark, out, "labels")
@@ -95,15 +94,16 @@ def feature_job(spark: SparkSession, out: Layout, index_from: Layout | None = No
 
     # 1.3 dictionaries and top types
     if index_from is None:
-        _write(ti.type_counts(op_base, "op_type"), out, "op_type_count")
-        _write(ti.type_counts(trans_base, "trans_type1"), out, "trans_type_count")
-        ti.fit_type_index(op_base, "op_type", ti.OP_PREFIX).save(out("op_type_index"))
-        ti.fit_type_index(trans_base, "trans_type1", ti.TRANS_PREFIX).save(
-            out("trans_type_index"))
+        for log, column, prefix, name in (
+                (op_base, "op_type", ti.OP_PREFIX, "op_type"),
+                (trans_base, "trans_type1", ti.TRANS_PREFIX, "trans_type")):
+            ti.fit_type_index(log, column, prefix).save(out(f"{name}_index"))
+            _write(_read(spark, out, f"{name}_index").select("type", "cnt"), out, f"{name}_count")
         index_from = out
     op_index = ti.TypeIndex.load(spark, index_from("op_type_index"))
     trans_index = ti.TypeIndex.load(spark, index_from("trans_type_index"))
-    unknown = "drop" if index_from is out else "error"
+    if index_from is out:
+        unknown = "drop"   # fitted on these logs: there is none
     op_enc = ti.encode(op_base, op_index, "op_type", unknown=unknown)
     trans_enc = ti.encode(trans_base, trans_index, "trans_type1", unknown=unknown)
     _write(ti.top_types(op_enc, 3, "op_"), out, "top3_op_types")
@@ -113,8 +113,6 @@ def feature_job(spark: SparkSession, out: Layout, index_from: Layout | None = No
     _write(sequences.sequence_keys(op_enc, trans_enc), out, "action_keys")
     keyed = _read(spark, out, "action_keys")
     _write(sequences.daily_sequences(keyed), out, "user_actions")
-    if sequence_text:
-        tables.write_delimited(sequences.sequence_text(keyed), out("user_actions_text"))
     _write(sequences.user_action_rank(keyed), out, "user_action_rank")
     rank = _read(spark, out, "user_action_rank")
     if eda:
@@ -129,7 +127,7 @@ def feature_job(spark: SparkSession, out: Layout, index_from: Layout | None = No
             _write(sequences.follow_rates(part), out, name)
             tables.write_delimited(
                 sequences.follow_rates_text(_read(spark, out, name)).orderBy("a1"),
-                out(name + "_text"), single_file=True)
+                out(name + "_text"))
     _write(rules.risk_flags(rank, risk_rules), out, "related_action_feature")
 
     # 1.4 merge
@@ -172,9 +170,9 @@ def fit_pipeline(spark: SparkSession, raw_ops: DataFrame, raw_trans: DataFrame,
 
 def score_pipeline(spark: SparkSession, raw_ops: DataFrame, raw_trans: DataFrame,
                    train_out: Layout, out: Layout, model_path: str, predictions_path: str,
-                   how: str = "inner", **kw) -> None:
+                   how: str = "inner", unknown: str = "error", **kw) -> None:
     """Preprocess new logs, build features with the training dictionaries, predict."""
     preprocess_job(spark, raw_ops, raw_trans, None, out)
-    feature_job(spark, out, index_from=train_out, how=how, eda=False,
+    feature_job(spark, out, index_from=train_out, how=how, eda=False, unknown=unknown,
                 risk_rules=kw.get("risk_rules", rules.DEFAULT_RULES))
     predict_job(spark, out, model_path, predictions_path)

@@ -75,6 +75,11 @@ cte("ltrans", (), f"""
          {hms('l_shipdate')} AS trans_time, coalesce(l_returnflag, '') AS trans_type1,
          coalesce(l_linestatus, '') AS trans_type2
   FROM lineitem""")
+cte("ntrans", (), """
+  SELECT CAST(l_suppkey AS VARCHAR) AS uid,
+         CAST(CAST(CAST(l_extendedprice AS DECIMAL(14,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
+              AS DECIMAL(18,4)) AS DOUBLE) AS trans_amt
+  FROM lineitem""")
 cte("lbl", (), """
   SELECT CAST(c_custkey AS VARCHAR) AS uid,
          CAST(max(CASE WHEN c_acctbal < 0 THEN 1.0 ELSE 0.0 END) AS DOUBLE) AS label
@@ -105,6 +110,26 @@ JOIN (SELECT uid, (max(CASE WHEN r = (n - 1) // 2 THEN trans_amt END)
       GROUP BY uid) med ON agg.uid = med.uid"""
 
 
+def net_stats_sql() -> str:
+    """Four decimals: the same recipe in DECIMAL."""
+    d = "CAST(trans_amt AS DECIMAL(19,4))"
+    s = "CAST(s AS DECIMAL(19,4))"
+    return build(f"""
+SELECT agg.uid, min_amt, max_amt, mid_amt, CAST(s AS DOUBLE) / CAST(n AS DOUBLE) AS avg_amt,
+       CAST(CAST(n AS DECIMAL(9,0)) * CAST(q AS DECIMAL(29,8)) - {s} * {s} AS DOUBLE)
+         / (CAST(n AS DOUBLE) * CAST(n AS DOUBLE)) AS var_amt
+FROM (SELECT uid, min(trans_amt) AS min_amt, max(trans_amt) AS max_amt, count(*) AS n,
+             sum({d}) AS s, sum({d} * {d}) AS q
+      FROM ntrans GROUP BY uid) agg
+JOIN (SELECT uid, (max(CASE WHEN r = (n - 1) // 2 THEN trans_amt END)
+                   + max(CASE WHEN r = n // 2 THEN trans_amt END)) / 2.0 AS mid_amt
+      FROM (SELECT uid, trans_amt,
+                   row_number() OVER (PARTITION BY uid ORDER BY trans_amt) - 1 AS r,
+                   count(*) OVER (PARTITION BY uid) AS n
+            FROM ntrans)
+      GROUP BY uid) med ON agg.uid = med.uid""", "ntrans")
+
+
 AMOUNT_BUCKETS = {
     "hundred_rate": "trans_amt <= 100",
     "thousand_rate": "trans_amt > 100 AND trans_amt < 1000",
@@ -306,12 +331,12 @@ SECOND = ("CAST(substr(time, 1, 2) AS DOUBLE) * 3600.0 + CAST(substr(time, 4, 2)
           " + CAST(substr(time, 7, 2) AS DOUBLE)")
 
 
-def long_days_sql(threshold: int, n_series: int = 2) -> str:
+def long_days_sql(threshold: int) -> str:
     return build(f"""
 SELECT s.uid, s.day, s.pos, s.mult, CAST(c.n_actions AS BIGINT) AS n_actions,
        {SECOND.replace('time', 's.time')} AS second, CAST(s.type_id AS DOUBLE) AS action
 FROM seq s JOIN (SELECT uid, day, sum(mult) AS n_actions FROM keyed GROUP BY uid, day
-                 HAVING sum(mult) > {threshold} ORDER BY uid, day LIMIT {n_series}) c
+                 HAVING sum(mult) > {threshold}) c
   ON s.uid = c.uid AND s.day = c.day""", "seq", "keyed")
 
 
@@ -332,6 +357,7 @@ def oracle_queries() -> dict[str, str]:
         "customer_labels": build("SELECT * FROM lbl", "lbl"),
         "user_amount_stats": amount_stats_sql("trans"),
         "user_amount_stats_orders": amount_stats_sql("otrans"),
+        "user_amount_stats_net": net_stats_sql(),
         "amount_range_global": amount_range_sql("ltrans"),
         "amount_range_global_orders": amount_range_sql("otrans"),
         "amount_range_user": user_amount_range_sql("ltrans"),
@@ -378,4 +404,40 @@ def oracle_queries() -> dict[str, str]:
         "delimited_features": delimited_sql(),
         "parsed_features": parsed_sql(),
         "hash_split": hash_split_sql(),
+        "delimited_operations": build(
+            "SELECT concat_ws('|', uid, CAST(op_day AS VARCHAR), op_type, op_time) AS value FROM ops",
+            "ops"),
+        "parsed_operations": build("SELECT * FROM ops", "ops"),
+        "delimited_transactions": build(
+            "SELECT concat_ws('|', uid, trans_channel, CAST(trans_day AS VARCHAR),"
+            " CAST(trans_amt AS VARCHAR), trans_time, trans_type1, trans_type2) AS value FROM trans",
+            "trans"),
+        "parsed_transactions": build("SELECT * FROM trans", "trans"),
+        "strict_operations": build("SELECT * FROM op_enc", "op_enc"),
+        "feature_vectors": f"""
+            SELECT uid, CAST({len(MERGED_COLS)} AS BIGINT) AS n_features,
+                   round({' + '.join(f'coalesce(CAST({c} AS DOUBLE), 0.0)' for c in MERGED_COLS)}, 3)
+                   AS total
+            FROM ({merged_sql('JOIN')})""",
+        "heldout_users": build(
+            "SELECT uid, label FROM lbl"
+            " WHERE CAST((('0x' || substr(md5(uid), 1, 8))::BIGINT) % 10 AS INTEGER) >= 8", "lbl"),
+        "flag_accuracy": build(
+            "SELECT CAST(avg(CASE WHEN flag3 = label THEN 1.0 ELSE 0.0 END) AS DOUBLE) AS accuracy,"
+            " count(*) AS n_rows FROM flags JOIN lbl USING (uid)", "flags", "lbl"),
+        "ordered_user_amount": build(
+            "SELECT uid, amt_count, row_number() OVER (ORDER BY amt_count DESC, uid) AS position"
+            " FROM (SELECT uid, count(*) AS amt_count FROM trans GROUP BY uid)", "trans"),
+        "ordered_op_type_count": build(
+            "SELECT type, cnt, row_number() OVER (ORDER BY cnt DESC, type) AS position FROM"
+            " (SELECT op_type AS type, count(*) AS cnt FROM ops GROUP BY op_type)", "ops"),
+        "ordered_user_actions": build(
+            "SELECT uid, day, pos, row_number() OVER (ORDER BY uid, day, pos) AS position FROM seq",
+            "seq"),
+        "ordered_user_action_rank": build(
+            "SELECT uid, tok, cnt, row_number() OVER (ORDER BY uid, cnt DESC, tok) AS position"
+            " FROM rnk", "rnk"),
+        "ordered_risky_related_action": build(
+            "SELECT a1, a2, rn, row_number() OVER (ORDER BY a1, rn) AS position FROM ("
+            + follow_rates_body("risky_rnk") + ")", "risky_rnk"),
     }

@@ -10,8 +10,11 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.expressions import strict_number
+
 # Column names of the raw logs, in file order. They must
 # match the input files.
 OPERATION_COLUMNS = [
@@ -69,6 +72,5 @@ def read_raw_labels(spark: SparkSession, path: str | None) -> DataFrame | None:
 
 
 def labels_from_tags(tags: DataFrame, uid: str = "uid", tag: str = "tag") -> DataFrame:
-    """``(uid, label double)``; text like ``0.0`` reads as 0 (cast through double)."""
-    return tags.selectExpr(f"CAST(`{uid}` AS STRING) AS uid",
-                           f"CAST(trim(`{tag}`) AS DOUBLE) AS label")
+    """``(uid, label double)``; text like ``0.0`` reads as 0, other text than numbers fails."""
+    return tags.select(F.col(uid).cast("string").alias("uid"), strict_number(tag).alias("label"))

@@ -7,13 +7,14 @@ users who need the old line layout.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expressions import delimited
+from ..functions.expressions import delimited, strict_number
 
 OP_BASE_SCHEMA = T.StructType([
     T.StructField("uid", T.StringType()),
@@ -43,15 +44,19 @@ SINK_ORDER: dict[str, list[str]] = {
     "user_action_rank": ["uid", "-cnt", "tok"],           # O4
     "related_action_feature": ["uid"],                    # O5
     "related_action": ["a1", "rn"],                       # O5
+    "risky_related_action": ["a1", "rn"],                 # O5
+    "no_risky_related_action": ["a1", "rn"],              # O5
 }
 
 
+def sink_order(name: str) -> list[Column]:
+    return [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in SINK_ORDER.get(name, [])]
+
+
 def sorted_for_sink(df: DataFrame, name: str) -> DataFrame:
     """``df`` in the original output order of table ``name`` (unchanged if none)."""
-    order = SINK_ORDER.get(name)
-    if not order:
-        return df
-    return df.orderBy(*[F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in order])
+    order = sink_order(name)
+    return df.orderBy(*order) if order else df
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -67,12 +72,35 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     w.parquet(path)
 
 
-def read_delimited(spark: SparkSession, path: str, schema: T.StructType,
-                   sep: str = "|") -> DataFrame:
-    """S5/S6 text form: delimited lines without header, trailing blanks kept (F1)."""
-    return (spark.read.option("sep", sep).option("header", "false")
-            .option("emptyValue", "").option("nullValue", None)
-            .schema(schema).csv(path).na.fill(""))
+def parse_lines(lines: DataFrame, schema: T.StructType, sep: str = "|", value: str = "value",
+                blank_zero: Sequence[str] = ()) -> DataFrame:
+    """Delimited lines to typed columns (F1: blank fields are kept).
+
+    The separator is the only special character; quotes and backslashes are
+    text. A line with another number of fields, or a field that is not a
+    number where one is due, raises an error; only the columns in
+    ``blank_zero`` read a blank as 0.
+    """
+    n = len(schema.fields)
+    fields = F.split(F.col(value), re.escape(sep), -1)
+    checked = F.when(F.size(fields) == n, fields).otherwise(F.raise_error(
+        F.concat(F.lit(f"not {n} fields: "), F.col(value))).cast("array<string>"))
+    rows = lines.select(checked.alias("_f"))
+
+    def column(k: int, f: T.StructField) -> Column:
+        text = F.col("_f").getItem(k)
+        if isinstance(f.dataType, T.StringType):
+            return text.alias(f.name)
+        blank = 0 if f.name in blank_zero else None
+        return strict_number(text, f.dataType.simpleString(), blank).alias(f.name)
+
+    return rows.select(*[column(k, f) for k, f in enumerate(schema.fields)])
+
+
+def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = "|",
+                   blank_zero: Sequence[str] = ()) -> DataFrame:
+    """S5/S6/S8 text form: delimited lines without header, as ``write_delimited`` leaves them."""
+    return parse_lines(spark.read.text(path), schema, sep, blank_zero=blank_zero)
 
 
 def to_lines(df: DataFrame, cols: Sequence[str | Column] | None = None,
@@ -83,12 +111,9 @@ def to_lines(df: DataFrame, cols: Sequence[str | Column] | None = None,
 
 
 def write_delimited(df: DataFrame, path: str, cols: Sequence[str | Column] | None = None,
-                    sep: str = "|", single_file: bool = False) -> None:
-    """S3 + S10: text lines; ``single_file`` only for aggregated, small results."""
-    out = to_lines(df, cols, sep)
-    if single_file:
-        out = out.coalesce(1)
-    out.write.mode("overwrite").text(path)
+                    sep: str = "|") -> None:
+    """S3: text lines; the number of files follows the data."""
+    to_lines(df, cols, sep).write.mode("overwrite").text(path)
 
 
 def write_predictions(pred: DataFrame, path: str) -> None:

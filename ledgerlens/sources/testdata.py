@@ -76,6 +76,14 @@ def transactions_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def transactions_net(lineitem: DataFrame) -> DataFrame:
+    """Discounted prices per supplier: amounts with four decimals."""
+    net = ("CAST(CAST(l_extendedprice AS DECIMAL(14,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))"
+           " AS DECIMAL(18,4))")
+    return lineitem.selectExpr("CAST(l_suppkey AS STRING) AS uid",
+                               f"CAST({net} AS DOUBLE) AS trans_amt")
+
+
 def tags_from_customer(customer: DataFrame) -> DataFrame:
     """Raw label columns ``uid, tag`` as text, like the label CSV."""
     return customer.selectExpr(

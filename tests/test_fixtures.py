@@ -36,14 +36,7 @@ def test_dictionaries(mini):
     assert rows(op_idx.table, "type", "type_id", "cnt") == [
         ("", "003", 1), ("A", "001", 3), ("B", "002", 2), ("C", "004", 1)]
     assert rows(tr_idx.table, "type", "type_id", "cnt") == [("T1", "101", 3), ("T2", "102", 2)]
-    assert op_idx.size == 4 and tr_idx.size == 2
-
-
-def test_dictionary_ranked_over_partitions_matches(mini, monkeypatch):
-    single = rows(ti.fit_type_index(mini["op_base"], "op_type", "0").table, "type", "type_id")
-    monkeypatch.setattr(ti, "SINGLE_TASK_RANK_MAX_ROWS", 0)
-    spread = rows(ti.fit_type_index(mini["op_base"], "op_type", "0").table, "type", "type_id")
-    assert single == spread
+    assert op_idx.size == 4 * ti.ROW_BYTES + 3 and tr_idx.size == 2 * ti.ROW_BYTES + 4
 
 
 def test_amount_stats(mini):
@@ -54,10 +47,8 @@ def test_amount_stats(mini):
     u4 = got["u4"]
     assert (u4["min_amt"], u4["max_amt"], u4["mid_amt"], u4["avg_amt"], u4["var_amt"]) == (
         20000.0, 20000.0, 20000.0, 20000.0, 0.0)
-    dbl = by_uid(stats.amount_stats(mini["trans_base"], exact_scale=None))
-    assert dbl["u1"]["var_amt"] == 17216718.75 and dbl["u1"]["mid_amt"] == 625.0
-    one_task = by_uid(stats.amount_stats(mini["trans_base"], split_users=False))
-    assert one_task == got
+    assert by_uid(stats.amount_stats(mini["trans_base"], piece_units=7)) == got
+    assert by_uid(stats.amount_stats(mini["trans_base"], exact_scale=4)) == got
 
 
 def test_amount_ranges(mini):
@@ -110,16 +101,13 @@ def test_top_types(mini):
 def test_sequences_tokens_rates_flags(mini):
     _, _, op_enc, tr_enc = fitted(mini)
     keyed = sequences.sequence_keys(op_enc, tr_enc)
-    text = {(r["uid"], r["day"]): r["action_types"]
-            for r in sequences.sequence_text(keyed).collect()}
+    text = {}
+    for r in sequences.daily_sequences(keyed).orderBy("uid", "day", "pos").collect():
+        text.setdefault((r["uid"], r["day"]), []).extend([r["type_id"]] * r["mult"])
+    text = {k: "-".join(v) for k, v in text.items()}
     assert text == {("u1", 3): "001-002-101-002-102", ("u1", 5): "101-101",
                      ("u1", 21): "001", ("u2", 10): "001", ("u2", 11): "003",
                      ("u3", 20): "004", ("u4", 31): "102"}
-    # generic keyed form gives the same rows as the slim-log shortcut
-    generic = sequences.keyed_actions(sequences.encoded_actions(op_enc, tr_enc))
-    cols = ["uid", "day", "time", "src", "type_id", "mult"]
-    assert rows(generic, *cols) == rows(keyed, *cols)
-
     rank = sequences.user_action_rank(keyed)
     assert rows(rank, "uid", "tok", "cnt") == sorted([
         ("u1", "001-002", 1), ("u1", "002-101", 1), ("u1", "101-002", 1), ("u1", "002-102", 1),
@@ -207,10 +195,10 @@ def test_flag_rules(spark):
 
 
 def test_scalar_rules(spark):
-    from ledgerlens.functions.expressions import number_or_zero, share, type_id
+    from ledgerlens.functions.expressions import number_or_zero, sql_share, type_id
     r = spark.range(1).select(
         type_id("0", F.lit(100)).alias("id100"), type_id("1", F.lit(7)).alias("id7"),
-        share("23", "40").alias("s"),
+        F.expr(sql_share("23", "40")).alias("s"),
         number_or_zero(F.lit("")).alias("blank"), number_or_zero(F.lit("0.0")).alias("z"),
         F.lit("0.0").cast("double").cast("int").alias("label")).collect()[0]
     assert (r["id100"], r["id7"], r["s"], r["blank"], r["z"], r["label"]) == (

@@ -40,15 +40,33 @@ def test_preprocess_text_copies_and_default_labels(spark, mini, tmp_path):
     assert spark.read.parquet(out("op_base")).count() == 7
     labels = sorted((r.uid, r.label) for r in spark.read.parquet(out("labels")).collect())
     assert labels == [("u1", 0.0), ("u2", 0.0), ("u3", 0.0), ("u4", 0.0)]
+    tags = spark.createDataFrame([("u1", "1"), ("u2", "0")], "uid string, tag string")
+    preprocess_job(spark, mini["raw_ops"], mini["raw_trans"], tags, out, text_copies=True)
+    assert {r.value for r in spark.read.text(out("tag_log")).collect()} == {"u1|1", "u2|0"}
+
 
+def test_scoring_a_log_with_a_new_type(spark, mini, tmp_path):
+    import pytest
 
-def test_feature_job_sequence_text(spark, mini, tmp_path):
     from ledgerlens.plans.jobs import feature_job, preprocess_job
 
-    out = Layout(str(tmp_path / "feat"))
+    fit = Layout(str(tmp_path / "fit"), ordered=True)
     tags = spark.createDataFrame([("u1", "1"), ("u2", "0")], "uid string, tag string")
-    preprocess_job(spark, mini["raw_ops"], mini["raw_trans"], tags, out)
-    feature_job(spark, out, eda=False, sequence_text=True)
-    lines = {r.value for r in spark.read.text(out("user_actions_text")).collect()}
-    assert "u1|3|001-002-101-002-102|08:10:00-08:20:00-08:20:00-09:00:00-23:59:59" in lines
-    assert "u1|5|101-101|10:00:00-10:00:01" in lines and len(lines) == 7
+    preprocess_job(spark, mini["raw_ops"], mini["raw_trans"], tags, fit)
+    feature_job(spark, fit)
+    rates = [(r.a1, r.rn) for r in spark.read.parquet(fit("risky_related_action")).collect()]
+    assert rates == sorted(rates)
+    counts = {r.type: r.cnt for r in spark.read.parquet(fit("op_type_count")).collect()}
+    assert counts == {"A": 3, "B": 2, "": 1, "C": 1}
+    new = mini["raw_ops"].union(spark.createDataFrame(
+        [("u1", "4", "NEW", "10:00:00")], mini["raw_ops"].schema))
+    score = Layout(str(tmp_path / "score"))
+    preprocess_job(spark, new, mini["raw_trans"], None, score)
+    with pytest.raises(Exception, match="type without id: NEW"):
+        feature_job(spark, score, index_from=fit, eda=False)
+    feature_job(spark, score, index_from=fit, eda=False, unknown="zero")
+    ids = {r.type_id for r in spark.read.parquet(score("action_keys")).collect()}
+    assert "0" in ids
+    feature_job(spark, score, index_from=fit, eda=False, unknown="drop")
+    ids = {r.type_id for r in spark.read.parquet(score("action_keys")).collect()}
+    assert "0" not in ids

@@ -26,13 +26,34 @@ def test_event_scans_are_pruned_and_filtered(spark):
 
 
 def test_median_windows_run_per_amount_piece(spark):
-    text = plan(stats.amount_stats(Inputs(spark, SF_SMALL).trans_base))
+    text = plan(stats.amount_stats(Inputs(spark, SF_SMALL).trans_log))
     windows = [line for line in text.splitlines() if "windowspecdefinition" in line]
-    assert windows and all("_piece" in line for line in windows if "trans_amt" in line)
+    assert windows and all("_piece" in line for line in windows if "_a#" in line)
     # the partial aggregate before the first shuffle reduces a hot user's rows
     assert "partial_count" in text
 
 
+def test_sequence_windows_run_per_hour(spark):
+    for name in ("daily_sequences", "action_tokens", "long_days"):
+        text = plan(QUERIES[name](spark, SF_SMALL))
+        windows = [line for line in text.splitlines() if "windowspecdefinition" in line]
+        # log-sized rows (they have a time or a type) never go by (uid, day) alone
+        assert windows and all("_hour" in line for line in windows if "type_id" in line)
+
+
+def test_rules_need_no_window(spark):
+    for name in ("dominant_follower", "risk_flags"):
+        tail = plan(QUERIES[name](spark, SF_SMALL))
+        assert "DESC" not in "".join(
+            line for line in tail.splitlines() if "windowspecdefinition" in line)
+
+
+def test_label_classes_are_restricted_before_the_windows(spark):
+    text = plan(QUERIES["risky_sequences"](spark, SF_SMALL))
+    # listed from the leaves up: the semi join comes first
+    assert text.index("LeftSemi") < text.index("windowspecdefinition")
+
+
 def test_dictionary_joins_are_broadcast(spark):
     text = plan(QUERIES["encoded_operations"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in text

@@ -1,12 +1,15 @@
 """Sources, sinks, distributed ranking and the model round trip."""
 
 import random
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.ranking import global_position, running_sum
+from ledgerlens.functions.ranking import global_position
 from ledgerlens.operators import merge, model, preprocess
 from ledgerlens.plans.catalogue import QUERIES
+from ledgerlens.session import ensure_checkpoint_dir, stages
 from ledgerlens.sources import raw, tables
 
 from conftest import OPS, SF_SMALL, TAGS, TRANS
@@ -58,6 +61,70 @@ def test_delimited_round_trip(spark, tmp_path, mini):
     assert sorted(back.select(cols).collect()) == sorted(mini["op_base"].select(cols).collect())
 
 
+def test_delimited_text_is_taken_as_it_is(spark, tmp_path):
+    rows = [("u1", 3, '"q', "08:00:00"), ("u2", 4, 'a"b\\', ""), ("u3", 5, "", " "),
+            ("", 6, "x,y", "'")]
+    df = spark.createDataFrame(rows, tables.OP_BASE_SCHEMA)
+    out = str(tmp_path / "odd")
+    tables.write_delimited(df, out)
+    back = tables.read_delimited(spark, out, tables.OP_BASE_SCHEMA)
+    assert sorted(tuple(r) for r in back.collect()) == sorted(rows)
+
+
+@pytest.mark.parametrize("line", ["u1|zz|A|08:00:00", "u1||A|08:00:00", "u1|3|A", "u1|3|A|b|c"])
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_bad_lines_raise(spark, line, ansi):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        lines = spark.createDataFrame([(line,)], "value string")
+        with pytest.raises(Exception, match="not a number|not 4 fields"):
+            tables.parse_lines(lines, tables.OP_BASE_SCHEMA).collect()
+        with pytest.raises(Exception, match="not a number"):
+            raw.labels_from_tags(spark.createDataFrame([("u", "oops")], "uid string, tag string")
+                                 ).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_any_feature_table_as_text(spark):
+    lines = spark.createDataFrame([("u1|0.5|",), ("u2||3",)], "value string")
+    got = merge.parse_delimited(lines, columns=["x", "y"]).collect()
+    assert sorted(tuple(r) for r in got) == [("u1", 0.5, 0.0), ("u2", 0.0, 3.0)]
+    for bad in ("u1|oops|1", "u1|1|bad"):
+        with pytest.raises(Exception, match="not a number"):
+            merge.parse_delimited(spark.createDataFrame([(bad,)], "value string"),
+                                  columns=["label", "x"]).collect()
+    with pytest.raises(Exception, match="not a number"):   # a blank label
+        merge.parse_delimited(spark.createDataFrame([("u1||1",)], "value string"),
+                              columns=["label", "x"]).collect()
+
+
+def test_stage_tables_have_an_owner(spark):
+    root = Path(ensure_checkpoint_dir(spark).removeprefix("file:")) / "tables"
+    before = set(root.glob("*/*")) if root.exists() else set()
+    with stages(spark):
+        assert QUERIES["user_amount_stats"](spark, SF_SMALL).count() == 15
+        assert set(root.glob("*/*")) - before
+    assert set(root.glob("*/*")) == before
+
+
+def test_a_session_without_checkpoint_folder_is_an_error(spark, monkeypatch):
+    class Bare:
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Bare()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
 def test_global_position_spreads_and_orders(spark):
     vals = list(range(5000))
     random.Random(3).shuffle(vals)
@@ -67,26 +134,6 @@ def test_global_position_spreads_and_orders(spark):
     assert got == {v: 5000 - v for v in range(5000)}
 
 
-def test_running_sum_splits_a_hot_key(spark):
-    # one key with most rows, spread over many range partitions
-    data = [("hot", v, (v % 5) + 1) for v in range(3000)] + \
-           [(f"k{i}", v, 1) for i in range(20) for v in range(7)]
-    df = spark.createDataFrame(data, "k string, v long, w long").repartition(6)
-    spark.conf.set("spark.sql.shuffle.partitions", "12")
-    try:
-        pieces = "floor(v / 97)"
-        got = {(r.k, r.v): (r.c, r.t)
-               for r in running_sum(df, "k", "v", "w", pieces, "c", "t").collect()}
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-    hot_total = sum((v % 5) + 1 for v in range(3000))
-    run = 0
-    for v in range(3000):
-        run += (v % 5) + 1
-        assert got[("hot", v)] == (run, hot_total)
-    assert got[("k3", 6)] == (7, 7) and len(got) == 3000 + 140
-
-
 def test_model_save_load_same_predictions(spark, tmp_path):
     merged = QUERIES["merged_features"](spark, SF_SMALL)
     fitted = model.train(merged)
