@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import id_and_text, slices, text_bytes
 
 #: Text bytes of a block; a longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -60,7 +60,7 @@ def packed(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                  pa.array([zstandard.ZstdCompressor(level=1).compress(raw.tobytes())])],
                 names=["block", "ids", "known", "lengths", "payload"])
 
-        for batch in slices(batches, block_bytes):
+        for batch in slices(batches, max(1, block_bytes // 4)):
             held.append(batch)
             size += int(pa.compute.sum(pa.compute.binary_length(batch.column(1))).as_py() or 0)
             if size >= block_bytes:
@@ -73,6 +73,12 @@ def packed(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         run, "block long, ids binary, known binary, lengths binary, payload binary")
 
 
+def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch one by one, so that one block is held at a time."""
+    for k in range(batch.num_rows):
+        yield batch.slice(k, 1).to_pylist()[0]
+
+
 def unpack(row: dict) -> Block:
     lengths = np.frombuffer(row["lengths"], np.int64)
     raw = zstandard.ZstdDecompressor().decompress(row["payload"],

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialized
-from .blocks import BLOCK_BYTES, Block, by_part, packed, unpack
+from .blocks import BLOCK_BYTES, Block, by_part, packed, rows_of, unpack
 from .words import mix, span_hashes
 
 WIDTH = 50
@@ -119,7 +119,7 @@ def anchor_rows(blocks: DataFrame, parts: int, width: int) -> DataFrame:
     """``part, block, low, high, documents``: 40 bits of each distinct anchor's hash, by part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 known, _, documents = _unique_anchors(zones(unpack(row), width))
                 rest = known // np.uint64(parts)
                 out: list[tuple] = []
@@ -206,7 +206,7 @@ def zone_rows(flagged: DataFrame, parts: int, width: int) -> DataFrame:
     """``part, block, payload``: spans sent to the parts of their keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 block = unpack(row)
                 z = zones(block, width)
                 s = spans_to_send(block, z, _zone_flags(z, row["flags"], parts), width)
@@ -438,7 +438,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, hot: int = HOT_DOCUMENTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 block = unpack(row)
                 z = zones(block, width)
                 s = spans_to_send(block, z, _zone_flags(z, row["flags"], parts), width)
