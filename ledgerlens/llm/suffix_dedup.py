@@ -43,7 +43,7 @@ WIDTH = 50
 #: Bytes of the substrings among which a window's anchor is the least.
 GRAM = 16
 #: Text bytes for each of the parts over which anchors and zones are dealt.
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 #: An anchor of more documents sends its windows one by one.
 HOT_DOCUMENTS = 2000
 ALONE, SHARED, HOT = 0, 1, 2
