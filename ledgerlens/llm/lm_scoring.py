@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialized
-from .blocks import BLOCK_BYTES, by_part, packed, unpack
+from .blocks import BLOCK_BYTES, by_part, packed, rows_of, unpack
 from .common import crc32_of
 from .packing import _encoder
 from .words import LOWER, words
@@ -58,8 +58,9 @@ def encoded_blocks(blocks: DataFrame, tokenizer_path: str, modulus: int, held_ou
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_path)
         for batch in batches:
-            tokens, lengths, train = [], [], []
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):
+                out = batch.slice(k, 1)
+                row = out.to_pylist()[0]
                 block = unpack(row)
                 lowered = LOWER[block.data].tobytes()
                 ids = []
@@ -67,15 +68,15 @@ def encoded_blocks(blocks: DataFrame, tokenizer_path: str, modulus: int, held_ou
                     body = _SPACE.sub(b" ", lowered[a:b]).strip(b" ")
                     text = (b" " + body).decode() if body else ""
                     ids.append(np.frombuffer(encoder.encode(text), "<u4").astype(np.uint16))
-                tokens.append(zstandard.ZstdCompressor(level=1).compress(
-                    np.concatenate([*ids, np.zeros(0, np.uint16)]).tobytes()))
-                lengths.append(np.array([i.size for i in ids], np.int64).tobytes())
-                train.append(np.array([crc32_of(int(i) if k else None) % modulus != held_out
-                                       for i, k in zip(block.ids, block.known)], bool).tobytes())
-            out = batch
-            for name, column in (("tokens", tokens), ("token_lengths", lengths), ("train", train)):
-                out = out.append_column(name, pa.array(column, pa.binary()))
-            yield out
+                tokens = zstandard.ZstdCompressor(level=1).compress(
+                    np.concatenate([*ids, np.zeros(0, np.uint16)]).tobytes())
+                lengths = np.array([i.size for i in ids], np.int64).tobytes()
+                train = np.array([crc32_of(int(i) if ok else None) % modulus != held_out
+                                  for i, ok in zip(block.ids, block.known)], bool).tobytes()
+                for name, value in (("tokens", tokens), ("token_lengths", lengths),
+                                    ("train", train)):
+                    out = out.append_column(name, pa.array([value], pa.binary()))
+                yield out
 
     return blocks.mapInArrow(
         run, "block long, ids binary, known binary, lengths binary, payload binary, "
@@ -97,7 +98,7 @@ def id_counts(encoded: DataFrame, size: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size + 1, np.int64)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 ids, offsets = _sequences(row, size)
                 used = np.repeat(np.frombuffer(row["train"], bool), np.diff(offsets))
                 total += np.bincount(ids[used], minlength=size + 1)
@@ -339,7 +340,7 @@ def fit(encoded: DataFrame, docs: DataFrame, tokenizer_path: str, modulus: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 doc, known = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["known"], bool)
                 pick = np.flatnonzero(np.isin(doc, wanted.value) & known)
                 if pick.size:
@@ -365,7 +366,7 @@ def word_rows(encoded: DataFrame, parts: int) -> DataFrame:
     """``part, block, hashes, counts``: distinct words of a block, occurrences in training texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 found, known, at, train_words = _block_words(row)
                 n = np.bincount(at[train_words], minlength=known.size)
                 out = [(k, row["block"], known[pick].tobytes(), n[pick].astype(np.uint32).tobytes())
@@ -418,7 +419,7 @@ def base_scores(encoded: DataFrame, block_bytes: int, ends: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 found, known, at, _ = _block_words(row)
                 counts = np.zeros(known.size, np.int64)
                 sent = {c["part"]: c["counts"] for c in row["counts"] or ()}
@@ -453,7 +454,7 @@ def model_scores(encoded: DataFrame, model: Attention) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 ids, offsets = _sequences(row, m.class_of.size - 1)
                 score = np.add.reduceat(m.log_probabilities(ids, offsets), offsets[:-1])
                 yield pa.RecordBatch.from_arrays(
