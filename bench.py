@@ -22,7 +22,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from ledgerlens.plans.catalogue import QUERIES  # noqa: E402
-from ledgerlens.session import local_session  # noqa: E402
+from ledgerlens.session import local_session, stages  # noqa: E402
 
 HEADLINE = [
     "slim_operations", "user_amount_stats", "amount_range_global", "amount_range_user",
@@ -33,10 +33,11 @@ HEADLINE = [
 
 
 def run_once(spark, name: str, sf_dir: str) -> float:
-    t0 = time.perf_counter()
-    df = QUERIES[name](spark, sf_dir)
-    df.write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - t0
+    with stages(spark):
+        t0 = time.perf_counter()
+        df = QUERIES[name](spark, sf_dir)
+        df.write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
 
 
 def main() -> None:
@@ -53,7 +54,8 @@ def main() -> None:
         run_once(spark, name, sf_dir)  # warm-up
         per_query[name] = round(statistics.median(run_once(spark, name, sf_dir)
                                                   for _ in range(runs)), 3)
-        rows_out[name] = QUERIES[name](spark, sf_dir).count()
+        with stages(spark):
+            rows_out[name] = QUERIES[name](spark, sf_dir).count()
         print(f"# {name}: {per_query[name]}s rows={rows_out[name]}", file=sys.stderr, flush=True)
 
     events_rows = spark.read.parquet(f"{sf_dir}/events.parquet").count()
