@@ -1,7 +1,7 @@
 """The pipeline's stages against the operators and brute force."""
 
 import corpus_pipeline
-from test_dedup import brute_components
+from .test_dedup import brute_components
 
 from ledgerlens.llm import exact_dedup
 
