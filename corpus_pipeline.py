@@ -3,7 +3,8 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written as Parquet and read again as the next one's ``docs``. All but the last
 return the columns of ``documents``. The first and the fourth stage decide row
-by row and move no text; a NULL id is never dropped as a copy.
+by row and move no text; a row with a NULL id is dropped as a copy only when
+its own text occurs under an id.
 """
 
 from __future__ import annotations

@@ -44,8 +44,8 @@ def exact_duplicates(docs: DataFrame, keep: str = "max", salts: int = SALTS) ->
     texts form one group. Of equal texts the row with the largest ``doc_id``
     stays (``keep="min"``: the smallest). An empty table gives no rows. Rows
     that repeat a ``doc_id`` with the same text are all marked kept when that
-    id is the one that stays; rows with a NULL id are kept only when no
-    other row has their text.
+    id is the one that stays; rows with a NULL id are kept only when their
+    text occurs under no id.
     """
     groups = (text_groups(docs, keep)
               .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
@@ -61,7 +61,13 @@ def exact_duplicates(docs: DataFrame, keep: str = "max", salts: int = SALTS) ->
 
 
 def drop_exact_duplicates(docs: DataFrame, keep: str = "max") -> DataFrame:
-    """Rows of ``docs`` that ``exact_duplicates`` keeps, all columns unchanged."""
+    """Rows of ``docs`` that ``exact_duplicates`` keeps, all columns unchanged.
+
+    A row goes by its id and its text: an id that also has another text keeps
+    that one, and a NULL id goes only where its own text occurs under an id.
+    """
     dropped = exact_duplicates(docs, keep).filter("NOT kept").select(
-        F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["_dropped"]), "left_anti")
+        F.col("doc_id").alias("_dropped"), F.col("text_sha256").alias("_sha256")).distinct()
+    own = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
+    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["_dropped"])
+                     & (own == dropped["_sha256"]), "left_anti")

@@ -47,3 +47,13 @@ def test_copies_go_and_clean_documents_stay(spark, odd):
     kept = exact_dedup.drop_exact_duplicates(odd)
     ids = [r["doc_id"] for r in kept.collect()]
     assert 13 in ids and 4 in ids and 1 not in ids
+
+
+def test_copies_go_by_id_and_text(spark):
+    """A dropped copy takes no other row of its id along, NULL or not."""
+    rows = [(None, "a"), (1, "a"), (None, "unique"), (None, None),
+            (5, "b"), (5, "c"), (9, "b"), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [tuple(r) for r in exact_dedup.drop_exact_duplicates(docs).collect()]
+    assert sorted(kept, key=str) == sorted(
+        [(1, "a"), (None, "unique"), (5, "c"), (9, "b"), (9, "")], key=str)
