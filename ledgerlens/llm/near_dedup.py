@@ -11,9 +11,12 @@ Copies of a set are folded first. A band that only one set has cannot give a
 key, so only bands shared by several sets go on; there the second collection
 is compared inside the groups. A group too large for that is dealt out anew
 under the pair keys themselves. In each table every set is first held against
-the smallest id (no pairs inside a group are written out). After those links
-are confirmed, sets that meet in a table but lie in different components are
-held against each other too, so no link between them is lost.
+the smallest id (no pairs inside a group are written out), and sets that this
+one does not cover against all others of the table, by size and signature.
+The tables of large groups take their sets together whatever the smallest id
+is like. After those links are confirmed, sets that were taken together but
+lie in different components are held against each other too, so no link
+between them is lost.
 """
 
 from __future__ import annotations
@@ -36,6 +39,8 @@ BAND_ROWS = 4   # four low bytes make the 32 bits by which bands are compared
 BANDS = 28
 #: A group of more sets is dealt out anew under its pair keys.
 LARGE_GROUP = 2000
+#: In a table of up to so many sets, those that its head does not cover are paired at once.
+SMALL_RUN = 64
 #: Standard errors by which the signatures may fall short of the similarity.
 SLACK = 4.2
 
@@ -135,22 +140,82 @@ def _plausible(sketch: np.ndarray, i: np.ndarray, j: np.ndarray, size: np.ndarra
     return ok
 
 
+def _spread(run: np.ndarray, reached: np.ndarray, size: np.ndarray, sketch: np.ndarray
+            ) -> np.ndarray:
+    """Plausible pairs that join what the plausible pairs of a run join; ``reached`` are joined."""
+    queue, rest, found = run[reached].tolist(), run[~reached], [np.zeros((0, 2), np.int64)]
+    while rest.size:
+        if queue:
+            i = queue.pop()
+        else:
+            i, rest = int(rest[0]), rest[1:]
+        ok = _plausible(sketch, np.full(rest.size, i), rest, size)
+        if ok.any():
+            found.append(np.stack([np.full(int(ok.sum()), i), rest[ok]], axis=1))
+            queue.extend(rest[ok].tolist())
+            rest = rest[~ok]
+    return np.concatenate(found)
+
+
 def _star_pairs(key: np.ndarray, doc: np.ndarray, size: np.ndarray, bands: np.ndarray,
                 sketch: np.ndarray) -> np.ndarray:
-    """(smallest id, id) of every run, where plausible."""
-    found = [np.zeros((0, 2), np.int64)]
+    """Pairs of ids that join whatever the plausible pairs inside the runs join.
+
+    First (smallest id, id) of every run, where plausible. Ids that the smallest
+    does not cover are held against all others of the run; of those pairs only
+    the ones that join something go out.
+    """
+    n, runs, stars = doc.size, [], [np.zeros(0, np.int64)]
     for j in range(bands.shape[1]):
         order, starts = _runs(key, bands[:, j], doc)
-        head = np.repeat(order[starts], np.diff([*starts, order.size]))
-        other = head != order
-        found.append(np.stack([head[other], order[other]], axis=1))
-    pairs = np.unique(np.concatenate(found), axis=0)
-    pairs = pairs[_plausible(sketch, pairs[:, 0], pairs[:, 1], size)]
+        length = np.diff([*starts, order.size])
+        code = np.repeat(order[starts], length) * n + order
+        runs.append((order, starts, length, code))
+        other = np.ones(order.size, bool)
+        other[starts] = False
+        stars.append(code[other])
+    codes = np.unique(np.concatenate(stars))
+    ok = _plausible(sketch, codes // n, codes % n, size)
+    near = codes[ok]
+    more, joined = [np.zeros(0, np.int64)], [np.zeros((0, 2), np.int64)]
+    for order, starts, length, code in runs:
+        covered = np.isin(code, near)
+        open_ = np.add.reduceat((~covered).astype(np.int64), starts) > 1   # the head is one
+        open_ &= length > 2
+        for k in np.unique(length[open_]).tolist():
+            at = starts[open_ & (length == k)]
+            if k > SMALL_RUN:
+                joined += [_spread(order[x + 1:x + k], covered[x + 1:x + k], size, sketch)
+                           for x in at.tolist()]
+                continue
+            inside = at[:, None] + np.arange(1, k)
+            a, b = np.triu_indices(k - 1, 1)
+            wanted = ~(covered[inside[:, a]] & covered[inside[:, b]])
+            x, y = order[inside[:, a]][wanted], order[inside[:, b]][wanted]
+            more.append(np.unique(np.minimum(x, y) * n + np.maximum(x, y)))
+    codes = np.unique(np.concatenate(more))
+    codes = codes[_plausible(sketch, codes // n, codes % n, size)]
+    part: dict[int, int] = {}
+
+    def root(i: int) -> int:
+        while (up := part.get(i, i)) != i:
+            part[i] = i = part.get(up, up)
+        return i
+
+    star = np.stack([near // n, near % n], axis=1)
+    for i, j in np.concatenate([star, *joined]).tolist() if codes.size else ():
+        part[root(i)] = root(j)
+    extra = []
+    for i, j in zip((codes // n).tolist(), (codes % n).tolist()):
+        if root(i) != root(j):
+            part[root(i)] = root(j)
+            extra.append((i, j))
+    pairs = np.concatenate([star, *joined, np.array(extra, np.int64).reshape(-1, 2)])
     return np.unique(doc[pairs], axis=0)
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
-    """Star pairs ``a < b`` inside the groups of ``key``; a second band must meet as well."""
+    """Joining pairs ``a < b`` inside the groups of ``key``; a second band must meet as well."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _whole_groups(batches):
             t = t.combine_chunks()
@@ -171,12 +236,16 @@ def _sketches(t: pa.Table) -> np.ndarray:
 
 
 def _large_star(rows: DataFrame) -> DataFrame:
-    """Star pairs of the large groups' tables by grouping, with partial minima per task."""
+    """Star pairs of the large groups' tables by grouping, with partial minima per task.
+
+    ``near`` tells whether the sizes allow the similarity. The other pairs cannot
+    be links, but what stands in a table with them may have one.
+    """
     heads = rows.groupBy("key").agg(F.min(F.struct("doc_id", "n_shingles")).alias("head"))
     return (rows.join(heads, "key").filter("doc_id <> head.doc_id")
-            .filter(f"100 * least(n_shingles, head.n_shingles) >= "
-                    f"{SIMILARITY} * greatest(n_shingles, head.n_shingles)")
-            .selectExpr("head.doc_id AS a", "doc_id AS b").distinct())
+            .selectExpr("head.doc_id AS a", "doc_id AS b",
+                        f"100 * least(n_shingles, head.n_shingles) >= "
+                        f"{SIMILARITY} * greatest(n_shingles, head.n_shingles) AS near").distinct())
 
 
 # ---- between components -------------------------------------------------
@@ -306,10 +375,11 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, large_group: int = LARG
     large = (grouped.filter(F.col("n") > large_group)
              .withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))))
              .select(F.xxhash64("key", "j", band).alias("key"), "doc_id", "n_shingles"))
-    stars = materialized(_pairs(small).union(_large_star(large)).distinct(), "stars")
-    links = materialized(confirmed(stars, docs), "confirmed")
+    stars = materialized(_pairs(small).withColumn("near", F.lit(True))
+                         .union(_large_star(large)).distinct(), "stars")
+    links = materialized(confirmed(stars.filter("near").select("a", "b"), docs), "confirmed")
     parts = components(links)
-    cells = materialized(_cells(stars, parts, large_group), "cells")
+    cells = materialized(_cells(stars.select("a", "b"), parts, large_group), "cells")
     more = _links_between(cells, reps.select("doc_id", "sketch"),
                           id_and_text(docs).dropDuplicates(["doc_id"]), SHINGLE)
     linked = parts.selectExpr("node AS a", "component AS b").union(more)

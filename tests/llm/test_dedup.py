@@ -99,6 +99,50 @@ def test_near_duplicates_in_a_chain(spark):
     assert {got[i][1] for i in range(10)} == {0}
 
 
+def passage_texts():
+    """Short texts with a passage, then pairs of longer ones at 0.75 or a little more."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = {i: passage + " " + " ".join(f"h{i}x{k}" for k in range(12)) for i in range(40)}
+    for i in range(40, 80):
+        own = [f"d{i}w{k}" for k in range(90)]
+        texts[i] = " ".join([passage, *own])
+        texts[100 + i] = " ".join([passage, *own[:70], *(f"e{i}y{k}" for k in range(20))])
+    return texts
+
+
+@pytest.mark.parametrize("small_run", [200, 2])
+def test_a_table_joins_pairs_that_its_head_does_not_cover(monkeypatch, small_run):
+    monkeypatch.setattr(near_dedup, "SMALL_RUN", small_run, raising=False)
+    texts = passage_texts()
+    doc = np.array(sorted(texts))
+    sets = near_dedup.shingle_sets(near_dedup.words(*near_dedup.text_bytes(
+        near_dedup.pa.array([texts[i] for i in doc.tolist()]))))
+    sketch = np.array([near_dedup.minhashes(s, 224).astype(np.uint8) for s in sets])
+    one = np.zeros((doc.size, 1), np.int32)   # the passage's band, which all texts share
+    got = near_dedup._star_pairs(one[:, 0], doc, np.array([s.size for s in sets]), one, sketch)
+    part = {i: i for i in doc.tolist()}
+    for a, b in got.tolist() * 40:
+        part[a] = part[b] = min(part[a], part[b])
+    assert all(part[i] == part[100 + i] for i in range(40, 80))
+    assert len(got) < doc.size
+
+
+def test_a_large_groups_table_hides_no_pair_behind_its_head(spark):
+    rows = spark.createDataFrame([(7, 1, 60), (7, 2, 150), (7, 3, 148), (8, 4, 10), (8, 5, 11)],
+                                 "key long, doc_id long, n_shingles long")
+    got = {(r["a"], r["b"]): r["near"] for r in near_dedup._large_star(rows).collect()}
+    assert got == {(1, 2): False, (1, 3): False, (4, 5): True}
+
+
+@pytest.mark.parametrize("large_group", [2000, 3])
+def test_near_duplicates_behind_a_frequent_passage(spark, large_group):
+    texts = passage_texts()
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"])
+           for r in near_dedup.near_duplicates(docs, large_group=large_group).collect()}
+    assert got == brute_components(texts)
+
+
 def test_near_duplicates_edges(odd, none):
     got = near_dedup.near_duplicates(odd).collect()
     assert len(got) == odd.count()
