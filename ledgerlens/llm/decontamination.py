@@ -8,9 +8,10 @@ matrix of fixed size) finishes with a Nystroem step. Benchmark items and
 windows of every document are projected to the latent space, scaled so that
 the leading directions (languages, common words) do not drown the others. The
 items are a stated query set, held against all windows in blocks; pairs above
-a cosine are candidates. Each candidate is checked word by word: the longest
-common subsequence with the item, and for paraphrases the item's answer (its
-last words) as well.
+a cosine are candidates, and so is every pair whose window has enough of the
+item's words, whatever its cosine: the cosine alone rules nothing out. Each
+candidate is checked word by word: the longest common subsequence with the
+item, and for paraphrases the item's answer (its last words) as well.
 """
 
 from __future__ import annotations
@@ -43,6 +44,8 @@ ANSWER_SHARE, ANSWER_WORDS = 0.2, 4
 #: Items held against the documents in one pass.
 ITEM_BLOCK = 20_000
 _SLICE = 1 << 20
+#: Items whose words are counted at once.
+_ITEMS = 512
 _BLOCK = 256
 
 
@@ -167,6 +170,7 @@ class Items:
     classes: dict[int, tuple[np.ndarray, np.ndarray]]   # class: item numbers, unit vectors
     vocabulary: np.ndarray   # sorted word hashes of all items
     times: np.ndarray        # (items, vocabulary + 1): how often the item has the word
+    entries: tuple[np.ndarray, np.ndarray, np.ndarray]   # item, word, times above 0
 
 
 def prepare_items(rows: list, project: np.ndarray) -> Items:
@@ -187,7 +191,8 @@ def prepare_items(rows: list, project: np.ndarray) -> Items:
     for k, h in enumerate(own):
         np.add.at(times[k], np.searchsorted(vocabulary, h), 1)
     return Items(ids, own, project, {c: (np.array(k), vectors[k].astype(np.float32))
-                                     for c, k in of_class.items()}, vocabulary, times)
+                                     for c, k in of_class.items()}, vocabulary, times,
+                 (*np.nonzero(times), times[np.nonzero(times)]))
 
 
 def common_subsequence(item: np.ndarray, region: list[int]) -> int:
@@ -230,6 +235,49 @@ def _words_met(times: np.ndarray, item: np.ndarray, known: np.ndarray, start: np
     return out
 
 
+def _telling(items: Items, known: np.ndarray) -> tuple[tuple, np.ndarray]:
+    """Entries of each item's words without the ones most frequent here, and how many must be met.
+
+    The words left out are less than half of what a paraphrase needs, so a window
+    with enough of the item's words has the rest of that among the others.
+    """
+    item, word, times = items.entries
+    frequency = np.bincount(known, minlength=items.times.shape[1])
+    order = np.lexsort((-frequency[word], item))
+    item, word, times = item[order], word[order], times[order]
+    least = PARAPHRASE * np.array([w.size for w in items.words])
+    upto = np.cumsum(times)
+    first = np.searchsorted(item, np.arange(least.size))
+    upto -= (upto[first] - times[first])[item]
+    left = upto <= least[item] / 2
+    need = least - np.bincount(item[left], times[left], least.size)
+    by_word = np.argsort(word[~left], kind="stable")
+    return tuple(x[~left][by_word] for x in (item, word, times)), need
+
+
+def _counted(telling: tuple, numbers: np.ndarray, known: np.ndarray, block: np.ndarray
+             ) -> np.ndarray:
+    """(blocks + 1, items): the telling words of each item in all blocks before."""
+    item, word, times = telling
+    own = np.full(int(item.max(initial=0)) + 1, -1)
+    own[numbers[numbers < own.size]] = np.flatnonzero(numbers < own.size)
+    mine = own[item] >= 0
+    column, word, times = own[item[mine]], word[mine], times[mine]
+    top = int(known.max()) + 1
+    start = np.searchsorted(word, np.arange(top + 1))
+    held = np.diff(start)[known]
+    at = np.flatnonzero(held)
+    held = held[at]
+    entry = (np.arange(int(held.sum())) - np.repeat(np.cumsum(held) - held, held)
+             + np.repeat(start[known[at]], held))
+    size = int(block[-1]) + 1
+    out = np.zeros((size + 1, numbers.size))
+    cell = np.repeat(block[at], held) * numbers.size + column[entry]
+    np.cumsum(np.bincount(cell, times[entry], size * numbers.size).reshape(size, -1), axis=0,
+              out=out[1:])
+    return out
+
+
 def matches(texts: pa.Array, items: Items) -> list[dict[int, float]]:
     """Per text: share found of each item that it holds."""
     found = words(*text_bytes(texts), LETTERS)
@@ -243,7 +291,10 @@ def matches(texts: pa.Array, items: Items) -> list[dict[int, float]]:
     sums = np.zeros((items.project.shape[0], bucket.size + 1), np.float32)
     for row, weight in zip(sums, items.project):
         np.cumsum(weight[bucket], out=row[1:])
-    for size, (numbers, vectors) in items.classes.items():
+    telling, need = _telling(items, known)
+    for size, numbers, vectors in (
+            (c, k[at:at + _ITEMS], v[at:at + _ITEMS]) for c, (k, v) in items.classes.items()
+            for at in range(0, k.size, _ITEMS)):
         width, hop = size * 3 // 2, size // 2
         least = np.array([PARAPHRASE * items.words[k].size for k in numbers])
         per = np.where(n > 0, np.maximum(0, -(-(n - width) // hop)) + 1, 0)
@@ -251,11 +302,18 @@ def matches(texts: pa.Array, items: Items) -> list[dict[int, float]]:
         start = (np.arange(text.size) - np.repeat(np.cumsum(per) - per, per)) * hop
         start = np.minimum(start, np.maximum(0, n[text] - width)) + found.first[text]
         end = np.minimum(start + width, found.first[text + 1])
+        # Blocks of ``hop`` words that never cross texts.
+        blocks = -(-n // hop)
+        before = np.cumsum(blocks) - blocks
+        block = before[found.text] + (np.arange(known.size) - found.first[found.text]) // hop
+        counted = _counted(telling, numbers, known, block)
         for at in range(0, text.size, 4096):
             a, b = start[at:at + 4096], end[at:at + 4096]
             window = sums[:, b] - sums[:, a]
             length = np.sqrt((window ** 2).sum(axis=0))
-            item, near = np.nonzero(vectors @ window >= COSINE * length)
+            met = counted[block[b - 1] + 1] - counted[block[a]]
+            item, near = np.nonzero((vectors @ window >= COSINE * length)
+                                    | (met >= need[numbers]).T)
             enough = _words_met(items.times, numbers[item], known, a[near], b[near]) >= least[item]
             for w, k in zip((near[enough] + at).tolist(), numbers[item[enough]].tolist()):
                 held = out[text[w]]

@@ -200,6 +200,54 @@ def test_paraphrases_need_their_answer(spark):
     assert found == {100, 101}
 
 
+def brute_matches(text, items):
+    """The acceptance rule on every window, without any candidates."""
+    h = decontamination.words(*text_bytes(pa.array([text])), decontamination.LETTERS).hashes
+    out = set()
+    for i, w in zip(items.ids, items.words):
+        c = decontamination.length_class(w.size)
+        width, hop = c * 3 // 2, c // 2
+        for at in range(0, max(0, -(-(h.size - width) // hop)) * hop + 1, hop):
+            at = min(at, max(0, h.size - width))
+            window = set(h[at:at + width].tolist())
+            if sum(x in window for x in w.tolist()) >= decontamination.PARAPHRASE * w.size:
+                region = h[max(0, at - hop):at + width + hop]
+                if decontamination.share_found(w, region):
+                    out.add(i)
+    return out
+
+
+def test_no_cosine_hides_a_paraphrase():
+    """Items just above a class edge, of which the text has half and the answer, spread out."""
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("klmnoprst"), 6)) for _ in range(3000)] + ["the"] * 800
+    lists = [rng.choice(words, n).tolist() for n in (9, 13, 19, 20, 28, 29, 41, 42, 62) * 4]
+    texts = []
+    for w in lists:
+        answer = max(4, len(w) // 5)
+        held = set(rng.choice(len(w) - answer, -(-len(w) // 2) - answer, replace=False).tolist())
+        spread = []
+        for k, x in enumerate(w):
+            if k in held or k >= len(w) - answer:
+                spread.append(x)
+            else:
+                spread.append(str(rng.choice(words[:3000])))
+        pad = rng.choice(words, 80).tolist()
+        texts.append(" ".join(pad[:int(rng.integers(0, 60))] + spread + pad[60:]))
+    # Directions of one word bucket each tell next to nothing about any pair.
+    project = np.zeros((2, decontamination.BUCKETS), np.float32)
+    project[0, ::2], project[1, 1::2] = 1, -1
+    project[:, ::7] = 0
+    for scale in (project, -project * 0, rng.normal(size=(64, decontamination.BUCKETS)) / 8):
+        items = decontamination.prepare_items(
+            [{"item_id": k, "text": " ".join(w)} for k, w in enumerate(lists)],
+            np.ascontiguousarray(scale, np.float32))
+        got = decontamination.matches(pa.array(texts), items)
+        want = [brute_matches(t, items) for t in texts]
+        assert [set(m) for m in got] == want
+        assert sum(k in m for k, m in enumerate(want)) > 30
+
+
 def test_decontamination_edges(odd, none, spark):
     bench = spark.createDataFrame([(1, "The quick brown fox jumps over the lazy dog while nine wise")],
                                   "item_id long, text string")
