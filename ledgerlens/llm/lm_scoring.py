@@ -5,9 +5,11 @@ model factors a subword's probability: attention over the ids before it gives
 the probability of its group and of its class in the group, and the counts of
 all training documents give its probability within the class. Frequent ids are
 classes of their own, the others share one class a group; groups hold ids that
-stand beside the same ids. The attention weights are trained by gradient
-descent on a bounded sample of training documents. Every text is scored in
-overlapping windows, batched and masked, each id once.
+stand beside the same ids, counted over all training documents. The attention
+weights start from gradient descent on a few documents; from there the windows
+of all whole training texts are gone through once, shard by shard, and the
+shards' weights are averaged by the positions they were trained on. Every text
+is scored in overlapping windows, batched and masked, each id once.
 
 Beside that stands a word unigram base. Word counts cover all training
 documents and are not broadcast: blocks of documents send their distinct words
@@ -33,10 +35,13 @@ from .common import crc32_of
 from .packing import _encoder
 from .words import LOWER, words
 
-#: Training documents and ids of each on which the attention weights are fitted.
+#: Training documents, and ids of each, that give the weights from which the shards start.
 SAMPLE_DOCUMENTS = 2000
 SAMPLE_IDS = 4000
 STEPS = 1500
+#: Blocks that one shard trains on, windows of a step, and the first step's rate.
+SHARD_BLOCKS = 16
+SHARD_BATCH, SHARD_RATE = 256, 0.002
 #: Groups, and classes of each; the last class of a group holds its less frequent ids.
 GROUPS, MEMBERS = 32, 32
 CLASSES = GROUPS * MEMBERS
@@ -93,6 +98,13 @@ def _sequences(row: dict, end: int) -> tuple[np.ndarray, np.ndarray]:
             np.concatenate([[0], np.cumsum(lengths + 1)]))
 
 
+def _training(row: dict, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """``_sequences`` of the training documents of a block only."""
+    ids, offsets = _sequences(row, end)
+    used, n = np.frombuffer(row["train"], bool), np.diff(offsets)
+    return ids[np.repeat(used, n)], np.concatenate([[0], np.cumsum(n[used])])
+
+
 def id_counts(encoded: DataFrame, size: int) -> np.ndarray:
     """How often each id, and the end, occurs in the training documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,22 +272,54 @@ def _windows(classes: np.ndarray, offsets: np.ndarray
     return x, classes[at], at, used
 
 
-def classes_of(counts: np.ndarray, sample: np.ndarray, rounds: int = 8, seed: int = 5
+def _neighbour_cells(counts: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Cells (id, frequent neighbour before or after it) of the ids in a row."""
+    size = counts.size
+    rank = np.full(size, NEIGHBOURS)
+    rank[np.lexsort((np.arange(size), -counts))[:NEIGHBOURS]] = np.arange(NEIGHBOURS)
+    width = 2 * (NEIGHBOURS + 1)
+    return np.concatenate([ids[1:] * width + rank[ids[:-1]],
+                           ids[:-1] * width + NEIGHBOURS + 1 + rank[ids[1:]]])
+
+
+def neighbours(counts: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """How often each id stands after and before each of the frequent ids."""
+    width = 2 * (NEIGHBOURS + 1)
+    return np.bincount(_neighbour_cells(counts, ids), minlength=counts.size * width).reshape(
+        -1, width).astype(np.float32)
+
+
+def corpus_neighbours(encoded: DataFrame, counts: np.ndarray) -> np.ndarray:
+    """``neighbours`` over all training documents, no pair across two texts."""
+    size, width = counts.size, 2 * (NEIGHBOURS + 1)
+    held = encoded.sparkSession.sparkContext.broadcast(counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in rows_of(batch):
+                ids, offsets = _training(row, size - 1)
+                # The end of one text stands before the next one: that pair goes out.
+                cells = _neighbour_cells(held.value, ids).reshape(2, -1)
+                met, n = np.unique(np.delete(cells, offsets[1:-1] - 1, axis=1),
+                                   return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(n)], names=["cell", "n"])
+
+    got = (encoded.select("tokens", "token_lengths", "train").mapInArrow(run, "cell long, n long")
+           .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
+    out = np.zeros(size * width, np.float32)
+    out[np.asarray(got["cell"])] = np.asarray(got["n"])
+    return out.reshape(size, width)
+
+
+def classes_of(counts: np.ndarray, beside: np.ndarray, rounds: int = 8, seed: int = 5
                ) -> np.ndarray:
     """Class of each id (the last id is the end): groups by neighbours, members by frequency."""
     size = counts.size
     order = np.lexsort((np.arange(size), -counts))
-    rank = np.full(size, NEIGHBOURS)
-    rank[order[:NEIGHBOURS]] = np.arange(NEIGHBOURS)
-    beside = np.zeros((size, 2 * (NEIGHBOURS + 1)), np.float32)
-    for own, other, column in ((sample[1:], sample[:-1], 0),
-                               (sample[:-1], sample[1:], NEIGHBOURS + 1)):
-        cell = own * beside.shape[1] + column + rank[other]
-        beside += np.bincount(cell, minlength=beside.size).reshape(beside.shape)
     rows = np.sqrt(beside)
     rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
     met = np.flatnonzero(beside.any(axis=1))
-    group = np.arange(size) % GROUPS   # ids that the sample lacks
+    group = np.arange(size) % GROUPS   # ids without neighbours
     near = np.zeros((size, GROUPS), np.float32)
     if met.size:
         rng = np.random.default_rng(seed)
@@ -297,10 +341,31 @@ def classes_of(counts: np.ndarray, sample: np.ndarray, rounds: int = 8, seed: in
     return out
 
 
+class _Descent:
+    """Adam steps on the weights of a model, in place."""
+
+    def __init__(self, model: Attention) -> None:
+        self.weights, self.step = model.weights, 0
+        self.state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.weights.items()}
+
+    def go(self, gradients: dict[str, np.ndarray], speed: float) -> None:
+        self.step += 1
+        for k, g in gradients.items():
+            m, v = self.state[k]
+            m += 0.1 * (g - m)
+            v += 0.01 * (g * g - v)
+            self.weights[k] -= speed * (m / (1 - 0.9 ** self.step)) / (
+                np.sqrt(v / (1 - 0.99 ** self.step)) + 1e-8)
+
+
 def train(counts: np.ndarray, sample: np.ndarray, offsets: np.ndarray, steps: int = STEPS,
-          batch: int = 64, rate: float = 0.004, seed: int = 5) -> Attention:
-    """Classes and probabilities within them from all counts, attention from the sample."""
-    class_of = classes_of(counts, sample)
+          batch: int = 64, rate: float = 0.004, seed: int = 5, beside: np.ndarray | None = None
+          ) -> Attention:
+    """Classes and probabilities within them from all counts, attention from the sample.
+
+    ``beside`` holds the neighbours of all training documents (default: the sample's).
+    """
+    class_of = classes_of(counts, neighbours(counts, sample) if beside is None else beside)
     smoothed = counts + 0.5
     total = np.bincount(class_of, smoothed, minlength=CLASSES)
     inside = np.log(smoothed / total[class_of])
@@ -312,22 +377,73 @@ def train(counts: np.ndarray, sample: np.ndarray, offsets: np.ndarray, steps: in
     if not len(x):
         return model
     rng = np.random.default_rng(seed)
-    state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.weights.items()}
+    descent = _Descent(model)
     for step in range(1, steps + 1):
         pick = rng.integers(0, len(x), batch)
         speed = rate * min(1.0, step / 20, 3 * (1 - (step - 1) / steps))
-        for k, g in model.gradients(x[pick], y[pick], used[pick]).items():
-            m, v = state[k]
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            model.weights[k] -= speed * (m / (1 - 0.9 ** step)) / (
-                np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
+        descent.go(model.gradients(x[pick], y[pick], used[pick]), speed)
     return model
 
 
+def train_on_all(encoded: DataFrame, model: Attention, shard_blocks: int = SHARD_BLOCKS,
+                 batch: int = SHARD_BATCH, rate: float = SHARD_RATE) -> tuple[Attention, int]:
+    """The model after every window of every training text, and the positions trained on.
+
+    Shards of about ``shard_blocks`` blocks start from ``model`` and go through
+    their windows once, block by block. Weighted sums of their weights are added
+    up in two steps; the driver sees a few rows of fixed size.
+    """
+    shards = max(1, -(-encoded.count() // shard_blocks))
+    held = encoded.sparkSession.sparkContext.broadcast(model)
+    names = sorted(model.weights)
+
+    def learn(t: pd.DataFrame) -> pd.DataFrame:
+        start = held.value
+        own = Attention(start.class_of, start.inside,
+                        {k: v.copy() for k, v in start.weights.items()})
+        descent, positions = _Descent(own), 0
+        shard = int(t["shard"].iloc[0])
+        rng = np.random.default_rng([5, shard])
+        for done, at in enumerate(np.argsort(t["block"].to_numpy())):
+            ids, offsets = _training(t.iloc[at], own.class_of.size - 1)
+            x, y, _, used = _windows(own.class_of[ids], offsets)
+            positions += ids.size
+            order = rng.permutation(len(x))
+            for k in range(0, order.size, batch):
+                pick = order[k:k + batch]
+                left = 1 - (done + k / order.size) / len(t)
+                speed = rate * min(1.0, (descent.step + 1) / 20) * left
+                # A short last batch moves the weights by its share.
+                descent.go(own.gradients(x[pick], y[pick], used[pick]),
+                           speed * pick.size / batch)
+        flat = np.concatenate([own.weights[k].ravel() for k in names]).astype(np.float64)
+        return pd.DataFrame({"part": [shard % 32], "positions": [positions],
+                             "payload": [(flat * positions).tobytes()]})
+
+    def add(t: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(p, np.float64) for p in t["payload"])
+        return pd.DataFrame({"part": t["part"].iloc[:1], "positions": [t["positions"].sum()],
+                             "payload": [total.tobytes()]})
+
+    form = "part int, positions long, payload binary"
+    rows = (encoded.select(F.pmod(F.xxhash64("block"), F.lit(shards)).alias("shard"), "block",
+                           "tokens", "token_lengths", "train")
+            .groupBy("shard").applyInPandas(learn, form)
+            .groupBy("part").applyInPandas(add, form).collect())
+    positions = sum(r["positions"] for r in rows)
+    if not positions:
+        return model, 0
+    flat = sum(np.frombuffer(r["payload"], np.float64)
+               for r in sorted(rows, key=lambda r: r["part"])) / positions
+    cuts = np.cumsum([model.weights[k].size for k in names])[:-1]
+    weights = {k: w.reshape(model.weights[k].shape).astype(np.float32)
+               for k, w in zip(names, np.split(flat, cuts))}
+    return Attention(model.class_of, model.inside, weights), positions
+
+
 def fit(encoded: DataFrame, docs: DataFrame, tokenizer_path: str, modulus: int, held_out: int,
         documents: int = SAMPLE_DOCUMENTS, steps: int = STEPS) -> Attention:
-    """Counts over all training documents, attention weights from a bounded sample of them."""
+    """Counts and attention weights over all training documents, started on a few of them."""
     encoder = _encoder(tokenizer_path)
     size = encoder.library.get_vocab_size(with_added_tokens=True)
     counts = id_counts(encoded, size)
@@ -345,7 +461,7 @@ def fit(encoded: DataFrame, docs: DataFrame, tokenizer_path: str, modulus: int,
                 pick = np.flatnonzero(np.isin(doc, wanted.value) & known)
                 if pick.size:
                     ids, offsets = _sequences(row, size)
-                    # A long text gives a stretch from its middle.
+                    # For the start a long text gives a stretch from its middle.
                     own = [ids[max(a, (a + b - SAMPLE_IDS) // 2):][:min(b - a, SAMPLE_IDS)]
                            for a, b in zip(offsets[pick], offsets[pick + 1])]
                     yield pa.RecordBatch.from_arrays(
@@ -358,7 +474,8 @@ def fit(encoded: DataFrame, docs: DataFrame, tokenizer_path: str, modulus: int,
     texts = [np.frombuffer(r[1], np.int32) for r in rows]
     sample = np.concatenate([*texts, np.zeros(0, np.int32)]).astype(np.int64)
     offsets = np.concatenate([[0], np.cumsum([t.size for t in texts])]).astype(np.int64)
-    return train(counts, sample, offsets, steps)
+    start = train(counts, sample, offsets, steps, beside=corpus_neighbours(encoded, counts))
+    return train_on_all(encoded, start)[0]
 
 
 # ---- word counts --------------------------------------------------------

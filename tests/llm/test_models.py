@@ -384,3 +384,31 @@ def test_lm_gradients(small_model):
         down = loss()
         w[at] = before
         assert grads[name][at] == pytest.approx((up - down) / 2e-7, rel=5e-3, abs=1e-6)
+
+
+def test_all_of_every_training_text_is_trained_on(spark):
+    """Neighbours and positions of whole training texts, however many and long; none held out."""
+    texts = {i: f"red blue {i} " * (3 + i) for i in range(60)}
+    texts[100] = "green yellow " * 9000
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    blocks = lm_scoring.packed(docs.repartition(3), 4000)
+    encoded = lm_scoring.materialized(
+        lm_scoring.encoded_blocks(blocks, BYTES, 5, 1), "encoded").cache()
+    size = lm_scoring._encoder(BYTES).library.get_vocab_size(with_added_tokens=True)
+    rows = [lm_scoring._training(r.asDict(), size) for r in encoded.collect()]
+    counts = lm_scoring.id_counts(encoded, size)
+    assert counts.sum() == sum(ids.size for ids, _ in rows)
+    want = sum(lm_scoring.neighbours(counts, ids[a:b]) for ids, at in rows
+               for a, b in zip(at[:-1], at[1:]) if b - a > 1)
+    beside = lm_scoring.corpus_neighbours(encoded, counts)
+    assert (beside == want).all()
+    few = rows[0][0][:50]
+    start = lm_scoring.train(counts, few, np.array([0, few.size]), steps=2, beside=beside)
+    got, positions = lm_scoring.train_on_all(encoded, start, shard_blocks=2)
+    assert positions == counts.sum() > 18000
+    assert all(np.isfinite(w).all() for w in got.weights.values())
+
+    def loss(m):
+        return -np.mean(np.concatenate([m.log_probabilities(i, at) for i, at in rows if i.size]))
+
+    assert loss(got) < loss(start)
