@@ -29,6 +29,9 @@ from pyspark.sql import functions as F
 from .common import id_and_text, slices, text_bytes
 from .words import LETTERS, Words, words
 
+#: Bytes of words: letters and digits, so that numbers are words too.
+WORD = LETTERS.copy()
+WORD[ord("0"):ord("9") + 1] = True
 BUCKETS = 1 << 13
 RANK, OVERSAMPLING = 64, 8
 #: Columns of the test matrix in which each bucket has a random sign.
@@ -77,7 +80,7 @@ def _matrix(texts: DataFrame, width: int, contribution) -> tuple[np.ndarray, np.
         from pyspark import TaskContext
         total, count = np.zeros((BUCKETS, width)), 0.0
         for batch in slices(batches, _SLICE):
-            found = words(*text_bytes(batch.column(0)), LETTERS)
+            found = words(*text_bytes(batch.column(0)), WORD)
             if found.hashes.size:
                 count += contribution(found, total)
         blocks = list(range(BUCKETS // _BLOCK)) + [-1]
@@ -176,7 +179,7 @@ class Items:
 def prepare_items(rows: list, project: np.ndarray) -> Items:
     """Items without a word are left out; equal items are searched each."""
     texts = pa.array([r["text"] for r in rows], pa.string())
-    found = words(*text_bytes(texts), LETTERS)
+    found = words(*text_bytes(texts), WORD)
     cuts = list(zip(found.first[:-1].tolist(), found.first[1:].tolist()))
     own = [found.hashes[a:b] for a, b in cuts if b > a]
     ids = [r["item_id"] for r, (a, b) in zip(rows, cuts) if b > a]
@@ -280,7 +283,7 @@ def _counted(telling: tuple, numbers: np.ndarray, known: np.ndarray, block: np.n
 
 def matches(texts: pa.Array, items: Items) -> list[dict[int, float]]:
     """Per text: share found of each item that it holds."""
-    found = words(*text_bytes(texts), LETTERS)
+    found = words(*text_bytes(texts), WORD)
     out: list[dict[int, float]] = [{} for _ in range(len(texts))]
     if not found.hashes.size or not items.ids:
         return out

@@ -202,7 +202,7 @@ def test_paraphrases_need_their_answer(spark):
 
 def brute_matches(text, items):
     """The acceptance rule on every window, without any candidates."""
-    h = decontamination.words(*text_bytes(pa.array([text])), decontamination.LETTERS).hashes
+    h = decontamination.words(*text_bytes(pa.array([text])), decontamination.WORD).hashes
     out = set()
     for i, w in zip(items.ids, items.words):
         c = decontamination.length_class(w.size)
@@ -248,6 +248,23 @@ def test_no_cosine_hides_a_paraphrase():
         assert sum(k in m for k, m in enumerate(want)) > 30
 
 
+def test_numbers_are_words(spark):
+    """An item of numbers is found, and a numeric answer is checked."""
+    rng = np.random.default_rng(6)
+    numbers = [str(x) for x in rng.integers(1000, 9999, 20)]
+    asked = ["".join(rng.choice(list("klmnoprst"), 6)) for _ in range(16)]
+    told = [w if k % 2 else "other" for k, w in enumerate(asked)]
+    pad = ["".join(rng.choice(list("abcdefghi"), 6)) for _ in range(40)]
+    docs = spark.createDataFrame(
+        [(1, " ".join(pad + numbers + pad)), (2, " ".join(pad + told + numbers[:4] + pad)),
+         (3, " ".join(pad + told + ["1", "2", "3", "4"] + pad)), (4, " ".join(pad))],
+        "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(numbers)), (8, " ".join(asked + numbers[:4]))],
+                                  "item_id long, text string")
+    got = {r["doc_id"]: r["item_ids"] for r in decontamination.decontaminate(docs, bench).collect()}
+    assert got == {1: [7], 2: [8], 3: [], 4: []}
+
+
 def test_decontamination_edges(odd, none, spark):
     bench = spark.createDataFrame([(1, "The quick brown fox jumps over the lazy dog while nine wise")],
                                   "item_id long, text string")
