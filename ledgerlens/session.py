@@ -81,11 +81,17 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     ``release_stages`` or the ``stages`` block around them ends.
     """
     spark = df.sparkSession
+    path = stage_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder that goes with the stage tables (``release_stages``)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
     _stages.append(path)
-    return spark.read.parquet(path)
+    return path
 
 
 def release_stages(spark: SparkSession, keep: int = 0) -> None:
