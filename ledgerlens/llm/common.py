@@ -38,6 +38,33 @@ def crc32_of(doc_id: object) -> int:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode())
 
 
+#: A group with more than this part of all rows is looked up by broadcast.
+HOT_PART = 1000
+
+
+def spread_join(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
+                total: int) -> DataFrame:
+    """``rows`` left joined with ``groups`` (one row per key, no NULL keys) without a hot task.
+
+    ``size`` names the column of ``groups`` that tells how many of ``total`` rows a
+    key has; it is dropped. At most ``HOT_PART`` groups hold more than a
+    ``HOT_PART``-th of the rows: those are broadcast, and their rows are dealt evenly
+    in the shuffle that meets the other groups.
+    """
+    limit = max(1, total // HOT_PART)
+    values = [c for c in groups.columns if c not in (*keys, size)]
+    hot = groups.filter(F.col(size) > limit).select(
+        *keys, F.struct(*values).alias("_hot"), F.lit(True).alias("_is_hot"))
+    rest = groups.filter(F.col(size) <= limit).select(
+        *keys, F.struct(*values).alias("_rest"), F.lit(0).cast("long").alias("_deal"))
+    dealt = rows.join(F.broadcast(hot), keys, "left").withColumn(
+        "_deal", F.when(F.col("_is_hot"), F.monotonically_increasing_id() + 1).otherwise(F.lit(0)))
+    return dealt.join(rest, [*keys, "_deal"], "left").select(
+        *rows.columns,
+        *[F.when(F.col("_is_hot"), F.col(f"_hot.{c}")).otherwise(F.col(f"_rest.{c}")).alias(c)
+          for c in values])
+
+
 def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches with a ``text`` column into slices of about ``size`` text bytes.
 
