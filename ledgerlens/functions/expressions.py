@@ -39,15 +39,15 @@ def sql_hms(ts: str) -> str:
 
 
 def sql_hour_of(time_str: str) -> str:
-    """hour from an ``HH:mm:ss`` string (first two characters, trimmed)."""
-    return f"CAST(substring(trim({time_str}), 1, 2) AS INT)"
+    """hour from an ``HH:mm:ss`` string (first two characters, trimmed); blank has none."""
+    return f"CAST(nullif(substring(trim({time_str}), 1, 2), '') AS INT)"
 
 
 def sql_second_of_day(t: str) -> str:
-    """``hour*3600 + minute*60 + second`` of an ``HH:mm:ss`` string, as double."""
-    return (f"CAST(substring({t}, 1, 2) AS DOUBLE) * 3600.0D"
-            f" + CAST(substring({t}, 4, 2) AS DOUBLE) * 60.0D"
-            f" + CAST(substring({t}, 7, 2) AS DOUBLE)")
+    """``hour*3600 + minute*60 + second`` of an ``HH:mm:ss`` string, as double; blank: NULL."""
+    return (f"CAST(nullif(substring({t}, 1, 2), '') AS DOUBLE) * 3600.0D"
+            f" + CAST(nullif(substring({t}, 4, 2), '') AS DOUBLE) * 60.0D"
+            f" + CAST(nullif(substring({t}, 7, 2), '') AS DOUBLE)")
 
 
 def sql_pct(part: str, total: str) -> str:
@@ -71,6 +71,11 @@ def sql_in_range(v: str, low: float | None, high: float | None,
     return "(" + " AND ".join(conds) + ")" if conds else "true"
 
 
+def sql_user(uid: str = "uid") -> str:
+    """A row without a user belongs to the user ``""``, as the load step writes it."""
+    return f"coalesce(CAST({uid} AS STRING), '') AS uid"
+
+
 def sql_span(v: str) -> str:
     """inclusive spread ``max - min + 1`` (aggregate)."""
     return f"CAST(max({v}) - min({v}) + 1 AS INT)"

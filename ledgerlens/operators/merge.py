@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..functions.expressions import delimited
+from ..session import bucketed
 from ..sources.tables import parse_lines
 
 AMOUNT_STAT_COLUMNS = ["min_amt", "max_amt", "mid_amt", "avg_amt", "var_amt"]
@@ -51,6 +52,18 @@ def merge_features(labels: DataFrame, tables: Sequence[DataFrame],
     return merged.selectExpr(*MERGED_COLUMNS)
 
 
+def merge_bucketed(labels: DataFrame, tables: Sequence[DataFrame], buckets: int,
+                   how: str = "inner") -> DataFrame:
+    """J9 over tables written bucketed by ``uid``: the joins themselves shuffle nothing.
+
+    Worth it where the feature tables are written anyway or merged more than once:
+    each is shuffled once, when it is written.
+    """
+    return merge_features(bucketed(labels, "labels", "uid", buckets),
+                          [bucketed(t, f"features_{k}", "uid", buckets)
+                           for k, t in enumerate(tables)], how)
+
+
 def to_delimited(merged: DataFrame, sep: str = "|") -> DataFrame:
     """One line per user ``uid|label|f1|...|f38``; NULL prints blank."""
     return merged.select(delimited(MERGED_COLUMNS, sep).alias("value"))

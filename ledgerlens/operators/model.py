@@ -7,6 +7,8 @@ plain numbers (``"017"`` -> 17.0, K6) and missing features as 0.0.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -57,13 +59,14 @@ def _numeric_stage(cols: list[str]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {exprs} FROM __THIS__")
 
 
-def feature_vectors(merged: DataFrame, compat: bool = False) -> DataFrame:
-    """``uid`` and the model's feature vector as an array of doubles."""
+def feature_vectors(merged: DataFrame, compat: bool = False,
+                    keep: Sequence[str] = ("uid",)) -> DataFrame:
+    """``keep`` and the model's feature vector as an array of doubles."""
     cols = model_features(compat)
     numeric = _numeric_stage(cols).transform(merged)
     assembled = VectorAssembler(inputCols=[f"{c}__x" for c in cols],
                                 outputCol="features").transform(numeric)
-    return assembled.select("uid", vector_to_array("features").alias("features"))
+    return assembled.select(*keep, vector_to_array("features").alias("features"))
 
 
 def tree_pipeline(compat: bool = False, seed: int = 7, label: str = "label") -> Pipeline:

@@ -1,5 +1,9 @@
 """Step 0: slim, de-duplicated logs.
 
+The load step writes every missing text as blank (S2); tables that did not come
+through it get the same here, so rows without a user, time, type or channel belong to
+the blank one and no later join or window loses them.
+
 Duplicates are dropped after the projection (K1): two operations with the
 same uid, day, type and time count once in every later feature. The
 ``distinct`` is a hash aggregate with a map-side partial step, so a hot
@@ -11,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import strict_number
+from ..functions.expressions import sql_user, strict_number
 
 
 def _number(df: DataFrame, c: str, kind: str) -> Column:
@@ -23,10 +27,10 @@ def _number(df: DataFrame, c: str, kind: str) -> Column:
 def slim_operations(raw_ops: DataFrame) -> DataFrame:
     """``uid, op_day int, op_type, op_time`` of the operation log, distinct."""
     slim = raw_ops.selectExpr(
-        "CAST(uid AS STRING) AS uid",
+        sql_user(),
         "day AS op_day",
         "coalesce(CAST(mode AS STRING), '') AS op_type",
-        "CAST(time AS STRING) AS op_time",
+        "coalesce(CAST(time AS STRING), '') AS op_time",
     ).distinct()
     return slim.select("uid", _number(slim, "op_day", "int"), "op_type", "op_time")
 
@@ -39,11 +43,11 @@ def slim_transactions(raw_trans: DataFrame) -> DataFrame:
     text day was. Casts trim blanks and fail on bad or missing text.
     """
     slim = raw_trans.selectExpr(
-        "CAST(uid AS STRING) AS uid",
-        "CAST(channel AS STRING) AS trans_channel",
+        sql_user(),
+        "coalesce(CAST(channel AS STRING), '') AS trans_channel",
         "day AS trans_day",
         "trans_amt",
-        "CAST(time AS STRING) AS trans_time",
+        "coalesce(CAST(time AS STRING), '') AS trans_time",
         "coalesce(CAST(trans_type1 AS STRING), '') AS trans_type1",
         "coalesce(CAST(trans_type2 AS STRING), '') AS trans_type2",
     )

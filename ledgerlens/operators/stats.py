@@ -93,7 +93,13 @@ def bucket_rates(df: DataFrame, keys: Sequence[str], value: str,
 
 # Units (10^-scale of the currency) in a piece of a user's amounts.
 PIECE_UNITS = 1_000_000
-MISSING_AMOUNT = "amount is missing"
+MISSING_AMOUNT = "amount is missing or not a number"
+
+
+def sql_amount(amount: str) -> str:
+    """The amount, or an error where it is NULL or NaN."""
+    return sql_strict(f"CASE WHEN NOT isnan(CAST(`{amount}` AS DOUBLE)) THEN `{amount}` END",
+                      MISSING_AMOUNT)
 
 
 def amount_stats(trans: DataFrame, key: str = "uid", amount: str = "trans_amt",
@@ -109,8 +115,9 @@ def amount_stats(trans: DataFrame, key: str = "uid", amount: str = "trans_amt",
     a window group, however many rows the user has.
 
     ``exact_scale`` = number of decimals of the amounts, up to 6. An amount
-    that is NULL, has more decimals or is beyond 9.2e18 units raises an error,
-    as do sums beyond decimal(38); nothing is rounded or dropped.
+    that is NULL or NaN, has more decimals or is beyond 9.2e18 units raises an error,
+    as do sums beyond decimal(38); nothing is rounded or dropped. Rows without a
+    key are one group like any other (of the blank text, where the key is text).
 
     ``with_ranges`` adds the A5 columns (``amt_count`` and the per-user
     bucket percents) from the same pass.
@@ -118,7 +125,9 @@ def amount_stats(trans: DataFrame, key: str = "uid", amount: str = "trans_amt",
     if not 0 <= exact_scale <= 6:
         raise ValueError(f"exact_scale={exact_scale}")
     w = int(piece_units)
-    rows = trans.selectExpr(f"`{key}`", f"`{amount}` AS _a",
+    is_text = dict(trans.dtypes)[key] == "string"
+    whose = f"coalesce(`{key}`, '') AS `{key}`" if is_text else f"`{key}`"
+    rows = trans.selectExpr(whose, f"`{amount}` AS _a",
                             f"{sql_units(f'`{amount}`', exact_scale)} AS _u")
     rows = rows.selectExpr("*", f"pmod(_u, {w}L) AS _o")
     rows = rows.selectExpr("*", f"CAST((_u - _o) DIV {w} AS BIGINT) AS _piece")
@@ -154,18 +163,33 @@ def amount_stats(trans: DataFrame, key: str = "uid", amount: str = "trans_amt",
         " / (CAST(amt_count AS DOUBLE) * CAST(amt_count AS DOUBLE)) AS var_amt",
         *(["amt_count", *[b.name for b in USER_AMOUNT_BUCKETS]] if with_ranges else []))
     medians = _medians(rows, pieces, key)
-    out = stats.join(medians, key)
+    out = _by_key(stats, medians, [key])
     lead = [key, "min_amt", "max_amt", "mid_amt"]
     return out.select(*lead, *[c for c in out.columns if c not in lead])
 
 
+def _by_key(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys``; those that are no text are compared NULL-safe."""
+    if dict(left.dtypes)[keys[0]] == "string":
+        return left.join(right, keys)
+    other = right.selectExpr(f"`{keys[0]}` AS _key", *[c for c in right.columns if c != keys[0]])
+    same = F.col(keys[0]).eqNullSafe(F.col("_key"))
+    if len(keys) == 1:
+        return left.join(other, same).drop("_key")
+    moved = other.withColumnsRenamed({k: f"_other_{k}" for k in keys[1:]})
+    for k in keys[1:]:
+        same = same & (F.col(k) == F.col(f"_other_{k}"))
+    return left.join(moved, same).drop("_key", *[f"_other_{k}" for k in keys[1:]])
+
+
 def _medians(rows: DataFrame, pieces: DataFrame, key: str) -> DataFrame:
     """``mid_amt`` per user, from the amounts of the pieces that hold the middle ranks."""
     lo, hi = "(_total - 1) DIV 2", "_total DIV 2"   # 0-based middle ranks, equal when n is odd
     chosen = pieces.selectExpr(f"`{key}`", "_piece", "_before", "_n", f"{lo} AS _lo",
                                f"{hi} AS _hi").filter(
         "(_lo >= _before AND _lo < _before + _n) OR (_hi >= _before AND _hi < _before + _n)")
-    counted = (rows.join(chosen.select(key, "_piece", "_before", "_lo", "_hi"), [key, "_piece"])
+    counted = (_by_key(rows, chosen.select(key, "_piece", "_before", "_lo", "_hi"),
+                       [key, "_piece"])
                .groupBy(key, "_piece", "_before", "_lo", "_hi", "_a").agg(expr("count(1)", "_m")))
     ranked = counted.selectExpr(
         "*", f"_before + sum(_m) OVER (PARTITION BY `{key}`, _piece ORDER BY _a"
@@ -181,10 +205,10 @@ def _medians(rows: DataFrame, pieces: DataFrame, key: str) -> DataFrame:
 def amount_range(trans: DataFrame, amount: str = "trans_amt") -> DataFrame:
     """A4: one row -- count, min, max and the four amount-bucket percents.
 
-    A NULL amount raises an error, as in ``amount_stats``.
+    A NULL or NaN amount raises an error, as in ``amount_stats``.
     """
     return bucket_rates(trans, [], amount, AMOUNT_BUCKETS, extra=[
-        expr(f"count({sql_strict(f'`{amount}`', MISSING_AMOUNT)})", "amt_count"),
+        expr(f"count({sql_amount(amount)})", "amt_count"),
         F.min(amount).alias("amt_min"),
         F.max(amount).alias("amt_max"),
     ])
@@ -194,10 +218,10 @@ def user_amount_range(trans: DataFrame, key: str = "uid",
                       amount: str = "trans_amt") -> DataFrame:
     """A5: per user -- count and percents of (100,1000), (1000,10000), >10000.
 
-    A NULL amount raises an error, as in ``amount_stats``.
+    A NULL or NaN amount raises an error, as in ``amount_stats``.
     """
     return bucket_rates(trans, [key], amount, USER_AMOUNT_BUCKETS,
-                        extra=[expr(f"count({sql_strict(f'`{amount}`', MISSING_AMOUNT)})",
+                        extra=[expr(f"count({sql_amount(amount)})",
                                     "amt_count")])
 
 

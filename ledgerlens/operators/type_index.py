@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.expressions import expr, type_id
 from ..functions.ranking import global_position
 from ..session import checkpointed
+from ..sources.tables import read_table, write_table
 from .stats import value_counts
 
 # Id prefixes of the two dictionaries.
@@ -39,11 +40,11 @@ class TypeIndex:
     size: int
 
     def save(self, path: str) -> None:
-        self.table.write.mode("overwrite").parquet(path)
+        write_table(self.table, path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "TypeIndex":
-        table = spark.read.parquet(path)
+        table = read_table(spark, path)
         return TypeIndex(table, int(table.agg(F.expr(_SIZE)).first()[0]))
 
 

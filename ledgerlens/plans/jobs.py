@@ -112,8 +112,9 @@ def feature_job(spark: SparkSession, out: Layout, index_from: Layout | None = No
     # sequences, pairs, follow rates, flags
     _write(sequences.sequence_keys(op_enc, trans_enc), out, "action_keys")
     keyed = _read(spark, out, "action_keys")
-    _write(sequences.daily_sequences(keyed), out, "user_actions")
-    _write(sequences.user_action_rank(keyed), out, "user_action_rank")
+    heavy = sequences.heavy_days(op_base, trans_base)
+    _write(sequences.daily_sequences(keyed, heavy), out, "user_actions")
+    _write(sequences.user_action_rank(keyed, heavy), out, "user_action_rank")
     rank = _read(spark, out, "user_action_rank")
     if eda:
         seqs = _read(spark, out, "user_actions")

@@ -346,6 +346,114 @@ def hash_split_sql() -> str:
                  "FROM (SELECT uid FROM ops UNION SELECT uid FROM trans)", "ops", "trans")
 
 
+# ---- raw files (S1, S2) --------------------------------------------------------
+RAW_OPS = f"""
+  SELECT CAST(user_id AS VARCHAR) AS uid, CAST(day(ts) AS VARCHAR) AS day,
+         coalesce(event_type, '') AS mode, {hms('ts')} AS time
+  FROM events WHERE coalesce(event_type, '') <> 'purchase'"""
+
+
+# ---- learned rules -----------------------------------------------------------
+# Users of both classes per pair, from the ranked pairs of each class.
+cte("class_pairs", ("ranked_pairs", "lbl"), """
+  SELECT uid, a1, a2, label FROM ranked_pairs JOIN lbl USING (uid)""")
+cte("learned", ("class_pairs",), """
+  SELECT a1, a2, n_risky, n_safe, risky_users, safe_users, lift, chi2,
+         CAST(row_number() OVER (PARTITION BY a1 ORDER BY chi2 DESC, a2) AS INTEGER) AS rn
+  FROM (SELECT *, ((a + 0.5::DOUBLE) / (r + 1.0::DOUBLE)) / ((b + 0.5::DOUBLE) / (s + 1.0::DOUBLE)) AS lift,
+               CASE WHEN r > 0 AND s > 0 AND a + b < r + s
+                    THEN (r + s) * (a * (s - b) - b * (r - a)) * (a * (s - b) - b * (r - a))
+                         / ((a + b) * (r + s - a - b) * r * s) END AS chi2
+        FROM (SELECT *, CAST(n_risky AS DOUBLE) AS a, CAST(n_safe AS DOUBLE) AS b,
+                     CAST(risky_users AS DOUBLE) AS r, CAST(safe_users AS DOUBLE) AS s
+              FROM (SELECT a1, a2, CAST(count_if(label = 1) AS BIGINT) AS n_risky,
+                           CAST(count_if(label = 0) AS BIGINT) AS n_safe
+                    FROM class_pairs GROUP BY a1, a2)
+              CROSS JOIN (SELECT count(DISTINCT CASE WHEN label = 1 THEN uid END) AS risky_users,
+                                 count(DISTINCT CASE WHEN label = 0 THEN uid END) AS safe_users
+                          FROM class_pairs)))
+  WHERE lift > 1 AND chi2 >= 3.841458820694124::DOUBLE""")
+cte("rule", ("learned",), """
+  SELECT l.a1, l.a2, t.place FROM learned l JOIN (
+    SELECT a1, row_number() OVER (ORDER BY max(chi2) DESC, a1) AS place FROM learned GROUP BY a1
+  ) t USING (a1) WHERE l.rn <= 2 AND t.place <= 2""")
+
+
+def learned_flags_sql() -> str:
+    def flag(place: int) -> str:
+        return (f"CAST(max(CASE WHEN p.rn = 1 AND r.place = {place} THEN 1.0 ELSE 0.0 END)"
+                f" AS DOUBLE) AS flag{place}")
+    return build(f"""
+  SELECT p.uid, {flag(1)}, {flag(2)},
+         CAST(CASE WHEN max(greatest(CAST(p.a1 AS INTEGER), CAST(p.a2 AS INTEGER))) > 105
+              THEN 0.0 ELSE 1.0 END AS DOUBLE) AS flag3
+  FROM ranked_pairs p LEFT JOIN rule r ON p.a1 = r.a1 AND p.a2 = r.a2 GROUP BY p.uid""",
+                 "ranked_pairs", "rule")
+
+
+# ---- tree (M3-M6) ---------------------------------------------------------------
+def root_split_sql() -> str:
+    """The learner's loop over the sorted values, one step at a time, then every gain.
+
+    A candidate lies before a value when the running count before it is nearer to the next
+    multiple of rows / bins than the running count after it.
+    """
+    values = ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0)" for c in MERGED_COLS)
+    names = ", ".join(f"'{c}'" for c in MERGED_COLS)
+
+    def gini(n: str, n1: str) -> str:
+        p0, p1 = f"(({n} - {n1})::DOUBLE / {n}::DOUBLE)", f"({n1}::DOUBLE / {n}::DOUBLE)"
+        return f"(1.0::DOUBLE - {p0} * {p0} - {p1} * {p1})"
+
+    return f"""
+WITH RECURSIVE train AS (
+  SELECT label, [{values}] AS v FROM ({merged_sql()})
+  WHERE CAST((('0x' || substr(md5(uid), 1, 8))::BIGINT) % 10 AS INTEGER) < 8
+), long AS (
+  SELECT label, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS f FROM train
+), hist AS (
+  SELECT f, x, count(*) AS n, count_if(label = 1) AS n1 FROM long GROUP BY f, x
+), pre AS (
+  SELECT f, x, lead(x) OVER o AS x_next, row_number() OVER o AS i,
+         sum(n) OVER o AS c, sum(n) OVER o + lead(n) OVER o AS c_next, sum(n1) OVER o AS c1,
+         count(*) OVER w AS vals, sum(n) OVER w AS n_all, sum(n1) OVER w AS n1_all
+  FROM hist WINDOW w AS (PARTITION BY f), o AS (PARTITION BY f ORDER BY x)
+), steps AS (
+  SELECT *, least(32, n_all) AS bins, n_all::DOUBLE / least(32, n_all) AS stride
+  FROM pre WHERE x_next IS NOT NULL
+), walk(f, i, k, cut) AS (
+  SELECT f, i, CASE WHEN abs(c - stride) < abs(c_next - stride) THEN 1 ELSE 0 END,
+         abs(c - stride) < abs(c_next - stride) FROM steps WHERE i = 1
+  UNION ALL
+  SELECT s.f, s.i,
+         w.k + CASE WHEN abs(c - stride * (k + 1)) < abs(c_next - stride * (k + 1))
+                    THEN 1 ELSE 0 END,
+         abs(c - stride * (k + 1)) < abs(c_next - stride * (k + 1))
+  FROM walk w JOIN steps s ON s.f = w.f AND s.i = w.i + 1
+), gains AS (
+  SELECT s.f, (x + x_next) / 2.0::DOUBLE AS threshold, c, c1, n_all - c AS d, n1_all - c1 AS d1,
+         {gini('n_all', 'n1_all')} - c::DOUBLE / n_all::DOUBLE * {gini('c', 'c1')}
+         - (n_all - c)::DOUBLE / n_all::DOUBLE * {gini('(n_all - c)', '(n1_all - c1)')} AS gain
+  FROM steps s JOIN walk USING (f, i) WHERE vals <= bins OR cut
+)
+SELECT [{names}][f + 1] AS feature, CAST(f AS INTEGER) AS feature_index, threshold, gain,
+       CAST(c - c1 AS BIGINT) AS left_0, CAST(c1 AS BIGINT) AS left_1,
+       CAST(d - d1 AS BIGINT) AS right_0, CAST(d1 AS BIGINT) AS right_1
+FROM gains WHERE gain > 0 ORDER BY gains.gain DESC, f, threshold LIMIT 1"""
+
+
+def fixed_tree_sql() -> str:
+    """The fixed tree of the catalogue as nested conditions."""
+    def n(c: str) -> str:
+        return f"coalesce(CAST({c} AS DOUBLE), 0.0)"
+    return f"""SELECT uid, CASE
+  WHEN {n('avg_amt')} <= 45.0 THEN
+    CASE WHEN {n('op_afternoon_rate')} <= 18.275 THEN 0
+         WHEN {n('trans_days_span')} <= 27.0 THEN 0 ELSE 1 END
+  WHEN {n('var_amt')} <= 2000.0 THEN 1 ELSE 0 END AS prediction
+FROM ({merged_sql()})"""
+
+
 def oracle_queries() -> dict[str, str]:
     tuned = flags_body("003", ("001", "104"), "102", ("103",), 105)
     return {
@@ -401,6 +509,14 @@ def oracle_queries() -> dict[str, str]:
         "risk_flags_tuned": build(tuned, "ranked_pairs"),
         "merged_features": merged_sql("JOIN"),
         "merged_features_left": merged_sql("LEFT JOIN"),
+        "merged_features_bucketed": merged_sql("JOIN"),
+        "raw_csv_operations": RAW_OPS,
+        "raw_csv_quarantine": "SELECT concat_ws(',', uid, day, mode) AS line, count(*) AS n"
+                              f" FROM ({RAW_OPS}) WHERE CAST(uid AS BIGINT) % 97 = 0 GROUP BY 1",
+        "learned_rules": build("SELECT * FROM learned", "learned"),
+        "risk_flags_learned": learned_flags_sql(),
+        "tree_root_split": root_split_sql(),
+        "predictions_from_nodes": fixed_tree_sql(),
         "delimited_features": delimited_sql(),
         "parsed_features": parsed_sql(),
         "hash_split": hash_split_sql(),

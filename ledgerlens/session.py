@@ -94,12 +94,32 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Catalog tables over stage folders (``bucketed``).
+_named: list[str] = []
+
+
+def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Write ``df`` once, bucketed and sorted by ``key``, for joins that need no shuffle.
+
+    Tables bucketed alike by the join key are read side by side, bucket by bucket.
+    The table is external, in the shared folder, and goes with the stage tables.
+    """
+    spark = df.sparkSession
+    path, table = stage_path(spark, name), f"ledgerlens_{name}_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(table))
+    _named.append(table)
+    return spark.table(table)
+
+
 def release_stages(spark: SparkSession, keep: int = 0) -> None:
     """Delete the stage tables written after the first ``keep`` ones.
 
     Call it when no DataFrame that reads them is needed any more.
     """
     jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _named and not keep:
+        spark.sql(f"DROP TABLE IF EXISTS {_named.pop()}")
     while len(_stages) > keep:
         path = jvm.org.apache.hadoop.fs.Path(_stages.pop())
         path.getFileSystem(hadoop).delete(path, True)

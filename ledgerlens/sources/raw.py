@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import strict_number
+from ..session import materialized
 
 # Column names of the raw logs, in file order. They must
 # match the input files.
@@ -51,6 +52,31 @@ def read_raw_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFram
     return df.na.fill("")
 
 
+#: Text of a line that does not have the columns of its file.
+BAD_LINE = "_bad_line"
+
+
+def read_checked_csv(spark: SparkSession, path: str, columns: list[str],
+                     header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """S1 + S2 with malformed lines set aside: ``(rows, quarantine)``.
+
+    A line with more or fewer fields than ``columns`` is not padded or cut: it goes whole
+    into ``quarantine`` (``line, file``), a table written here, the other lines into ``rows``.
+    Every line is in one of the two. All fields are parsed whatever a query selects,
+    so a line is judged alike in every query.
+    """
+    schema = string_schema([*columns, BAD_LINE])
+    df = (spark.read.option("header", str(header).lower()).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", BAD_LINE).option("columnPruning", "false")
+          .schema(schema).csv(path))
+    # Spark refuses to read the bad-line column alone, so the filter reads a field as well
+    good = F.col(BAD_LINE).isNull() & (F.length(F.coalesce(columns[0], F.lit(""))) >= 0)
+    rows = df.filter(good).select(*columns).na.fill("")
+    bad = materialized(df.select("*", F.col("_metadata.file_path").alias("file")).filter(
+        F.col(BAD_LINE).isNotNull()), "quarantine")
+    return rows, bad.select(F.col(BAD_LINE).alias("line"), "file")
+
+
 def read_raw_operations(spark: SparkSession, path: str) -> DataFrame:
     return read_raw_csv(spark, path, OPERATION_COLUMNS)
 

@@ -8,9 +8,10 @@ users who need the old line layout.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,17 +60,74 @@ def sorted_for_sink(df: DataFrame, name: str) -> DataFrame:
     return df.orderBy(*order) if order else df
 
 
+def _fs(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    p = hadoop.Path(path.rstrip("/"))
+    return hadoop, p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def finish_swap(spark: SparkSession, path: str) -> None:
+    """Carry out the swap that the note ``<path>.swap`` asks for, if there is one.
+
+    The note names the folder with the new output and the one that takes the old. Every
+    step may have been done before: a swap that was cut off is ended by the next
+    reader or writer.
+    """
+    hadoop, folder, fs = _fs(spark, path)
+    note = hadoop.Path(folder.toString() + ".swap")
+    if not fs.exists(note):
+        return
+    stream = fs.open(note)
+    try:
+        fresh, old = (hadoop.Path(p) for p in spark._jvm.org.apache.commons.io.IOUtils.toString(
+            stream, "UTF-8").split("\n"))
+    finally:
+        stream.close()
+    if fs.exists(fresh):
+        for source, target in ((folder, old), (fresh, folder)):
+            if fs.exists(source) and not fs.rename(source, target):
+                raise OSError(f"cannot move {source} to {target}")
+    fs.delete(old, True)
+    fs.delete(note, True)
+
+
+def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Replace the output at ``path`` by what ``write`` writes to a folder beside it.
+
+    A failed write changes nothing, and output may be made from what it replaces. When
+    the new folder is whole, a note is left that decides for it, and the folders
+    change places; ``path`` stays a plain folder that others can read.
+    """
+    finish_swap(spark, path)
+    hadoop, folder, fs = _fs(spark, path)
+    name = f"{folder}.{uuid.uuid4().hex}"
+    fresh, old = hadoop.Path(name + ".new"), hadoop.Path(name + ".old")
+    try:
+        write(fresh.toString())
+    except BaseException:
+        fs.delete(fresh, True)
+        raise
+    draft = hadoop.Path(name + ".note")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray(f"{fresh}\n{old}".encode()))
+    finally:
+        out.close()
+    if not fs.rename(draft, hadoop.Path(folder.toString() + ".swap")):
+        raise OSError(f"cannot leave a note for {path}")
+    finish_swap(spark, path)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Stage tables are Parquet with named, typed columns."""
+    finish_swap(spark, path)
     return spark.read.parquet(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace existing output; Parquet."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    replace_folder(df.sparkSession, path,
+                   lambda p: df.write.partitionBy(*partition_by).parquet(p))
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType, sep: str = "|", value: str = "value",
@@ -113,7 +171,7 @@ def to_lines(df: DataFrame, cols: Sequence[str | Column] | None = None,
 def write_delimited(df: DataFrame, path: str, cols: Sequence[str | Column] | None = None,
                     sep: str = "|") -> None:
     """S3: text lines; the number of files follows the data."""
-    to_lines(df, cols, sep).write.mode("overwrite").text(path)
+    replace_folder(df.sparkSession, path, lambda p: to_lines(df, cols, sep).write.text(p))
 
 
 def write_predictions(pred: DataFrame, path: str) -> None:
@@ -122,15 +180,21 @@ def write_predictions(pred: DataFrame, path: str) -> None:
     The reference wrote one file; here the file count follows the data so
     that scoring many users does not funnel into one task.
     """
-    (pred.select("uid", F.col("prediction").cast("int"))
-     .write.mode("overwrite").option("header", "false").csv(path))
+    lines = pred.select("uid", F.col("prediction").cast("int"))
+    replace_folder(pred.sparkSession, path,
+                   lambda p: lines.write.option("header", "false").csv(p))
 
 
 def preview(df: DataFrame, name: str, n: int = 20) -> list:
-    """Row count and first ``n`` rows -- two jobs, so opt-in only."""
-    total = df.count()
-    rows = df.limit(n).collect()
-    print(f"{name} count: {total}")
+    """Row count and first ``n`` rows, in one job.
+
+    The rows are counted on their way to a top-``n`` by position, which reads all of them.
+    """
+    seen = Observation(f"preview_{uuid.uuid4().hex}")
+    rows = (df.observe(seen, F.count(F.lit(1)).alias("n"))
+            .withColumn("_at", F.monotonically_increasing_id())
+            .orderBy("_at").limit(n).drop("_at").collect())
+    print(f"{name} count: {seen.get['n']}")
     for r in rows:
         print(r)
     return rows

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from ..functions.expressions import sql_hms
+from .raw import OPERATION_COLUMNS
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -38,6 +39,25 @@ def operations_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+#: Users whose operations also come as malformed lines in ``csv_from_operations``.
+BAD_EVERY = 97
+
+
+def csv_from_operations(spark: SparkSession, ops: DataFrame, folder: str) -> tuple[str, str]:
+    """Raw operation files: a CSV with header of all columns, and one without, of bad lines.
+
+    Users divisible by ``BAD_EVERY`` get a line that is too short for each operation.
+    Returns both folders.
+    """
+    known = set(ops.columns)
+    ops.selectExpr(*[c if c in known else f"CAST(NULL AS STRING) AS {c}"
+                     for c in OPERATION_COLUMNS]).write.option("header", "true").csv(
+        f"{folder}/good")
+    ops.filter(f"try_cast(uid AS BIGINT) % {BAD_EVERY} = 0").selectExpr(
+        "concat_ws(',', uid, day, mode) AS value").write.text(f"{folder}/bad")
+    return f"{folder}/good", f"{folder}/bad"
+
+
 def transactions_from_events(events: DataFrame) -> DataFrame:
     """Raw transaction columns; channel and both types derive from ``props.k``."""
     k = "CAST(get_json_object(props, '$.k') AS INT)"
