@@ -12,11 +12,16 @@ key, so only bands shared by several sets go on; there the second collection
 is compared inside the groups. A group too large for that is dealt out anew
 under the pair keys themselves. In each table every set is first held against
 the smallest id (no pairs inside a group are written out), and sets that this
-one does not cover against all others of the table, by size and signature.
-The tables of large groups take their sets together whatever the smallest id
-is like. After those links are confirmed, sets that were taken together but
-lie in different components are held against each other too, so no link
-between them is lost.
+one does not cover against all others of the table, by size and signature. Of
+a group's pairs only a spanning forest goes out, at most one pair per set
+less one, pairs of greatest agreement first. The tables of large groups take
+their sets together whatever the smallest id is like. After those links are
+confirmed, sets that were taken together but lie in different components are
+held against each other too, so no link between them is lost.
+
+A set stands for all documents that have it. Its node is the smallest of their ids;
+where an id has several texts and would stand for several sets, a hash of id
+and set takes its place until the end.
 """
 
 from __future__ import annotations
@@ -29,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialized
-from .common import id_and_text, slices, text_bytes
+from .common import id_and_text, slices, spread_join, text_bytes
 from .components import components
 from .words import mix, shingle_sets, words
 
@@ -70,10 +75,11 @@ def band_keys(low: np.ndarray, bands: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, bands: int = BANDS, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, n_shingles, set_a, set_b`` (128 bits over the set), ``first``, ``sketch``.
+    """``doc_id, n_shingles, set_a, set_b`` (128 bits over the set), ``first``, ``sketch``, ``text_key``.
 
     ``first`` holds the keys of the first collection's bands; ``sketch`` the
-    low byte of every minhash, four a band, the second collection last.
+    low byte of every minhash, four a band, the second collection last;
+    ``text_key`` is the MD5 of the text, which tells the texts of one id apart.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -89,12 +95,18 @@ def signatures(docs: DataFrame, bands: int = BANDS, shingle: int = SHINGLE) -> D
                  pa.array(np.array([f[1] for f in folded], np.uint64).view(np.int64)),
                  pa.array(keys, pa.list_(pa.int64())),
                  pa.array([b"" if m is None else m.astype(np.uint8).tobytes() for m in low],
-                          pa.binary())],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "first", "sketch"])
+                          pa.binary()), batch.column(2)],
+                names=["doc_id", "n_shingles", "set_a", "set_b", "first", "sketch", "text_key"])
 
-    return id_and_text(docs).withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(
+    return _keyed_texts(docs).mapInArrow(
         run, "doc_id long, n_shingles long, set_a long, set_b long, first array<long>, "
-             "sketch binary")
+             "sketch binary, text_key binary")
+
+
+def _keyed_texts(docs: DataFrame) -> DataFrame:
+    return id_and_text(docs).selectExpr(
+        "CAST(doc_id AS BIGINT) AS doc_id", "text",
+        "unhex(md5(CAST(text AS BINARY))) AS text_key")
 
 
 # ---- groups of a shared band --------------------------------------------
@@ -128,6 +140,15 @@ def _runs(key: np.ndarray, band: np.ndarray, doc: np.ndarray) -> tuple[np.ndarra
     return order, np.flatnonzero(new)
 
 
+def _agreement(sketch: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Equal signature bytes of each pair."""
+    out = np.zeros(i.size, np.int64)
+    for at in range(0, i.size, 8192):
+        part = slice(at, at + 8192)
+        out[part] = (sketch[i[part]] == sketch[j[part]]).sum(axis=1)
+    return out
+
+
 def _plausible(sketch: np.ndarray, i: np.ndarray, j: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Pairs whose sizes allow the similarity and whose signatures do not speak against it."""
     ok = 100 * np.minimum(size[i], size[j]) >= SIMILARITY * np.maximum(size[i], size[j])
@@ -135,8 +156,7 @@ def _plausible(sketch: np.ndarray, i: np.ndarray, j: np.ndarray, size: np.ndarra
     least = wanted - SLACK * np.sqrt(wanted * (1 - wanted) / count)
     least += (1 - least) / 256   # bytes that agree by chance
     at = np.flatnonzero(ok)
-    for part in np.array_split(at, max(1, at.size // 8192)):
-        ok[part] = (sketch[i[part]] == sketch[j[part]]).sum(axis=1) >= least * count
+    ok[at] = _agreement(sketch, i[at], j[at]) >= least * count
     return ok
 
 
@@ -162,10 +182,10 @@ def _star_pairs(key: np.ndarray, doc: np.ndarray, size: np.ndarray, bands: np.nd
     """Pairs of ids that join whatever the plausible pairs inside the runs join.
 
     First (smallest id, id) of every run, where plausible. Ids that the smallest
-    does not cover are held against all others of the run; of those pairs only
-    the ones that join something go out.
+    does not cover are held against all others of the run. Rows of different keys never
+    meet, so the forest has at most one pair less than rows for each key.
     """
-    n, runs, stars = doc.size, [], [np.zeros(0, np.int64)]
+    n, runs, stars = max(1, doc.size), [], [np.zeros(0, np.int64)]
     for j in range(bands.shape[1]):
         order, starts = _runs(key, bands[:, j], doc)
         length = np.diff([*starts, order.size])
@@ -195,23 +215,27 @@ def _star_pairs(key: np.ndarray, doc: np.ndarray, size: np.ndarray, bands: np.nd
             more.append(np.unique(np.minimum(x, y) * n + np.maximum(x, y)))
     codes = np.unique(np.concatenate(more))
     codes = codes[_plausible(sketch, codes // n, codes % n, size)]
+    found = np.unique(np.concatenate(
+        [near, codes, *[j.min(axis=1) * n + j.max(axis=1) for j in joined]]))
+    return np.unique(doc[_forest(found // n, found % n, sketch)], axis=0)
+
+
+def _forest(i: np.ndarray, j: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """The pairs of a spanning forest, those of greatest agreement first."""
+    order = np.lexsort((j, i, -_agreement(sketch, i, j)))
     part: dict[int, int] = {}
 
-    def root(i: int) -> int:
-        while (up := part.get(i, i)) != i:
-            part[i] = i = part.get(up, up)
-        return i
+    def root(x: int) -> int:
+        while (up := part.get(x, x)) != x:
+            part[x] = x = part.get(up, up)
+        return x
 
-    star = np.stack([near // n, near % n], axis=1)
-    for i, j in np.concatenate([star, *joined]).tolist() if codes.size else ():
-        part[root(i)] = root(j)
-    extra = []
-    for i, j in zip((codes // n).tolist(), (codes % n).tolist()):
-        if root(i) != root(j):
-            part[root(i)] = root(j)
-            extra.append((i, j))
-    pairs = np.concatenate([star, *joined, np.array(extra, np.int64).reshape(-1, 2)])
-    return np.unique(doc[pairs], axis=0)
+    kept = []
+    for x, y in zip(i[order].tolist(), j[order].tolist()):
+        if (a := root(x)) != (b := root(y)):
+            part[a] = b
+            kept.append((x, y))
+    return np.array(kept, np.int64).reshape(-1, 2)
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -279,14 +303,15 @@ def _cells(stars: DataFrame, parts: DataFrame, size: int) -> DataFrame:
         F.xxhash64("cluster", "x", "y").alias("key"), "doc_id", "component", "outside", "asks")
 
 
-def _links_between(cells: DataFrame, sketches: DataFrame, texts: DataFrame, shingle: int
+def _links_between(cells: DataFrame, sets: DataFrame, texts: DataFrame, shingle: int
                    ) -> DataFrame:
     """Links ``(a, b)`` that join components inside the cells, confirmed on the full sets.
 
     Within a cell, components that a link has joined are one from then on.
     """
-    rows = cells.join(sketches, "doc_id").join(texts, "doc_id").select(
-        "key", "doc_id", "component", "outside", "asks", "sketch", "text")
+    rows = (cells.join(sets.selectExpr("node AS doc_id", "rep", "rep_key", "sketch"), "doc_id")
+            .join(texts, ["rep", "rep_key"])
+            .select("key", "doc_id", "component", "outside", "asks", "sketch", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _whole_groups(batches):
@@ -323,11 +348,16 @@ def _links_between(cells: DataFrame, sketches: DataFrame, texts: DataFrame, shin
             .mapInArrow(run, "a long, b long"))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """The pairs ``(a, b)`` whose full shingle sets reach the similarity."""
-    texts = id_and_text(docs).dropDuplicates(["doc_id"])
-    joined = (pairs.join(texts.selectExpr("doc_id AS b", "text AS text_b"), "b")
-              .join(texts.selectExpr("doc_id AS a", "text AS text"), "a")
+def confirmed(pairs: DataFrame, sets: DataFrame, texts: DataFrame, shingle: int = SHINGLE
+              ) -> DataFrame:
+    """The pairs ``(a, b)`` of nodes whose full shingle sets reach the similarity.
+
+    ``texts`` has one text per ``rep, rep_key``, the document that stands for a set.
+    """
+    where = sets.select("node", "rep", "rep_key")
+    joined = (pairs.join(where.toDF("b", "rep", "rep_key"), "b").join(texts, ["rep", "rep_key"])
+              .selectExpr("a", "b", "text AS text_b")
+              .join(where.toDF("a", "rep", "rep_key"), "a").join(texts, ["rep", "rep_key"])
               .select("a", "b", "text_b", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,22 +378,42 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> Data
     return joined.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, bands: int = BANDS, large_group: int = LARGE_GROUP
-                    ) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
+def _sets(signed: DataFrame) -> DataFrame:
+    """One row per set: ``set_a, set_b, n_shingles, rep, rep_key, first, sketch, node``.
 
-    A document's set holds the distinct 5-word shingles of its whole text,
-    A-Z lower-cased; a shorter text has its whole sequence as one shingle; a
-    NULL or blank text has the empty set and is linked with nothing.
-    Documents with a similarity of 0.75 or more are linked.
-    ``component_id`` is the smallest ``doc_id`` reachable over links, and
-    ``kept`` marks the document that has that id. Repeated rows get equal
-    results. An empty table gives no rows.
+    ``rep`` is the smallest id that has the set, ``rep_key`` the text it has it with.
     """
+    one = materialized(
+        signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+        .groupBy("set_a", "set_b", "n_shingles")
+        .agg(F.min(F.struct("doc_id", "text_key", "first", "sketch")).alias("r"))
+        .selectExpr("set_a", "set_b", "n_shingles", "r.doc_id AS rep", "r.text_key AS rep_key",
+                    "r.first AS first", "r.sketch AS sketch"), "sets")
+    several = one.groupBy("rep").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if several.isEmpty():
+        return one.withColumn("node", F.col("rep"))
+    marked = spread_join(one, several.withColumn("several", F.lit(True)), ["rep"], "n",
+                         one.count())
+    return materialized(marked.withColumn("node", F.expr(
+        "CASE WHEN several THEN xxhash64(rep, set_a, set_b) ELSE rep END")).drop("several"),
+        "nodes")
+
+
+def _smallest_ids(final: DataFrame, sets: DataFrame) -> DataFrame:
+    """``node, c``: the smallest id of the node's component."""
+    named = materialized(final.join(sets.select("node", "rep"), "node"), "named")
+    least = named.groupBy("component").agg(F.min("rep").alias("c"), F.count(F.lit(1)).alias("n"))
+    return spread_join(named.select("node", "component"), least, ["component"], "n",
+                       named.count()).select("node", "c")
+
+
+def marked_rows(docs: DataFrame, bands: int = BANDS, large_group: int = LARGE_GROUP) -> DataFrame:
+    """``near_duplicates`` with the ``text_key`` of each row."""
     signed = materialized(signatures(docs, bands), "signatures")
-    by_set = signed.filter("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(
-        F.min("doc_id").alias("rep"))
-    reps = signed.join(by_set.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    sets = _sets(signed)
+    texts = _keyed_texts(docs).dropDuplicates(["doc_id", "text_key"]).selectExpr(
+        "doc_id AS rep", "text_key AS rep_key", "text")
+    reps = sets.selectExpr("node AS doc_id", "n_shingles", "first", "sketch")
     keyed = reps.select("doc_id", F.explode("first").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     grouped = materialized(
@@ -377,16 +427,51 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, large_group: int = LARG
              .select(F.xxhash64("key", "j", band).alias("key"), "doc_id", "n_shingles"))
     stars = materialized(_pairs(small).withColumn("near", F.lit(True))
                          .union(_large_star(large)).distinct(), "stars")
-    links = materialized(confirmed(stars.filter("near").select("a", "b"), docs), "confirmed")
+    links = materialized(confirmed(stars.filter("near").select("a", "b"), sets, texts),
+                         "confirmed")
     parts = components(links)
     cells = materialized(_cells(stars.select("a", "b"), parts, large_group), "cells")
-    more = _links_between(cells, reps.select("doc_id", "sketch"),
-                          id_and_text(docs).dropDuplicates(["doc_id"]), SHINGLE)
+    more = _links_between(cells, sets, texts, SHINGLE)
     linked = parts.selectExpr("node AS a", "component AS b").union(more)
     final = components(linked)
-    of_set = (by_set.join(final.withColumnRenamed("node", "rep"), "rep", "left")
-              .select("set_a", "set_b", "n_shingles", F.coalesce("component", "rep").alias("c")))
-    return (signed.select("doc_id", "n_shingles", "set_a", "set_b")
+    least = (final.withColumnRenamed("component", "c")
+             if sets.filter("node <> rep").isEmpty() else _smallest_ids(final, sets))
+    of_set = (sets.select("set_a", "set_b", "n_shingles", "node", "rep")
+              .join(least, "node", "left")
+              .select("set_a", "set_b", "n_shingles", F.coalesce("c", "rep").alias("c")))
+    return (signed.select("doc_id", "n_shingles", "set_a", "set_b", "text_key")
             .join(of_set, ["set_a", "set_b", "n_shingles"], "left")
-            .select("doc_id", "n_shingles", F.coalesce("c", "doc_id").alias("component_id"))
+            .select("doc_id", "n_shingles", F.coalesce("c", "doc_id").alias("component_id"),
+                    "text_key")
             .withColumn("kept", F.coalesce(F.expr("doc_id = component_id"), F.lit(False))))
+
+
+def near_duplicates(docs: DataFrame, bands: int = BANDS, large_group: int = LARGE_GROUP
+                    ) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
+
+    A document's set holds the distinct 5-word shingles of its whole text,
+    A-Z lower-cased; a shorter text has its whole sequence as one shingle; a
+    NULL or blank text has the empty set and is linked with nothing.
+    Documents with a similarity of 0.75 or more are linked.
+    ``component_id`` is the smallest ``doc_id`` reachable over links, and
+    ``kept`` marks the document that has that id. Repeated rows get equal
+    results; rows of one id with different texts are linked each by its own text.
+    A row without an id gets the smallest id that has its set, if any, and links no
+    sets. An empty table gives no rows; other columns are not read.
+    """
+    return marked_rows(docs, bands, large_group).select("doc_id", "n_shingles", "component_id",
+                                                        "kept")
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of their group of near duplicates.
+
+    Rows go by id and text, so another text of a dropped row's id stays. A row without an
+    id is never dropped.
+    """
+    dropped = marked_rows(docs).filter("NOT kept AND doc_id IS NOT NULL").select(
+        F.col("doc_id").alias("_dropped"), F.col("text_key").alias("_key")).distinct()
+    text = F.coalesce(docs["text"], F.lit("")).cast("binary")
+    return docs.join(dropped, (docs["doc_id"] == dropped["_dropped"])
+                     & (F.unhex(F.md5(text)) == dropped["_key"]), "left_anti")

@@ -143,6 +143,48 @@ def test_near_duplicates_behind_a_frequent_passage(spark, large_group):
     assert got == brute_components(texts)
 
 
+@pytest.mark.parametrize("large_group", [2000, 3])
+def test_ids_with_several_texts(spark, large_group):
+    """One id with texts of different groups, as a set's smallest id or not, NULL ids beside it."""
+    a, b, c = ([f"{x}{k}" for k in range(90)] for x in "abc")
+    rows = [(1, " ".join(a)), (5, " ".join(a + ["tail"])), (5, " ".join(b)), (7, " ".join(b[1:])),
+            (5, " ".join(c)), (5, " ".join(c + ["more"])), (9, " ".join(c[2:])),
+            (None, " ".join(b)), (None, "only here and nowhere else at all"), (6, "x y"),
+            (4, " ".join(c + ["less"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    marked = near_dedup.marked_rows(docs, large_group=large_group)
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"])
+                  for r in marked.collect()), key=str)
+    assert got == sorted([
+        (1, 86, 1, True), (5, 87, 1, False), (5, 86, 5, True), (7, 85, 5, False),
+        (5, 86, 4, False), (5, 87, 4, False), (9, 84, 4, False), (None, 86, 5, False),
+        (None, 3, None, False), (6, 1, 6, True), (4, 87, 4, True)], key=str)
+    left = [tuple(r) for r in near_dedup.drop_near_duplicates(docs).collect()]
+    assert sorted(left, key=str) == sorted([rows[0], rows[2], rows[7], rows[8], rows[9], rows[10]],
+                                           key=str)
+
+
+@pytest.mark.parametrize("n", [100, 400, 800])
+def test_a_groups_pairs_are_a_forest(n):
+    """Near copies that share every table: a pair less than sets, however many tables."""
+    rng = np.random.default_rng(n)
+    sets = []
+    for _ in range(n):
+        words = np.arange(200, dtype=np.uint64)
+        words[rng.integers(0, 200, 4)] = rng.integers(1000, 1 << 60, 4, dtype=np.uint64)
+        sets.append(np.unique(near_dedup.mix(words)))
+    sketch = np.array([near_dedup.minhashes(s, 224).astype(np.uint8) for s in sets])
+    half = np.ascontiguousarray(sketch[:, 112:]).view(np.int32)
+    doc, size = np.arange(n), np.array([s.size for s in sets])
+    keys = np.zeros(n, np.int64)
+    got = near_dedup._star_pairs(keys, doc, size, half, sketch)
+    part = list(range(n))
+    for _ in range(n):
+        for a, b in got.tolist():
+            part[a] = part[b] = min(part[a], part[b])
+    assert len(got) == n - 1 and set(part) == {0}
+
+
 def test_near_duplicates_edges(odd, none):
     got = near_dedup.near_duplicates(odd).collect()
     assert len(got) == odd.count()
