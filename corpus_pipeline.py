@@ -3,8 +3,9 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written as Parquet and read again as the next one's ``docs``. All but the last
 return the columns of ``documents``. The first and the fourth stage decide row
-by row and move no text; a row with a NULL id is dropped as a copy only when
-its own text occurs under an id.
+by row and move no text; a row with a NULL id is dropped as an exact copy only when
+its own text occurs under an id, and never as a near copy. Rows go by id and text:
+another text of a dropped row's id stays.
 """
 
 from __future__ import annotations
@@ -34,10 +35,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id."""
-    marked = near_dedup.near_duplicates(docs)
-    dropped = marked.filter("NOT kept AND doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"] == dropped["_dropped"], "left_anti")
+    return near_dedup.drop_near_duplicates(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
