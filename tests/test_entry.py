@@ -30,3 +30,11 @@ def test_nothing_else_imports_the_llm_subpackage():
         if "llm" not in path.parts:
             text = path.read_text()
             assert "llm" not in text, path
+
+
+def test_another_missing_module_is_an_error():
+    for missing in ("zstandard", "public_tokenizers"):
+        code = (f"import sys; sys.path.insert(0, {REPO!r}); sys.modules[{missing!r}] = None\n"
+                "import __spark_entry__")
+        out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True)
+        assert out.returncode and missing in out.stderr
