@@ -8,10 +8,13 @@ matrix of fixed size) finishes with a Nystroem step. Benchmark items and
 windows of every document are projected to the latent space, scaled so that
 the leading directions (languages, common words) do not drown the others. The
 items are a stated query set, held against all windows in blocks; pairs above
-a cosine are candidates, and so is every pair whose window has enough of the
-item's words, whatever its cosine: the cosine alone rules nothing out. Each
-candidate is checked word by word: the longest common subsequence with the
-item, and for paraphrases the item's answer (its last words) as well.
+a cosine that follows the item's length are candidates, and no others. Each
+candidate is checked word by word: enough of the item's words near the window,
+the longest common subsequence with the item, and for paraphrases the item's
+answer (its last words) as well.
+
+The search is approximate: a paraphrase can stay below the cosine. With
+``exact=True`` every pair with enough words is a candidate, whatever its cosine.
 """
 
 from __future__ import annotations
@@ -33,22 +36,25 @@ from .words import LETTERS, Words, words
 WORD = LETTERS.copy()
 WORD[ord("0"):ord("9") + 1] = True
 BUCKETS = 1 << 13
-RANK, OVERSAMPLING = 64, 8
+RANK, OVERSAMPLING = 48, 8
 #: Columns of the test matrix in which each bucket has a random sign.
 SIGNS = 4
 #: Words of a passage in the decomposition.
 PASSAGE = 32
-COSINE = 0.45
+#: A pair is a candidate from this cosine on, times sqrt(words of item / words of window):
+#: the other words of a window lengthen it by so much.
+COSINE = 0.34
 #: A window holds a copy when so much of the item is a common subsequence, and
 #: a paraphrase when this much is and so much of the answer.
 COPY, PARAPHRASE, ANSWER = 0.7, 0.5, 0.8
 #: The answer is the last words of the item: this share, and at least so many.
 ANSWER_SHARE, ANSWER_WORDS = 0.2, 4
-#: Items held against the documents in one pass.
-ITEM_BLOCK = 20_000
-_SLICE = 1 << 20
-#: Items whose words are counted at once.
-_ITEMS = 512
+#: Items held against the documents in one pass, and the bytes of their texts.
+ITEM_BLOCK, ITEM_BYTES = 20_000, 16 << 20
+#: Bytes of text in one piece of the decomposition, and of the search.
+_SLICE, _SEARCH = 1 << 20, 1 << 18
+#: Items of one class that are searched at once, and windows.
+_ITEMS, _WINDOWS = 128, 4096
 _BLOCK = 256
 
 
@@ -62,16 +68,45 @@ def _passages(found: Words) -> np.ndarray:
     return np.flatnonzero(rank % PASSAGE == 0)
 
 
+def _sums_of_runs(rows: np.ndarray, index: np.ndarray, start: np.ndarray, end: np.ndarray,
+                  most: int) -> np.ndarray:
+    """Per run the sum of ``rows[index[start:end]]``; runs are at most ``most`` long.
+
+    The last of ``rows`` is 0: it fills the shorter runs up, so that one product adds all up.
+    """
+    out = np.empty((start.size, rows.shape[1]), rows.dtype)
+    every, index = np.arange(most), np.append(index, len(rows) - 1)
+    ones, step = np.ones((1, most), rows.dtype), max(1, (1 << 13) // most)
+    for at in range(0, start.size, step):
+        a, b = start[at:at + step, None], end[at:at + step, None]
+        inside = a + every
+        pick = index[np.where(inside < b, inside, index.size - 1)]
+        got = np.empty((pick.size, rows.shape[1]), rows.dtype)
+        np.take(rows, pick.ravel(), axis=0, out=got, mode="clip")
+        out[at:at + step] = (ones @ got.reshape(len(pick), most, -1))[:, 0]
+    return out
+
+
 # ---- sums over all tasks ------------------------------------------------
-def _added(parts: DataFrame) -> dict[int, np.ndarray]:
-    """Sum of the float64 payloads ``(block, shard, payload)`` by block, in two steps."""
+#: Payloads of one block that one task adds up.
+FAN_IN = 32
+
+
+def _added(rows: DataFrame, parts: int) -> dict[int, np.ndarray]:
+    """Sum of the float64 payloads ``(block, part, payload)`` by block, in a tree.
+
+    Parts are numbered from 0; a task reads at most ``FAN_IN`` of them, however many there are.
+    """
     def add(t: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(p, np.float64) for p in t["payload"])
-        return pd.DataFrame({"block": t["block"].iloc[:1], "payload": [total.tobytes()]})
+        return pd.DataFrame({"block": t["block"].iloc[:1], "part": t["part"].iloc[:1],
+                             "payload": [total.tobytes()]})
 
-    once = parts.groupBy("block", "shard").applyInPandas(add, "block int, payload binary")
-    rows = once.groupBy("block").applyInPandas(add, "block int, payload binary").collect()
-    return {r["block"]: np.frombuffer(r["payload"], np.float64) for r in rows}
+    while parts > 1:
+        parts = -(-parts // FAN_IN)
+        rows = (rows.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int"))
+                .groupBy("block", "part").applyInPandas(add, "block int, part int, payload binary"))
+    return {r["block"]: np.frombuffer(r["payload"], np.float64) for r in rows.collect()}
 
 
 def _matrix(texts: DataFrame, width: int, contribution) -> tuple[np.ndarray, np.ndarray]:
@@ -86,12 +121,13 @@ def _matrix(texts: DataFrame, width: int, contribution) -> tuple[np.ndarray, np.
         blocks = list(range(BUCKETS // _BLOCK)) + [-1]
         payloads = [total[k * _BLOCK:(k + 1) * _BLOCK].tobytes() for k in blocks[:-1]]
         payloads.append(np.array([count]).tobytes())
-        shard = TaskContext.get().partitionId() % 32
+        part = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_arrays(
-            [pa.array(blocks, pa.int32()), pa.array([shard] * len(blocks), pa.int32()),
-             pa.array(payloads, pa.binary())], names=["block", "shard", "payload"])
+            [pa.array(blocks, pa.int32()), pa.array([part] * len(blocks), pa.int32()),
+             pa.array(payloads, pa.binary())], names=["block", "part", "payload"])
 
-    got = _added(texts.mapInArrow(run, "block int, shard int, payload binary"))
+    got = _added(texts.mapInArrow(run, "block int, part int, payload binary"),
+                 texts.rdd.getNumPartitions())
     full = np.zeros((BUCKETS, width))
     for k, payload in got.items():
         if k >= 0:
@@ -104,8 +140,9 @@ def inverse_frequencies(texts: DataFrame) -> np.ndarray:
     def count(found: Words, total: np.ndarray) -> float:
         starts = _passages(found)
         passage = np.repeat(np.arange(starts.size), np.diff([*starts, found.text.size]))
-        pairs = np.unique(passage * BUCKETS + _buckets(found))
-        total[:, 0] += np.bincount(pairs % BUCKETS, minlength=BUCKETS)
+        pairs = np.sort(passage * BUCKETS + _buckets(found))
+        total[:, 0] += np.bincount(pairs[np.diff(pairs, prepend=-1) > 0] % BUCKETS,
+                                   minlength=BUCKETS)
         return float(starts.size)
 
     frequency, n = _matrix(texts, 1, count)
@@ -133,11 +170,18 @@ def projection(texts: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int =
         for k in range(SIGNS):
             z += np.bincount(passage * width + column[bucket, k], weighted[bucket, k], z.size)
         norm = np.add.reduceat(idf[bucket] ** 2, starts)
-        z = (z.reshape(-1, width) / norm[:, None]).astype(np.float32)
-        order = np.argsort(bucket, kind="stable")
+        rows = np.zeros((starts.size + 1, width), np.float32)
+        np.divide(z.reshape(-1, width), norm[:, None], out=rows[:-1], casting="same_kind")
+        order = np.argsort(bucket.astype(np.uint16), kind="stable")
         heads = np.flatnonzero(np.diff(bucket[order], prepend=-1))
         met = bucket[order[heads]]
-        total[met] += idf[met, None] * np.add.reduceat(z[passage[order]], heads, axis=0)
+        # Passages of a bucket in runs of eight, then the runs of a bucket.
+        runs = -(-np.diff([*heads, bucket.size]) // 8)
+        first = np.cumsum(runs) - runs
+        begin = np.repeat(heads, runs) + 8 * (np.arange(int(runs.sum())) - np.repeat(first, runs))
+        end = np.minimum(begin + 8, np.repeat([*heads[1:], bucket.size], runs))
+        sums = _sums_of_runs(rows, passage[order], begin, end, 8)
+        total[met] += idf[met, None] * np.add.reduceat(sums, first, axis=0)
         return float(starts.size)
 
     y, _ = _matrix(texts, width, multiply)
@@ -156,10 +200,11 @@ def projection(texts: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int =
 
 # ---- items and windows --------------------------------------------------
 def length_class(n: int) -> int:
-    """Items are searched with windows of one and a half times this many words."""
-    c = 8
+    """Items are searched with windows of three hops, in all at least as many words as they have
+    and, from nine words on, less than twice as many."""
+    c = 9
     while c < n:
-        c = c * 3 // 2
+        c *= 2
     return c
 
 
@@ -169,11 +214,10 @@ class Items:
 
     ids: list[int]
     words: list[np.ndarray]
-    project: np.ndarray
+    project: np.ndarray   # (BUCKETS + 1, rank), the last row 0
     classes: dict[int, tuple[np.ndarray, np.ndarray]]   # class: item numbers, unit vectors
     vocabulary: np.ndarray   # sorted word hashes of all items
-    times: np.ndarray        # (items, vocabulary + 1): how often the item has the word
-    entries: tuple[np.ndarray, np.ndarray, np.ndarray]   # item, word, times above 0
+    entries: tuple[np.ndarray, np.ndarray, np.ndarray]   # item, word, times: by item and word
 
 
 def prepare_items(rows: list, project: np.ndarray) -> Items:
@@ -189,13 +233,31 @@ def prepare_items(rows: list, project: np.ndarray) -> Items:
     of_class: dict[int, list[int]] = {}
     for k, h in enumerate(own):
         of_class.setdefault(length_class(h.size), []).append(k)
-    vocabulary = np.unique(found.hashes)
-    times = np.zeros((len(own), vocabulary.size + 1), np.int32)
-    for k, h in enumerate(own):
-        np.add.at(times[k], np.searchsorted(vocabulary, h), 1)
-    return Items(ids, own, project, {c: (np.array(k), vectors[k].astype(np.float32))
-                                     for c, k in of_class.items()}, vocabulary, times,
-                 (*np.nonzero(times), times[np.nonzero(times)]))
+    vocabulary, word = np.unique(found.hashes, return_inverse=True)
+    item = np.repeat(np.arange(len(own)), [h.size for h in own])
+    entry, times = np.unique(item * max(1, vocabulary.size) + word, return_counts=True)
+    by_bucket = np.zeros((BUCKETS + 1, len(project)), np.float32)
+    by_bucket[:-1] = project.T
+    return Items(ids, own, by_bucket,
+                 {c: (np.array(k), vectors[k].astype(np.float32)) for c, k in of_class.items()},
+                 vocabulary, (*np.divmod(entry, max(1, vocabulary.size)), times))
+
+
+def _table(items: Items, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word of the vocabulary to column, and (items, columns): how often the item has the word.
+
+    Column 0 stands for all words that none of the items has.
+    """
+    item, word, times = items.entries
+    first = np.searchsorted(item, numbers)
+    last = np.searchsorted(item, numbers, side="right")
+    cut = np.concatenate([np.arange(a, b) for a, b in zip(first, last)])
+    column = np.zeros(items.vocabulary.size + 1, np.int64)
+    own = np.unique(word[cut])
+    column[own] = np.arange(own.size) + 1
+    held = np.zeros((numbers.size, own.size + 1), np.int32)
+    held[np.repeat(np.arange(numbers.size), last - first), column[word[cut]]] = times[cut]
+    return column, held
 
 
 def common_subsequence(item: np.ndarray, region: list[int]) -> int:
@@ -222,19 +284,34 @@ def share_found(item: np.ndarray, region: np.ndarray) -> float:
     return share if share >= PARAPHRASE and answered else 0.0
 
 
-def _words_met(times: np.ndarray, item: np.ndarray, known: np.ndarray, start: np.ndarray,
-               end: np.ndarray) -> np.ndarray:
-    """Per (item, window) how many of the item's words the window has; their LCS is no longer."""
-    out = np.zeros(item.size, np.int64)
-    for at in range(0, item.size, 8192):
-        cut = slice(at, at + 8192)
-        inside = start[cut, None] + np.arange(int((end[cut] - start[cut]).max()))
-        ids = known[np.minimum(inside, known.size - 1)]
-        ids[inside >= end[cut, None]] = times.shape[1] - 1
-        ids.sort(axis=1)
-        met = times.ravel()[item[cut, None] * times.shape[1] + ids]
-        met[:, 1:][ids[:, 1:] == ids[:, :-1]] = 0   # a word counts once for the window
-        out[cut] = met.sum(axis=1)
+def _marks(rows: np.ndarray, columns: np.ndarray, n: int, size: int) -> np.ndarray:
+    """(n, size) 64-bit words; row ``rows[k]`` has the bit of ``columns[k]``, none for column 0."""
+    flags = np.zeros((n, size * 64), np.uint8)
+    inside = columns > 0
+    flags[rows[inside], columns[inside] % (size * 64)] = 1
+    return np.packbits(flags, axis=1).view(np.uint64)
+
+
+def _words_met(held: np.ndarray, item: np.ndarray, column: np.ndarray, start: np.ndarray,
+               end: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Which (item, region) pairs have enough words; an LCS is no longer than their number.
+
+    Every word of the region counts once. Counting repeats as well is cheaper and gives
+    no less, so only pairs with enough by that count are looked at in full.
+    """
+    out = np.zeros(item.size, bool)
+    step = max(1, (1 << 18) // max(1, int((end - start).max(initial=1))))
+    for at in range(0, item.size, step):
+        a, b, k = start[at:at + step], end[at:at + step], item[at:at + step]
+        inside = a[:, None] + np.arange(int((b - a).max()))
+        ids = column[np.minimum(inside, column.size - 1)]
+        ids[inside >= b[:, None]] = 0
+        met = held.ravel()[k[:, None] * held.shape[1] + ids].sum(axis=1)
+        left = np.flatnonzero(met >= least[k])
+        ids, k = np.sort(ids[left], axis=1), k[left]
+        met = held.ravel()[k[:, None] * held.shape[1] + ids]
+        met[:, 1:][ids[:, 1:] == ids[:, :-1]] = 0
+        out[at + left] = met.sum(axis=1) >= least[k]
     return out
 
 
@@ -245,7 +322,7 @@ def _telling(items: Items, known: np.ndarray) -> tuple[tuple, np.ndarray]:
     with enough of the item's words has the rest of that among the others.
     """
     item, word, times = items.entries
-    frequency = np.bincount(known, minlength=items.times.shape[1])
+    frequency = np.bincount(known, minlength=items.vocabulary.size + 1)
     order = np.lexsort((-frequency[word], item))
     item, word, times = item[order], word[order], times[order]
     least = PARAPHRASE * np.array([w.size for w in items.words])
@@ -281,8 +358,12 @@ def _counted(telling: tuple, numbers: np.ndarray, known: np.ndarray, block: np.n
     return out
 
 
-def matches(texts: pa.Array, items: Items) -> list[dict[int, float]]:
-    """Per text: share found of each item that it holds."""
+def matches(texts: pa.Array, items: Items, exact: bool = False) -> list[dict[int, float]]:
+    """Per text: share found of each item that it holds.
+
+    Candidates are the windows near an item by the latent cosine; ``exact`` takes
+    all windows that have enough of the item's words instead.
+    """
     found = words(*text_bytes(texts), WORD)
     out: list[dict[int, float]] = [{} for _ in range(len(texts))]
     if not found.hashes.size or not items.ids:
@@ -291,42 +372,70 @@ def matches(texts: pa.Array, items: Items) -> list[dict[int, float]]:
     known = np.minimum(np.searchsorted(items.vocabulary, found.hashes), items.vocabulary.size - 1)
     known[items.vocabulary[known] != found.hashes] = items.vocabulary.size   # no item's word
     bucket = _buckets(found)
-    sums = np.zeros((items.project.shape[0], bucket.size + 1), np.float32)
-    for row, weight in zip(sums, items.project):
-        np.cumsum(weight[bucket], out=row[1:])
-    telling, need = _telling(items, known)
+    telling, need = _telling(items, known) if exact else (None, None)
     for size, numbers, vectors in (
             (c, k[at:at + _ITEMS], v[at:at + _ITEMS]) for c, (k, v) in items.classes.items()
             for at in range(0, k.size, _ITEMS)):
-        width, hop = size * 3 // 2, size // 2
-        least = np.array([PARAPHRASE * items.words[k].size for k in numbers])
-        per = np.where(n > 0, np.maximum(0, -(-(n - width) // hop)) + 1, 0)
-        text = np.repeat(np.arange(n.size), per)
-        start = (np.arange(text.size) - np.repeat(np.cumsum(per) - per, per)) * hop
-        start = np.minimum(start, np.maximum(0, n[text] - width)) + found.first[text]
-        end = np.minimum(start + width, found.first[text + 1])
-        # Blocks of ``hop`` words that never cross texts.
-        blocks = -(-n // hop)
+        hop = size // 3
+        own = np.array([items.words[k].size for k in numbers])
+        to_column, held = _table(items, numbers)
+        column = to_column[known]
+        # Blocks of ``hop`` words that never cross texts, and two empty ones after each text;
+        # a window is a block and the next two.
+        blocks = -(-n // hop) + 2
         before = np.cumsum(blocks) - blocks
-        block = before[found.text] + (np.arange(known.size) - found.first[found.text]) // hop
-        counted = _counted(telling, numbers, known, block)
-        for at in range(0, text.size, 4096):
-            a, b = start[at:at + 4096], end[at:at + 4096]
-            window = sums[:, b] - sums[:, a]
-            length = np.sqrt((window ** 2).sum(axis=0))
-            met = counted[block[b - 1] + 1] - counted[block[a]]
-            item, near = np.nonzero((vectors @ window >= COSINE * length)
-                                    | (met >= need[numbers]).T)
-            enough = _words_met(items.times, numbers[item], known, a[near], b[near]) >= least[item]
-            for w, k in zip((near[enough] + at).tolist(), numbers[item[enough]].tolist()):
-                held = out[text[w]]
-                if items.ids[k] in held:
+        text = np.repeat(np.arange(n.size), blocks)
+        limit = found.first[text + 1]
+        start = np.minimum(limit, found.first[text] + hop * (np.arange(text.size) - before[text]))
+        end = np.minimum(limit, start + hop)
+        # Near a window: a hop to either side for its words, two for their order.
+        low, high = np.maximum(found.first[text], start - hop), np.minimum(limit, start + 4 * hop)
+        block = np.repeat(np.arange(text.size), end - start)
+        if exact:
+            counted = _counted(telling, numbers, known, block)
+        else:
+            of_block = _sums_of_runs(items.project, bucket, start, end, hop)
+        # A bit for each of an item's words, so that most windows are told by their bits; words
+        # that share a bit may all be met by one.
+        bits = min(16, max(2, size // 8))
+        marked = _marks(block + 1, column, text.size + 4, bits)   # nothing before and after all
+        item_marks = _marks(*np.nonzero(held), numbers.size, bits)
+        least = PARAPHRASE * own
+        need_bits = least - own + np.bitwise_count(item_marks).sum(axis=1, dtype=np.int64)
+        # Longer vectors for a lower cosine, so that one comparison serves all items.
+        scaled = (vectors / (COSINE * np.sqrt(np.minimum(1, own / size)))[:, None]).T
+        scaled = np.ascontiguousarray(scaled, np.float32)
+        for at in range(0, text.size - 2, _WINDOWS):
+            to = min(at + _WINDOWS, text.size - 2)
+            if exact:
+                real = np.flatnonzero(start[at:to] < end[at:to])
+                last, before_all = block[high[at + real] - 1] + 1, block[low[at + real]]
+                near, item = np.nonzero(counted[last] - counted[before_all] >= need[numbers])
+                near = real[near]
+            else:
+                window = of_block[at:to] + of_block[at + 1:to + 1]
+                window += of_block[at + 2:to + 2]
+                length = np.sqrt(np.einsum("ij,ij->i", window, window))
+                length[(length < 1e-12) | (start[at:to] == end[at:to])] = np.inf
+                near, item = np.nonzero(window @ scaled >= length[:, None])
+            marks = marked[at:to].copy()
+            for k in range(1, 5):
+                marks |= marked[at + k:to + k]
+            met = np.bitwise_count(marks[near] & item_marks[item]).sum(axis=1, dtype=np.int32)
+            likely = met >= need_bits[item]
+            near, item = near[likely] + at, item[likely]
+            enough = _words_met(held, item, column, low[near], high[near], least)
+            for w, row in zip(near[enough].tolist(), item[enough].tolist()):
+                k, seen = int(numbers[row]), out[text[w]]
+                if items.ids[k] in seen:
                     continue
-                low = max(found.first[text[w]], start[w] - hop)
-                high = min(found.first[text[w] + 1], end[w] + hop)
-                share = share_found(items.words[k], found.hashes[low:high])
+                a = max(found.first[text[w]], start[w] - 2 * hop)
+                b = min(found.first[text[w] + 1], start[w] + 5 * hop)
+                # Words that the item does not have change no common subsequence.
+                own_words = held[row, column[a:b]] > 0
+                share = share_found(items.words[k], found.hashes[a:b][own_words])
                 if share:
-                    held[items.ids[k]] = share
+                    seen[items.ids[k]] = share
     return out
 
 
@@ -336,33 +445,47 @@ def fit(docs: DataFrame, rank: int = RANK) -> np.ndarray:
     return projection(texts, inverse_frequencies(texts), rank)
 
 
-def _holds(held: Broadcast):
+def _holds(held: Broadcast, exact: bool):
     @F.arrow_udf("array<long>")
     def holds(texts: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([texts], names=["text"])
-        out = [sorted(m) for b in slices([batch], _SLICE)
-               for m in matches(b.column(0), held.value)]
+        out = [sorted(m) for b in slices([batch], _SEARCH)
+               for m in matches(b.column(0), held.value, exact)]
         return pa.array(out, pa.list_(pa.int64()))
 
     return holds
 
 
+def _item_blocks(benchmark: DataFrame, most: int, most_bytes: int) -> Iterator[list]:
+    """Rows of the benchmark in blocks of at most so many rows and, beyond one row, bytes."""
+    rows = benchmark.select(F.col("item_id").cast("long"), "text").orderBy("item_id", "text")
+    part, size = [], 0
+    for row in rows.toLocalIterator():
+        n = len((row["text"] or "").encode())
+        if part and (len(part) == most or size + n > most_bytes):
+            yield part
+            part, size = [], 0
+        part.append(row)
+        size += n
+    if part:
+        yield part
+
+
 def with_matches(docs: DataFrame, benchmark: DataFrame, project: np.ndarray,
-                 name: str = "item_ids", block: int = ITEM_BLOCK) -> DataFrame:
+                 name: str = "item_ids", block: int = ITEM_BLOCK, exact: bool = False
+                 ) -> DataFrame:
     """``docs`` with the ids of the benchmark items each whole text holds, in column ``name``.
 
-    Items are taken in blocks of ``block``, so what is broadcast is bounded; a
-    NULL or empty text holds none, an item without a word is held by none, and
-    an empty benchmark gives empty lists. No row moves.
+    Items are taken in blocks of at most ``block`` rows and ``ITEM_BYTES``, and go out as
+    words and a vector each, so what is broadcast is bounded but for a single longer item;
+    a NULL or empty text holds none, an item without a word is held by none, and
+    an empty benchmark gives empty lists. No row moves. ``exact`` passes the
+    cosine by and looks at every window with enough of an item's words.
     """
-    rows = benchmark.select(F.col("item_id").cast("long"), "text").orderBy("item_id", "text")
-    count = benchmark.count()
     found = F.array().cast("array<long>")
-    for at in range(0, count, block):
-        part = rows.offset(at).limit(block).collect()
+    for part in _item_blocks(benchmark, block, ITEM_BYTES):
         held = docs.sparkSession.sparkContext.broadcast(prepare_items(part, project))
-
-        found = F.array_union(found, _holds(held)(F.coalesce(F.col("text"), F.lit(""))))
+        found = F.array_union(found, _holds(held, exact)(F.coalesce(F.col("text"), F.lit(""))))
     return docs.withColumn(name, found)
 
 
