@@ -211,18 +211,21 @@ RANK_ROWS = 500_000
 
 
 def _ranked(cut_pieces: DataFrame, salts: int) -> DataFrame:
-    """0-based rank of each piece among those of its length, in salted parts."""
+    """0-based rank of each piece among those of its length, in salted parts.
+
+    Parts go by the written row number ``_n``, so that rows of one id spread as well.
+    """
     salted = cut_pieces.withColumn(
-        "_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
+        "_salt", F.pmod(F.xxhash64("_n"), F.lit(salts)).cast("int"))
     sizes = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy("length").orderBy("_salt")
     offsets = sizes.select("length", "_salt", (F.sum("_size").over(before) - F.col("_size"))
                            .alias("_before"))
-    inside = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece")
+    inside = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "_n")
     return (salted.withColumn("_row", F.row_number().over(inside) - 1)
             .join(offsets, ["length", "_salt"])
             .withColumn("_rank", F.col("_before") + F.col("_row"))
-            .drop("_salt", "_row", "_before"))
+            .drop("_salt", "_row", "_before", "_n"))
 
 
 def pack(docs: DataFrame, tokenizer_path: str, cap: int = CAP, end_id: int = 0) -> DataFrame:
@@ -237,7 +240,8 @@ def pack(docs: DataFrame, tokenizer_path: str, cap: int = CAP, end_id: int = 0)
     the plan; its slot table has a few rows per length and is broadcast.
     """
     spark = docs.sparkSession
-    cut_pieces = materialized(pieces(docs, tokenizer_path, cap, end_id), "pieces")
+    cut_pieces = materialized(pieces(docs, tokenizer_path, cap, end_id).withColumn(
+        "_n", F.monotonically_increasing_id()), "pieces")
     histogram = {r["length"]: r["n"] for r in cut_pieces.groupBy("length").agg(
         F.count(F.lit(1)).alias("n")).collect()}
     rows = slot_rows(plan(histogram, cap))

@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerlens.llm import packing, token_counts
@@ -136,3 +137,13 @@ def test_exact_complements_are_found():
     """Pairs and triples that fill up exactly are used before anything else."""
     assert sum(p.times for p in packing.plan({30: 2, 10: 2, 20: 2}, 40)) == 3
     assert sum(p.times for p in packing.plan({25: 1, 7: 1, 6: 1, 2: 1}, 40)) == 1
+
+
+def test_rows_of_one_id_are_numbered_in_many_parts(spark):
+    """Parts of a length's numbering are even though all rows have one id and one text."""
+    docs = spark.createDataFrame([(1, "x")] * 400 + [(None, "x")] * 400, "doc_id long, text string")
+    table = packing.pieces(docs, BYTES).withColumn("_n", F.monotonically_increasing_id())
+    ranked = packing._ranked(table.cache(), 8)
+    assert sorted(r["_rank"] for r in ranked.collect()) == list(range(800))
+    rows = packing.pack(docs, BYTES).collect()
+    assert len({(r["sequence_id"], r["offset"]) for r in rows}) == len(rows) == 800
