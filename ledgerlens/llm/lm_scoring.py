@@ -1,15 +1,19 @@
 """Language-model scores of whole texts: a causal self-attention model in numpy.
 
-Texts are lower-cased word by word and encoded once into subword ids. The
-model factors a subword's probability: attention over the ids before it gives
-the probability of its group and of its class in the group, and the counts of
-all training documents give its probability within the class. Frequent ids are
-classes of their own, the others share one class a group; groups hold ids that
-stand beside the same ids, counted over all training documents. The attention
-weights start from gradient descent on a few documents; from there the windows
-of all whole training texts are gone through once, shard by shard, and the
-shards' weights are averaged by the positions they were trained on. Every text
-is scored in overlapping windows, batched and masked, each id once.
+Texts are lower-cased word by word; each distinct word of a block is encoded
+once into subword ids, and a block keeps its words as numbers of those. Every
+id has an embedding of its own: its neighbours, counted over all training
+documents and projected on their main directions, beside a learned one of its
+class. Attention over the ids before gives the probability of an id's group
+and of its class in the group, and the counts of all training documents its
+probability within the class. Frequent ids are classes of their own, the others
+share one class a group; groups hold ids that stand beside the same ids.
+
+The weights are learned from all windows of all whole training texts, in
+rounds: each task takes its blocks of the round in a stream, starting from the
+last mean, and the tasks' weights are averaged by the positions they were
+trained on. Every text is scored in overlapping windows, batched and masked,
+each id once.
 
 Beside that stands a word unigram base. Word counts cover all training
 documents and are not broadcast: blocks of documents send their distinct words
@@ -18,7 +22,6 @@ to hash-partitioned parts and get the corpus-wide counts back.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,70 +35,133 @@ from pyspark.sql import functions as F
 from ..session import materialized
 from .blocks import BLOCK_BYTES, by_part, packed, rows_of, unpack
 from .common import crc32_of
-from .packing import _encoder
-from .words import LOWER, words
-
-#: Training documents, and ids of each, that give the weights from which the shards start.
-SAMPLE_DOCUMENTS = 2000
-SAMPLE_IDS = 4000
-STEPS = 1500
-#: Blocks that one shard trains on, windows of a step, and the first step's rate.
-SHARD_BLOCKS = 16
-SHARD_BATCH, SHARD_RATE = 256, 0.002
+from .packing import _OUTSIDE, Encoder, _encoder
+from .words import Words, words
+
+#: Rounds of training; windows of a step, and the first round's rate.
+ROUNDS = 4
+BATCH, RATE = 256, 0.015
+#: Tasks' weights added up at once, and levels of it; the driver adds what is left.
+FAN_IN, LEVELS = 64, 3
 #: Groups, and classes of each; the last class of a group holds its less frequent ids.
 GROUPS, MEMBERS = 32, 32
 CLASSES = GROUPS * MEMBERS
 #: Ids whose neighbourhood makes the groups.
 NEIGHBOURS = 96
 #: Ids that a window scores, and those before them that it reads as well.
-HOP, CONTEXT = 24, 8
+HOP, CONTEXT = 18, 6
 WINDOW = CONTEXT + HOP
-WIDTH = 32
+WIDTH = 16
 #: Text bytes for each of the parts that add up word counts.
 PART_BYTES = 8 << 20
-_SPACE = re.compile(rb"[\x20\x09-\x0D]+")
 
 
 # ---- ids ----------------------------------------------------------------
+def _pack(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+
+
+def _unpack(data: bytes, kind: type, n: int) -> np.ndarray:
+    raw = zstandard.ZstdDecompressor().decompress(
+        data, max_output_size=n * np.dtype(kind).itemsize + 1)
+    return np.frombuffer(raw, kind)
+
+
+def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The positions of many stretches, one stretch after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if ends.size else 0)
+
+
+def word_ids(encoder: Encoder, found: Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the words numbered ``at``, each encoded by itself after a space, and how many.
+
+    The vocabulary's pattern splits before every space, so the ids of a text
+    are those of its words in a row. Words of ordinary characters are encoded
+    together and cut by the bytes of the ids.
+    """
+    starts, ends = found.starts[at], found.ends[at]
+    joined = found.data[_ragged(starts - 1, ends - starts + 1)]
+    cuts = np.concatenate([[0], np.cumsum(ends - starts + 1)])
+    joined[cuts[:-1]] = 0x20
+    text = joined.tobytes()
+    odd = np.zeros(at.size, bool)
+    if encoder.special.search(text.decode()):
+        odd[:] = True
+    else:
+        strange = np.concatenate([[0], np.cumsum((joined < 0x20) | (joined >= 0x7F))])
+        odd = strange[cuts[1:]] > strange[cuts[:-1]]
+    apart: dict[int, np.ndarray] = {}
+    for k in np.flatnonzero(odd).tolist():
+        word = text[cuts[k]:cuts[k + 1]].decode()
+        if _OUTSIDE.search(word) or encoder.special.search(word):
+            apart[k] = np.frombuffer(encoder.encode(word), "<u4").astype(np.int64)
+    plain = np.ones(at.size, bool)
+    plain[list(apart)] = False
+    size = np.diff(cuts)[plain]
+    rest = text if plain.all() else joined[_ragged(cuts[:-1][plain], size)].tobytes()
+    ids = np.array(encoder.fast.encode_ordinary(rest.decode()), np.int64)
+    upto = np.concatenate([[0], np.cumsum(encoder.sizes[ids])])
+    n = np.zeros(at.size, np.int64)
+    n[plain] = np.diff(np.searchsorted(upto, np.concatenate([[0], np.cumsum(size)])))
+    if not apart:
+        return ids, n
+    for k, own in apart.items():
+        n[k] = own.size
+    out = np.empty(n.sum(), np.int64)
+    mine = np.repeat(plain, n)
+    out[mine] = ids
+    out[~mine] = np.concatenate([apart[k] for k in sorted(apart)])
+    return out, n
+
+
+ENCODED = ("block long, ids binary, known binary, train binary, first binary, hashes binary, "
+           "word_ids binary, word_lengths binary, at binary")
+IDS = ["train", "first", "hashes", "word_ids", "word_lengths", "at"]
+
+
 def encoded_blocks(blocks: DataFrame, tokenizer_path: str, modulus: int, held_out: int
                    ) -> DataFrame:
-    """Blocks with the subword ids of every text (``tokens``, ``token_lengths``) and ``train``."""
+    """Blocks as words: distinct words (hashes, subword ids), their order, texts and ``train``.
+
+    The texts themselves are not kept.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_path)
         for batch in batches:
-            for k in range(batch.num_rows):
-                out = batch.slice(k, 1)
-                row = out.to_pylist()[0]
+            for row in rows_of(batch):
                 block = unpack(row)
-                lowered = LOWER[block.data].tobytes()
-                ids = []
-                for a, b in zip(block.offsets[:-1].tolist(), block.offsets[1:].tolist()):
-                    body = _SPACE.sub(b" ", lowered[a:b]).strip(b" ")
-                    text = (b" " + body).decode() if body else ""
-                    ids.append(np.frombuffer(encoder.encode(text), "<u4").astype(np.uint16))
-                tokens = zstandard.ZstdCompressor(level=1).compress(
-                    np.concatenate([*ids, np.zeros(0, np.uint16)]).tobytes())
-                lengths = np.array([i.size for i in ids], np.int64).tobytes()
+                found = words(block.data, block.offsets)
+                hashes, one, at = np.unique(found.hashes, return_index=True, return_inverse=True)
+                ids, lengths = word_ids(encoder, found, one)
                 train = np.array([crc32_of(int(i) if ok else None) % modulus != held_out
-                                  for i, ok in zip(block.ids, block.known)], bool).tobytes()
-                for name, value in (("tokens", tokens), ("token_lengths", lengths),
-                                    ("train", train)):
-                    out = out.append_column(name, pa.array([value], pa.binary()))
-                yield out
+                                  for i, ok in zip(block.ids, block.known)], bool)
+                values = (row["ids"], row["known"], train.tobytes(),
+                          found.first.astype(np.int64).tobytes(), hashes.tobytes(),
+                          _pack(ids.astype(np.int32)), _pack(lengths.astype(np.int32)),
+                          _pack(at.astype(np.uint32)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["block"]], pa.int64()),
+                     *(pa.array([v], pa.binary()) for v in values)],
+                    names=[c.split()[0] for c in ENCODED.split(", ")])
+
+    return blocks.mapInArrow(run, ENCODED)
 
-    return blocks.mapInArrow(
-        run, "block long, ids binary, known binary, lengths binary, payload binary, "
-             "tokens binary, token_lengths binary, train binary")
+
+def _words_at(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the words of a block in order, and the words before each text."""
+    first = np.frombuffer(row["first"], np.int64)
+    return _unpack(row["at"], np.uint32, int(first[-1])).astype(np.int64), first
 
 
 def _sequences(row: dict, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts of a block in a row, each followed by ``end``, and the n + 1 offsets."""
-    lengths = np.frombuffer(row["token_lengths"], np.int64)
-    raw = zstandard.ZstdDecompressor().decompress(row["tokens"],
-                                                  max_output_size=2 * int(lengths.sum()) + 1)
-    ids = np.frombuffer(raw, np.uint16).astype(np.int64)
-    return (np.insert(ids, np.cumsum(lengths), end),
-            np.concatenate([[0], np.cumsum(lengths + 1)]))
+    at, first = _words_at(row)
+    lengths = _unpack(row["word_lengths"], np.int32, len(row["hashes"]) // 8).astype(np.int64)
+    n = lengths[at]
+    ids = _unpack(row["word_ids"], np.int32, int(lengths.sum()))[_ragged((np.cumsum(lengths) - lengths)[at], n)]
+    upto = np.concatenate([[0], np.cumsum(n)])[first]
+    return (np.insert(ids.astype(np.int64), upto[1:], end), upto + np.arange(first.size))
 
 
 def _training(row: dict, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -111,13 +177,11 @@ def id_counts(encoded: DataFrame, size: int) -> np.ndarray:
         total = np.zeros(size + 1, np.int64)
         for batch in batches:
             for row in rows_of(batch):
-                ids, offsets = _sequences(row, size)
-                used = np.repeat(np.frombuffer(row["train"], bool), np.diff(offsets))
-                total += np.bincount(ids[used], minlength=size + 1)
+                total += np.bincount(_training(row, size)[0], minlength=size + 1)
         met = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(total[met])], names=["id", "n"])
 
-    rows = (encoded.select("tokens", "token_lengths", "train").mapInArrow(run, "id long, n long")
+    rows = (encoded.select(*IDS).mapInArrow(run, "id long, n long")
             .groupBy("id").agg(F.sum("n").alias("n")).collect())
     out = np.zeros(size + 1, np.int64)
     for r in rows:
@@ -128,15 +192,19 @@ def id_counts(encoded: DataFrame, size: int) -> np.ndarray:
 # ---- the model ----------------------------------------------------------
 @dataclass
 class Attention:
-    """Class probabilities from the classes before; class ``CLASSES`` starts a text."""
+    """Class probabilities from the ids before; the id after the last one starts a text."""
 
     class_of: np.ndarray     # id -> class
     inside: np.ndarray       # id -> log probability within its class
     weights: dict[str, np.ndarray]
+    own: np.ndarray          # id, or the start -> embedding from its neighbours
+
+    def __post_init__(self) -> None:
+        self.classes = np.append(self.class_of, CLASSES)
 
     @staticmethod
     def initial(class_of: np.ndarray, inside: np.ndarray, start: tuple[np.ndarray, np.ndarray],
-                seed: int = 5) -> "Attention":
+                own: np.ndarray, seed: int = 5) -> "Attention":
         rng = np.random.default_rng(seed)
         draw = lambda *shape: rng.normal(0, shape[0] ** -0.5, shape).astype(np.float32)
         w = {"embed": rng.normal(0, 0.3, (CLASSES + 1, WIDTH)).astype(np.float32),
@@ -146,130 +214,176 @@ class Attention:
              "group": draw(WIDTH, GROUPS) * 0.1, "group_bias": start[0].astype(np.float32),
              "member": rng.normal(0, 0.02, (GROUPS, WIDTH, MEMBERS)).astype(np.float32),
              "member_bias": start[1].astype(np.float32)}
-        return Attention(class_of, inside, w)
+        return Attention(class_of, inside, w, own)
+
+    def copy(self) -> "Attention":
+        return Attention(self.class_of, self.inside,
+                         {k: v.copy() for k, v in self.weights.items()}, self.own)
+
+    def forward(self, x: np.ndarray, table: np.ndarray | None = None) -> tuple[np.ndarray, tuple]:
+        """State (windows, HOP, WIDTH) from which the class after each of the last ``HOP`` follows.
 
-    def forward(self, x: np.ndarray) -> tuple[np.ndarray, tuple]:
-        """State (windows, HOP, WIDTH) from which the class after each of the last ``HOP`` follows."""
+        ``table`` holds the whole embedding of every id, if it was made before.
+        """
         w = self.weights
         flat = lambda z: z.reshape(-1, WIDTH)  # noqa: E731  one product for all windows
-        e = w["embed"][x]
+        if table is None:
+            e = w["embed"][self.classes[x]]
+            e += self.own[x]
+        else:
+            e = table[x]
         e += w["place"]
-        k = (flat(e) @ w["qkv"][:, WIDTH:2 * WIDTH]).reshape(e.shape)
-        v = (flat(e) @ w["qkv"][:, 2 * WIDTH:]).reshape(e.shape)
+        kv = (flat(e) @ w["qkv"][:, WIDTH:]).reshape(*x.shape, 2 * WIDTH)
+        k, v = kv[..., :WIDTH], kv[..., WIDTH:]
         last = np.ascontiguousarray(e[:, CONTEXT:])
         q = (flat(last) @ (w["qkv"][:, :WIDTH] * np.float32(WIDTH ** -0.5))).reshape(last.shape)
         att = q @ k.transpose(0, 2, 1)
         np.minimum(att, 30, out=att)
         np.exp(att, out=att)
         att *= _SEEN
-        att /= att.sum(axis=2, keepdims=True)
+        mass = _sums(att)
         a = att @ v
+        a /= mass
         h = last + (flat(a) @ w["mixed"]).reshape(a.shape)
         t = (flat(h) @ w["hidden"]).reshape(h.shape)
         t += w["hidden_bias"]
         np.maximum(t, 0, out=t)
-        return h + t, (e, q, k, v, att, a, h, t)
-
-    def _by_group(self, y: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        return by_part(y // MEMBERS, GROUPS)
+        return h + t, (e, q, k, v, att, mass, a, h, t)
+
+    def _by_group(self, state: np.ndarray, y: np.ndarray):
+        """Positions sorted by the group to predict: order, states, group, member, slices."""
+        order = np.argsort((y.ravel() // MEMBERS).astype(np.uint8), kind="stable")
+        group, member = np.divmod(y.ravel()[order], MEMBERS)
+        cuts = np.searchsorted(group, np.arange(GROUPS + 1)).tolist()
+        own = [(c, slice(a, b)) for c, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if a < b]
+        return order, state.reshape(-1, WIDTH)[order], group, member, own
+
+    def _logits(self, out: np.ndarray, own: list) -> tuple[np.ndarray, np.ndarray]:
+        """Logits of the groups, and of the members of each position's own group."""
+        w = self.weights
+        groups = out @ w["group"]
+        groups += w["group_bias"]
+        members = np.empty((len(out), MEMBERS), out.dtype)
+        for c, rows in own:
+            np.matmul(out[rows], w["member"][c], out=members[rows])
+            members[rows] += w["member_bias"][c]
+        return groups, members
 
     def gradients(self, x: np.ndarray, y: np.ndarray, used: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients of the mean log loss over the positions ``used``."""
         w = self.weights
-        state, (e, q, k, v, att, a, h, t) = self.forward(x)
+        state, (e, q, k, v, att, mass, a, h, t) = self.forward(x)
         flat = lambda z: z.reshape(-1, z.shape[-1])
-        at = np.flatnonzero(used)
-        out, target = flat(state)[at], y.ravel()[at]
-        back = np.zeros_like(flat(state))
-        d = _softmax(out @ w["group"] + w["group_bias"])
-        d[np.arange(at.size), target // MEMBERS] -= 1
-        d /= max(1, at.size)
-        g = {"group": out.T @ d, "group_bias": d.sum(axis=0),
+        order, out, group, member, own = self._by_group(state, y)
+        share = (used.ravel()[order] / max(1, used.sum())).astype(out.dtype)[:, None]
+        dg, dm = self._logits(out, own)
+        n = np.arange(len(out))
+        for d, target in ((dg, group), (dm, member)):
+            _softmax(d)
+            d[n, target] -= 1
+            d *= share
+        g = {"group": out.T @ dg, "group_bias": _totals(dg),
              "member": np.zeros_like(w["member"]), "member_bias": np.zeros_like(w["member_bias"])}
-        back[at] = d @ w["group"].T
-        for c, pick in self._by_group(target):
-            d = _softmax(out[pick] @ w["member"][c] + w["member_bias"][c])
-            d[np.arange(pick.size), target[pick] % MEMBERS] -= 1
-            d /= at.size
-            g["member"][c], g["member_bias"][c] = out[pick].T @ d, d.sum(axis=0)
-            back[at[pick]] += d @ w["member"][c].T
+        sorted_back = dg @ w["group"].T
+        for c, rows in own:
+            g["member"][c], g["member_bias"][c] = out[rows].T @ dm[rows], _totals(dm[rows])
+            sorted_back[rows] += dm[rows] @ w["member"][c].T
+        back = np.empty_like(sorted_back)
+        back[order] = sorted_back
         dh = back.reshape(state.shape)
         dt = dh * (t > 0)
-        g["hidden"], g["hidden_bias"] = flat(h).T @ flat(dt), flat(dt).sum(axis=0)
-        dh = dh + dt @ w["hidden"].T
+        g["hidden"], g["hidden_bias"] = flat(h).T @ flat(dt), _totals(flat(dt))
+        dh += (flat(dt) @ w["hidden"].T).reshape(dt.shape)
         g["mixed"] = flat(a).T @ flat(dh)
-        da = dh @ w["mixed"].T
+        da = (flat(dh) @ w["mixed"].T).reshape(dh.shape)
+        da /= mass
         datt = da @ v.transpose(0, 2, 1)
-        ds = att * (datt - (datt * att).sum(axis=2, keepdims=True))
-        dq = (ds @ k) * np.float32(WIDTH ** -0.5)
-        dkv = np.concatenate([ds.transpose(0, 2, 1) @ q, att.transpose(0, 2, 1) @ da], axis=2)
-        g["qkv"] = np.concatenate([flat(e[:, CONTEXT:]).T @ flat(dq), flat(e).T @ flat(dkv)], 1)
-        de = dkv @ w["qkv"][:, WIDTH:].T
-        de[:, CONTEXT:] += dh + dq @ w["qkv"][:, :WIDTH].T
+        datt -= _sums(da * a)
+        datt *= att
+        dq = datt @ k
+        dq *= np.float32(WIDTH ** -0.5)
+        dkv = np.concatenate([datt.transpose(0, 2, 1) @ q, att.transpose(0, 2, 1) @ da], axis=2)
+        g["qkv"] = np.concatenate([flat(e[:, CONTEXT:]).T @ flat(dq), flat(e).T @ flat(dkv)], axis=1)
+        de = (flat(dkv) @ w["qkv"][:, WIDTH:].T).reshape(e.shape)
+        dh += (flat(dq) @ w["qkv"][:, :WIDTH].T).reshape(dh.shape)
+        de[:, CONTEXT:] += dh
         g["place"] = de.sum(axis=0)
-        g["embed"] = np.stack([np.bincount(x.ravel(), flat(de)[:, c], minlength=CLASSES + 1)
-                               for c in range(WIDTH)], axis=1).astype(np.float32)
+        read = self.classes[x].ravel().astype(np.uint16)
+        by_class = np.argsort(read, kind="stable")
+        read = read[by_class]
+        begin = np.flatnonzero(np.concatenate([[True], read[1:] != read[:-1]]))
+        g["embed"] = np.zeros_like(w["embed"])
+        g["embed"][read[begin]] = np.add.reduceat(flat(de)[by_class], begin, axis=0)
         return g
 
-    def log_probabilities(self, ids: np.ndarray, offsets: np.ndarray, batch: int = 512
+    def log_probabilities(self, ids: np.ndarray, offsets: np.ndarray, batch: int = 256
                           ) -> np.ndarray:
         """Natural log probability of each id given the ones before it in its text."""
-        x, y, at, used = _windows(self.class_of[ids], offsets)
+        table = self.weights["embed"][self.classes] + self.own
+        starts = _window_starts(offsets)
         out = np.empty(ids.size)
-        for k in range(0, len(x), batch):
-            cut = slice(k, k + batch)
-            state, _ = self.forward(x[cut])
-            state, target = state[used[cut]], y[cut][used[cut]]
-            w = self.weights
-            logits = state @ w["group"]
-            logits += w["group_bias"]
-            value = _chosen(logits, target // MEMBERS)
-            for c, pick in self._by_group(target):
-                logits = state[pick] @ w["member"][c]
-                logits += w["member_bias"][c]
-                value[pick] += _chosen(logits, target[pick] % MEMBERS)
-            out[at[cut][used[cut]]] = value
+        for k in range(0, len(starts[0]), batch):
+            x, at, used = _windows(ids, starts, slice(k, k + batch), self.class_of.size)
+            state, _ = self.forward(x, table)
+            order, state, group, member, own = self._by_group(state, self.class_of[ids[at]])
+            groups, members = self._logits(state, own)
+            value = np.empty(order.size)
+            value[order] = _chosen(groups, group) + _chosen(members, member)
+            out[at[used]] = value[used.ravel()]
         return out + self.inside[ids]
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
+def _sums(z: np.ndarray) -> np.ndarray:
+    """Sums over the last axis, kept; a product with ones is much faster than ``sum`` here."""
+    return (z.reshape(-1, z.shape[-1]) @ np.ones(z.shape[-1], z.dtype)).reshape(*z.shape[:-1], 1)
+
+
+def _totals(z: np.ndarray) -> np.ndarray:
+    """Sums over the rows of a matrix."""
+    return np.ones(len(z), z.dtype) @ z
+
+
+def _softmax(logits: np.ndarray) -> None:
+    np.minimum(logits, 80, out=logits)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
-    return logits
+    logits /= _sums(logits)
 
 
 def _chosen(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log probability of one entry of each row."""
-    own = logits[np.arange(at.size), at].astype(np.float64)
     np.minimum(logits, 80, out=logits)
+    own = logits[np.arange(at.size), at].astype(np.float64)
     np.exp(logits, out=logits)
-    return own - np.log(logits.sum(axis=1, dtype=np.float64))
+    return own - np.log(_sums(logits)[:, 0])
 
 
 #: A position sees itself and what stands before it in the window.
 _SEEN = np.tril(np.ones((WINDOW, WINDOW), np.float32))[CONTEXT:]
 
 
-def _windows(classes: np.ndarray, offsets: np.ndarray
-             ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Overlapping windows: classes read, classes to predict, positions, which of them count.
+def _window_starts(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First position to predict of every window, and where its text begins and ends."""
+    per = -(-np.diff(offsets) // HOP)
+    text = np.repeat(np.arange(per.size), per)
+    first = offsets[text] + (np.arange(text.size) - np.repeat(np.cumsum(per) - per, per)) * HOP
+    return first, offsets[text], offsets[text + 1]
+
+
+def _windows(ids: np.ndarray, starts: tuple, pick: slice | np.ndarray, start_id: int
+             ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Overlapping windows: ids read, positions to predict, which of them count.
 
-    A window reads ``CONTEXT`` classes for their sake only and predicts what
+    A window reads ``CONTEXT`` ids for their sake only and predicts what
     follows each of the others, so every position is scored once. A text
-    is preceded by start classes.
+    is preceded by start ids.
     """
-    n = np.diff(offsets)
-    per = -(-n // HOP)
-    text = np.repeat(np.arange(n.size), per)
-    first = (np.arange(text.size) - np.repeat(np.cumsum(per) - per, per)) * HOP
-    at = (offsets[text] + first)[:, None] + np.arange(HOP)
-    used = at < offsets[text + 1][:, None]
-    at = np.minimum(at, offsets[text + 1][:, None] - 1)
-    read = (offsets[text] + first)[:, None] + np.arange(-CONTEXT, HOP) - 1
-    begun = read >= offsets[text][:, None]
-    x = np.where(begun, classes[np.clip(read, 0, classes.size - 1)], CLASSES)
-    return x, classes[at], at, used
+    first, begin, end = (s[pick][:, None] for s in starts)
+    at = first + np.arange(HOP)
+    used = at < end
+    read = first + np.arange(-CONTEXT - 1, HOP - 1)
+    x = ids[np.clip(read, 0, ids.size - 1)]
+    x[read < begin] = start_id
+    return x, np.minimum(at, end - 1), used
 
 
 def _neighbour_cells(counts: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -304,7 +418,7 @@ def corpus_neighbours(encoded: DataFrame, counts: np.ndarray) -> np.ndarray:
                                    return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(n)], names=["cell", "n"])
 
-    got = (encoded.select("tokens", "token_lengths", "train").mapInArrow(run, "cell long, n long")
+    got = (encoded.select(*IDS).mapInArrow(run, "cell long, n long")
            .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
     out = np.zeros(size * width, np.float32)
     out[np.asarray(got["cell"])] = np.asarray(got["n"])
@@ -341,6 +455,20 @@ def classes_of(counts: np.ndarray, beside: np.ndarray, rounds: int = 8, seed: in
     return out
 
 
+def embeddings(beside: np.ndarray) -> np.ndarray:
+    """Embedding of each id, and of the start: its neighbours on their main directions."""
+    rows = np.sqrt(beside)
+    rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
+    met = beside.any(axis=1)
+    if met.any():
+        rows[met] -= rows[met].mean(axis=0)
+    _, directions = np.linalg.eigh(rows.T.astype(np.float64) @ rows)
+    directions *= np.where(directions.sum(axis=0) < 0, -1, 1)
+    own = rows @ directions[:, -WIDTH:].astype(np.float32)
+    own *= 0.5 / max(1e-9, float(own[met].std()) if met.any() else 1.0)
+    return np.concatenate([own, np.zeros((1, WIDTH), np.float32)]).astype(np.float32)
+
+
 class _Descent:
     """Adam steps on the weights of a model, in place."""
 
@@ -350,86 +478,100 @@ class _Descent:
 
     def go(self, gradients: dict[str, np.ndarray], speed: float) -> None:
         self.step += 1
+        speed /= 1 - 0.9 ** self.step
+        even = np.float32(1 / (1 - 0.99 ** self.step))
         for k, g in gradients.items():
             m, v = self.state[k]
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            self.weights[k] -= speed * (m / (1 - 0.9 ** self.step)) / (
-                np.sqrt(v / (1 - 0.99 ** self.step)) + 1e-8)
+            m *= 0.9
+            m += 0.1 * g
+            g *= g
+            g *= 0.01
+            v *= 0.99
+            v += g
+            self.weights[k] -= speed * m / (np.sqrt(v * even) + 1e-8)
+
+
+def untrained(counts: np.ndarray, beside: np.ndarray, seed: int = 5) -> Attention:
+    """Classes, probabilities within them and embeddings from all counts; weights by chance."""
+    class_of = classes_of(counts, beside)
+    smoothed = counts + 0.5
+    total = np.bincount(class_of, smoothed, minlength=CLASSES)
+    inside = np.log(smoothed / total[class_of])
+    total = np.maximum(total, 0.5).reshape(GROUPS, MEMBERS)
+    return Attention.initial(class_of, inside, (np.log(total.sum(axis=1) / total.sum()),
+                                                np.log(total / total.sum(axis=1, keepdims=True))),
+                             embeddings(beside), seed)
 
 
-def train(counts: np.ndarray, sample: np.ndarray, offsets: np.ndarray, steps: int = STEPS,
-          batch: int = 64, rate: float = 0.004, seed: int = 5, beside: np.ndarray | None = None
+def train(counts: np.ndarray, sample: np.ndarray, offsets: np.ndarray, steps: int,
+          batch: int = 64, rate: float = RATE, seed: int = 5, beside: np.ndarray | None = None
           ) -> Attention:
-    """Classes and probabilities within them from all counts, attention from the sample.
+    """A model trained on the given texts alone, by random windows of them.
 
     ``beside`` holds the neighbours of all training documents (default: the sample's).
     """
-    class_of = classes_of(counts, neighbours(counts, sample) if beside is None else beside)
-    smoothed = counts + 0.5
-    total = np.bincount(class_of, smoothed, minlength=CLASSES)
-    inside = np.log(smoothed / total[class_of])
-    total = np.maximum(total, 0.5).reshape(GROUPS, MEMBERS)
-    model = Attention.initial(class_of, inside, (np.log(total.sum(axis=1) / total.sum()),
-                                                 np.log(total / total.sum(axis=1, keepdims=True))),
-                              seed)
-    x, y, _, used = _windows(class_of[sample], offsets)
-    if not len(x):
+    model = untrained(counts, neighbours(counts, sample) if beside is None else beside, seed)
+    starts = _window_starts(offsets)
+    if not len(starts[0]):
         return model
     rng = np.random.default_rng(seed)
     descent = _Descent(model)
     for step in range(1, steps + 1):
-        pick = rng.integers(0, len(x), batch)
+        pick = rng.integers(0, len(starts[0]), batch)
+        x, at, used = _windows(sample, starts, pick, model.class_of.size)
         speed = rate * min(1.0, step / 20, 3 * (1 - (step - 1) / steps))
-        descent.go(model.gradients(x[pick], y[pick], used[pick]), speed)
+        descent.go(model.gradients(x, model.class_of[sample[at]], used), speed)
     return model
 
 
-def train_on_all(encoded: DataFrame, model: Attention, shard_blocks: int = SHARD_BLOCKS,
-                 batch: int = SHARD_BATCH, rate: float = SHARD_RATE) -> tuple[Attention, int]:
-    """The model after every window of every training text, and the positions trained on.
-
-    Shards of about ``shard_blocks`` blocks start from ``model`` and go through
-    their windows once, block by block. Weighted sums of their weights are added
-    up in two steps; the driver sees a few rows of fixed size.
-    """
-    shards = max(1, -(-encoded.count() // shard_blocks))
+def _added(rows: DataFrame) -> DataFrame:
+    """Sums of ``part, positions, payload`` over ``FAN_IN`` parts at a time, level by level."""
+    def add(t: pd.DataFrame) -> pd.DataFrame:
+        t = t.sort_values("part")
+        total = np.frombuffer(t["payload"].iloc[0], np.float64).copy()
+        for p in t["payload"].iloc[1:]:
+            total += np.frombuffer(p, np.float64)
+        return pd.DataFrame({"part": t["part"].iloc[:1] // FAN_IN,
+                             "positions": [t["positions"].sum()], "payload": [total.tobytes()]})
+
+    for _ in range(LEVELS):
+        rows = rows.groupBy(F.floor(F.col("part") / FAN_IN)).applyInPandas(
+            add, "part long, positions long, payload binary")
+    return rows
+
+
+def _round(encoded: DataFrame, model: Attention, number: int, rounds: int, batch: int,
+           rate: float) -> tuple[Attention, int]:
+    """The mean of the weights that the tasks come to on the blocks of one round."""
     held = encoded.sparkSession.sparkContext.broadcast(model)
     names = sorted(model.weights)
-
-    def learn(t: pd.DataFrame) -> pd.DataFrame:
-        start = held.value
-        own = Attention(start.class_of, start.inside,
-                        {k: v.copy() for k, v in start.weights.items()})
-        descent, positions = _Descent(own), 0
-        shard = int(t["shard"].iloc[0])
-        rng = np.random.default_rng([5, shard])
-        for done, at in enumerate(np.argsort(t["block"].to_numpy())):
-            ids, offsets = _training(t.iloc[at], own.class_of.size - 1)
-            x, y, _, used = _windows(own.class_of[ids], offsets)
-            positions += ids.size
-            order = rng.permutation(len(x))
-            for k in range(0, order.size, batch):
-                pick = order[k:k + batch]
-                left = 1 - (done + k / order.size) / len(t)
-                speed = rate * min(1.0, (descent.step + 1) / 20) * left
-                # A short last batch moves the weights by its share.
-                descent.go(own.gradients(x[pick], y[pick], used[pick]),
-                           speed * pick.size / batch)
-        flat = np.concatenate([own.weights[k].ravel() for k in names]).astype(np.float64)
-        return pd.DataFrame({"part": [shard % 32], "positions": [positions],
-                             "payload": [(flat * positions).tobytes()]})
-
-    def add(t: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(p, np.float64) for p in t["payload"])
-        return pd.DataFrame({"part": t["part"].iloc[:1], "positions": [t["positions"].sum()],
-                             "payload": [total.tobytes()]})
-
-    form = "part int, positions long, payload binary"
-    rows = (encoded.select(F.pmod(F.xxhash64("block"), F.lit(shards)).alias("shard"), "block",
-                           "tokens", "token_lengths", "train")
-            .groupBy("shard").applyInPandas(learn, form)
-            .groupBy("part").applyInPandas(add, form).collect())
+    blocks = (encoded.filter(F.pmod(F.xxhash64("block"), F.lit(rounds)) == number)
+              .select("block", *IDS))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        own, positions = held.value.copy(), 0
+        descent, end = _Descent(own), own.class_of.size - 1
+        for arrow in batches:
+            for row in rows_of(arrow):
+                ids, offsets = _training(row, end)
+                positions += ids.size
+                starts = _window_starts(offsets)
+                order = np.random.default_rng([5, row["block"]]).permutation(len(starts[0]))
+                for k in range(0, order.size, batch):
+                    pick = order[k:k + batch]
+                    x, at, used = _windows(ids, starts, pick, end + 1)
+                    # A short last batch moves the weights by its share.
+                    descent.go(own.gradients(x, own.class_of[ids[at]], used),
+                               rate * min(1.0, (descent.step + 1) / 20) * pick.size / batch)
+        if positions:
+            flat = np.concatenate([own.weights[k].ravel() for k in names]).astype(np.float64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([TaskContext.get().partitionId()], pa.int64()),
+                 pa.array([positions], pa.int64()), pa.array([(flat * positions).tobytes()])],
+                names=["part", "positions", "payload"])
+
+    rows = _added(blocks.mapInArrow(learn, "part long, positions long, payload binary")).collect()
     positions = sum(r["positions"] for r in rows)
     if not positions:
         return model, 0
@@ -438,44 +580,30 @@ def train_on_all(encoded: DataFrame, model: Attention, shard_blocks: int = SHARD
     cuts = np.cumsum([model.weights[k].size for k in names])[:-1]
     weights = {k: w.reshape(model.weights[k].shape).astype(np.float32)
                for k, w in zip(names, np.split(flat, cuts))}
-    return Attention(model.class_of, model.inside, weights), positions
-
-
-def fit(encoded: DataFrame, docs: DataFrame, tokenizer_path: str, modulus: int, held_out: int,
-        documents: int = SAMPLE_DOCUMENTS, steps: int = STEPS) -> Attention:
-    """Counts and attention weights over all training documents, started on a few of them."""
-    encoder = _encoder(tokenizer_path)
-    size = encoder.library.get_vocab_size(with_added_tokens=True)
-    counts = id_counts(encoded, size)
-    chosen = (docs.select(F.col("doc_id").cast("long")).dropna().distinct()
-              .filter(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")),
-                             F.lit(modulus)) != held_out)
-              .orderBy(F.xxhash64(F.col("doc_id"), F.lit(10)), "doc_id").limit(documents))
-    wanted = docs.sparkSession.sparkContext.broadcast(
-        np.sort(np.array([r["doc_id"] for r in chosen.collect()], np.int64)))
+    return Attention(model.class_of, model.inside, weights, model.own), positions
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in rows_of(batch):
-                doc, known = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["known"], bool)
-                pick = np.flatnonzero(np.isin(doc, wanted.value) & known)
-                if pick.size:
-                    ids, offsets = _sequences(row, size)
-                    # For the start a long text gives a stretch from its middle.
-                    own = [ids[max(a, (a + b - SAMPLE_IDS) // 2):][:min(b - a, SAMPLE_IDS)]
-                           for a, b in zip(offsets[pick], offsets[pick + 1])]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(doc[pick]), pa.array([i.astype(np.int32).tobytes() for i in own])],
-                        names=["doc_id", "ids"])
 
-    rows = sorted((r["doc_id"], r["ids"]) for r in encoded.select(
-        "ids", "known", "tokens", "token_lengths").mapInArrow(
-        run, "doc_id long, ids binary").collect())
-    texts = [np.frombuffer(r[1], np.int32) for r in rows]
-    sample = np.concatenate([*texts, np.zeros(0, np.int32)]).astype(np.int64)
-    offsets = np.concatenate([[0], np.cumsum([t.size for t in texts])]).astype(np.int64)
-    start = train(counts, sample, offsets, steps, beside=corpus_neighbours(encoded, counts))
-    return train_on_all(encoded, start)[0]
+def train_on_all(encoded: DataFrame, model: Attention, rounds: int = ROUNDS, batch: int = BATCH,
+                 rate: float = RATE) -> tuple[Attention, int]:
+    """The model after every window of every training text, and the positions trained on.
+
+    A hash deals the blocks out to the rounds; the rate falls from round to round. In a
+    round each task streams its blocks, one held at a time. Weights are added up in a tree;
+    the driver sees a row of fixed size for up to 64 ** 3 tasks.
+    """
+    positions = 0
+    for number in range(rounds):
+        model, n = _round(encoded, model, number, rounds, batch, rate * (1 - number / rounds))
+        positions += n
+    return model, positions
+
+
+def fit(encoded: DataFrame, tokenizer_path: str, rounds: int = ROUNDS) -> Attention:
+    """Counts, embeddings and attention weights over all training documents."""
+    counts = id_counts(
+        encoded, _encoder(tokenizer_path).library.get_vocab_size(with_added_tokens=True))
+    start = untrained(counts, corpus_neighbours(encoded, counts))
+    return train_on_all(encoded, start, rounds)[0]
 
 
 # ---- word counts --------------------------------------------------------
@@ -484,8 +612,10 @@ def word_rows(encoded: DataFrame, parts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in rows_of(batch):
-                found, known, at, train_words = _block_words(row)
-                n = np.bincount(at[train_words], minlength=known.size)
+                at, first = _words_at(row)
+                known = np.frombuffer(row["hashes"], np.uint64)
+                train = np.repeat(np.frombuffer(row["train"], bool), np.diff(first))
+                n = np.bincount(at[train], minlength=known.size)
                 out = [(k, row["block"], known[pick].tobytes(), n[pick].astype(np.uint32).tobytes())
                        for k, pick in by_part((known % np.uint64(parts)).astype(np.int64), parts)]
                 if out:
@@ -494,17 +624,10 @@ def word_rows(encoded: DataFrame, parts: int) -> DataFrame:
                             pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
                         names=["part", "block", "hashes", "counts"])
 
-    return encoded.select("block", "ids", "known", "lengths", "payload", "train").mapInArrow(
+    return encoded.select("block", "train", "first", "hashes", "at").mapInArrow(
         run, "part int, block long, hashes binary, counts binary")
 
 
-def _block_words(row: dict):
-    block = unpack(row)
-    found = words(block.data, block.offsets)
-    known, at = np.unique(found.hashes, return_inverse=True)
-    return found, known, at, np.frombuffer(row["train"], bool)[found.text]
-
-
 def corpus_counts(rows: DataFrame) -> DataFrame:
     """``block, part, counts, total, distinct``: counts of the words sent, and the part's totals."""
     def add(t: pd.DataFrame) -> pd.DataFrame:
@@ -537,28 +660,29 @@ def base_scores(encoded: DataFrame, block_bytes: int, ends: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in rows_of(batch):
-                found, known, at, _ = _block_words(row)
+                at, first = _words_at(row)
+                known = np.frombuffer(row["hashes"], np.uint64)
                 counts = np.zeros(known.size, np.int64)
                 sent = {c["part"]: c["counts"] for c in row["counts"] or ()}
                 for k, pick in by_part((known % np.uint64(parts)).astype(np.int64), parts):
                     counts[pick] = np.frombuffer(sent[k], np.int64)
                 value = (np.log10(counts + 0.5) - room)[at]
-                n = np.diff(found.first)
+                n = np.diff(first)
                 upto = np.concatenate([[0], np.cumsum(value)])
                 seen = np.concatenate([[0], np.cumsum(counts[at] > 0)])
                 ids, ok = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["known"], bool)
-                base = np.array([value[a:b].sum() for a, b in zip(found.first[:-1], found.first[1:])])
+                base = np.array([value[a:b].sum() for a, b in zip(first[:-1], first[1:])])
                 size = n.size
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(size, row["block"])), pa.array(np.arange(size)),
                      pa.array(ids, mask=~ok), pa.array(~np.frombuffer(row["train"], bool)),
-                     pa.array(n + 1), pa.array(np.diff(seen[found.first]) + (1 if ends else 0)),
+                     pa.array(n + 1), pa.array(np.diff(seen[first]) + (1 if ends else 0)),
                      pa.array(np.full(size, total)),
                      pa.array(base.reshape(size) + np.log10(ends + 0.5) - room)],
                     names=["block", "row", "doc_id", "held_out", "n_tokens", "n_known",
                            "train_tokens", "base_score"])
 
-    return (encoded.select("block", "ids", "known", "lengths", "payload", "train")
+    return (encoded.select("block", "ids", "known", "train", "first", "hashes", "at")
             .join(replies, "block", "left").mapInArrow(
                 run, "block long, row long, doc_id long, held_out boolean, n_tokens long, "
                      "n_known long, train_tokens long, base_score double"))
@@ -578,12 +702,12 @@ def model_scores(encoded: DataFrame, model: Attention) -> DataFrame:
                     [pa.array(np.full(score.size, row["block"])), pa.array(np.arange(score.size)),
                      pa.array(score / np.log(10))], names=["block", "row", "score"])
 
-    return encoded.select("block", "tokens", "token_lengths").mapInArrow(
+    return encoded.select("block", *IDS).mapInArrow(
         run, "block long, row long, score double")
 
 
 def score_documents(docs: DataFrame, tokenizer_path: str, modulus: int = 5, held_out: int = 1,
-                    block_bytes: int = BLOCK_BYTES, steps: int = STEPS) -> DataFrame:
+                    block_bytes: int = BLOCK_BYTES, rounds: int = ROUNDS) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every text.
 
     Tokens are the words of the lower-cased text and one end; the model is
@@ -594,7 +718,7 @@ def score_documents(docs: DataFrame, tokenizer_path: str, modulus: int = 5, held
     """
     blocks = packed(docs, block_bytes)
     encoded = materialized(encoded_blocks(blocks, tokenizer_path, modulus, held_out), "encoded")
-    model = fit(encoded, docs, tokenizer_path, modulus, held_out, steps=steps)
+    model = fit(encoded, tokenizer_path, rounds)
     ends = docs.filter(F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
                                       .cast("binary")), F.lit(modulus)) != held_out).count()
     base = base_scores(encoded, block_bytes, ends)

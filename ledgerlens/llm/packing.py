@@ -58,6 +58,8 @@ class Encoder:
                  self.library.get_vocab(with_added_tokens=False).items()}
         self.fast = tiktoken.Encoding("ranks", pat_str=_PATTERN, mergeable_ranks=ranks,
                                       special_tokens={})
+        self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)   # bytes of each id
+        self.sizes[list(ranks.values())] = [len(b) for b in ranks]
 
     def encode(self, text: str) -> bytes:
         if _OUTSIDE.search(text) or self.special.search(text):

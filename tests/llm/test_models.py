@@ -337,8 +337,7 @@ def brute_base(texts):
 
 
 def test_lm_scores(documents, texts):
-    rows = lm_scoring.score_documents(documents.repartition(3), BYTES, steps=150,
-                                      block_bytes=60_000).collect()
+    rows = lm_scoring.score_documents(documents.repartition(3), BYTES, block_bytes=60_000).collect()
     base = brute_base(texts)
     assert len(rows) == len(texts)
     for r in rows:
@@ -349,12 +348,12 @@ def test_lm_scores(documents, texts):
 
 
 def test_lm_edges(odd, none):
-    rows = lm_scoring.score_documents(odd, BYTES, steps=2).collect()
+    rows = lm_scoring.score_documents(odd, BYTES).collect()
     assert len(rows) == odd.count()
     by = {r["doc_id"]: r for r in rows}
     assert by[2]["n_tokens"] == by[3]["n_tokens"] == by[6]["n_tokens"] == 1
     assert by[2]["score"] == pytest.approx(by[6]["score"])
-    assert lm_scoring.score_documents(none, BYTES, steps=1).count() == 0
+    assert lm_scoring.score_documents(none, BYTES).count() == 0
 
 
 @pytest.fixture(scope="module")
@@ -398,8 +397,10 @@ def test_lm_probabilities_add_up(small_model):
 def test_lm_gradients(small_model):
     model, ids, offsets, _ = small_model
     m = lm_scoring.Attention(model.class_of, model.inside,
-                             {k: v.astype(np.float64) for k, v in model.weights.items()})
-    x, y, _, used = lm_scoring._windows(m.class_of[ids[:230]], np.array([0, 100, 100, 230]))
+                             {k: v.astype(np.float64) for k, v in model.weights.items()}, model.own)
+    x, at, used = lm_scoring._windows(
+        ids[:230], lm_scoring._window_starts(np.array([0, 100, 100, 230])), slice(None), 101)
+    y = m.class_of[ids[at]]
 
     def loss():
         state, _ = m.forward(x)
@@ -419,8 +420,8 @@ def test_lm_gradients(small_model):
                  + log_softmax(own)[n, target % lm.MEMBERS]).mean()
 
     grads = m.gradients(x, y, used)
-    c, g = x[0, 12], y[0, 3] // lm_scoring.MEMBERS
-    for name, at in (("qkv", (3, 5)), ("qkv", (4, 40)), ("qkv", (2, 80)), ("mixed", (1, 2)),
+    c, g = m.class_of[x[0, 12]], y[0, 3] // lm_scoring.MEMBERS
+    for name, at in (("qkv", (3, 5)), ("qkv", (4, 20)), ("qkv", (2, 40)), ("mixed", (1, 2)),
                      ("hidden", (3, 3)), ("place", (10, 4)), ("embed", (c, 5)),
                      ("group", (2, g)), ("member", (g, 3, 1)), ("hidden_bias", (6,))):
         w = m.weights[name]
@@ -451,7 +452,7 @@ def test_all_of_every_training_text_is_trained_on(spark):
     assert (beside == want).all()
     few = rows[0][0][:50]
     start = lm_scoring.train(counts, few, np.array([0, few.size]), steps=2, beside=beside)
-    got, positions = lm_scoring.train_on_all(encoded, start, shard_blocks=2)
+    got, positions = lm_scoring.train_on_all(encoded, start)
     assert positions == counts.sum() > 18000
     assert all(np.isfinite(w).all() for w in got.weights.values())
 
@@ -459,3 +460,46 @@ def test_all_of_every_training_text_is_trained_on(spark):
         return -np.mean(np.concatenate([m.log_probabilities(i, at) for i, at in rows if i.size]))
 
     assert loss(got) < loss(start)
+
+
+def test_lm_words_are_encoded_like_texts():
+    """The ids of words one by one are those of the text with single spaces."""
+    encoder = lm_scoring._encoder(BYTES)
+    text = ("it's 12ab don't, naïve straße русский 漢字 \x01x a\u00a0b e\u0301 !!! ''s "
+            + "z" * 3000 + " it's it's \U0001f600\U0001f600 x")
+    for extra in ("", " a<|endoftext|>b <|endoftext|> c"):
+        raw = np.frombuffer((text + extra).encode(), np.uint8)
+        found = lm_scoring.words(raw, np.array([0, raw.size]))
+        got, n = lm_scoring.word_ids(encoder, found, np.arange(found.starts.size))
+        want = [encoder.library.encode(" " + w, add_special_tokens=False).ids
+                for w in (text + extra).split(" ")]
+        assert n.tolist() == [len(w) for w in want]
+        assert got.tolist() == [i for w in want for i in w]
+
+
+def test_lm_score_by_plain_attention(small_model):
+    """Position by position, with loops and float64, from the formulas alone."""
+    model, ids, _, _ = small_model
+    lm, w = lm_scoring, {k: v.astype(float) for k, v in model.weights.items()}
+    text = [int(i) for i in ids[:61]]
+    want = []
+    for at, target in enumerate(text):
+        first = at // lm.HOP * lm.HOP - lm.CONTEXT - 1     # the window's first position
+        seen = range(first, at)
+        e = []
+        for place, p in enumerate(seen):
+            i = text[p] if p >= 0 else model.class_of.size
+            c = model.class_of[i] if p >= 0 else lm.CLASSES
+            e.append(w["embed"][c] + model.own[i] + w["place"][place])
+        q, k, v = (w["qkv"][:, j * lm.WIDTH:(j + 1) * lm.WIDTH] for j in range(3))
+        weight = np.array([np.exp((e[-1] @ q) @ (x @ k) / lm.WIDTH ** 0.5) for x in e])
+        a = sum(s * (x @ v) for s, x in zip(weight / weight.sum(), e))
+        h = e[-1] + a @ w["mixed"]
+        state = h + np.maximum(h @ w["hidden"] + w["hidden_bias"], 0)
+        g, m = divmod(int(model.class_of[target]), lm.MEMBERS)
+        groups = np.exp(state @ w["group"] + w["group_bias"])
+        members = np.exp(state @ w["member"][g] + w["member_bias"][g])
+        want.append(np.log(groups[g] / groups.sum()) + np.log(members[m] / members.sum())
+                    + model.inside[target])
+    got = model.log_probabilities(np.array(text), np.array([0, len(text)]))
+    assert np.allclose(got, want, atol=1e-4)
