@@ -33,6 +33,38 @@ class Block:
     data: np.ndarray
 
 
+def blocks_of(batches: Iterator[pa.RecordBatch], block_bytes: int = BLOCK_BYTES
+              ) -> Iterator[tuple[int, Block]]:
+    """Number and texts of the blocks of a task's ``doc_id, text`` batches, one at a time."""
+    from pyspark import TaskContext
+    first = TaskContext.get().partitionId() << 32
+    held: list[pa.RecordBatch] = []
+    size = count = 0
+
+    def block() -> Block:
+        t = pa.Table.from_batches(held).combine_chunks()
+        ids = t["doc_id"].combine_chunks()
+        known = np.asarray(ids.is_valid())
+        ids = np.asarray(ids.fill_null(0))
+        order = np.lexsort((ids, ~known))
+        raw, offsets = text_bytes(t["text"].combine_chunks().take(pa.array(order)))
+        return Block(ids[order], known[order], offsets, raw)
+
+    for batch in slices(batches, max(1, block_bytes // 4)):
+        held.append(batch)
+        size += int(pa.compute.sum(pa.compute.binary_length(batch.column(1))).as_py() or 0)
+        if size >= block_bytes:
+            yield first + count, block()
+            held, size, count = [], 0, count + 1
+    if held:
+        yield first + count, block()
+
+
+def packable(docs: DataFrame) -> DataFrame:
+    """The columns that ``blocks_of`` takes."""
+    return id_and_text(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 def packed(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``block, ids, known, lengths, payload`` with the texts compressed.
 
@@ -40,36 +72,14 @@ def packed(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     and read that wherever blocks have to be the same.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        first = TaskContext.get().partitionId() << 32
-        held: list[pa.RecordBatch] = []
-        size = count = 0
-
-        def block() -> pa.RecordBatch:
-            t = pa.Table.from_batches(held).combine_chunks()
-            ids = t["doc_id"].combine_chunks()
-            known = np.asarray(ids.is_valid())
-            ids = np.asarray(ids.fill_null(0))
-            order = np.lexsort((ids, ~known))
-            texts = t["text"].combine_chunks().take(pa.array(order))
-            raw, offsets = text_bytes(texts)
-            lengths = np.diff(offsets)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([first + count], pa.int64()), pa.array([ids[order].tobytes()]),
-                 pa.array([known[order].tobytes()]), pa.array([lengths.tobytes()]),
-                 pa.array([zstandard.ZstdCompressor(level=1).compress(raw.tobytes())])],
+        for number, block in blocks_of(batches, block_bytes):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int64()), pa.array([block.ids.tobytes()]),
+                 pa.array([block.known.tobytes()]), pa.array([np.diff(block.offsets).tobytes()]),
+                 pa.array([zstandard.ZstdCompressor(level=1).compress(block.data.tobytes())])],
                 names=["block", "ids", "known", "lengths", "payload"])
 
-        for batch in slices(batches, max(1, block_bytes // 4)):
-            held.append(batch)
-            size += int(pa.compute.sum(pa.compute.binary_length(batch.column(1))).as_py() or 0)
-            if size >= block_bytes:
-                yield block()
-                held, size, count = [], 0, count + 1
-        if held:
-            yield block()
-
-    return id_and_text(docs).withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(
+    return packable(docs).mapInArrow(
         run, "block long, ids binary, known binary, lengths binary, payload binary")
 
 

@@ -33,7 +33,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialized
-from .blocks import BLOCK_BYTES, by_part, packed, rows_of, unpack
+from .blocks import (
+    BLOCK_BYTES,
+    Block,
+    blocks_of,
+    by_part,
+    packable,
+    packed,  # noqa: F401
+    rows_of,
+    unpack,
+)
 from .common import crc32_of
 from .packing import _OUTSIDE, Encoder, _encoder
 from .words import Words, words
@@ -120,6 +129,23 @@ ENCODED = ("block long, ids binary, known binary, train binary, first binary, ha
 IDS = ["train", "first", "hashes", "word_ids", "word_lengths", "at"]
 
 
+def _encoded(encoder: Encoder, number: int, block: Block, modulus: int, held_out: int
+             ) -> pa.RecordBatch:
+    """The row of a block in ``ENCODED``."""
+    found = words(block.data, block.offsets)
+    hashes, one, at = np.unique(found.hashes, return_index=True, return_inverse=True)
+    ids, lengths = word_ids(encoder, found, one)
+    train = np.array([crc32_of(int(i) if ok else None) % modulus != held_out
+                      for i, ok in zip(block.ids, block.known)], bool)
+    values = (block.ids.tobytes(), block.known.tobytes(), train.tobytes(),
+              found.first.astype(np.int64).tobytes(), hashes.tobytes(),
+              _pack(ids.astype(np.int32)), _pack(lengths.astype(np.int32)),
+              _pack(at.astype(np.uint32)))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([number], pa.int64()), *(pa.array([v], pa.binary()) for v in values)],
+        names=[c.split()[0] for c in ENCODED.split(", ")])
+
+
 def encoded_blocks(blocks: DataFrame, tokenizer_path: str, modulus: int, held_out: int
                    ) -> DataFrame:
     """Blocks as words: distinct words (hashes, subword ids), their order, texts and ``train``.
@@ -130,24 +156,27 @@ def encoded_blocks(blocks: DataFrame, tokenizer_path: str, modulus: int, held_ou
         encoder = _encoder(tokenizer_path)
         for batch in batches:
             for row in rows_of(batch):
-                block = unpack(row)
-                found = words(block.data, block.offsets)
-                hashes, one, at = np.unique(found.hashes, return_index=True, return_inverse=True)
-                ids, lengths = word_ids(encoder, found, one)
-                train = np.array([crc32_of(int(i) if ok else None) % modulus != held_out
-                                  for i, ok in zip(block.ids, block.known)], bool)
-                values = (row["ids"], row["known"], train.tobytes(),
-                          found.first.astype(np.int64).tobytes(), hashes.tobytes(),
-                          _pack(ids.astype(np.int32)), _pack(lengths.astype(np.int32)),
-                          _pack(at.astype(np.uint32)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["block"]], pa.int64()),
-                     *(pa.array([v], pa.binary()) for v in values)],
-                    names=[c.split()[0] for c in ENCODED.split(", ")])
+                yield _encoded(encoder, row["block"], unpack(row), modulus, held_out)
 
     return blocks.mapInArrow(run, ENCODED)
 
 
+def encoded_documents(docs: DataFrame, tokenizer_path: str, modulus: int, held_out: int,
+                      block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``encoded_blocks`` of the packed documents, in one Python step.
+
+    Two steps in a row are two Python workers a core; an executor keeps them
+    all and deals later tasks out to them in turn, so that each comes to hold
+    the encoder and a task's arrays.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(tokenizer_path)
+        for number, block in blocks_of(batches, block_bytes):
+            yield _encoded(encoder, number, block, modulus, held_out)
+
+    return packable(docs).mapInArrow(run, ENCODED)
+
+
 def _words_at(row: dict) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the words of a block in order, and the words before each text."""
     first = np.frombuffer(row["first"], np.int64)
@@ -716,8 +745,8 @@ def score_documents(docs: DataFrame, tokenizer_path: str, modulus: int = 5, held
     NULL id hashes as the empty text; an empty table gives no rows. Without
     training documents every count is 0 and the model is the untrained one.
     """
-    blocks = packed(docs, block_bytes)
-    encoded = materialized(encoded_blocks(blocks, tokenizer_path, modulus, held_out), "encoded")
+    encoded = materialized(
+        encoded_documents(docs, tokenizer_path, modulus, held_out, block_bytes), "encoded")
     model = fit(encoded, tokenizer_path, rounds)
     ends = docs.filter(F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
                                       .cast("binary")), F.lit(modulus)) != held_out).count()

@@ -356,6 +356,24 @@ def test_lm_edges(odd, none):
     assert lm_scoring.score_documents(none, BYTES).count() == 0
 
 
+def test_lm_documents_are_encoded_in_one_python_step(documents, monkeypatch):
+    """A step more is a worker more on each core, and those stay with the executor."""
+    plans = {}
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return materialized(df, name)
+
+    materialized = lm_scoring.materialized
+    monkeypatch.setattr(lm_scoring, "materialized", kept)
+    lm_scoring.score_documents(documents.limit(40), BYTES)
+    assert plans["encoded"].count("MapInArrow") == 1
+    docs = documents.repartition(2, "doc_id")
+    two = lm_scoring.encoded_blocks(lm_scoring.packed(docs, 60_000), BYTES, 5, 1)
+    one = lm_scoring.encoded_documents(docs, BYTES, 5, 1, 60_000)
+    assert sorted(one.collect()) == sorted(two.collect())
+
+
 @pytest.fixture(scope="module")
 def small_model():
     rng = np.random.default_rng(6)
