@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialized
+from ..session import large_rows, materialized
 from .blocks import (
     BLOCK_BYTES,
     Block,
@@ -747,8 +747,10 @@ def score_documents(docs: DataFrame, tokenizer_path: str, modulus: int = 5, held
     """
     encoded = materialized(
         encoded_documents(docs, tokenizer_path, modulus, held_out, block_bytes), "encoded")
-    model = fit(encoded, tokenizer_path, rounds)
     ends = docs.filter(F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
                                       .cast("binary")), F.lit(modulus)) != held_out).count()
-    base = base_scores(encoded, block_bytes, ends)
-    return (base.join(model_scores(encoded, model), ["block", "row"]).drop("block", "row"))
+    with large_rows(docs.sparkSession):
+        model = fit(encoded, tokenizer_path, rounds)
+        base = materialized(base_scores(encoded, block_bytes, ends), "base_scores")
+        scores = materialized(model_scores(encoded, model), "model_scores")
+    return base.join(scores, ["block", "row"]).drop("block", "row")

@@ -66,6 +66,28 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Bytes of an Arrow batch, and rows of a Parquet batch, while rows are a few MB each.
+LARGE_ROWS = {"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+              "spark.sql.parquet.columnarReaderBatchSize": "4"}
+
+
+@contextmanager
+def large_rows(spark: SparkSession) -> Iterator[None]:
+    """Read rows of a few MB a few at a time, in the jobs that run inside the block.
+
+    By default a task takes 4096 rows of Parquet and 10000 of Arrow at once: of such rows,
+    its whole partition, in the heap, outside it and in the Python worker.
+    """
+    before = {k: spark.conf.get(k, None) for k in LARGE_ROWS}
+    for k, v in LARGE_ROWS.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 # ---- stage tables -------------------------------------------------------
 #: Stage tables written by this process and not released yet.
 _stages: list[str] = []

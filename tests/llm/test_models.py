@@ -9,6 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
+from ledgerlens import session
 from ledgerlens.llm import (
     decontamination,
     language_id,
@@ -356,24 +357,49 @@ def test_lm_edges(odd, none):
     assert lm_scoring.score_documents(none, BYTES).count() == 0
 
 
-def test_lm_documents_are_encoded_in_one_python_step(documents, monkeypatch):
-    """A step more is a worker more on each core, and those stay with the executor."""
-    plans = {}
+def test_lm_documents_are_encoded_in_one_python_step(spark, documents, monkeypatch):
+    """A step more is a worker more on each core, and those stay with the executor. Blocks
+    are read a few at a time wherever they are read."""
+    plans, sizes = {}, {}
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
 
     def kept(df, name):
         plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        sizes[name] = spark.conf.get(key, None)
         return materialized(df, name)
 
     materialized = lm_scoring.materialized
     monkeypatch.setattr(lm_scoring, "materialized", kept)
     lm_scoring.score_documents(documents.limit(40), BYTES)
-    assert plans["encoded"].count("MapInArrow") == 1
+    assert plans["encoded"].count("MapInArrow") == 1 and sizes["encoded"] == before
+    assert sizes["word_counts"] == sizes["base_scores"] == sizes["model_scores"] == str(4 << 20)
+    assert spark.conf.get(key, None) == before
     docs = documents.repartition(2, "doc_id")
     two = lm_scoring.encoded_blocks(lm_scoring.packed(docs, 60_000), BYTES, 5, 1)
     one = lm_scoring.encoded_documents(docs, BYTES, 5, 1, 60_000)
     assert sorted(one.collect()) == sorted(two.collect())
 
 
+def test_large_rows_come_a_few_at_a_time(spark, tmp_path):
+    rows = spark.range(24).selectExpr("id", "cast(repeat('x', 1 << 20) as binary) as payload")
+    rows.coalesce(1).write.parquet(str(tmp_path / "rows"))
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+
+    def met():
+        read = spark.read.parquet(str(tmp_path / "rows")).coalesce(1)
+        return [r["n"] for r in read.mapInArrow(run, "n long").collect()]
+
+    assert met() == [24]
+    with session.large_rows(spark):
+        few = met()
+    assert sum(few) == 24 and max(few) <= 5
+    assert met() == [24]
+
+
 @pytest.fixture(scope="module")
 def small_model():
     rng = np.random.default_rng(6)
